@@ -17,7 +17,7 @@ def as_ntz(col: Column, dtype: DataType) -> Column:
     if isinstance(dtype, TimestampNTZType):
         return col
     if isinstance(dtype, TimestampType):
-        return F.convert_timezone(F.lit("UTC"), col)
+        return F.convert_timezone(None, F.lit("UTC"), col)
     if isinstance(dtype, DateType):
         return col.cast("timestamp_ntz")
     if isinstance(dtype, StringType):
@@ -36,7 +36,7 @@ def iso_string_to_ntz(col: Column) -> Column:
     text = F.trim(col)
     has_zone = text.rlike(r"(Z|[+-]\d{2}(:?\d{2})?)$") & text.rlike(r"[T ]\d{2}:\d{2}")
     # With a zone: parse to an instant and show it in UTC. Without: wall clock.
-    zoned = F.convert_timezone(F.lit("UTC"), F.try_to_timestamp(text))
+    zoned = F.convert_timezone(None, F.lit("UTC"), F.try_to_timestamp(text))
     naive = text.try_cast("timestamp_ntz")
     return F.when(~text.rlike(ISO_PATTERN), F.lit(None).cast("timestamp_ntz")).when(
         has_zone, zoned

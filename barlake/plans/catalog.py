@@ -137,3 +137,131 @@ def price_alerts(spark, sf_dir):
 def price_alerts_5h(spark, sf_dir):
     """Alerts against a 5-hour reference."""
     return _alerts(spark, sf_dir, 5 * 3600)
+
+
+# ---------------------------------------------------------------------------
+# Transform (P1-P16, W1, W2, U2): raw price feed -> daily prices
+# ---------------------------------------------------------------------------
+
+# Fixed run parameters of the registered queries (the oracles use the same).
+RUN_TS = "2001-09-01 00:00:00"
+AS_OF = "2001-09-01"
+STORED_CUTOFF = "1998-01-01"
+BATCH_ID = "batch-0001"
+
+
+def _run_ts():
+    return F.lit(RUN_TS).cast("timestamp_ntz")
+
+
+def _clean(spark, sf_dir):
+    from barlake.operators.transform import transform_prices
+
+    return transform_prices(src.price_feed(spark, sf_dir), loaded_at=_run_ts())
+
+
+CLEAN_COLS = (
+    "ticker, price_date, open_price, high_price, low_price, close_price, adj_close_price, volume"
+)
+
+
+@register(
+    "clean_prices",
+    O.with_ctes(O.FEED, O.CLEAN)
+    + f"SELECT {CLEAN_COLS}, round(daily_return, 9) AS daily_return, "
+    f"TIMESTAMP '{RUN_TS}' AS loaded_at FROM clean",
+)
+def clean_prices(spark, sf_dir):
+    """Full transform of the raw feed: the 10 output columns."""
+    out = _clean(spark, sf_dir).drop("seq")
+    return out.withColumn("daily_return", r9(F.col("daily_return")))
+
+
+@register(
+    "dedupe_last",
+    O.with_ctes(O.FEED)
+    + """SELECT "Ticker" AS ticker, "Date" AS price_date, arg_max("Close", seq) AS close_price,
+       max(seq) AS seq, count(*) AS copies
+FROM feed GROUP BY 1, 2""",
+)
+def dedupe_last(spark, sf_dir):
+    """Keep-last per (ticker, day) by arrival order, with the number of copies seen."""
+    from barlake.operators.transform import coerce_types, dedupe_last as dedupe, standardize_columns
+
+    std = coerce_types(standardize_columns(src.price_feed(spark, sf_dir)))
+    copies = std.groupBy("ticker", "price_date").agg(F.count("*").alias("copies"))
+    kept = dedupe(std, "seq").select("ticker", "price_date", "close_price", "seq")
+    return kept.join(copies, ["ticker", "price_date"])
+
+
+@register(
+    "daily_return",
+    O.with_ctes(O.FEED, O.CLEAN)
+    + "SELECT ticker, price_date, close_price, round(daily_return, 9) AS daily_return FROM clean",
+)
+def daily_return(spark, sf_dir):
+    """close / previous close - 1 per ticker in date order."""
+    return _clean(spark, sf_dir).select(
+        "ticker", "price_date", "close_price", r9(F.col("daily_return")).alias("daily_return")
+    )
+
+
+def _text_feed(spark, sf_dir):
+    """The feed as untyped text with injected bad values (fixed rules on seq)."""
+    from barlake.operators.transform import raw_as_text
+
+    text = raw_as_text(src.price_feed(spark, sf_dir))
+    seq = F.col("seq").cast("bigint")
+    return text.select(
+        F.when(seq % 97 == 0, F.lit("not a date")).otherwise(F.col("Date")).alias("Date"),
+        F.when(seq % 79 == 0, F.lower("Ticker")).otherwise(F.col("Ticker")).alias("Ticker"),
+        "Open",
+        "High",
+        "Low",
+        F.when(seq % 89 == 0, F.lit("n/a")).otherwise(F.col("Close")).alias("Close"),
+        "Adj Close",
+        F.when(seq % 83 == 0, F.lit("12.5")).otherwise(F.col("Volume")).alias("Volume"),
+        "seq",
+    )
+
+
+@register(
+    "coerce_types",
+    O.with_ctes(O.FEED)
+    + """SELECT "Ticker" AS ticker,
+       CASE WHEN seq % 97 = 0 THEN NULL ELSE "Date" END AS price_date,
+       CASE WHEN seq % 89 = 0 THEN NULL ELSE "Close" END AS close_price,
+       CASE WHEN seq % 83 = 0 THEN 12.5::DOUBLE ELSE CAST("Volume" AS DOUBLE) END AS volume,
+       seq
+FROM feed""",
+)
+def coerce_types(spark, sf_dir):
+    """Text extract -> typed columns; unparseable dates and numbers become null."""
+    from barlake.operators.transform import coerce_types as coerce, standardize_columns
+
+    typed = coerce(standardize_columns(_text_feed(spark, sf_dir)))
+    return typed.select(
+        "ticker", "price_date", "close_price", "volume", F.col("seq").cast("bigint").alias("seq")
+    )
+
+
+@register(
+    "wide_to_long",
+    O.with_ctes(O.FEED)
+    + """, valid AS (SELECT * FROM feed WHERE regexp_full_match("Ticker", '[A-Z]{1,5}')),
+days AS (SELECT DISTINCT "Date" FROM valid),
+tk AS (SELECT * FROM (VALUES ('AUTOM'), ('BUILD'), ('FURNI'), ('HOUSE'), ('MACHI')) t("Ticker")),
+last AS (
+  SELECT "Date", "Ticker", arg_max("Open", seq) AS "Open", arg_max("Close", seq) AS "Close",
+         arg_max("Volume", seq) AS "Volume"
+  FROM valid GROUP BY 1, 2)
+SELECT d."Date", tk."Ticker", l."Open", l."Close", l."Volume"
+FROM days d CROSS JOIN tk LEFT JOIN last l ON l."Date" = d."Date" AND l."Ticker" = tk."Ticker"
+""".replace("WITH ", "WITH ", 1),
+)
+def wide_to_long(spark, sf_dir):
+    """Wide per-date frame with <Field>_<Ticker> columns -> long rows with a Ticker column."""
+    from barlake.operators.transform import wide_to_long as unpivot
+
+    long = unpivot(src.wide_price_feed(spark, sf_dir), "Date")
+    return long.select("Date", "Ticker", "Open", "Close", "Volume")

@@ -31,7 +31,11 @@ def build_session(
     ``master`` is only set when given, so on a cluster the submitter decides.
     The web UI stays off: jobs here are non-interactive.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     for key, value in _JOB_CONF.items():
