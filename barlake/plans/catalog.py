@@ -265,3 +265,100 @@ def wide_to_long(spark, sf_dir):
 
     long = unpivot(src.wide_price_feed(spark, sf_dir), "Date")
     return long.select("Date", "Ticker", "Open", "Close", "Volume")
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+
+_DQ_SQL = O.with_ctes(O.FEED, O.CLEAN) + """,
+gaps AS (
+  SELECT count(*) AS n FROM (
+    SELECT date_diff('day', lag(price_date) OVER (PARTITION BY ticker ORDER BY price_date), price_date) AS d
+    FROM clean WHERE ticker IS NOT NULL AND price_date IS NOT NULL) WHERE d > 5),
+dups AS (
+  SELECT coalesce(sum(c), 0) AS n FROM (SELECT count(*) AS c FROM clean GROUP BY ticker, price_date) WHERE c > 1),
+cnt AS (
+  SELECT count_if(ticker IS NULL) + count_if(regexp_full_match(ticker, '\\s*')) AS null_tickers,
+         count_if(price_date IS NULL) AS null_dates,
+         count_if(open_price < 0) + count_if(high_price < 0) + count_if(low_price < 0)
+           + count_if(close_price < 0) + count_if(adj_close_price < 0) AS negative_prices,
+         count_if(volume < 0) AS negative_volume,
+         count_if(coalesce(low_price > open_price, false) OR coalesce(low_price > close_price, false)
+                  OR coalesce(open_price > high_price, false) OR coalesce(close_price > high_price, false))
+           AS price_relationships,
+         count_if(ticker IS NOT NULL AND NOT regexp_full_match(ticker, '[A-Z]{1,5}')) AS invalid_ticker_format
+  FROM clean)
+SELECT * FROM (VALUES
+  ('null_tickers', 'CRITICAL', (SELECT null_tickers FROM cnt)),
+  ('null_dates', 'CRITICAL', (SELECT null_dates FROM cnt)),
+  ('negative_prices', 'CRITICAL', (SELECT negative_prices FROM cnt)),
+  ('negative_volume', 'WARNING', (SELECT negative_volume FROM cnt)),
+  ('duplicate_rows', 'WARNING', (SELECT n FROM dups)),
+  ('price_relationships', 'WARNING', (SELECT price_relationships FROM cnt)),
+  ('invalid_ticker_format', 'WARNING', (SELECT invalid_ticker_format FROM cnt)),
+  ('date_gaps', 'WARNING', (SELECT n FROM gaps)),
+  ('column_types', 'WARNING', 0)
+) t("check", severity, failures_raw)
+"""
+_DQ_SQL = (
+    "SELECT \"check\", severity, failures_raw = 0 AS passed, CAST(failures_raw AS BIGINT) AS failures "
+    "FROM (" + _DQ_SQL + ")"
+)
+
+
+@register("dq_summary", _DQ_SQL)
+def dq_summary(spark, sf_dir):
+    """All nine checks on the transformed batch: check, severity, passed, failures."""
+    from barlake.operators.quality import quality_results
+
+    return quality_results(_clean(spark, sf_dir)).select("check", "severity", "passed", "failures")
+
+
+@register(
+    "dq_duplicates",
+    O.with_ctes(O.FEED)
+    + """SELECT "Ticker" AS ticker, "Date" AS price_date, count(*) AS copies
+FROM feed GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+def dq_duplicates(spark, sf_dir):
+    """(ticker, day) keys seen more than once in the raw extract, with their copies."""
+    from barlake.operators.quality import duplicate_groups
+    from barlake.operators.transform import coerce_types, standardize_columns
+
+    std = coerce_types(standardize_columns(src.price_feed(spark, sf_dir)))
+    return duplicate_groups(std)
+
+
+@register(
+    "dq_ticker_format",
+    O.with_ctes(O.FEED, O.CLEAN)
+    + """, bad AS (SELECT ticker FROM clean WHERE ticker IS NOT NULL AND NOT regexp_full_match(ticker, '[A-Z]{1,5}'))
+SELECT (SELECT count(*) FROM bad) AS failures,
+       (SELECT list(ticker ORDER BY ticker) FROM (SELECT DISTINCT ticker FROM bad ORDER BY ticker LIMIT 5))
+         AS examples""",
+)
+def dq_ticker_format(spark, sf_dir):
+    """Malformed tickers: how many rows, and the first five distinct examples."""
+    from barlake.operators.quality import quality_results
+
+    res = quality_results(_clean(spark, sf_dir)).where(F.col("check") == "invalid_ticker_format")
+    examples = F.from_json(F.col("details"), "examples array<string>")["examples"]
+    return res.select("failures", F.coalesce(examples, F.array().cast("array<string>")).alias("examples"))
+
+
+@register(
+    "dq_date_gaps",
+    O.with_ctes(O.FEED, O.CLEAN)
+    + """SELECT ticker, gap_after, gap_calendar_days FROM (
+  SELECT ticker, lag(price_date) OVER (PARTITION BY ticker ORDER BY price_date) AS gap_after,
+         date_diff('day', lag(price_date) OVER (PARTITION BY ticker ORDER BY price_date), price_date)
+           AS gap_calendar_days
+  FROM clean WHERE ticker IS NOT NULL AND price_date IS NOT NULL)
+WHERE gap_calendar_days > 5""",
+)
+def dq_date_gaps(spark, sf_dir):
+    """Gaps of more than five days between consecutive dates of a ticker."""
+    from barlake.operators.quality import date_gaps
+
+    return date_gaps(_clean(spark, sf_dir))

@@ -119,6 +119,7 @@ STATUS_SUCCESS = "SUCCESS"
 STATUS_FAILED = "FAILED"
 BRONZE_TARGETS = ("local", "azure")
 CRITICAL_ERROR_PREFIX = "Critical quality checks failed: "
+FRACTIONAL_VOLUME_ISSUE = "volume contains non-integer float values"
 # ---------------------------------------------------------------------------
 
 
