@@ -362,3 +362,241 @@ def dq_date_gaps(spark, sf_dir):
     from barlake.operators.quality import date_gaps
 
     return date_gaps(_clean(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Dimensions and load
+# ---------------------------------------------------------------------------
+
+NEW_BATCH_FROM = "1997-10-01"
+
+# stored facts: well-formed tickers before the cut-off; new batch: the feed from NEW_BATCH_FROM
+_STORED_SQL = O.clean_cte("stored_all") + f""",
+stored AS (SELECT * FROM stored_all
+           WHERE price_date < TIMESTAMP '{STORED_CUTOFF}' AND {O.VALID_TICKER.format('ticker')})"""
+_BATCH_SQL = O.clean_cte("batch", where=f"\"Date\" >= TIMESTAMP '{NEW_BATCH_FROM}'")
+_COMPANY_SQL = f"""
+company AS (
+  SELECT {O.FEED_TICKER} AS ticker,
+         arg_min(upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) || ' Holdings',
+                 c_custkey) AS company_name,
+         arg_min(r_name, c_custkey) AS sector,
+         arg_min(n_name, c_custkey) AS industry
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE c_mktsegment <> 'HOUSEHOLD'
+  GROUP BY 1
+)"""
+_EXISTING_DIM_SQL = """
+existing AS (
+  SELECT row_number() OVER (ORDER BY ticker) AS company_id, ticker,
+         CASE WHEN ticker LIKE 'B%' THEN NULL ELSE 'Listed ' || ticker END AS company_name,
+         CAST(NULL AS VARCHAR) AS sector, CAST(NULL AS VARCHAR) AS industry,
+         TIMESTAMP '2000-01-01 00:00:00' AS created_at, TIMESTAMP '2000-01-01 00:00:00' AS updated_at
+  FROM (SELECT DISTINCT ticker FROM stored)
+)"""
+
+
+def _stored(spark, sf_dir):
+    from barlake.schemas import TICKER_PATTERN
+
+    clean = _clean(spark, sf_dir)
+    return clean.where(
+        (F.col("price_date") < F.lit(STORED_CUTOFF).cast("timestamp_ntz"))
+        & F.col("ticker").rlike(TICKER_PATTERN)
+    )
+
+
+def _new_batch(spark, sf_dir):
+    from barlake.operators.transform import transform_prices
+
+    feed = src.price_feed(spark, sf_dir).where(
+        F.col("Date") >= F.lit(NEW_BATCH_FROM).cast("timestamp_ntz")
+    )
+    return transform_prices(feed, loaded_at=_run_ts())
+
+
+def _existing_dim(spark, sf_dir):
+    """A dimension as an earlier run left it: stored tickers, some names missing."""
+    from barlake.operators.windows import global_ordinal
+
+    t = _stored(spark, sf_dir).select("ticker").distinct()
+    ranked = global_ordinal(t, ["ticker"], "_pos")
+    old = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
+    return ranked.select(
+        (F.col("_pos") + 1).alias("company_id"),
+        "ticker",
+        F.when(F.col("ticker").startswith("B"), F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("Listed "), F.col("ticker")))
+        .alias("company_name"),
+        F.lit(None).cast("string").alias("sector"),
+        F.lit(None).cast("string").alias("industry"),
+        old.alias("created_at"),
+        old.alias("updated_at"),
+    )
+
+
+def _batch_dim(spark, sf_dir):
+    from barlake.operators.dims import empty_dim_company, upsert_dim_company
+
+    batch = _new_batch(spark, sf_dir)
+    return upsert_dim_company(
+        empty_dim_company(spark), batch.select("ticker"), src.company_source(spark, sf_dir), _run_ts()
+    )
+
+
+@register(
+    "dim_date",
+    """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, d AS full_date,
+       CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
+       CAST(week(d) AS INTEGER) AS week_of_year, CAST(isodow(d) - 1 AS INTEGER) AS day_of_week,
+       dayname(d) AS day_name, isodow(d) >= 6 AS is_weekend
+FROM (SELECT DISTINCT o_orderdate AS d FROM orders)""",
+)
+def dim_date(spark, sf_dir):
+    """Calendar attributes (YYYYMMDD id, quarter, ISO week, weekday 0 = Monday, names,
+    weekend) of every order date."""
+    from barlake.operators.dims import date_attributes
+
+    days = src.read_table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("d")).distinct()
+    return days.select(*date_attributes(F.col("d")))
+
+
+@register(
+    "fact_enriched",
+    O.with_ctes(O.FEED, _BATCH_SQL)
+    + f""", dim AS (SELECT ticker, row_number() OVER (ORDER BY ticker) AS company_id
+             FROM (SELECT DISTINCT ticker FROM batch WHERE ticker IS NOT NULL))
+SELECT b.ticker, date_trunc('day', b.price_date) AS price_date, d.company_id,
+       CAST(strftime(b.price_date, '%Y%m%d') AS INTEGER) AS date_id, '{BATCH_ID}' AS batch_id,
+       b.close_price
+FROM batch b LEFT JOIN dim d ON b.ticker = d.ticker""",
+)
+def fact_enriched(spark, sf_dir):
+    """New batch with company_id (dimension lookup), date_id and batch_id."""
+    from barlake.operators.load import enrich_facts
+
+    out = enrich_facts(_new_batch(spark, sf_dir), _batch_dim(spark, sf_dir), BATCH_ID)
+    return out.select("ticker", "price_date", "company_id", "date_id", "batch_id", "close_price")
+
+
+@register(
+    "new_rows",
+    O.with_ctes(O.FEED, _STORED_SQL, _BATCH_SQL)
+    + """SELECT b.ticker, b.price_date, b.close_price FROM batch b
+WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ticker = b.ticker AND s.price_date = b.price_date)""",
+)
+def new_rows(spark, sf_dir):
+    """Batch rows whose (ticker, day) is not stored yet (left anti join)."""
+    from barlake.operators.load import enrich_facts, new_rows as anti
+
+    enriched = enrich_facts(_new_batch(spark, sf_dir), _batch_dim(spark, sf_dir), BATCH_ID)
+    return anti(enriched, _stored(spark, sf_dir)).select("ticker", "price_date", "close_price")
+
+
+@register(
+    "load_counts",
+    O.with_ctes(O.FEED, _STORED_SQL, _BATCH_SQL)
+    + """SELECT count(*) AS rows_in_batch,
+       count_if(s.ticker IS NULL) AS rows_inserted, count_if(s.ticker IS NOT NULL) AS rows_skipped
+FROM batch b LEFT JOIN stored s ON s.ticker = b.ticker AND s.price_date = b.price_date""",
+)
+def load_counts(spark, sf_dir):
+    """Rows in the batch, inserted and skipped, in one pass."""
+    from barlake.operators.load import enrich_facts, load_counts as counts
+
+    enriched = enrich_facts(_new_batch(spark, sf_dir), _batch_dim(spark, sf_dir), BATCH_ID)
+    return counts(enriched, _stored(spark, sf_dir))
+
+
+_REQUESTED_SQL = f"""
+requested AS (SELECT DISTINCT {O.FEED_TICKER} AS ticker FROM customer)"""
+
+
+@register(
+    "last_stored_dates",
+    O.with_ctes(O.FEED, _STORED_SQL, _REQUESTED_SQL)
+    + """SELECT ticker, CAST(max(price_date) AS DATE) AS last_date FROM stored
+WHERE ticker IN (SELECT ticker FROM requested) GROUP BY ticker""",
+)
+def last_stored_dates(spark, sf_dir):
+    """Latest stored day per requested ticker; tickers without history are absent."""
+    from barlake.operators.extract import normalise_requests
+    from barlake.operators.load import last_stored_dates as last
+
+    tickers = normalise_requests(src.requested_tickers(spark, sf_dir))
+    return last(_stored(spark, sf_dir), tickers)
+
+
+@register(
+    "existing_keys",
+    O.with_ctes(O.FEED, _STORED_SQL, _BATCH_SQL)
+    + """SELECT ticker, date_trunc('day', price_date) AS price_date FROM stored
+WHERE ticker IN (SELECT ticker FROM batch)""",
+)
+def existing_keys(spark, sf_dir):
+    """Stored (ticker, day) keys of the tickers in the new batch."""
+    from barlake.operators.load import existing_keys as keys
+
+    return keys(_stored(spark, sf_dir), _new_batch(spark, sf_dir))
+
+
+@register(
+    "company_info",
+    O.with_ctes(O.FEED, _BATCH_SQL, _COMPANY_SQL)
+    + """SELECT t.ticker, c.company_name, c.sector, c.industry
+FROM (SELECT DISTINCT ticker FROM batch WHERE ticker IS NOT NULL) t LEFT JOIN company c USING (ticker)""",
+)
+def company_info(spark, sf_dir):
+    """Name, sector and industry per batch ticker; nulls where the provider has none."""
+    from barlake.operators.extract import company_info as info
+
+    return info(_new_batch(spark, sf_dir).select("ticker"), src.company_source(spark, sf_dir))
+
+
+@register(
+    "dim_company_upsert",
+    O.with_ctes(O.FEED, _STORED_SQL, _BATCH_SQL, _COMPANY_SQL, _EXISTING_DIM_SQL)
+    + f""", want AS (SELECT DISTINCT b.ticker, c.company_name, c.sector, c.industry
+              FROM batch b LEFT JOIN company c USING (ticker) WHERE b.ticker IS NOT NULL),
+kept AS (
+  SELECT e.company_id, e.ticker,
+         CASE WHEN (e.company_name IS NULL AND w.company_name IS NOT NULL AND w.company_name <> '') THEN w.company_name ELSE e.company_name END AS company_name,
+         CASE WHEN (e.company_name IS NULL AND w.company_name IS NOT NULL AND w.company_name <> '') THEN w.sector ELSE e.sector END AS sector,
+         CASE WHEN (e.company_name IS NULL AND w.company_name IS NOT NULL AND w.company_name <> '') THEN w.industry ELSE e.industry END AS industry,
+         e.created_at,
+         CASE WHEN (e.company_name IS NULL AND w.company_name IS NOT NULL AND w.company_name <> '') THEN TIMESTAMP '{RUN_TS}' ELSE e.updated_at END AS updated_at
+  FROM existing e LEFT JOIN want w USING (ticker)),
+added AS (
+  SELECT (SELECT max(company_id) FROM existing) + row_number() OVER (ORDER BY w.ticker) AS company_id,
+         w.ticker, w.company_name, w.sector, w.industry,
+         TIMESTAMP '{RUN_TS}' AS created_at, TIMESTAMP '{RUN_TS}' AS updated_at
+  FROM want w WHERE w.ticker NOT IN (SELECT ticker FROM existing))
+SELECT * FROM kept UNION ALL SELECT * FROM added""",
+)
+def dim_company_upsert(spark, sf_dir):
+    """Company dimension after upserting the batch tickers into an earlier dimension."""
+    from barlake.operators.dims import upsert_dim_company
+
+    batch = _new_batch(spark, sf_dir)
+    return upsert_dim_company(
+        _existing_dim(spark, sf_dir), batch.select("ticker"), src.company_source(spark, sf_dir), _run_ts()
+    )
+
+
+@register(
+    "migrate_backfill",
+    O.with_ctes(O.FEED, _STORED_SQL)
+    + """, dim AS (SELECT ticker, row_number() OVER (ORDER BY ticker) AS company_id
+             FROM (SELECT DISTINCT ticker FROM stored))
+SELECT s.ticker, s.price_date, d.company_id,
+       CAST(strftime(s.price_date, '%Y%m%d') AS INTEGER) AS date_id, CAST(NULL AS VARCHAR) AS batch_id
+FROM stored s LEFT JOIN dim d USING (ticker)""",
+)
+def migrate_backfill(spark, sf_dir):
+    """Version-1 facts (no company_id, date_id, batch_id) after the migration backfill."""
+    from barlake.plans.migrate import migrate_frames
+
+    v1 = _stored(spark, sf_dir).drop("daily_return")
+    facts, _dim = migrate_frames(v1, None, _run_ts())
+    return facts.select("ticker", "price_date", "company_id", "date_id", "batch_id")

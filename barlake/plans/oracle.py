@@ -48,6 +48,8 @@ scored AS (
 
 MOVE_PCT = "CASE WHEN reference_avg = 0 THEN 0.0 ELSE (close - reference_avg) / reference_avg * 100.0 END"
 
+VALID_TICKER = "regexp_full_match({0}, '[A-Z]{{1,5}}')"
+
 FEED_TICKER = (
     "CASE WHEN c_acctbal < 0 THEN upper(substr(c_mktsegment, 1, 3)) || CAST(c_nationkey AS VARCHAR) "
     "ELSE upper(substr(c_mktsegment, 1, 5)) END"
@@ -71,27 +73,31 @@ feed AS (
   FROM orders JOIN customer ON o_custkey = c_custkey
 )"""
 
-# transformed batch: keep-last per (ticker, day) by seq, then daily return
-CLEAN = """
-typed AS (
+def clean_cte(name: str = "clean", feed: str = "feed", where: str = "TRUE") -> str:
+    """Transformed batch: keep-last per (ticker, day) by seq, then the daily return."""
+    return f"""
+{name}_typed AS (
   SELECT "Ticker" AS ticker, "Date" AS price_date, "Open" AS open_price, "High" AS high_price,
          "Low" AS low_price, "Close" AS close_price, "AdjClose" AS adj_close_price,
          "Volume" AS volume, seq
-  FROM feed
+  FROM {feed} WHERE {where}
 ),
-dedup AS (
+{name}_dedup AS (
   SELECT ticker, price_date,
          arg_max(open_price, seq) AS open_price, arg_max(high_price, seq) AS high_price,
          arg_max(low_price, seq) AS low_price, arg_max(close_price, seq) AS close_price,
-         arg_max(adj_close_price, seq) AS adj_close_price, arg_max(volume, seq) AS volume
-  FROM typed GROUP BY ticker, price_date
+         arg_max(adj_close_price, seq) AS adj_close_price, arg_max(volume, seq) AS volume,
+         max(seq) AS seq
+  FROM {name}_typed GROUP BY ticker, price_date
 ),
-clean AS (
+{name} AS (
   SELECT *,
          close_price / lag(close_price) OVER (PARTITION BY ticker ORDER BY price_date) - 1.0 AS daily_return
-  FROM dedup
+  FROM {name}_dedup
 )"""
 
 
+CLEAN = clean_cte()
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"

@@ -178,9 +178,10 @@ def wide_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def company_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company attributes per ticker: name from the segment, sector = region, industry = nation.
 
-    One row per ticker: the customer with the smallest key decides.
+    One row per ticker: the customer with the smallest key decides. The
+    provider does not cover the HOUSEHOLD segment, so those tickers get nulls.
     """
-    customer = read_table(spark, sf_dir, "customer")
+    customer = read_table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "HOUSEHOLD")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     rows = (
