@@ -600,3 +600,225 @@ def migrate_backfill(spark, sf_dir):
     v1 = _stored(spark, sf_dir).drop("daily_return")
     facts, _dim = migrate_frames(v1, None, _run_ts())
     return facts.select("ticker", "price_date", "company_id", "date_id", "batch_id")
+
+
+# ---------------------------------------------------------------------------
+# Incremental extract (S1-S4, U1, U3) and Bronze
+# ---------------------------------------------------------------------------
+
+_WINDOWS_SQL = f"""
+last AS (SELECT ticker, CAST(max(price_date) AS DATE) AS last_date FROM stored GROUP BY ticker),
+windows AS (
+  SELECT r.ticker, l.last_date,
+         coalesce(l.last_date - INTERVAL 2 DAY, DATE '{AS_OF}' - INTERVAL 730 DAY)::DATE AS start_date,
+         DATE '{AS_OF}' AS end_date
+  FROM requested r LEFT JOIN last l USING (ticker))"""
+
+
+def _windows(spark, sf_dir):
+    from barlake.operators.extract import normalise_requests, start_dates
+    from barlake.operators.load import last_stored_dates as last
+
+    tickers = normalise_requests(src.requested_tickers(spark, sf_dir))
+    stored = _stored(spark, sf_dir)
+    return start_dates(tickers, last(stored, tickers), F.lit(AS_OF).cast("date"))
+
+
+def _extract(spark, sf_dir):
+    from barlake.operators.extract import incremental_extract as extract
+
+    return extract(src.price_feed(spark, sf_dir), _windows(spark, sf_dir))
+
+
+@register(
+    "ticker_list",
+    O.with_ctes(_REQUESTED_SQL) + "SELECT ticker FROM requested",
+)
+def ticker_list(spark, sf_dir):
+    """Typed request strings -> distinct tickers (trim, upper, blanks dropped)."""
+    from barlake.operators.extract import normalise_requests
+
+    return normalise_requests(src.requested_tickers(spark, sf_dir))
+
+
+@register(
+    "extract_window",
+    O.with_ctes(O.FEED, _STORED_SQL, _REQUESTED_SQL, _WINDOWS_SQL) + "SELECT * FROM windows",
+)
+def extract_window(spark, sf_dir):
+    """Per requested ticker: last stored day, start (last - 2 days, else today - 730) and end."""
+    return _windows(spark, sf_dir)
+
+
+@register(
+    "incremental_extract",
+    O.with_ctes(O.FEED, _STORED_SQL, _REQUESTED_SQL, _WINDOWS_SQL)
+    + """SELECT f."Ticker", f."Date", f."Close", f.seq FROM feed f JOIN windows w
+  ON f."Ticker" = w.ticker AND f."Date" >= CAST(w.start_date AS TIMESTAMP)
+ AND f."Date" < CAST(w.end_date AS TIMESTAMP)""",
+)
+def incremental_extract(spark, sf_dir):
+    """Raw rows of each requested ticker inside its own date window."""
+    return _extract(spark, sf_dir).select("Ticker", "Date", "Close", "seq")
+
+
+@register(
+    "failed_tickers",
+    O.with_ctes(O.FEED, _STORED_SQL, _REQUESTED_SQL, _WINDOWS_SQL)
+    + """SELECT ticker FROM requested WHERE ticker NOT IN (
+  SELECT DISTINCT f."Ticker" FROM feed f JOIN windows w
+    ON f."Ticker" = w.ticker AND f."Date" >= CAST(w.start_date AS TIMESTAMP)
+   AND f."Date" < CAST(w.end_date AS TIMESTAMP))""",
+)
+def failed_tickers(spark, sf_dir):
+    """Requested tickers that returned no rows in their window."""
+    from barlake.operators.extract import failed_tickers as failed, normalise_requests
+
+    requested = normalise_requests(src.requested_tickers(spark, sf_dir))
+    return failed(requested, _extract(spark, sf_dir))
+
+
+@register(
+    "union_extracts",
+    O.with_ctes(O.FEED)
+    + f"""SELECT "Ticker", "Date", "Close", CASE WHEN {O.VALID_TICKER.format('"Ticker"')}
+       THEN "AdjClose" END AS "Adj Close", seq FROM feed""",
+)
+def union_extracts(spark, sf_dir):
+    """Per-source extracts with different columns, unioned by name (missing -> null)."""
+    from barlake.operators.extract import union_extracts as union
+    from barlake.schemas import TICKER_PATTERN
+
+    feed = src.price_feed(spark, sf_dir)
+    ok = F.col("Ticker").rlike(TICKER_PATTERN)
+    a = feed.where(ok).select("Ticker", "Date", "Close", "Adj Close", "seq")
+    b = feed.where(~ok).select("seq", "Date", "Ticker", "Close")
+    return union(a, b)
+
+
+@register(
+    "bronze_partitions",
+    O.with_ctes(O.FEED)
+    + """SELECT "Ticker" AS ticker, CAST(year("Date") AS INTEGER) AS year, count(*) AS files_rows
+FROM feed GROUP BY 1, 2""",
+)
+def bronze_partitions(spark, sf_dir):
+    """Bronze partition values (ticker, own year) and rows landed in each."""
+    from barlake.sources.bronze import with_partitions
+
+    parts = with_partitions(src.price_feed(spark, sf_dir))
+    return parts.groupBy("ticker", "year").agg(F.count("*").alias("files_rows"))
+
+
+@register(
+    "bronze_scan",
+    O.with_ctes(O.FEED)
+    + """SELECT "Ticker" AS ticker, "Date", "Close" AS price, CAST("Volume" AS BIGINT) AS volume
+FROM feed WHERE "Close" IS NOT NULL""",
+)
+def bronze_scan(spark, sf_dir):
+    """Replay rows from Bronze-shaped data: ticker, Date, price, volume; no close -> dropped."""
+    from barlake.sources.bronze import replay_rows
+
+    feed = src.price_feed(spark, sf_dir).withColumnRenamed("Ticker", "ticker")
+    return replay_rows(feed, order_col=None, dedupe=False)
+
+
+REPLAY_T0 = "2024-01-01 00:00:00"
+
+
+@register(
+    "replay_schedule",
+    O.with_ctes(O.FEED)
+    + f""", rows AS (SELECT "Ticker" AS ticker, "Date", arg_max("Close", seq) AS price,
+                    CAST(arg_max("Volume", seq) AS BIGINT) AS volume FROM feed GROUP BY 1, 2)
+SELECT ticker, "Date", price, volume,
+       row_number() OVER (ORDER BY "Date", ticker) - 1 AS ordinal,
+       TIMESTAMP '{REPLAY_T0}' + to_microseconds((row_number() OVER (ORDER BY "Date", ticker) - 1) * 100000)
+         AS event_time
+FROM rows""",
+)
+def replay_schedule(spark, sf_dir):
+    """Bronze rows in (Date, ticker) order, one tick every 0.1 s (10 ticks/s)."""
+    from barlake.operators.replay import replay_schedule as schedule
+    from barlake.sources.bronze import replay_rows
+
+    feed = src.price_feed(spark, sf_dir).withColumnRenamed("Ticker", "ticker")
+    rows = replay_rows(feed, order_col="seq", dedupe=True)
+    return schedule(rows, F.lit(REPLAY_T0).cast("timestamp_ntz"), 10.0)
+
+
+# ---------------------------------------------------------------------------
+# Tick messages, validation, dead letters
+# ---------------------------------------------------------------------------
+
+_MSG_SQL = """
+msgs AS (
+  SELECT event_id, upper(trim(event_type)) AS key, event_id % 40 AS kind, value AS price,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume, ts
+  FROM events)"""
+_REASON_SQL = """CASE kind
+  WHEN 0 THEN 'price must be positive'
+  WHEN 1 THEN 'missing fields: source'
+  WHEN 2 THEN 'event_time is not ISO-8601'
+  WHEN 3 THEN 'source must be one of (''live'', ''replay'')'
+  WHEN 4 THEN 'ticker must be a non-empty string'
+  WHEN 5 THEN 'price is not numeric'
+  WHEN 6 THEN 'volume must be non-negative'
+  WHEN 7 THEN 'payload is not a JSON object'
+  WHEN 8 THEN 'missing fields: producer_id'
+  WHEN 9 THEN 'volume is not numeric'
+  ELSE 'ok' END"""
+
+
+@register(
+    "tick_messages",
+    """SELECT event_id, upper(trim(event_type)) AS key,
+       json_object('ticker', upper(trim(event_type)), 'price', value,
+                   'volume', CAST(json_extract_string(props, '$.k') AS BIGINT),
+                   'event_time', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00',
+                   'source', 'replay', 'producer_id', 'events')::VARCHAR AS value
+FROM events""",
+)
+def tick_messages(spark, sf_dir):
+    """Keyed JSON tick messages (key = ticker) built from events."""
+    return src.tick_messages(spark, sf_dir, with_faults=False)
+
+
+def _checked(spark, sf_dir):
+    from barlake.functions.ticks import reject_reason
+
+    msgs = src.tick_messages(spark, sf_dir, with_faults=True)
+    return msgs.withColumn("reason", reject_reason(F.col("value")))
+
+
+@register("tick_reject_reasons", O.with_ctes(_MSG_SQL) + f"SELECT event_id, {_REASON_SQL} AS reason FROM msgs")
+def tick_reject_reasons(spark, sf_dir):
+    """Every message with its validation verdict: 'ok' or the first failing rule."""
+    return _checked(spark, sf_dir).select("event_id", "reason")
+
+
+@register(
+    "dead_letters",
+    O.with_ctes(_MSG_SQL) + f"SELECT event_id, key, {_REASON_SQL} AS reason FROM msgs WHERE kind < 10",
+)
+def dead_letters(spark, sf_dir):
+    """Messages routed to the dead-letter sink (the exact complement of valid ticks)."""
+    from barlake.functions.ticks import is_valid
+
+    checked = _checked(spark, sf_dir)
+    return checked.where(~is_valid(F.col("value"))).select("event_id", "key", "reason")
+
+
+@register(
+    "valid_ticks",
+    O.with_ctes(_MSG_SQL)
+    + "SELECT event_id, key AS ticker, price, volume, ts AS event_time FROM msgs WHERE kind >= 10",
+)
+def valid_ticks(spark, sf_dir):
+    """Valid messages parsed to typed ticks (ticker normalised, time as naive UTC)."""
+    from barlake.functions.ticks import is_valid, parse_tick, valid_tick_columns
+
+    msgs = src.tick_messages(spark, sf_dir, with_faults=True)
+    ok = msgs.where(is_valid(F.col("value")))
+    return ok.select("event_id", *valid_tick_columns(parse_tick(F.col("value"))))
