@@ -822,3 +822,212 @@ def valid_ticks(spark, sf_dir):
     msgs = src.tick_messages(spark, sf_dir, with_faults=True)
     ok = msgs.where(is_valid(F.col("value")))
     return ok.select("event_id", *valid_tick_columns(parse_tick(F.col("value"))))
+
+
+# ---------------------------------------------------------------------------
+# Marts over the star schema
+# ---------------------------------------------------------------------------
+
+_FACT_SQL = O.clean_cte() + ",\n" + _COMPANY_SQL.strip() + """,
+dim AS (SELECT t.ticker, row_number() OVER (ORDER BY t.ticker) AS company_id, c.company_name, c.sector
+        FROM (SELECT DISTINCT ticker FROM clean WHERE ticker IS NOT NULL) t LEFT JOIN company c USING (ticker)),
+fact AS (
+  SELECT c.ticker, c.price_date, c.close_price, c.volume, c.daily_return, d.company_id, d.company_name,
+         d.sector, CAST(strftime(c.price_date, '%Y%m%d') AS INTEGER) AS date_id
+  FROM clean c LEFT JOIN dim d USING (ticker))"""
+
+
+def _fact(spark, sf_dir):
+    from barlake.operators.dims import empty_dim_company, upsert_dim_company
+    from barlake.operators.load import enrich_facts
+
+    clean = _clean(spark, sf_dir)
+    dim = upsert_dim_company(
+        empty_dim_company(spark), clean.select("ticker"), src.company_source(spark, sf_dir), _run_ts()
+    )
+    return enrich_facts(clean, dim, BATCH_ID), dim
+
+
+def _star(spark, sf_dir):
+    from barlake.operators.dims import date_dimension
+    from barlake.operators.marts import star
+
+    fact, dim = _fact(spark, sf_dir)
+    return star(fact, dim, date_dimension(spark, "1990-01-01", "2035-12-31"))
+
+
+@register(
+    "latest_close",
+    O.with_ctes(O.FEED, _FACT_SQL)
+    + """, last AS (SELECT ticker, max(price_date) AS price_date FROM fact GROUP BY ticker)
+SELECT f.ticker, f.price_date, round(avg(f.close_price), 9) AS latest_close
+FROM fact f JOIN last l ON f.ticker = l.ticker AND f.price_date = l.price_date GROUP BY 1, 2
+UNION ALL
+SELECT '(all)', price_date, round(avg(close_price), 9) FROM fact
+WHERE price_date = (SELECT max(price_date) FROM fact) GROUP BY 2""",
+)
+def latest_close(spark, sf_dir):
+    """Average close on the latest date, per ticker and overall."""
+    from barlake.operators.marts import latest_close as measure
+
+    out = measure(_fact(spark, sf_dir)[0])
+    return out.withColumn("latest_close", r9(F.col("latest_close")))
+
+
+@register(
+    "return_30d",
+    O.with_ctes(O.FEED, _FACT_SQL)
+    + """, last AS (SELECT ticker, max(price_date) AS latest_date FROM fact GROUP BY ticker),
+s1 AS (
+  SELECT f.ticker, l.latest_date,
+         avg(f.close_price) FILTER (WHERE f.price_date = l.latest_date) AS latest_close,
+         max(f.price_date) FILTER (WHERE f.price_date <= l.latest_date - INTERVAL 30 DAY) AS prior_date
+  FROM fact f JOIN last l USING (ticker) GROUP BY 1, 2),
+pr AS (SELECT f.ticker, avg(f.close_price) AS prior_close FROM fact f
+       JOIN s1 ON f.ticker = s1.ticker AND f.price_date = s1.prior_date GROUP BY 1)
+SELECT s1.ticker, latest_date, round(latest_close, 9) AS latest_close, prior_date,
+       round(prior_close, 9) AS prior_close,
+       round((latest_close - prior_close) / prior_close, 9) AS return_30d
+FROM s1 LEFT JOIN pr USING (ticker)""",
+)
+def return_30d(spark, sf_dir):
+    """Per ticker: return from the last close at least 30 days back to the latest close."""
+    from barlake.operators.marts import return_30d as measure
+
+    out = measure(_fact(spark, sf_dir)[0])
+    return out.select(
+        "ticker",
+        "latest_date",
+        r9(F.col("latest_close")).alias("latest_close"),
+        "prior_date",
+        r9(F.col("prior_close")).alias("prior_close"),
+        r9(F.col("return_30d")).alias("return_30d"),
+    )
+
+
+_RUNS_SQL = """
+runs AS (
+  SELECT o_orderdate + INTERVAL 1350 MINUTE AS started_at,
+         CASE WHEN count_if(o_orderstatus = 'P') > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+         CASE WHEN count_if(o_orderstatus = 'P') > 0 THEN 0 ELSE count_if(o_orderstatus = 'F') END
+           AS rows_inserted,
+         CASE WHEN count_if(o_orderstatus = 'P') > 0
+              THEN 'Critical quality checks failed: null_tickers' END AS error_message
+  FROM orders GROUP BY o_orderdate)"""
+
+
+@register(
+    "load_success_rate",
+    O.with_ctes(_RUNS_SQL)
+    + """SELECT count(*) AS runs, count_if(status = 'SUCCESS') AS successful,
+       round(count_if(status = 'SUCCESS') / count(*), 9) AS success_rate FROM runs""",
+)
+def load_success_rate(spark, sf_dir):
+    """Share of successful pipeline runs in the audit table."""
+    from barlake.operators.marts import load_success_rate as measure
+
+    out = measure(src.pipeline_runs_source(spark, sf_dir))
+    return out.withColumn("success_rate", r9(F.col("success_rate")))
+
+
+@register(
+    "run_health",
+    O.with_ctes(_RUNS_SQL) + "SELECT started_at, status, CAST(rows_inserted AS BIGINT) AS rows_inserted, error_message FROM runs",
+)
+def run_health(spark, sf_dir):
+    """Pipeline-run table for the health page, newest first."""
+    from barlake.operators.marts import run_health as table
+
+    return table(src.pipeline_runs_source(spark, sf_dir))
+
+
+@register(
+    "price_trend",
+    O.with_ctes(O.FEED, _FACT_SQL)
+    + "SELECT price_date AS full_date, company_name, round(avg(close_price), 9) AS avg_close FROM fact GROUP BY 1, 2",
+)
+def price_trend(spark, sf_dir):
+    """Average close per day and company (the headline line chart)."""
+    from barlake.operators.marts import price_trend as measure
+
+    return measure(_star(spark, sf_dir)).withColumn("avg_close", r9(F.col("avg_close")))
+
+
+@register(
+    "return_histogram",
+    O.with_ctes(O.FEED, _FACT_SQL)
+    + """SELECT ticker, CAST(floor(daily_return / 0.005) AS BIGINT) AS bin, count(*) AS days
+FROM fact WHERE daily_return IS NOT NULL GROUP BY 1, 2""",
+)
+def return_histogram(spark, sf_dir):
+    """Daily-return distribution per ticker in 0.005 bins."""
+    from barlake.operators.marts import return_histogram as measure
+
+    return measure(_fact(spark, sf_dir)[0])
+
+
+def _month_sums_sql() -> str:
+    from barlake.schemas import MONTH_NAMES
+
+    cols = ", ".join(
+        f"CAST(sum(volume) FILTER (WHERE monthname(price_date) = '{m}') AS BIGINT) AS \"{m}\""
+        for m in MONTH_NAMES
+    )
+    return f"SELECT ticker, {cols} FROM fact GROUP BY ticker"
+
+
+@register("volume_matrix", O.with_ctes(O.FEED, _FACT_SQL) + _month_sums_sql())
+def volume_matrix(spark, sf_dir):
+    """Ticker x month matrix of summed volume."""
+    from barlake.operators.marts import volume_matrix as measure
+
+    return measure(_star(spark, sf_dir))
+
+
+@register(
+    "star_slice",
+    O.with_ctes(O.FEED, _FACT_SQL)
+    + """SELECT ticker, price_date AS full_date, company_name, sector, close_price FROM fact
+WHERE company_name = 'Building Holdings' AND year(price_date) = 1998""",
+)
+def star_slice(spark, sf_dir):
+    """Star join sliced by company name and year."""
+    from barlake.operators.marts import slice_star
+
+    s = slice_star(_star(spark, sf_dir), "Building Holdings", 1998)
+    return s.select("ticker", "full_date", "company_name", "sector", "close_price")
+
+
+@register(
+    "latest_facts",
+    O.with_ctes(O.FEED, _FACT_SQL)
+    + "SELECT ticker, price_date, close_price FROM fact ORDER BY price_date DESC, ticker LIMIT 10",
+)
+def latest_facts(spark, sf_dir):
+    """The ten newest fact rows (a top-k report)."""
+    from barlake.operators.marts import latest_facts as top
+
+    return top(_fact(spark, sf_dir)[0]).select("ticker", "price_date", "close_price")
+
+
+STREAM_NOW = "2024-01-31 00:00:00"
+
+
+@register(
+    "stream_health",
+    O.with_ctes(O.TICKS, O.bars_cte("1 minute", "minute"), O.scored_cte(300))
+    + f""", b AS (SELECT window_end + INTERVAL 30 SECOND AS processed_at FROM bars)
+SELECT (SELECT count(*) FROM b) AS total_bars,
+       (SELECT count(*) FROM b WHERE processed_at >= TIMESTAMP '{STREAM_NOW}' - INTERVAL 5 MINUTE) AS bars_last_5min,
+       (SELECT max(processed_at) FROM b) AS latest_processed_at,
+       (SELECT count(*) FROM scored WHERE reference_avg IS NOT NULL AND abs({O.MOVE_PCT}) > 2.0) AS total_alerts""",
+)
+def stream_health(spark, sf_dir):
+    """Bars total, bars processed in the last 5 minutes, alerts, latest processed_at."""
+    from barlake.operators.marts import stream_health as health
+
+    bars = _bars(spark, sf_dir).withColumn(
+        "processed_at", F.timestamp_add("SECOND", F.lit(30), F.col("window_end"))
+    )
+    alerts = bars_ops.price_alerts(bars_ops.with_reference_average(bars, 300), 2.0)
+    return health(bars, alerts, F.lit(STREAM_NOW).cast("timestamp_ntz"))
