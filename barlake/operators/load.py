@@ -51,9 +51,11 @@ def enrich_facts(batch: DataFrame, dim_company: DataFrame, batch_id: str) -> Dat
 
 
 def new_rows(enriched: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows whose (ticker, day) is not stored yet."""
+    """Rows whose (ticker, day) is not stored yet: one left-anti join on the key.
+
+    Both sides shuffle on (ticker, day), so a hot ticker spreads over its days.
+    """
     keys = stored.select("ticker", day_start(F.col("price_date")).alias("price_date"))
-    keys = keys.join(enriched.select("ticker").distinct(), "ticker", "left_semi")
     return enriched.join(keys, KEYS, "left_anti")
 
 

@@ -1031,3 +1031,34 @@ def stream_health(spark, sf_dir):
     )
     alerts = bars_ops.price_alerts(bars_ops.with_reference_average(bars, 300), 2.0)
     return health(bars, alerts, F.lit(STREAM_NOW).cast("timestamp_ntz"))
+
+
+@register(
+    "tick_parse",
+    O.with_ctes(_MSG_SQL)
+    + """SELECT event_id,
+       CASE kind WHEN 4 THEN '   ' WHEN 7 THEN NULL ELSE key END AS ticker,
+       CASE kind WHEN 0 THEN -price WHEN 5 THEN NULL WHEN 7 THEN NULL ELSE price END AS price,
+       CASE kind WHEN 6 THEN -volume - 1 WHEN 9 THEN NULL WHEN 7 THEN NULL ELSE volume END AS volume,
+       CASE kind WHEN 2 THEN NULL WHEN 7 THEN NULL ELSE ts END AS event_time,
+       CASE kind WHEN 1 THEN NULL WHEN 3 THEN 'manual' WHEN 7 THEN NULL ELSE 'replay' END AS source,
+       CASE kind WHEN 8 THEN NULL WHEN 7 THEN NULL ELSE 'events' END AS producer_id
+FROM msgs""",
+)
+def tick_parse(spark, sf_dir):
+    """Every raw message parsed beside its text (PERMISSIVE: a bad field is null),
+    struct fields projected and the ISO time parsed."""
+    from barlake.functions.ticks import parse_tick
+    from barlake.functions.timecols import iso_string_to_ntz
+
+    msgs = src.tick_messages(spark, sf_dir, with_faults=True)
+    parsed = msgs.withColumn("tick", parse_tick(F.col("value")))
+    return parsed.select(
+        "event_id",
+        "tick.ticker",
+        "tick.price",
+        "tick.volume",
+        iso_string_to_ntz(F.col("tick.event_time")).alias("event_time"),
+        "tick.source",
+        "tick.producer_id",
+    )
