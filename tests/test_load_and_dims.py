@@ -1,0 +1,159 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from barlake.operators.dims import date_dimension, empty_dim_company, upsert_dim_company
+from barlake.operators.load import (
+    enrich_facts,
+    existing_keys,
+    last_stored_dates,
+    load_counts,
+    new_rows,
+    to_fact_schema,
+)
+from barlake.plans.migrate import migrate_frames
+from barlake.schemas import FACT_STOCK_PRICES
+from barlake.sources.warehouse import Warehouse, audit_row, write_audit_row
+
+from .conftest import d
+
+BATCH = "ticker string, price_date timestamp_ntz, close_price double, seq bigint"
+NOW = "2026-02-01 00:00:00"
+
+
+def now():
+    return F.lit(NOW).cast("timestamp_ntz")
+
+
+def batch(spark, rows):
+    return spark.createDataFrame(rows, BATCH)
+
+
+def empty_facts(spark):
+    return spark.createDataFrame([], FACT_STOCK_PRICES)
+
+
+def load_once(spark, wh, rows):
+    """One load step as the job does it: enrich, count, append new rows."""
+    dim = wh.read("dim_company")
+    enriched = enrich_facts(batch(spark, rows), dim, "b")
+    stored = wh.read("fact_stock_prices")
+    counts = load_counts(enriched, stored).collect()[0]
+    wh.append("fact_stock_prices", to_fact_schema(new_rows(enriched, stored).withColumn("loaded_at", now())))
+    return counts.rows_inserted, counts.rows_skipped
+
+
+def test_no_stored_data_gives_empty_last_dates(spark):
+    assert last_stored_dates(empty_facts(spark)).count() == 0
+
+
+def test_last_date_per_ticker(spark):
+    rows = [("AAPL", d(2026, 1, 2), 1.0, 1), ("AAPL", d(2026, 1, 3), 1.0, 2), ("AAPL", d(2026, 1, 5), 1.0, 3)]
+    out = last_stored_dates(batch(spark, rows)).collect()
+    assert [(r.ticker, r.last_date) for r in out] == [("AAPL", dt.date(2026, 1, 5))]
+
+
+def test_overlap_and_rerun(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.ensure_tables()
+    first = [("AAPL", d(2026, 1, 2), 1.0, 1), ("AAPL", d(2026, 1, 3), 1.0, 2)]
+    assert load_once(spark, wh, first) == (2, 0)
+    second = [("AAPL", d(2026, 1, 3), 1.0, 3), ("AAPL", d(2026, 1, 6), 1.0, 4)]
+    assert load_once(spark, wh, second) == (1, 1)
+    assert load_once(spark, wh, second) == (0, 2)
+    assert wh.read("fact_stock_prices").count() == 3
+
+
+def test_existing_keys_restricted_to_tickers(spark):
+    stored = batch(spark, [("AAPL", d(2026, 1, 2), 1.0, 1), ("MSFT", d(2026, 1, 2), 1.0, 2)])
+    keys = existing_keys(stored, spark.createDataFrame([("AAPL",)], "ticker string")).collect()
+    assert [(k.ticker, k.price_date) for k in keys] == [("AAPL", d(2026, 1, 2))]
+
+
+def test_enrich_adds_ids_and_truncates(spark):
+    dim = upsert_dim_company(
+        empty_dim_company(spark),
+        spark.createDataFrame([("AAPL",)], "ticker string"),
+        spark.createDataFrame([("AAPL", "Apple", "Tech", "HW")], "ticker string, company_name string, sector string, industry string"),
+        now(),
+    )
+    rows = [("AAPL", d(2026, 1, 2).replace(hour=15), 1.0, 1), ("ZZZ", d(2026, 1, 2), 1.0, 2)]
+    out = {r.ticker: r for r in enrich_facts(batch(spark, rows), dim, "b-1").collect()}
+    assert out["AAPL"].company_id == 1 and out["ZZZ"].company_id is None
+    assert out["AAPL"].date_id == 20260102 and out["AAPL"].price_date == d(2026, 1, 2)
+    assert out["AAPL"].batch_id == "b-1"
+
+
+def test_dim_company_upsert_rules(spark):
+    info_schema = "ticker string, company_name string, sector string, industry string"
+    t0 = dt.datetime(2020, 1, 1)
+    existing = spark.createDataFrame(
+        [(1, "AAPL", None, None, None, t0, t0), (2, "MSFT", "Microsoft", "Tech", "SW", t0, t0)],
+        "company_id bigint, ticker string, company_name string, sector string, industry string, "
+        "created_at timestamp_ntz, updated_at timestamp_ntz",
+    )
+    tickers = spark.createDataFrame([("AAPL",), ("MSFT",), ("NVDA",), ("AMD",)], "ticker string")
+    info = spark.createDataFrame(
+        [("AAPL", "Apple", "Tech", "HW"), ("MSFT", "New name", "X", "Y"), ("NVDA", "Nvidia", "Tech", "Chips")],
+        info_schema,
+    )
+    out = {r.ticker: r for r in upsert_dim_company(existing, tickers, info, now()).collect()}
+    assert out["AAPL"].company_name == "Apple" and out["AAPL"].created_at == t0
+    assert out["AAPL"].updated_at == dt.datetime(2026, 2, 1)
+    assert out["MSFT"].company_name == "Microsoft" and out["MSFT"].updated_at == t0
+    assert (out["AMD"].company_id, out["NVDA"].company_id) == (3, 4)  # ticker order after max id
+    assert out["AMD"].company_name is None
+
+
+def test_date_dimension(spark):
+    dim = date_dimension(spark)
+    assert dim.count() == 13149
+    rows = {r.date_id: r for r in dim.where(F.col("date_id").isin(20260103, 20260105, 20260101, 20260801)).collect()}
+    sat = rows[20260103]
+    assert (sat.day_name, sat.is_weekend, sat.day_of_week) == ("Saturday", True, 5)
+    mon = rows[20260105]
+    assert (mon.day_name, mon.is_weekend, mon.day_of_week) == ("Monday", False, 0)
+    assert rows[20260101].quarter == 1 and rows[20260801].quarter == 3
+    assert rows[20260101].month_name == "January"
+
+
+def test_audit_rows(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.ensure_tables(["pipeline_runs"])
+    base = {"started_at": d(2026, 1, 1), "completed_at": d(2026, 1, 1), "tickers": "AAPL",
+            "rows_extracted": 100, "rows_inserted": 90, "rows_skipped": 10}
+    write_audit_row(wh, {**base, "batch_id": "b1", "status": "SUCCESS", "quality_checks_passed": True})
+    write_audit_row(wh, {**base, "batch_id": "b2", "status": "FAILED", "quality_checks_passed": False,
+                         "error_message": "Critical quality checks failed: null_tickers"})
+    rows = {r.batch_id: r for r in wh.read("pipeline_runs").collect()}
+    assert len(rows) == 2
+    assert rows["b1"].status == "SUCCESS" and rows["b1"].rows_inserted == 90 and rows["b1"].error_message is None
+    assert "null_tickers" in rows["b2"].error_message
+    assert rows["b1"].run_id != rows["b2"].run_id
+    assert audit_row(spark, {"batch_id": "b1", "started_at": d(2026, 1, 1), "status": "X"}).count() == 1
+
+
+def test_migration_is_idempotent(spark):
+    v1 = spark.createDataFrame(
+        [("AAPL", d(2026, 1, 2), 1.0), ("MSFT", d(2026, 1, 3), 2.0)],
+        "ticker string, price_date timestamp_ntz, close_price double",
+    )
+    facts, dim = migrate_frames(v1, None, now())
+    got = {r.ticker: (r.company_id, r.date_id, r.batch_id) for r in facts.collect()}
+    assert got == {"AAPL": (1, 20260102, None), "MSFT": (2, 20260103, None)}
+    facts2, dim2 = migrate_frames(facts, dim, now())
+    assert sorted(facts2.collect()) == sorted(facts.collect())
+    assert sorted(dim2.collect()) == sorted(dim.collect())
+
+
+def test_warehouse_replace_keeps_reads_consistent(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.ensure_tables(["dim_company"])
+    tickers = spark.createDataFrame([("AAPL",)], "ticker string")
+    info = spark.createDataFrame([], "ticker string, company_name string, sector string, industry string")
+    dim = upsert_dim_company(wh.read("dim_company"), tickers, info, now())
+    wh.replace("dim_company", dim)  # reads and rewrites the same table
+    assert wh.read("dim_company").count() == 1
+    dim = upsert_dim_company(wh.read("dim_company"), tickers, info, now())
+    wh.replace("dim_company", dim)
+    assert wh.read("dim_company").count() == 1
