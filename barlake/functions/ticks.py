@@ -8,7 +8,7 @@ so ``"1.5"`` is text, not a price, and ``1.5`` is not a volume.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.timecols import iso_string_to_ntz, iso_text
@@ -53,51 +53,103 @@ def _token_type(payload: Column, field: str) -> Column:
     return F.schema_of_variant(F.variant_get(payload, f"$.{field}", "variant"))
 
 
-def reject_reason(raw: Column) -> Column:
-    """Reason text for one raw message; the first failing rule wins."""
-    payload = F.try_parse_json(raw)
-    keys = F.json_object_keys(raw)
+def _reason_from_parts(
+    is_object: Column,
+    types: dict[str, Column],
+    ticker: Column,
+    price: Column,
+    volume: Column,
+    time_ok: Column,
+    source: Column,
+) -> Column:
+    """First failing rule, from already-extracted parts (cheap column logic)."""
     required = F.array(*[F.lit(name) for name in REQUIRED_TICK_FIELDS])
-    missing = F.filter(required, lambda name: ~F.array_contains(keys, name))
-
-    ticker_type = _token_type(payload, "ticker")
-    ticker = F.try_variant_get(payload, "$.ticker", "string")
-    price_type = _token_type(payload, "price")
-    price = F.try_variant_get(payload, "$.price", "double")
-    volume_type = _token_type(payload, "volume")
-    volume = F.try_variant_get(payload, "$.volume", "bigint")
-    time_type = _token_type(payload, "event_time")
-    event_time = F.try_variant_get(payload, "$.event_time", "string")
-    source_type = _token_type(payload, "source")
-    source = F.try_variant_get(payload, "$.source", "string")
-
+    present = F.array(*[types[name].isNotNull() for name in REQUIRED_TICK_FIELDS])
+    missing = F.filter(required, lambda name, i: ~F.element_at(present, i + 1))
     return (
-        F.when(keys.isNull(), F.lit(NOT_AN_OBJECT))
+        F.when(~F.coalesce(is_object, F.lit(False)), F.lit(NOT_AN_OBJECT))
         .when(
             F.size(missing) > 0,
             F.concat(F.lit(TICK_REASONS["missing_prefix"]), F.array_join(missing, ", ")),
         )
-        .when((ticker_type != "STRING") | (F.trim(ticker) == ""), F.lit(TICK_REASONS["ticker"]))
-        .when(~price_type.rlike(_NUMBER) | price.isNull(), F.lit(TICK_REASONS["price_type"]))
+        .when((types["ticker"] != "STRING") | (F.trim(ticker) == ""), F.lit(TICK_REASONS["ticker"]))
+        .when(~types["price"].rlike(_NUMBER) | price.isNull(), F.lit(TICK_REASONS["price_type"]))
         .when(price <= 0, F.lit(TICK_REASONS["price_sign"]))
-        .when(~volume_type.rlike(_INTEGER) | volume.isNull(), F.lit(TICK_REASONS["volume_type"]))
+        .when(~types["volume"].rlike(_INTEGER) | volume.isNull(), F.lit(TICK_REASONS["volume_type"]))
         .when(volume < 0, F.lit(TICK_REASONS["volume_sign"]))
-        .when(
-            (time_type != "STRING") | iso_string_to_ntz(event_time).isNull(),
-            F.lit(TICK_REASONS["time"]),
-        )
-        .when(
-            (source_type != "STRING") | ~source.isin(*VALID_SOURCES), F.lit(TICK_REASONS["source"])
-        )
+        .when((types["event_time"] != "STRING") | ~time_ok, F.lit(TICK_REASONS["time"]))
+        .when((types["source"] != "STRING") | ~source.isin(*VALID_SOURCES), F.lit(TICK_REASONS["source"]))
         .otherwise(F.lit(TICK_REASONS["ok"]))
     )
 
 
+def reject_reason(raw: Column) -> Column:
+    """Reason text for one raw message; the first failing rule wins.
+
+    Single-expression form (handy in filters and tests). On large inputs use
+    ``with_tick_check``, which parses each message once.
+    """
+    payload = F.try_parse_json(raw)
+    types = {name: _token_type(payload, name) for name in REQUIRED_TICK_FIELDS}
+    return _reason_from_parts(
+        F.schema_of_variant(payload).startswith("OBJECT"),
+        types,
+        F.try_variant_get(payload, "$.ticker", "string"),
+        F.try_variant_get(payload, "$.price", "double"),
+        F.try_variant_get(payload, "$.volume", "bigint"),
+        iso_string_to_ntz(F.try_variant_get(payload, "$.event_time", "string")).isNotNull(),
+        F.try_variant_get(payload, "$.source", "string"),
+    )
+
+
 def is_valid(raw: Column) -> Column:
     """Never null: a message that cannot be judged goes to the dead letters."""
     return F.coalesce(reject_reason(raw) == F.lit(TICK_REASONS["ok"]), F.lit(False))
 
 
+def with_tick_check(df: DataFrame, raw: str = "raw") -> DataFrame:
+    """Add ``reason`` plus typed fields ``t_ticker, t_price, t_volume, t_event_time``.
+
+    Staged projections: the JSON is parsed once into a VARIANT, field token
+    types and values are read from it, and the reason is plain column logic.
+    (A single expression would re-parse inside every conditional branch.)
+    """
+    parsed = df.withColumn("_v", F.try_parse_json(F.col(raw)))
+    v = F.col("_v")
+    parts = parsed.select(
+        "*",
+        F.schema_of_variant(v).startswith("OBJECT").alias("_obj"),
+        *[_token_type(v, n).alias(f"_ty_{n}") for n in REQUIRED_TICK_FIELDS],
+        F.try_variant_get(v, "$.ticker", "string").alias("t_ticker_raw"),
+        F.try_variant_get(v, "$.price", "double").alias("t_price"),
+        F.try_variant_get(v, "$.volume", "bigint").alias("t_volume"),
+        F.try_variant_get(v, "$.event_time", "string").alias("_time_text"),
+        F.try_variant_get(v, "$.source", "string").alias("_source"),
+    )
+    timed = parts.withColumn("t_event_time", iso_string_to_ntz(F.col("_time_text")))
+    types = {n: F.col(f"_ty_{n}") for n in REQUIRED_TICK_FIELDS}
+    reason = _reason_from_parts(
+        F.col("_obj"),
+        types,
+        F.col("t_ticker_raw"),
+        F.col("t_price"),
+        F.col("t_volume"),
+        F.col("t_event_time").isNotNull(),
+        F.col("_source"),
+    )
+    # Emit the results through a one-row generator: a later filter on ``reason``
+    # cannot be pushed below a Generate, so it cannot re-inline the whole check
+    # into a single un-shared expression under the scan.
+    result = F.struct(
+        reason.alias("reason"),
+        F.upper(F.trim(F.col("t_ticker_raw"))).alias("t_ticker"),
+        F.col("t_price").alias("t_price"),
+        F.col("t_volume").alias("t_volume"),
+        F.col("t_event_time").alias("t_event_time"),
+    )
+    return timed.select(*df.columns, F.inline(F.array(result)))
+
+
 def valid_tick_columns(tick: Column) -> list[Column]:
     """Typed columns of a valid tick; ticker normalised (trim + upper)."""
     return [

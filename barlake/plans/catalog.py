@@ -786,10 +786,9 @@ def tick_messages(spark, sf_dir):
 
 
 def _checked(spark, sf_dir):
-    from barlake.functions.ticks import reject_reason
+    from barlake.functions.ticks import with_tick_check
 
-    msgs = src.tick_messages(spark, sf_dir, with_faults=True)
-    return msgs.withColumn("reason", reject_reason(F.col("value")))
+    return with_tick_check(src.tick_messages(spark, sf_dir, with_faults=True), "value")
 
 
 @register("tick_reject_reasons", O.with_ctes(_MSG_SQL) + f"SELECT event_id, {_REASON_SQL} AS reason FROM msgs")
@@ -804,10 +803,8 @@ def tick_reject_reasons(spark, sf_dir):
 )
 def dead_letters(spark, sf_dir):
     """Messages routed to the dead-letter sink (the exact complement of valid ticks)."""
-    from barlake.functions.ticks import is_valid
-
     checked = _checked(spark, sf_dir)
-    return checked.where(~is_valid(F.col("value"))).select("event_id", "key", "reason")
+    return checked.where(F.col("reason") != "ok").select("event_id", "key", "reason")
 
 
 @register(
@@ -817,11 +814,14 @@ def dead_letters(spark, sf_dir):
 )
 def valid_ticks(spark, sf_dir):
     """Valid messages parsed to typed ticks (ticker normalised, time as naive UTC)."""
-    from barlake.functions.ticks import is_valid, parse_tick, valid_tick_columns
-
-    msgs = src.tick_messages(spark, sf_dir, with_faults=True)
-    ok = msgs.where(is_valid(F.col("value")))
-    return ok.select("event_id", *valid_tick_columns(parse_tick(F.col("value"))))
+    ok = _checked(spark, sf_dir).where(F.col("reason") == "ok")
+    return ok.select(
+        "event_id",
+        F.col("t_ticker").alias("ticker"),
+        F.col("t_price").alias("price"),
+        F.col("t_volume").alias("volume"),
+        F.col("t_event_time").alias("event_time"),
+    )
 
 
 # ---------------------------------------------------------------------------

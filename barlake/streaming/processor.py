@@ -28,7 +28,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.functions.ticks import is_valid, parse_tick, reject_reason, valid_tick_columns
+from barlake.functions.ticks import with_tick_check
 from barlake.operators.bars import aggregate_bars, price_alerts, with_reference_average
 from barlake.schemas import (
     ALERT_THRESHOLD_PCT,
@@ -86,16 +86,20 @@ def read_messages(
 
 def valid_ticks(messages: DataFrame) -> DataFrame:
     """Valid messages as typed ticks; event_time is a TIMESTAMP (the watermark needs it)."""
-    ok = messages.where(is_valid(F.col("raw")))
-    ticks = ok.select(*valid_tick_columns(parse_tick(F.col("raw"))))
-    return ticks.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    ok = with_tick_check(messages, "raw").where(F.col("reason") == "ok")
+    return ok.select(
+        F.col("t_ticker").alias("ticker"),
+        F.col("t_price").alias("price"),
+        F.col("t_volume").alias("volume"),
+        F.col("t_event_time").cast("timestamp").alias("event_time"),
+    )
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
-    """Invalid messages, raw text kept, with the reason (never null: no message is lost)."""
-    return messages.where(~is_valid(F.col("raw"))).select(
-        F.col("raw").alias("value"), reject_reason(F.col("raw")).alias("reason")
-    )
+    """Invalid messages, raw text kept, with the reason. The reason is never null,
+    so every message lands on exactly one side."""
+    checked = with_tick_check(messages, "raw")
+    return checked.where(F.col("reason") != "ok").select(F.col("raw").alias("value"), "reason")
 
 
 def stream_bars(ticks: DataFrame, watermark: str = WATERMARK_DELAY, width: str = BAR_WIDTH) -> DataFrame:
