@@ -20,11 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.timecols import epoch_seconds
+from barlake.session import checkpoint_dir
 
 SECONDS_PER_DAY = 86400
 
@@ -102,21 +102,21 @@ def global_ordinal(
     ``order_cols`` must identify rows uniquely, so the order is total and a
     re-run after a lost executor gives the same numbers.
 
-    The tagged rows are persisted (memory, spilling to disk): the per-partition
-    counts and the rows must come from the same range-partitioned data, and a
-    second plan of the exchange could sample different range bounds. A lost
-    cached block is recomputed from the same exchange, so ids stay stable.
-    Call ``.unpersist()`` on the result's source when done in long sessions;
-    the persisted frame is returned as ``result._ordinal_source``.
+    The per-partition counts and the rows must come from the same
+    range-partitioned data: a second plan of the exchange could sample other
+    range bounds. So the tagged rows are checkpointed (eagerly, into the
+    session's ``spark.checkpoint.dir``) and both sides read that copy. It also
+    cuts the lineage: a lost executor costs a re-read, not a new sort.
     """
     spark = df.sparkSession
+    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c).asc() for c in order_cols]
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_local",
         F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    ).checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"))
     # at most n rows: one per partition
     offsets = counts.select(
@@ -127,6 +127,4 @@ def global_ordinal(
         ).alias("_off"),
     )
     out = tagged.join(F.broadcast(offsets), "_pid", "inner")
-    result = out.withColumn(name, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")
-    result._ordinal_source = tagged
-    return result
+    return out.withColumn(name, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")

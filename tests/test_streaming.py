@@ -139,3 +139,27 @@ def test_health_rules():
     progress = {"sources": [{"latestOffset": {"t": {"0": 10, "1": 5}}, "endOffset": {"t": {"0": 8, "1": 5}}}]}
     assert lag_from_progress(progress) == 2
     assert lag_from_progress({"sources": [{"endOffset": {"logOffset": 3}}]}) is None
+
+
+def test_replay_landing_feeds_the_stream(spark, tmp_path):
+    from barlake.operators.replay import replay_messages, replay_schedule
+    from barlake.sources.bronze import replay_rows
+    from barlake.streaming.landing import land_in_order
+
+    feed = src.price_feed(spark, SF_SMALL).withColumnRenamed("Ticker", "ticker")
+    rows = replay_rows(feed, order_col="seq")
+    sched = replay_schedule(rows, F.lit("2026-01-01 09:30:00").cast("timestamp_ntz"), 10.0)
+    msgs = replay_messages(sched, "replay-1")
+    landing = str(tmp_path / "landing")
+    assert land_in_order(msgs, landing, 400) == (rows.count() + 399) // 400
+    cfg = cfg_for(tmp_path, landing)
+    cfg.max_files_per_trigger = 4
+    run(spark, cfg)
+    dlq = spark.read.json(str(tmp_path / "dlq")) if os.path.exists(str(tmp_path / "dlq")) else None
+    assert dlq is None or dlq.count() == 0
+    bars = Warehouse(spark, cfg.warehouse).read("fact_intraday_bars")
+    # every tick of a window the watermark has closed is in a bar, none twice
+    last = sched.agg(F.max("event_time")).collect()[0][0]
+    cut = F.lit(last) - F.expr("INTERVAL 30 SECONDS")
+    closed = sched.where(F.date_trunc("minute", "event_time") + F.expr("INTERVAL 1 MINUTE") <= cut)
+    assert bars.agg(F.sum("tick_count")).collect()[0][0] == closed.count() > 0
