@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from barlake.functions.prices import nan_to_null
-from barlake.operators.windows import lag_in_order
+from barlake.operators.windows import previous_in_key
 from barlake.schemas import (
     CHECK_ORDER,
     CRITICAL_CHECKS,
@@ -98,10 +98,14 @@ def invalid_ticker_examples(df: DataFrame, n: int = TICKER_EXAMPLES) -> DataFram
 def date_gaps(df: DataFrame, max_gap_days: int = DATE_GAP_DAYS) -> DataFrame:
     """One row per gap of more than ``max_gap_days`` whole days between consecutive
     dates of a ticker: ticker, gap_after (the earlier date), gap_calendar_days."""
-    dated = df.where(F.col("ticker").isNotNull() & F.col("price_date").isNotNull()).select(
-        "ticker", "price_date"
+    # distinct days first: a duplicate day is never a gap, and afterwards a
+    # ticker holds at most one row per calendar day
+    dated = (
+        df.where(F.col("ticker").isNotNull() & F.col("price_date").isNotNull())
+        .select("ticker", "price_date")
+        .distinct()
     )
-    lagged = lag_in_order(dated, ["ticker"], "price_date", [], F.year("price_date"), prefix="_p_")
+    lagged = previous_in_key(dated, ["ticker"], "price_date", [], prefix="_p_")
     days = F.timestamp_diff("DAY", F.col("_p_price_date"), F.col("price_date"))
     return lagged.select(
         "ticker",

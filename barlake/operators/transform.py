@@ -24,7 +24,7 @@ from pyspark.sql.types import (
 
 from barlake.functions.prices import nan_to_null, simple_return
 from barlake.functions.timecols import as_ntz
-from barlake.operators.windows import lag_in_order
+from barlake.operators.windows import previous_in_key
 from barlake.schemas import (
     DATE_COLUMN_NAMES,
     OUTPUT_COLUMNS,
@@ -169,11 +169,10 @@ def with_daily_return(df: DataFrame) -> DataFrame:
     """close / previous close - 1 per ticker in date order; null on a ticker's first
     row, across a missing close, and for rows without ticker or date.
 
-    Runs per (ticker, year) with the year edge repaired (see ``lag_in_order``).
+    Expects one row per (ticker, day) (``dedupe_last`` first), so a ticker's
+    window holds at most one row per calendar day (see ``previous_in_key``).
     """
-    lagged = lag_in_order(
-        df, ["ticker"], "price_date", ["close_price"], F.year("price_date"), prefix="_p_"
-    )
+    lagged = previous_in_key(df, ["ticker"], "price_date", ["close_price"], prefix="_p_")
     ret = simple_return(F.col("close_price"), F.col("_p_close_price"))
     keyed = F.col("ticker").isNotNull() & F.col("price_date").isNotNull()
     return lagged.withColumn(

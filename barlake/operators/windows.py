@@ -2,15 +2,17 @@
 
 A plain ``Window.partitionBy(ticker)`` sends every row of a ticker to one task;
 if one ticker holds a third of the data, that task holds a third of the data.
-The helpers here split each key into time buckets and repair the bucket edges:
-
-* ``lag_in_order``: the previous row per key. Inside a bucket it is ``lag``;
-  for a bucket's first row it is the last row of the nearest earlier non-empty
-  bucket, found on a per-(key, bucket) summary that is pre-aggregated
-  map-side (one row per key and bucket, so it stays small).
-* ``trailing_mean``: a range frame ``[t - lookback, t - 1]``. Rows within
-  ``lookback`` of a bucket's end are copied into the next bucket as context
-  ("halo") rows, so each bucket sees everything its frames need.
+
+* ``previous_in_key``: the previous row per key, for data that is unique per
+  (key, day). Such data holds at most one row per calendar day for a key, so
+  the per-key partition is bounded by the calendar (36,500 rows a century),
+  not by the data size; duplicates must be collapsed first (a hash aggregate,
+  partial on the map side, which is where hot keys shrink).
+* ``trailing_mean``: a range frame ``[t - lookback, t - 1]`` over intraday
+  rows, whose count per key is not bounded. Each key is split into time
+  buckets; rows within ``lookback`` of a bucket's end are also emitted into
+  the next bucket as context ("halo") rows, in the same pass, so each bucket
+  sees everything its frames need.
 * ``global_ordinal``: consecutive positions in a total order without a
   single-partition window: range-partition, sort within partitions, then add
   per-partition offsets (one row per partition, broadcast).
@@ -29,35 +31,18 @@ from barlake.session import checkpoint_dir
 SECONDS_PER_DAY = 86400
 
 
-def lag_in_order(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_col: str,
-    carry: Sequence[str],
-    bucket: Column,
-    prefix: str = "prev_",
+def previous_in_key(
+    df: DataFrame, keys: Sequence[str], order_col: str, carry: Sequence[str], prefix: str = "prev_"
 ) -> DataFrame:
-    """Add ``prefix + c`` for ``c`` in ``carry``: the value on the previous row of the
-    same key in ``order_col`` order (null on a key's first row).
+    """Add ``prefix + c`` for ``order_col`` and each ``carry`` column: the value on the
+    previous row of the same key in ``order_col`` order (null on a key's first row).
 
-    ``bucket`` must be monotone in ``order_col`` (e.g. the year of a date).
+    Only for rows unique per (key, day): see the module note on the bound.
     """
-    keys = list(keys)
-    payload = F.struct(*[F.col(c) for c in [order_col, *carry]])
-    b = df.withColumn("_bkt", bucket).withColumn("_row", payload)
-    within = Window.partitionBy(*keys, "_bkt").orderBy(F.col(order_col).asc())
-    b = b.withColumn("_prev_in", F.lag("_row").over(within))
-
-    last = b.groupBy(*keys, "_bkt").agg(F.max_by("_row", F.col(order_col)).alias("_last"))
-    per_key = Window.partitionBy(*keys).orderBy("_bkt")
-    edges = last.select(*keys, "_bkt", F.lag("_last").over(per_key).alias("_prev_bkt"))
-
-    out = b.join(edges, [*keys, "_bkt"], "left")
-    prev = F.coalesce(F.col("_prev_in"), F.col("_prev_bkt"))
-    out = out.select(
-        *df.columns, *[prev[c].alias(f"{prefix}{c}") for c in [order_col, *carry]]
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
+    return df.select(
+        "*", *[F.lag(c).over(w).alias(f"{prefix}{c}") for c in [order_col, *carry]]
     )
-    return out
 
 
 def trailing_mean(
@@ -76,19 +61,23 @@ def trailing_mean(
     bucket_seconds = max(bucket_seconds, lookback_seconds)
     keys = list(keys)
     sec = epoch_seconds(F.col(ts_col))
-    home = df.withColumn("_sec", sec).withColumn("_bkt", F.floor(F.col("_sec") / bucket_seconds))
-    home = home.withColumn("_ctx", F.lit(False))
-    # rows near a bucket's end also serve the next bucket, as context only
-    halo = (
-        home.where(F.col("_sec") >= (F.col("_bkt") + 1) * bucket_seconds - lookback_seconds)
-        .withColumn("_bkt", F.col("_bkt") + 1)
-        .withColumn("_ctx", F.lit(True))
-    )
+    bkt = F.floor(sec / bucket_seconds)
+    # each row serves its own bucket; rows near a bucket's end also serve the
+    # next bucket, as context only (one pass, no second scan of the input)
+    near_end = sec >= (bkt + 1) * bucket_seconds - lookback_seconds
+    copies = F.when(
+        near_end,
+        F.array(
+            F.struct(bkt.alias("_bkt"), F.lit(False).alias("_ctx")),
+            F.struct((bkt + 1).alias("_bkt"), F.lit(True).alias("_ctx")),
+        ),
+    ).otherwise(F.array(F.struct(bkt.alias("_bkt"), F.lit(False).alias("_ctx"))))
+    both = df.select("*", sec.alias("_sec"), F.inline(copies))
     frame = (
         Window.partitionBy(*keys, "_bkt").orderBy("_sec").rangeBetween(-lookback_seconds, -1)
     )
-    both = home.unionByName(halo).withColumn(out_col, F.avg(value_col).over(frame))
-    return both.where(~F.col("_ctx")).drop("_sec", "_bkt", "_ctx")
+    scored = both.withColumn(out_col, F.avg(value_col).over(frame))
+    return scored.where(~F.col("_ctx")).drop("_sec", "_bkt", "_ctx")
 
 
 def global_ordinal(

@@ -7,10 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.operators.windows import global_ordinal, lag_in_order, trailing_mean
+from barlake.operators.windows import global_ordinal, previous_in_key, trailing_mean
 
 
-def test_lag_in_order_matches_plain_lag(spark):
+def test_previous_in_key_matches_pandas_shift(spark):
     rnd = random.Random(7)
     rows = []
     for t in ["HOT", "A", "B"]:
@@ -19,7 +19,7 @@ def test_lag_in_order_matches_plain_lag(spark):
         for k in days:
             rows.append((t, dt.datetime(2015, 1, 1) + dt.timedelta(days=k), rnd.random() * 100))
     df = spark.createDataFrame(rows, "ticker string, d timestamp_ntz, v double")
-    got = lag_in_order(df, ["ticker"], "d", ["v"], F.year("d"), prefix="p_").toPandas()
+    got = previous_in_key(df, ["ticker"], "d", ["v"], prefix="p_").toPandas()
     pdf = pd.DataFrame(rows, columns=["ticker", "d", "v"]).sort_values(["ticker", "d"])
     pdf["p_v"] = pdf.groupby("ticker")["v"].shift(1)
     pdf["p_d"] = pdf.groupby("ticker")["d"].shift(1)
