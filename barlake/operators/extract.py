@@ -56,12 +56,21 @@ def incremental_extract(
     windows: DataFrame,
     ticker_col: str = "Ticker",
     date_col: str = "Date",
+    bounds: tuple | None = None,
 ) -> DataFrame:
     """Rows of ``source`` whose date lies in their ticker's ``[start_date, end_date)``.
 
-    ``windows`` has one row per requested ticker (see ``start_dates``); it is
-    small next to the source, and AQE broadcasts it when it measures it so.
+    ``windows`` has one row per requested ticker (see ``start_dates``); AQE
+    broadcasts it when it measures it small and splits a hot ticker's
+    partition otherwise. ``bounds`` = (earliest start, latest end) as literals
+    lets the Parquet scan skip files and row groups outside every window.
     """
+    if bounds is not None:
+        lo, hi = bounds
+        if lo is not None:
+            source = source.where(F.col(date_col) >= F.lit(str(lo)).cast("timestamp_ntz"))
+        if hi is not None:
+            source = source.where(F.col(date_col) < F.lit(str(hi)).cast("timestamp_ntz"))
     w = windows.select(
         F.col("ticker").alias("_t"),
         F.col("start_date").cast("timestamp_ntz").alias("_s"),
@@ -75,6 +84,12 @@ def incremental_extract(
     return source.join(w, cond, "inner").drop("_t", "_s", "_e")
 
 
+def window_bounds(windows: DataFrame) -> tuple:
+    """(earliest start, latest end) of the windows: one small aggregate."""
+    row = windows.agg(F.min("start_date").alias("lo"), F.max("end_date").alias("hi")).first()
+    return row["lo"], row["hi"]
+
+
 def failed_tickers(requested: DataFrame, extract: DataFrame, ticker_col: str = "Ticker") -> DataFrame:
     """Requested tickers that returned no rows (reported, not fatal)."""
     got = extract.select(F.col(ticker_col).alias("ticker")).distinct()

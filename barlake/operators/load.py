@@ -50,25 +50,37 @@ def enrich_facts(batch: DataFrame, dim_company: DataFrame, batch_id: str) -> Dat
     return out
 
 
-def new_rows(enriched: DataFrame, stored: DataFrame) -> DataFrame:
+def _stored_keys(stored: DataFrame, since=None) -> DataFrame:
+    """Stored (ticker, day) keys, optionally only from day ``since`` on.
+
+    A batch only covers recent days, so ``since`` (the batch's first day, as a
+    literal) keeps the years of history out of the join: the filter reaches the
+    Parquet scan, which skips files whose price_date statistics end earlier.
+    """
+    if since is not None:
+        stored = stored.where(F.col("price_date") >= F.lit(str(since)).cast("timestamp_ntz"))
+    return stored.select("ticker", day_start(F.col("price_date")).alias("price_date"))
+
+
+def batch_first_day(enriched: DataFrame):
+    """Earliest day of a batch (one small aggregate)."""
+    return enriched.agg(F.min("price_date")).first()[0]
+
+
+def new_rows(enriched: DataFrame, stored: DataFrame, since=None) -> DataFrame:
     """Rows whose (ticker, day) is not stored yet: one left-anti join on the key.
 
     Both sides shuffle on (ticker, day), so a hot ticker spreads over its days.
     """
-    keys = stored.select("ticker", day_start(F.col("price_date")).alias("price_date"))
-    return enriched.join(keys, KEYS, "left_anti")
+    return enriched.join(_stored_keys(stored, since), KEYS, "left_anti")
 
 
-def load_counts(enriched: DataFrame, stored: DataFrame) -> DataFrame:
+def load_counts(enriched: DataFrame, stored: DataFrame, since=None) -> DataFrame:
     """One row: rows in the batch, inserted (new keys) and skipped (stored keys).
 
     Computed in one pass over a left join with a match flag.
     """
-    keys = (
-        stored.select("ticker", day_start(F.col("price_date")).alias("price_date"))
-        .distinct()
-        .withColumn("_stored", F.lit(True))
-    )
+    keys = _stored_keys(stored, since).distinct().withColumn("_stored", F.lit(True))
     flagged = enriched.select(*KEYS).join(keys, KEYS, "left")
     return flagged.agg(
         F.count("*").alias("rows_in_batch"),

@@ -30,8 +30,15 @@ from barlake.operators.extract import (
     require_rows,
     require_tickers,
     start_dates,
+    window_bounds,
+)
+from barlake.operators.load import (
+    batch_first_day,
+    enrich_facts,
+    last_stored_dates,
+    new_rows,
+    to_fact_schema,
 )
-from barlake.operators.load import enrich_facts, last_stored_dates, new_rows, to_fact_schema
 from barlake.operators.quality import CriticalQualityError, quality_results, summarize
 from barlake.operators.transform import transform_prices
 from barlake.schemas import LOOKBACK_DAYS, STATUS_FAILED, STATUS_SUCCESS
@@ -89,7 +96,10 @@ def run_batch(
         facts = wh.read("fact_stock_prices")
         today = F.lit((cfg.today or started.date()).isoformat()).cast("date")
         windows = start_dates(tickers, last_stored_dates(facts, tickers), today, cfg.lookback_days)
-        raw = incremental_extract(source, windows).persist(StorageLevel.MEMORY_AND_DISK)
+        windows = windows.persist(StorageLevel.MEMORY_AND_DISK)  # one row per requested ticker
+        persisted.append(windows)
+        raw = incremental_extract(source, windows, bounds=window_bounds(windows))
+        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(raw)
         # bounded by the requested ticker list
         failed = sorted(r["ticker"] for r in failed_tickers(tickers, raw).collect())
@@ -131,7 +141,8 @@ def run_batch(
         batch_obs = Observation("batch")
         new_obs = Observation("inserted")
         observed = enriched.observe(batch_obs, F.count(F.lit(1)).alias("n"))
-        fresh = new_rows(observed, facts).observe(new_obs, F.count(F.lit(1)).alias("n"))
+        since = batch_first_day(clean)
+        fresh = new_rows(observed, facts, since).observe(new_obs, F.count(F.lit(1)).alias("n"))
         wh.append("fact_stock_prices", to_fact_schema(fresh))
         in_batch = batch_obs.get["n"]
         counts["rows_inserted"] = new_obs.get["n"]

@@ -10,7 +10,7 @@ Two queries read the same source:
 
 The sink is set-based (joins and windows on DataFrames, nothing collected but
 one min timestamp) and idempotent: each micro-batch writes its own partitions
-``stream_id=<id>/batch_id=<n>`` with dynamic overwrite, so a retried batch
+``bar_date=<day>/stream_id=<id>/batch_id=<n>`` with dynamic overwrite, so a retried batch
 replaces its own output. ``stream_id`` lives beside the checkpoint; a new
 checkpoint gets a new id, so restarted batch numbers never overwrite old data.
 Alerts are written before bars: a crash between the two leaves the bars
@@ -45,7 +45,9 @@ from barlake.sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
 
-SINK_PARTITIONS = ["stream_id", "batch_id"]
+# bar_date first: the sink reads back only the last lookback of stored bars,
+# which then prunes to one or two date folders
+SINK_PARTITIONS = ["bar_date", "stream_id", "batch_id"]
 
 
 # ---------------------------------------------------------------------------
@@ -149,6 +151,8 @@ class BarSink:
         mine = (F.col("stream_id") == self.stream_id) & (F.col("batch_id") == batch_id)
         if "stream_id" in stored.columns:
             stored = stored.where(~F.coalesce(mine, F.lit(False)))
+        if "bar_date" in stored.columns:
+            stored = stored.where(F.col("bar_date") >= F.to_date(lower))
         tail = stored.where(F.col("window_start") >= lower).select("ticker", "window_start", "close")
 
         new = bars.join(tail.select("ticker", "window_start"), ["ticker", "window_start"], "left_anti")
@@ -160,7 +164,11 @@ class BarSink:
             ["ticker", "window_start"],
         ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tag = [F.lit(self.stream_id).alias("stream_id"), F.lit(batch_id).cast("bigint").alias("batch_id")]
+            tag = [
+                F.to_date("window_start").alias("bar_date"),
+                F.lit(self.stream_id).alias("stream_id"),
+                F.lit(batch_id).cast("bigint").alias("batch_id"),
+            ]
             alerts = price_alerts(scored, self.threshold, created_at=now).select("*", *tag)
             alert_obs = Observation(f"alerts_{batch_id}")
             self.wh.overwrite_partitions(
