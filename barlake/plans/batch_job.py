@@ -141,7 +141,7 @@ def run_batch(
         batch_obs = Observation("batch")
         new_obs = Observation("inserted")
         observed = enriched.observe(batch_obs, F.count(F.lit(1)).alias("n"))
-        since = batch_first_day(clean)
+        since = batch_first_day(enriched)  # day-truncated, like the stored keys
         fresh = new_rows(observed, facts, since).observe(new_obs, F.count(F.lit(1)).alias("n"))
         wh.append("fact_stock_prices", to_fact_schema(fresh))
         in_batch = batch_obs.get["n"]

@@ -157,3 +157,17 @@ def test_warehouse_replace_keeps_reads_consistent(spark, tmp_path):
     dim = upsert_dim_company(wh.read("dim_company"), tickers, info, now())
     wh.replace("dim_company", dim)
     assert wh.read("dim_company").count() == 1
+
+
+def test_since_bound_uses_whole_days(spark):
+    from barlake.operators.load import batch_first_day
+
+    stored = batch(spark, [("AAPL", d(2026, 1, 2), 1.0, 1)])
+    rows = batch(spark, [("AAPL", d(2026, 1, 2).replace(hour=15), 2.0, 2), ("AAPL", d(2026, 1, 3), 3.0, 3)])
+    enriched = enrich_facts(rows, empty_dim_company(spark), "b")
+    since = batch_first_day(enriched)
+    assert since == d(2026, 1, 2)
+    out = new_rows(enriched, stored, since).collect()
+    assert [r.price_date for r in out] == [d(2026, 1, 3)]
+    c = load_counts(enriched, stored, since).collect()[0]
+    assert (c.rows_in_batch, c.rows_inserted, c.rows_skipped) == (2, 1, 1)
