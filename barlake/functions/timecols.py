@@ -43,6 +43,13 @@ def iso_string_to_ntz(col: Column) -> Column:
     ).otherwise(naive)
 
 
+def ntz_literal(value) -> Column:
+    """A naive datetime/date as a ``TIMESTAMP_NTZ`` literal, independent of the
+    Python process's and the session's time zones."""
+    text = value.isoformat(sep=" ") if hasattr(value, "hour") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def epoch_seconds(ts: Column) -> Column:
     """Whole seconds since 1970-01-01 for a ``TIMESTAMP_NTZ`` value."""
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)

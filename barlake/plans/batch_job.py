@@ -21,6 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions.timecols import ntz_literal
 from barlake.operators.dims import date_dimension, upsert_dim_company
 from barlake.operators.extract import (
     company_info,
@@ -108,7 +109,7 @@ def run_batch(
         if cfg.bronze_root:
             write_bronze_safely(raw, cfg.bronze_root, batch_id)
 
-        clean = transform_prices(raw, loaded_at=F.lit(started).cast("timestamp_ntz"))
+        clean = transform_prices(raw, loaded_at=ntz_literal(started))
         clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(clean)
 
@@ -133,7 +134,7 @@ def run_batch(
         )
         dim = upsert_dim_company(
             wh.read("dim_company"), ok_tickers, company_info(ok_tickers, info_src),
-            F.lit(started).cast("timestamp_ntz"),
+            ntz_literal(started),
         )
         wh.replace("dim_company", dim)
 

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.ticks import with_tick_check
+from barlake.functions.timecols import ntz_literal
 from barlake.operators.bars import aggregate_bars, price_alerts, with_reference_average
 from barlake.schemas import (
     ALERT_THRESHOLD_PCT,
@@ -145,7 +146,7 @@ class BarSink:
             return
         spark = bars.sparkSession
         now = F.localtimestamp().cast("timestamp_ntz")
-        lower = F.timestamp_add("SECOND", F.lit(-self.lookback), F.lit(first).cast("timestamp_ntz"))
+        lower = F.timestamp_add("SECOND", F.lit(-self.lookback), ntz_literal(first))
         stored = self.wh.read("fact_intraday_bars")
         # a retried batch must not see its own earlier output
         mine = (F.col("stream_id") == self.stream_id) & (F.col("batch_id") == batch_id)
