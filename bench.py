@@ -11,10 +11,12 @@ charged to the first timed query.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,11 +47,18 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    # Spark's own event log (no UI): per-query shuffle and input bytes
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR") or tempfile.mkdtemp(prefix="barlake-bench-")
     spark = build_session(
         f"local[{cpus}]",
         app_name="barlake-bench",
         shuffle_partitions=cpus * 2,
-        extra_conf={"spark.driver.memory": "16g", "spark.sql.files.maxPartitionBytes": "64m"},
+        extra_conf={
+            "spark.driver.memory": "16g",
+            "spark.sql.files.maxPartitionBytes": "64m",
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": f"file://{log_dir}",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
 
@@ -58,6 +67,7 @@ def main() -> None:
     times: dict[str, float] = {}
     for name in names:
         best = None
+        spark.sparkContext.setJobGroup(name, name)
         for _ in range(repeat):
             t0 = time.perf_counter()
             catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -88,8 +98,56 @@ def main() -> None:
             else None,
         },
     }
-    print(json.dumps(out))
     spark.stop()
+    try:
+        shuffle, read = io_by_query(log_dir)
+        out["shuffle_bytes"] = {n: shuffle.get(n, 0) for n in names}
+        out["input_bytes"] = {n: read.get(n, 0) for n in names}
+        out["event_log"] = log_dir
+    except Exception as exc:  # noqa: BLE001 - accounting must not cost the result line
+        out["io_error"] = str(exc)[:200]
+    print(json.dumps(out))
+
+
+def _event_lines(log_dir: str):
+    for path in sorted(glob.glob(os.path.join(log_dir, "**", "*"), recursive=True)):
+        if not os.path.isfile(path) or os.path.basename(path).startswith("appstatus"):
+            continue
+        if path.endswith(".zstd"):
+            import zstandard
+
+            with open(path, "rb") as fh:
+                text = zstandard.ZstdDecompressor().stream_reader(fh).read().decode("utf-8")
+            yield from text.splitlines()
+        else:
+            with open(path, encoding="utf-8") as fh:
+                yield from fh
+
+
+def io_by_query(log_dir: str) -> tuple[dict, dict]:
+    """Sum shuffle-write and input bytes of each job group from the event log."""
+    stage_group: dict[int, str] = {}
+    shuffle: dict[str, int] = {}
+    read: dict[str, int] = {}
+    for line in _event_lines(log_dir):
+        if not line.strip():
+            continue
+        ev = json.loads(line)
+        kind = ev.get("Event")
+        if kind == "SparkListenerJobStart":
+            group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+            for sid in ev.get("Stage IDs", []):
+                if group:
+                    stage_group[sid] = group
+        elif kind == "SparkListenerTaskEnd":
+            group = stage_group.get(ev.get("Stage ID"))
+            metrics = ev.get("Task Metrics") or {}
+            if group:
+                w = (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                r = (metrics.get("Input Metrics") or {}).get("Bytes Read", 0)
+                shuffle[group] = shuffle.get(group, 0) + int(w)
+                read[group] = read.get(group, 0) + int(r)
+    return shuffle, read
 
 
 if __name__ == "__main__":
