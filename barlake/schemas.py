@@ -93,7 +93,6 @@ BAR_WIDTH = "1 minute"
 REFERENCE_LOOKBACK_SECONDS = 300
 ALERT_THRESHOLD_PCT = 2.0
 TRIGGER_INTERVAL = "30 seconds"
-STREAM_SHUFFLE_PARTITIONS = 4
 REPLAY_SPEED = 10.0
 MAX_CONSUMER_LAG = 1000
 HEALTH_RECENT_MINUTES = 5

@@ -92,3 +92,46 @@ def warehouse_health(bars: DataFrame, alerts: DataFrame) -> DataFrame:
 def check(query_progress: dict | None, max_lag: int = MAX_CONSUMER_LAG) -> dict:
     lag = lag_from_progress(query_progress)
     return {"lag": lag, "healthy": is_healthy(lag, max_lag)}
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Print warehouse stream health; exit 1 when a given progress event shows too much lag.
+
+    ``--progress`` takes a saved ``StreamingQueryProgress`` JSON (for example
+    from ``ProgressTracker`` or ``query.lastProgress``).
+    """
+    import argparse
+    import sys
+
+    from barlake.session import build_session
+    from barlake.sources.warehouse import Warehouse
+
+    p = argparse.ArgumentParser(description="barlake stream health")
+    p.add_argument("--warehouse", required=True)
+    p.add_argument("--progress", help="file with one progress JSON")
+    p.add_argument("--max-lag", type=int, default=MAX_CONSUMER_LAG)
+    a = p.parse_args(argv)
+    spark = build_session(app_name="barlake-monitor")
+    wh = Warehouse(spark, a.warehouse)
+    stats = warehouse_health(wh.read("fact_intraday_bars"), wh.read("alerts")).first()
+    progress = None
+    if a.progress:
+        with open(a.progress, encoding="utf-8") as fh:
+            progress = json.load(fh)
+    verdict = check(progress, a.max_lag)
+    lag = "n/a" if verdict["lag"] is None else str(verdict["lag"])
+    print(f"  Source lag                 : {lag}")
+    print(f"  Bars total                 : {stats['total_bars']}")
+    print(f"  Bars last 5 min            : {stats['bars_last_5min']}")
+    print(f"  Alerts total               : {stats['total_alerts']}")
+    print(f"  Latest processed_at (UTC)  : {stats['latest_processed_at']}")
+    if not verdict["healthy"]:
+        print(f"UNHEALTHY: lag {verdict['lag']} exceeds threshold {a.max_lag}")
+        return 1
+    print("OK")
+    sys.stdout.flush()
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

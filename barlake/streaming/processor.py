@@ -36,7 +36,6 @@ from barlake.schemas import (
     BAR_WIDTH,
     DLQ_TOPIC,
     REFERENCE_LOOKBACK_SECONDS,
-    STREAM_SHUFFLE_PARTITIONS,
     TICK_TOPIC,
     TRIGGER_INTERVAL,
     WATERMARK_DELAY,
@@ -216,6 +215,9 @@ class StreamConfig:
     watermark: str = WATERMARK_DELAY
     width: str = BAR_WIDTH
     dlq_format: str = "json"
+    # state partitions are fixed by the first checkpoint: size them for the
+    # cluster up front (the reference's dev stack used 4); None = session value
+    state_partitions: int | None = None
 
 
 def stream_id_for(spark: SparkSession, checkpoint_root: str) -> str:
@@ -234,9 +236,8 @@ def stream_id_for(spark: SparkSession, checkpoint_root: str) -> str:
 
 def start(spark: SparkSession, cfg: StreamConfig):
     """Start the dead-letter and bar queries; returns (dlq_query, bars_query)."""
-    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        # state partitions are fixed by the first checkpoint; choose them up front
-        spark.conf.set("spark.sql.shuffle.partitions", str(STREAM_SHUFFLE_PARTITIONS))
+    if cfg.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
     wh = Warehouse(spark, cfg.warehouse)
     wh.ensure_tables(["fact_intraday_bars", "alerts", "bar_metrics"])
     messages = read_messages(
@@ -284,10 +285,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--landing")
     p.add_argument("--bootstrap")
     p.add_argument("--threshold", type=float, default=ALERT_THRESHOLD_PCT)
+    p.add_argument("--state-partitions", type=int, help="shuffle/state partitions (fixed per checkpoint)")
     a = p.parse_args(argv)
     spark = build_session(app_name="barlake-stream")
     start(spark, StreamConfig(a.warehouse, a.checkpoints, a.dlq, a.source, a.landing, a.bootstrap,
-                              threshold_pct=a.threshold))
+                              threshold_pct=a.threshold, state_partitions=a.state_partitions))
     spark.streams.awaitAnyTermination()
 
 
