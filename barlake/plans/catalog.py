@@ -848,6 +848,13 @@ def _fact(spark, sf_dir):
     return enrich_facts(clean, dim, BATCH_ID), dim
 
 
+def _fact_rows(spark, sf_dir):
+    """Fact rows for measures that need no company attributes (no dimension build)."""
+    from barlake.functions.timecols import date_id
+
+    return _clean(spark, sf_dir).withColumn("date_id", date_id(F.col("price_date")))
+
+
 def _star(spark, sf_dir):
     from barlake.operators.dims import date_dimension
     from barlake.operators.marts import star
@@ -870,7 +877,7 @@ def latest_close(spark, sf_dir):
     """Average close on the latest date, per ticker and overall."""
     from barlake.operators.marts import latest_close as measure
 
-    out = measure(_fact(spark, sf_dir)[0])
+    out = measure(_fact_rows(spark, sf_dir))
     return out.withColumn("latest_close", r9(F.col("latest_close")))
 
 
@@ -894,7 +901,7 @@ def return_30d(spark, sf_dir):
     """Per ticker: return from the last close at least 30 days back to the latest close."""
     from barlake.operators.marts import return_30d as measure
 
-    out = measure(_fact(spark, sf_dir)[0])
+    out = measure(_fact_rows(spark, sf_dir))
     return out.select(
         "ticker",
         "latest_date",
@@ -963,7 +970,7 @@ def return_histogram(spark, sf_dir):
     """Daily-return distribution per ticker in 0.005 bins."""
     from barlake.operators.marts import return_histogram as measure
 
-    return measure(_fact(spark, sf_dir)[0])
+    return measure(_fact_rows(spark, sf_dir))
 
 
 def _month_sums_sql() -> str:
@@ -1007,7 +1014,7 @@ def latest_facts(spark, sf_dir):
     """The ten newest fact rows (a top-k report)."""
     from barlake.operators.marts import latest_facts as top
 
-    return top(_fact(spark, sf_dir)[0]).select("ticker", "price_date", "close_price")
+    return top(_fact_rows(spark, sf_dir)).select("ticker", "price_date", "close_price")
 
 
 STREAM_NOW = "2024-01-31 00:00:00"

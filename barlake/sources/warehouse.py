@@ -89,8 +89,23 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         """The live version, projected to the declared schema (extra storage columns,
         such as sink partitions, are kept after the declared ones)."""
+        return self._project(name, self.spark.read.parquet(self.path(name)))
+
+    def read_partitions(self, name: str, column: str, values: list) -> DataFrame:
+        """Only the ``column=value`` folders of a partitioned table (a path glob, so
+        nothing else is listed); an empty frame with the table schema when none exist."""
+        base = self.path(name)
+        if values:
+            glob = join_path(base, f"{column}={{{','.join(str(v) for v in values)}}}")
+            try:
+                df = self.spark.read.option("basePath", base).parquet(glob)
+                return self._project(name, df)
+            except AnalysisException:
+                pass
+        return self._project(name, self.spark.createDataFrame([], self.schemas[name]))
+
+    def _project(self, name: str, df: DataFrame) -> DataFrame:
         schema = self.schemas[name]
-        df = self.spark.read.parquet(self.path(name))
         cols = [
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields

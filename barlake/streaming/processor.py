@@ -19,6 +19,7 @@ missing, so the retry recomputes both.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import uuid
 from dataclasses import dataclass
@@ -140,19 +141,21 @@ class BarSink:
             bars.unpersist()
 
     def _write(self, bars: DataFrame, batch_id: int) -> None:
-        first = bars.agg(F.min("window_start").alias("m")).first()["m"]
+        span = bars.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).first()
+        first, last = span["lo"], span["hi"]
         if first is None:
             return
         spark = bars.sparkSession
         now = F.localtimestamp().cast("timestamp_ntz")
         lower = F.timestamp_add("SECOND", F.lit(-self.lookback), ntz_literal(first))
-        stored = self.wh.read("fact_intraday_bars")
+        # read back only the bar_date folders that can hold the tail or a duplicate
+        start_day = (first - dt.timedelta(seconds=self.lookback)).date()
+        days = [start_day + dt.timedelta(days=k) for k in range((last.date() - start_day).days + 1)]
+        stored = self.wh.read_partitions("fact_intraday_bars", "bar_date", days)
         # a retried batch must not see its own earlier output
         mine = (F.col("stream_id") == self.stream_id) & (F.col("batch_id") == batch_id)
         if "stream_id" in stored.columns:
             stored = stored.where(~F.coalesce(mine, F.lit(False)))
-        if "bar_date" in stored.columns:
-            stored = stored.where(F.col("bar_date") >= F.to_date(lower))
         tail = stored.where(F.col("window_start") >= lower).select("ticker", "window_start", "close")
 
         new = bars.join(tail.select("ticker", "window_start"), ["ticker", "window_start"], "left_anti")
