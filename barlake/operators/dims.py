@@ -103,12 +103,11 @@ def assign_surrogate_keys(new_rows: DataFrame, existing: DataFrame, key: str = "
     """Ids ``max(existing) + 1 + position`` for new rows in ticker order.
 
     Positions come from a range-partitioned ordinal, so no single task numbers
-    all rows; the max id is a one-row aggregate joined on a constant key.
+    all rows; the max id is a scalar subquery.
     """
-    base = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("_base")).withColumn("_one", F.lit(1))
-    ranked = global_ordinal(new_rows.drop(key), ["ticker"], "_pos").withColumn("_one", F.lit(1))
-    joined = ranked.join(F.broadcast(base), "_one")
-    return joined.withColumn(key, F.col("_base") + F.col("_pos") + 1).drop("_one", "_base", "_pos")
+    base = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).scalar()
+    ranked = global_ordinal(new_rows.drop(key), ["ticker"], "_pos")
+    return ranked.withColumn(key, base + F.col("_pos") + 1).drop("_pos")
 
 
 def backfill_company_id(facts: DataFrame, dim: DataFrame) -> DataFrame:

@@ -141,6 +141,5 @@ def stream_health(bars: DataFrame, alerts: DataFrame, now, recent_minutes: int =
         F.count("*").alias("total_bars"),
         F.count_if(F.col("processed_at") >= cutoff).alias("bars_last_5min"),
         F.max("processed_at").alias("latest_processed_at"),
-    ).withColumn("_one", F.lit(1))
-    a = alerts.agg(F.count("*").alias("total_alerts")).withColumn("_one", F.lit(1))
-    return b.join(a, "_one").drop("_one")
+    )
+    return b.select("*", alerts.agg(F.count("*")).scalar().alias("total_alerts"))

@@ -143,10 +143,9 @@ def quality_results(df: DataFrame) -> DataFrame:
             (details if details is not None else F.lit(None).cast("string")).alias("details"),
         )
 
-    # at most TICKER_EXAMPLES rows; joined to the one-row counters on a constant key
+    # at most TICKER_EXAMPLES rows, attached as a scalar subquery (no join)
     examples = invalid_ticker_examples(df).agg(F.collect_list("ticker").alias("examples"))
-    one = F.lit(1).alias("_one")
-    counters = c.select("*", one).join(examples.select("*", one), "_one", "left").select(
+    counters = c.select("*", examples.scalar().alias("examples")).select(
         F.inline(
             F.array(
                 row("null_tickers", F.col("null_tickers")),
