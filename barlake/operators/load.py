@@ -59,6 +59,8 @@ def _stored_keys(stored: DataFrame, since=None) -> DataFrame:
     """
     if since is not None:
         stored = stored.where(F.col("price_date") >= F.lit(str(since)).cast("timestamp_ntz"))
+        if "price_year" in stored.columns:  # the warehouse's year folders
+            stored = stored.where(F.col("price_year") >= int(str(since)[:4]))
     return stored.select("ticker", day_start(F.col("price_date")).alias("price_date"))
 
 

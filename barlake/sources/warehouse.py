@@ -20,7 +20,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from barlake.schemas import PIPELINE_RUNS, QUALITY_RESULTS, WAREHOUSE_TABLES
 from barlake.session import join_path
@@ -38,6 +38,22 @@ BAR_METRICS = StructType(
 )
 EXTRA_TABLES = {"quality_results": QUALITY_TABLE, "bar_metrics": BAR_METRICS}
 
+# Storage-only partition columns. The price fact is appended daily and read back
+# by date range, so it is split by year; the stream sink tables carry the
+# partitions that make retried micro-batches idempotent (see streaming.processor).
+_SINK_PARTS = [
+    StructField("bar_date", DateType(), True),
+    StructField("stream_id", StringType(), True),
+    StructField("batch_id", LongType(), True),
+]
+STORAGE_PARTITIONS: dict[str, list[StructField]] = {
+    "fact_stock_prices": [StructField("price_year", IntegerType(), True)],
+    "fact_intraday_bars": _SINK_PARTS,
+    "alerts": _SINK_PARTS,
+}
+# how appends derive the partition values of a table (sink tables bring their own)
+PARTITION_VALUES = {"fact_stock_prices": {"price_year": lambda: F.year("price_date")}}
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None):
@@ -82,14 +98,20 @@ class Warehouse:
         for name in names or list(self.schemas):
             if not self.exists(name):
                 version = "0"
-                empty = self.spark.createDataFrame([], self.schemas[name])
-                empty.write.mode("overwrite").parquet(join_path(self._table_dir(name), f"v={version}"))
+                self._write_version(name, self.spark.createDataFrame([], self.schemas[name]), version)
                 self._set_version(name, version)
 
     def read(self, name: str) -> DataFrame:
         """The live version, projected to the declared schema (extra storage columns,
         such as sink partitions, are kept after the declared ones)."""
-        return self._project(name, self.spark.read.parquet(self.path(name)))
+        return self._project(name, self._reader(name).parquet(self.path(name)))
+
+    def storage_schema(self, name: str) -> StructType:
+        return StructType(self.schemas[name].fields + STORAGE_PARTITIONS.get(name, []))
+
+    def _reader(self, name: str):
+        # explicit schema: no inference, and an empty partitioned table reads as empty
+        return self.spark.read.schema(self.storage_schema(name))
 
     def read_partitions(self, name: str, column: str, values: list) -> DataFrame:
         """Only the ``column=value`` folders of a partitioned table (a path glob, so
@@ -98,7 +120,7 @@ class Warehouse:
         if values:
             glob = join_path(base, f"{column}={{{','.join(str(v) for v in values)}}}")
             try:
-                df = self.spark.read.option("basePath", base).parquet(glob)
+                df = self._reader(name).option("basePath", base).parquet(glob)
                 return self._project(name, df)
             except AnalysisException:
                 pass
@@ -125,15 +147,31 @@ class Warehouse:
         ]
         return df.select(*cols, *[F.col(k) for k in keep])
 
+    def _with_partitions(self, name: str, df: DataFrame):
+        derive = PARTITION_VALUES.get(name, {})
+        out = self._conform(name, df)
+        for col, fn in derive.items():
+            out = out.withColumn(col, fn())
+        return out, list(derive)
+
     def append(self, name: str, df: DataFrame) -> None:
-        self._conform(name, df).write.mode("append").parquet(self.path(name))
+        out, parts = self._with_partitions(name, df)
+        writer = out.write.mode("append")
+        if parts:
+            writer = writer.partitionBy(*parts)
+        writer.parquet(self.path(name))
+
+    def _write_version(self, name: str, df: DataFrame, version: str) -> None:
+        out, parts = self._with_partitions(name, df)
+        writer = out.write.mode("overwrite")
+        if parts:
+            writer = writer.partitionBy(*parts)
+        writer.parquet(join_path(self._table_dir(name), f"v={version}"))
 
     def replace(self, name: str, df: DataFrame) -> str:
         """Write ``df`` as a new version, then point the table at it."""
         version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S") + "-" + uuid.uuid4().hex[:8]
-        self._conform(name, df).write.mode("overwrite").parquet(
-            join_path(self._table_dir(name), f"v={version}")
-        )
+        self._write_version(name, df, version)
         self._set_version(name, version)
         return version
 

@@ -72,3 +72,21 @@ def test_no_ticker_left_fails(spark, tmp_path):
     c.tickers = [" ", ""]
     r = run_batch(spark, src.price_feed(spark, SF_SMALL), c)
     assert r["status"] == "FAILED" and "At least one ticker" in r["error"]
+
+
+def test_fact_is_year_partitioned_and_pruned(spark, tmp_path):
+    from barlake.operators.load import enrich_facts, new_rows
+    from barlake.operators.dims import empty_dim_company
+
+    feed = src.price_feed(spark, SF_SMALL)
+    r = run_batch(spark, feed, cfg(tmp_path, "p1"))
+    assert r["status"] == "SUCCESS", r["error"]
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    root = wh.path("fact_stock_prices")
+    years = sorted(d for d in os.listdir(root) if d.startswith("price_year="))
+    assert years and years[0] >= "price_year=1995"
+    batch = spark.createDataFrame([("HOUSE", dt.datetime(2001, 7, 1), 1.0, 1)],
+                                  "ticker string, price_date timestamp_ntz, close_price double, seq bigint")
+    enriched = enrich_facts(batch, empty_dim_company(spark), "x")
+    plan = new_rows(enriched, wh.read("fact_stock_prices"), dt.datetime(2001, 7, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(price_year" in plan and "(price_year#" in plan
