@@ -24,7 +24,7 @@ def normalise_requests(requests: DataFrame, col: str = "request") -> DataFrame:
 
 def require_tickers(tickers: DataFrame) -> None:
     if tickers.isEmpty():
-        raise ValueError("At least one ticker symbol is required.")
+        raise ValueError("the ticker request is empty after trimming blanks")
 
 
 def start_dates(
@@ -98,10 +98,7 @@ def failed_tickers(requested: DataFrame, extract: DataFrame, ticker_col: str = "
 
 def require_rows(extract: DataFrame) -> None:
     if extract.isEmpty():
-        raise ValueError(
-            "No data was extracted for any ticker. "
-            "Check ticker symbols, date ranges, and internet connection."
-        )
+        raise ValueError("the extract returned no rows for any requested ticker")
 
 
 def company_info(tickers: DataFrame, attributes: DataFrame) -> DataFrame:

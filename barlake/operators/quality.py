@@ -37,17 +37,15 @@ class CriticalQualityError(ValueError):
     def __init__(self, failed: list[str]):
         self.failed = failed
         super().__init__(
-            f"{CRITICAL_ERROR_PREFIX}{', '.join(failed)}. "
-            "Pipeline aborted — see quality report for details."
+            f"{CRITICAL_ERROR_PREFIX}{', '.join(failed)}. The run stops here; the quality "
+            "report has the counts."
         )
 
 
 def require_columns(df: DataFrame) -> None:
     missing = sorted(set(REQUIRED).difference(df.columns))
     if missing:
-        raise ValueError(
-            f"Quality check failed: missing required columns: {', '.join(missing)}"
-        )
+        raise ValueError(f"quality checks need columns that are absent: {', '.join(missing)}")
 
 
 def _volume_is_fractional_type(df: DataFrame) -> bool:

@@ -42,7 +42,7 @@ def find_date_column(columns: Sequence[str]) -> str:
     for name in columns:
         if name.lower() in DATE_COLUMN_NAMES:
             return name
-    raise ValueError("Could not locate a date column in the extracted stock data.")
+    raise ValueError("no date column (date, datetime or price_date) in the extract")
 
 
 def missing_columns(columns: Sequence[str], required: Sequence[str]) -> list[str]:
@@ -56,17 +56,14 @@ def standardize_columns(raw: DataFrame, keep: Sequence[str] = ("seq",)) -> DataF
     """
     trimmed = raw.toDF(*[str(c).strip() for c in raw.columns])
     if "Ticker" not in trimmed.columns and "ticker" not in trimmed.columns:
-        raise ValueError(
-            "Flat data must include a 'Ticker' column. "
-            "Use extract_stock_data() or add the column before transforming."
-        )
+        raise ValueError("a flat extract needs a Ticker column; tag single-ticker extracts with tag_ticker()")
     date_col = find_date_column(trimmed.columns)
     renames = {k: v for k, v in RAW_RENAMES.items() if k in trimmed.columns}
     renames[date_col] = "price_date"
     renamed = trimmed.withColumnsRenamed(renames)
     missing = missing_columns(renamed.columns, REQUIRED_COLUMNS)
     if missing:
-        raise ValueError(f"Extracted data is missing required columns: {', '.join(missing)}")
+        raise ValueError(f"the extract lacks required columns: {', '.join(missing)}")
     extra = [c for c in keep if c in renamed.columns and c not in REQUIRED_COLUMNS]
     return renamed.select(*REQUIRED_COLUMNS, *extra)
 

@@ -36,7 +36,7 @@ def resolve_bronze_root(
                 "azure Bronze target needs a storage account (connection settings missing)"
             )
         return f"abfss://{container}@{account}.dfs.core.windows.net"
-    raise ValueError(f"Unknown BRONZE_TARGET: {target!r} (expected one of {BRONZE_TARGETS})")
+    raise ValueError(f"no Bronze target called {target!r}; choose one of {BRONZE_TARGETS}")
 
 
 def with_partitions(raw: DataFrame, year_mode: str = "row", date_col: str = "Date") -> DataFrame:
@@ -112,7 +112,5 @@ def replay_rows(bronze: DataFrame, order_col: str | None = "landed_at", dedupe:
 
 def require_rows(df: DataFrame, root: str) -> DataFrame:
     if df.isEmpty():
-        raise FileNotFoundError(
-            f"No Bronze Parquet found under {root}. Run the batch job first to land replay data."
-        )
+        raise FileNotFoundError(f"no Bronze files under {root}; land an extract first")
     return df

@@ -71,7 +71,7 @@ def test_no_ticker_left_fails(spark, tmp_path):
     c = cfg(tmp_path, "none")
     c.tickers = [" ", ""]
     r = run_batch(spark, src.price_feed(spark, SF_SMALL), c)
-    assert r["status"] == "FAILED" and "At least one ticker" in r["error"]
+    assert r["status"] == "FAILED" and "request is empty" in r["error"]
 
 
 def test_fact_is_year_partitioned_and_pruned(spark, tmp_path):
