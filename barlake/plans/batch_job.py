@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import logging
 import sys
 import time
@@ -212,7 +213,8 @@ def _audit(cfg: BatchConfig, started, status: str, counts: dict, passed, error)
 
 
 def main(argv: list[str] | None = None) -> int:
-    """CLI: run the job over a Parquet source of raw rows; exit 1 on failure."""
+    """CLI: run the job over a Parquet source of raw rows; prints the result as
+    JSON and exits 1 on failure."""
     from barlake.session import build_session
 
     p = argparse.ArgumentParser(description="barlake daily batch job")
@@ -222,29 +224,19 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--reports", required=True)
     p.add_argument("--bronze")
     p.add_argument("--attributes", help="Parquet path of ticker, company_name, sector, industry")
+    p.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS, help="window for new tickers")
+    p.add_argument("--today", help="end of the extract window (YYYY-MM-DD, exclusive); default today")
     args = p.parse_args(argv)
     spark = build_session()
     cfg = BatchConfig(
         tickers=args.tickers.split(","), warehouse=args.warehouse, reports_dir=args.reports,
         bronze_root=args.bronze,
+        lookback_days=args.lookback_days,
+        today=dt.date.fromisoformat(args.today) if args.today else None,
     )
     attrs = spark.read.parquet(args.attributes) if args.attributes else None
     result = run_batch(spark, spark.read.parquet(args.source), cfg, attrs)
-    line = "-" * 60
-    print(line)
-    print(f"  Batch job       : {result['status']}")
-    print(f"  Batch ID        : {result['batch_id']}")
-    if result["status"] == STATUS_SUCCESS:
-        if result["failed_tickers"]:
-            print(f"  Failed tickers  : {', '.join(result['failed_tickers'])}")
-        print(f"  Rows extracted  : {result['rows_extracted']}")
-        print(f"  Rows inserted   : {result['rows_inserted']}")
-        print(f"  Rows skipped    : {result['rows_skipped']}")
-        print(f"  Quality passed  : {result['quality_passed']}")
-        print(f"  Elapsed         : {result['execution_time_seconds']}s")
-    else:
-        print(f"  Error    : {result['error']}")
-    print(line)
+    print(json.dumps(result, default=str))
     return 0 if result["status"] == STATUS_SUCCESS else 1
 
 

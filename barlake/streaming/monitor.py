@@ -95,7 +95,7 @@ def check(query_progress: dict | None, max_lag: int = MAX_CONSUMER_LAG) -> dict:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Print warehouse stream health; exit 1 when a given progress event shows too much lag.
+    """Print stream health as JSON; exit 1 when a given progress event shows too much lag.
 
     ``--progress`` takes a saved ``StreamingQueryProgress`` JSON (for example
     from ``ProgressTracker`` or ``query.lastProgress``).
@@ -119,18 +119,10 @@ def main(argv: list[str] | None = None) -> int:
         with open(a.progress, encoding="utf-8") as fh:
             progress = json.load(fh)
     verdict = check(progress, a.max_lag)
-    lag = "n/a" if verdict["lag"] is None else str(verdict["lag"])
-    print(f"  Source lag                 : {lag}")
-    print(f"  Bars total                 : {stats['total_bars']}")
-    print(f"  Bars last 5 min            : {stats['bars_last_5min']}")
-    print(f"  Alerts total               : {stats['total_alerts']}")
-    print(f"  Latest processed_at (UTC)  : {stats['latest_processed_at']}")
-    if not verdict["healthy"]:
-        print(f"UNHEALTHY: lag {verdict['lag']} exceeds threshold {a.max_lag}")
-        return 1
-    print("OK")
+    report = {**verdict, **{k: stats[k] for k in stats.asDict()}, "max_lag": a.max_lag}
+    print(json.dumps(report, default=str))
     sys.stdout.flush()
-    return 0
+    return 0 if verdict["healthy"] else 1
 
 
 if __name__ == "__main__":

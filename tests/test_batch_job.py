@@ -90,3 +90,25 @@ def test_fact_is_year_partitioned_and_pruned(spark, tmp_path):
     enriched = enrich_facts(batch, empty_dim_company(spark), "x")
     plan = new_rows(enriched, wh.read("fact_stock_prices"), dt.datetime(2001, 7, 1))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(price_year" in plan and "(price_year#" in plan
+
+
+def test_cli_runs_and_prints_json(spark, tmp_path, capsys):
+    from barlake.plans.batch_job import main
+
+    src_path = str(tmp_path / "raw")
+    src.price_feed(spark, SF_SMALL).write.parquet(src_path)
+    code = main(["--source", src_path, "--tickers", "HOUSE,MACHI", "--warehouse", str(tmp_path / "wh"),
+                 "--reports", str(tmp_path / "rep"), "--today", "2001-09-01", "--lookback-days", "3000"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and out["status"] == "SUCCESS" and out["rows_inserted"] > 0, out
+
+
+def test_monitor_cli(spark, tmp_path, capsys):
+    from barlake.streaming.monitor import main
+
+    Warehouse(spark, str(tmp_path / "wh")).ensure_tables(["fact_intraday_bars", "alerts"])
+    progress = tmp_path / "p.json"
+    progress.write_text(json.dumps({"sources": [{"metrics": {"maxOffsetsBehindLatest": "5000"}}]}))
+    code = main(["--warehouse", str(tmp_path / "wh"), "--progress", str(progress)])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 1 and out["lag"] == 5000 and out["total_bars"] == 0
