@@ -4,28 +4,48 @@ The file source reads files in modification-time order, so the replay is
 written as consecutive ordinal slices, one write after another: slice k+1 is
 never older than slice k, and a stream reading one file per trigger sees the
 ticks in event-time order. Each slice is written by a distributed job.
+
+The schedule is first staged once as Parquet, range-partitioned and sorted by
+ordinal, in the shared checkpoint folder; each slice then reads only the row
+groups whose ordinal statistics overlap it, instead of re-scanning everything.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.schemas import TICK_TOPIC
+from barlake.session import checkpoint_dir, join_path
 
 
-def land_in_order(messages: DataFrame, landing: str, rows_per_slice: int) -> int:
+def land_in_order(
+    messages: DataFrame, landing: str, rows_per_slice: int, staging: str | None = None
+) -> int:
     """Write ``messages`` (with ``ordinal`` and ``value``) as text slices of
     ``rows_per_slice`` consecutive ordinals; returns the number of slices."""
     if rows_per_slice <= 0:
         raise ValueError("rows_per_slice must be positive")
-    top = messages.agg(F.max("ordinal")).first()[0]
+    spark = messages.sparkSession
+    staging = staging or join_path(checkpoint_dir(spark), f"replay-staging-{uuid.uuid4().hex}")
+    staged_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (
+        messages.select("ordinal", "value")
+        .repartitionByRange(staged_parts, "ordinal")
+        .sortWithinPartitions("ordinal")
+        .write.mode("overwrite")
+        .parquet(staging)
+    )
+    staged = spark.read.parquet(staging)
+    top = staged.agg(F.max("ordinal")).first()[0]
     if top is None:
         return 0
     slices = int(top) // rows_per_slice + 1
     for k in range(slices):
         lo, hi = k * rows_per_slice, (k + 1) * rows_per_slice
-        part = messages.where((F.col("ordinal") >= lo) & (F.col("ordinal") < hi))
+        part = staged.where((F.col("ordinal") >= lo) & (F.col("ordinal") < hi))
         part.sortWithinPartitions("ordinal").select("value").write.mode("append").text(landing)
     return slices
 
