@@ -171,3 +171,22 @@ def test_since_bound_uses_whole_days(spark):
     assert [r.price_date for r in out] == [d(2026, 1, 3)]
     c = load_counts(enriched, stored, since).collect()[0]
     assert (c.rows_in_batch, c.rows_inserted, c.rows_skipped) == (2, 1, 1)
+
+
+def test_migrate_job_on_a_warehouse(spark, tmp_path):
+    from barlake.plans.migrate import migrate
+
+    root = str(tmp_path / "wh")
+    wh = Warehouse(spark, root)
+    wh.ensure_tables()
+    v1 = spark.createDataFrame(
+        [("AAPL", d(2026, 1, 2), 1.0), ("MSFT", d(2026, 1, 3), 2.0), ("AAPL", d(2026, 1, 5), 3.0)],
+        "ticker string, price_date timestamp_ntz, close_price double",
+    ).withColumn("loaded_at", now())
+    wh.append("fact_stock_prices", v1)  # a v1 table: no company_id, date_id, batch_id
+    assert migrate(spark, root, now()) == {"companies": 2}
+    first = sorted((r.ticker, r.price_date, r.company_id, r.date_id) for r in wh.read("fact_stock_prices").collect())
+    assert first[0] == ("AAPL", d(2026, 1, 2), 1, 20260102) and first[2][2] == 2
+    assert migrate(spark, root, now()) == {"companies": 2}
+    again = sorted((r.ticker, r.price_date, r.company_id, r.date_id) for r in wh.read("fact_stock_prices").collect())
+    assert again == first
