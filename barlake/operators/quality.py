@@ -1,10 +1,12 @@
 """The nine data-quality checks and their runner.
 
-Seven checks are counters and run in one aggregate (one pass, partial
-aggregation). Duplicates need a group-by on the key; date gaps need the
-previous date per ticker. The result is a small tall table
-``(check, severity, passed, failures, details)``; only that table and the
-first invalid-ticker examples are ever brought to the driver.
+All checks come out of one pass: per-row flags are summed per (ticker, day)
+on the map side (the key's row count is also the duplicate check), a window
+per ticker over those keyed rows finds the date gaps, and one global
+aggregate totals everything. Only the five ticker examples take a second,
+top-k pass. The result is a small tall table
+``(check, severity, passed, failures, details)``; only that table is ever
+brought to the driver.
 """
 
 from __future__ import annotations
@@ -52,36 +54,6 @@ def _volume_is_fractional_type(df: DataFrame) -> bool:
     return isinstance(df.schema["volume"].dataType, (DoubleType, FloatType, DecimalType))
 
 
-def counter_checks(df: DataFrame) -> DataFrame:
-    """One row: failure counts of null_tickers, null_dates, negative_prices (+ per
-    column), negative_volume, price_relationships, invalid_ticker_format, column_types."""
-    p = {c: nan_to_null(F.col(c).cast("double")) for c in PRICE_COLUMNS}
-    ticker = F.col("ticker")
-    rel = (
-        F.coalesce(p["low_price"] > p["open_price"], F.lit(False))
-        | F.coalesce(p["low_price"] > p["close_price"], F.lit(False))
-        | F.coalesce(p["open_price"] > p["high_price"], F.lit(False))
-        | F.coalesce(p["close_price"] > p["high_price"], F.lit(False))
-    )
-    if _volume_is_fractional_type(df):
-        v = nan_to_null(F.col("volume").cast("double"))
-        fractional: Column = F.count_if(v != F.floor(v)) > 0
-    else:
-        fractional = F.lit(False)
-    aggs = [
-        (F.count_if(ticker.isNull()) + F.count_if(ticker.rlike(r"^\s*$"))).alias("null_tickers"),
-        F.count_if(F.col("price_date").isNull()).alias("null_dates"),
-        *[F.count_if(p[c] < 0).alias(f"neg_{c}") for c in PRICE_COLUMNS],
-        F.count_if(nan_to_null(F.col("volume").cast("double")) < 0).alias("negative_volume"),
-        F.count_if(rel).alias("price_relationships"),
-        F.count_if(ticker.isNotNull() & ~ticker.rlike(TICKER_PATTERN)).alias(
-            "invalid_ticker_format"
-        ),
-        fractional.alias("fractional_volume"),
-    ]
-    return df.agg(*aggs)
-
-
 def duplicate_groups(df: DataFrame, keys=("ticker", "price_date")) -> DataFrame:
     """Keys that occur more than once, with their number of copies."""
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
@@ -116,6 +88,68 @@ def _severity(name: str) -> Column:
     return F.lit("CRITICAL" if name in CRITICAL_CHECKS else "WARNING")
 
 
+def _row_flags(df: DataFrame) -> list[Column]:
+    """Per-row 0/1 failure flags of the counter checks."""
+    p = {c: nan_to_null(F.col(c).cast("double")) for c in PRICE_COLUMNS}
+    ticker = F.col("ticker")
+
+    def flag(cond: Column) -> Column:
+        return F.coalesce(cond, F.lit(False)).cast("long")
+
+    rel = (
+        F.coalesce(p["low_price"] > p["open_price"], F.lit(False))
+        | F.coalesce(p["low_price"] > p["close_price"], F.lit(False))
+        | F.coalesce(p["open_price"] > p["high_price"], F.lit(False))
+        | F.coalesce(p["close_price"] > p["high_price"], F.lit(False))
+    )
+    if _volume_is_fractional_type(df):
+        v = nan_to_null(F.col("volume").cast("double"))
+        fractional = flag(v != F.floor(v))
+    else:
+        fractional = F.lit(0).cast("long")
+    return [
+        (flag(ticker.isNull()) + flag(ticker.rlike(r"^\s*$"))).alias("null_tickers"),
+        flag(F.col("price_date").isNull()).alias("null_dates"),
+        *[flag(p[c] < 0).alias(f"neg_{c}") for c in PRICE_COLUMNS],
+        flag(nan_to_null(F.col("volume").cast("double")) < 0).alias("negative_volume"),
+        flag(rel).alias("price_relationships"),
+        flag(ticker.isNotNull() & ~ticker.rlike(TICKER_PATTERN)).alias("invalid_ticker_format"),
+        fractional.alias("fractional_volume"),
+    ]
+
+
+_COUNTERS = [
+    "null_tickers",
+    "null_dates",
+    *[f"neg_{c}" for c in PRICE_COLUMNS],
+    "negative_volume",
+    "price_relationships",
+    "invalid_ticker_format",
+    "fractional_volume",
+]
+
+
+def check_totals(df: DataFrame, max_gap_days: int = DATE_GAP_DAYS) -> DataFrame:
+    """One row with every counter, the duplicate rows and the date gaps.
+
+    One shuffle on (ticker, day): each key's counters are summed map-side, and
+    the key's row count is the duplicate check. One more shuffle on ticker over
+    those keyed rows (at most one per calendar day and ticker) finds the gaps.
+    """
+    flagged = df.select("ticker", "price_date", *_row_flags(df))
+    keyed = flagged.groupBy("ticker", "price_date").agg(
+        F.count("*").alias("_n"), *[F.sum(c).alias(c) for c in _COUNTERS]
+    )
+    prev = previous_in_key(keyed, ["ticker"], "price_date", [], prefix="_p_")
+    days = F.timestamp_diff("DAY", F.col("_p_price_date"), F.col("price_date"))
+    gap = F.col("ticker").isNotNull() & F.col("price_date").isNotNull() & (days > max_gap_days)
+    return prev.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTERS],
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("duplicate_rows"),
+        F.count_if(F.coalesce(gap, F.lit(False))).alias("date_gaps"),
+    )
+
+
 def quality_results(df: DataFrame) -> DataFrame:
     """Tall result of all nine checks: check, severity, passed, failures, details.
 
@@ -124,7 +158,6 @@ def quality_results(df: DataFrame) -> DataFrame:
     (``date_gaps``); here they are counted.
     """
     require_columns(df)
-    c = counter_checks(df)
     neg_cols = F.filter(
         F.array(*[F.when(F.col(f"neg_{p}") > 0, F.lit(p)) for p in PRICE_COLUMNS]),
         lambda x: x.isNotNull(),
@@ -143,7 +176,8 @@ def quality_results(df: DataFrame) -> DataFrame:
 
     # at most TICKER_EXAMPLES rows, attached as a scalar subquery (no join)
     examples = invalid_ticker_examples(df).agg(F.collect_list("ticker").alias("examples"))
-    counters = c.select("*", examples.scalar().alias("examples")).select(
+    totals = check_totals(df).select("*", examples.scalar().alias("examples"))
+    tall = totals.select(
         F.inline(
             F.array(
                 row("null_tickers", F.col("null_tickers")),
@@ -155,6 +189,7 @@ def quality_results(df: DataFrame) -> DataFrame:
                     F.when(F.size(neg_cols) > 0, F.to_json(F.struct(neg_cols.alias("columns")))),
                 ),
                 row("negative_volume", F.col("negative_volume")),
+                row("duplicate_rows", F.col("duplicate_rows")),
                 row("price_relationships", F.col("price_relationships")),
                 row(
                     "invalid_ticker_format",
@@ -165,26 +200,20 @@ def quality_results(df: DataFrame) -> DataFrame:
                         F.to_json(F.struct(F.array_sort("examples").alias("examples"))),
                     ),
                 ),
+                row("date_gaps", F.col("date_gaps")),
                 row(
                     "column_types",
-                    F.col("fractional_volume").cast("int"),
+                    (F.col("fractional_volume") > 0).cast("int"),
                     None,
                     F.when(
-                        F.col("fractional_volume"),
+                        F.col("fractional_volume") > 0,
                         F.to_json(F.struct(F.array(issue).alias("issues"))),
                     ),
                 ),
             )
         )
     )
-    dups = duplicate_groups(df).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n")).select(
-        F.inline(F.array(row("duplicate_rows", F.col("n"))))
-    )
-    gaps = date_gaps(df).agg(F.count("*").alias("n")).select(
-        F.inline(F.array(row("date_gaps", F.col("n"))))
-    )
-    order = F.array_position(F.array(*[F.lit(n) for n in CHECK_ORDER]), F.col("check"))
-    return counters.unionByName(dups).unionByName(gaps).withColumn("_o", order).orderBy("_o").drop("_o")
+    return tall
 
 
 def summarize(results_rows) -> dict:
