@@ -19,8 +19,15 @@ _JOB_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpointed lineage cuts are removed once nothing references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # AQE merges small shuffle partitions up to this size and splits skewed ones
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
+# On a cluster, start shuffles wide and let AQE coalesce: AQE can merge small
+# partitions but never split a 500 GB one (what 200 partitions of a 100 TB
+# shuffle would be). Only applied when the submitter has not chosen a value.
+CLUSTER_INITIAL_PARTITIONS = 16384
+
 
 def build_session(
     master: str | None = None,
@@ -48,6 +55,10 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_utc(spark)
+    if not spark.sparkContext.master.startswith("local") and not shuffle_partitions:
+        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, str(CLUSTER_INITIAL_PARTITIONS))
     return spark
 
 

@@ -221,6 +221,8 @@ class StreamConfig:
     # state partitions are fixed by the first checkpoint: size them for the
     # cluster up front (the reference's dev stack used 4); None = session value
     state_partitions: int | None = None
+    # RocksDB keeps window state off the JVM heap (large state, many tickers)
+    rocksdb_state: bool = True
 
 
 def stream_id_for(spark: SparkSession, checkpoint_root: str) -> str:
@@ -241,6 +243,11 @@ def start(spark: SparkSession, cfg: StreamConfig):
     """Start the dead-letter and bar queries; returns (dlq_query, bars_query)."""
     if cfg.state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
+    if cfg.rocksdb_state:
+        spark.conf.set(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     wh = Warehouse(spark, cfg.warehouse)
     wh.ensure_tables(["fact_intraday_bars", "alerts", "bar_metrics"])
     messages = read_messages(
