@@ -41,7 +41,7 @@ from barlake.schemas import (
     TRIGGER_INTERVAL,
     WATERMARK_DELAY,
 )
-from barlake.session import join_path
+from barlake.session import ensure_utc, join_path
 from barlake.sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
@@ -241,6 +241,7 @@ def stream_id_for(spark: SparkSession, checkpoint_root: str) -> str:
 
 def start(spark: SparkSession, cfg: StreamConfig):
     """Start the dead-letter and bar queries; returns (dlq_query, bars_query)."""
+    ensure_utc(spark)  # event times are naive UTC; windows align to UTC minutes
     if cfg.state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
     if cfg.rocksdb_state:
