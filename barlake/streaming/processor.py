@@ -239,9 +239,15 @@ def stream_id_for(spark: SparkSession, checkpoint_root: str) -> str:
     return sid
 
 
-def start(spark: SparkSession, cfg: StreamConfig):
-    """Start the dead-letter and bar queries; returns (dlq_query, bars_query)."""
+def start(spark: SparkSession, cfg: StreamConfig, tracker=None):
+    """Start the dead-letter and bar queries; returns (dlq_query, bars_query).
+
+    ``tracker`` (a ``monitor.ProgressTracker``) is registered as a query
+    listener first, so health checks can read lag from the progress events.
+    """
     ensure_utc(spark)  # event times are naive UTC; windows align to UTC minutes
+    if tracker is not None:
+        spark.streams.addListener(tracker)
     if cfg.state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
     if cfg.rocksdb_state:

@@ -163,3 +163,20 @@ def test_replay_landing_feeds_the_stream(spark, tmp_path):
     cut = F.lit(last) - F.expr("INTERVAL 30 SECONDS")
     closed = sched.where(F.date_trunc("minute", "event_time") + F.expr("INTERVAL 1 MINUTE") <= cut)
     assert bars.agg(F.sum("tick_count")).collect()[0][0] == closed.count() > 0
+
+
+def test_progress_tracker_sees_both_queries(spark, tmp_path):
+    from barlake.streaming.monitor import ProgressTracker
+
+    landing = str(tmp_path / "landing")
+    land(spark, src.tick_messages(spark, SF_SMALL, with_faults=True), landing, parts=2)
+    tracker = ProgressTracker()
+    dlq_q, bars_q = start(spark, cfg_for(tmp_path, landing), tracker)
+    dlq_q.awaitTermination(300)
+    bars_q.awaitTermination(300)
+    time.sleep(1.0)  # listener events are delivered asynchronously
+    spark.streams.removeListener(tracker)
+    assert {"dead_letters", "intraday_bars"} <= set(tracker.latest)
+    # the file source reports no broker lag: unknown is not unhealthy
+    assert check(tracker.latest["intraday_bars"])["healthy"] is True
+    assert tracker.latest["intraday_bars"]["numInputRows"] >= 0
