@@ -65,17 +65,22 @@ def is_healthy(lag: int | None, max_lag: int = MAX_CONSUMER_LAG) -> bool:
 
 
 class ProgressTracker(StreamingQueryListener):
-    """Keeps the latest progress JSON per query name."""
+    """Keeps the latest progress JSON per query name, and the running total of
+    rows dropped as too late by the watermark."""
 
     def __init__(self):
         self.latest: dict[str, dict] = {}
+        self.dropped_late: dict[str, int] = {}
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
         p = json.loads(event.progress.json)
-        self.latest[p.get("name") or p.get("id")] = p
+        name = p.get("name") or p.get("id")
+        self.latest[name] = p
+        late = sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+        self.dropped_late[name] = self.dropped_late.get(name, 0) + late
 
     def onQueryIdle(self, event):  # noqa: N802
         pass

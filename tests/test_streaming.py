@@ -126,9 +126,17 @@ def test_late_tick_is_dropped(spark, tmp_path):
         os.utime(os.path.join(landing, f"f{i}.txt"), (1_000_000 + i, 1_000_000 + i))
     cfg = cfg_for(tmp_path, landing)
     cfg.max_files_per_trigger = 1
-    _, bars_q = run(spark, cfg)
+    from barlake.streaming.monitor import ProgressTracker
+
+    tracker = ProgressTracker()
+    dlq_q, bars_q = start(spark, cfg, tracker)
+    dlq_q.awaitTermination(300)
+    bars_q.awaitTermination(300)
+    time.sleep(1.0)
+    spark.streams.removeListener(tracker)
     bars = {r.window_start.minute: r for r in Warehouse(spark, cfg.warehouse).read("fact_intraday_bars").collect()}
     assert bars[0].high == 10.0 and bars[0].tick_count == 1  # the late 99.0 never entered
+    assert tracker.dropped_late["intraday_bars"] >= 1  # and Spark counted it as dropped
 
 
 def test_health_rules():
