@@ -32,3 +32,20 @@ def normalise_ticker(col: Column) -> Column:
     """Trim and upper-case; blank becomes null."""
     t = F.upper(F.trim(col))
     return F.when(t == "", F.lit(None).cast("string")).otherwise(t)
+
+
+# Sums of prices are accumulated as exact decimals: the result then does not
+# depend on the order in which partial sums meet (tasks, frames, engines), and
+# the mean is one correctly rounded division.
+EXACT_SUM_TYPE = "decimal(38,10)"
+
+
+def exact_sum(col: Column) -> Column:
+    """Order-independent sum of a price column (an aggregate expression)."""
+    return F.sum(col.cast(EXACT_SUM_TYPE))
+
+
+def exact_mean(col: Column) -> Column:
+    """Mean of the non-null values: exact decimal sum / count, as a double; null
+    when there are none."""
+    return F.try_divide(exact_sum(col).cast("double"), F.count(col).cast("double"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.functions.prices import exact_mean
 from barlake.schemas import (
     HEALTH_RECENT_MINUTES,
     MONTH_NAMES,
@@ -47,13 +48,13 @@ def latest_close(fact: DataFrame) -> DataFrame:
     per_ticker = (
         f.join(last, ["ticker", "price_date"], "inner")
         .groupBy("ticker", "price_date")
-        .agg(F.avg("close_price").alias("latest_close"))
+        .agg(exact_mean(F.col("close_price")).alias("latest_close"))
     )
     top = f.agg(F.max("price_date").alias("price_date"))
     overall = (
         f.join(top, "price_date", "inner")
         .groupBy("price_date")
-        .agg(F.avg("close_price").alias("latest_close"))
+        .agg(exact_mean(F.col("close_price")).alias("latest_close"))
         .select(F.lit(ALL_TICKERS).alias("ticker"), "price_date", "latest_close")
     )
     return per_ticker.unionByName(overall)
@@ -69,7 +70,7 @@ def return_30d(fact: DataFrame, days: int = RETURN_LOOKBACK_DAYS) -> DataFrame:
         f.join(last, "ticker")
         .groupBy("ticker", "latest_date")
         .agg(
-            F.avg(F.when(F.col("price_date") == F.col("latest_date"), F.col("close_price"))).alias(
+            exact_mean(F.when(F.col("price_date") == F.col("latest_date"), F.col("close_price"))).alias(
                 "latest_close"
             ),
             F.max(F.when(F.col("price_date") <= cutoff, F.col("price_date"))).alias("prior_date"),
@@ -78,7 +79,7 @@ def return_30d(fact: DataFrame, days: int = RETURN_LOOKBACK_DAYS) -> DataFrame:
     prior = (
         f.join(step1.select("ticker", F.col("prior_date").alias("price_date")), ["ticker", "price_date"])
         .groupBy("ticker")
-        .agg(F.avg("close_price").alias("prior_close"))
+        .agg(exact_mean(F.col("close_price")).alias("prior_close"))
     )
     out = step1.join(prior, "ticker", "left")
     return out.select(
@@ -106,7 +107,9 @@ def load_success_rate(runs: DataFrame) -> DataFrame:
 
 def price_trend(starred: DataFrame) -> DataFrame:
     """Average close per calendar day and company."""
-    return starred.groupBy("full_date", "company_name").agg(F.avg("close_price").alias("avg_close"))
+    return starred.groupBy("full_date", "company_name").agg(
+        exact_mean(F.col("close_price")).alias("avg_close")
+    )
 
 
 def return_histogram(fact: DataFrame, bin_width: float = RETURN_BIN_WIDTH) -> DataFrame:

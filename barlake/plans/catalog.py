@@ -2,8 +2,9 @@
 
 Every query reads the given tables (``sf_dir``) over their whole extent and
 returns a DataFrame; nothing is collected. Doubles computed by arithmetic are
-rounded to 9 places on both sides so that summation order cannot change a
-hash. Timestamps stay ``TIMESTAMP_NTZ`` (DuckDB ``TIMESTAMP``).
+not rounded: means are exact decimal sums over counts (``prices.exact_mean``), and
+everything else is the same IEEE arithmetic on the same inputs in both engines,
+so the doubles agree bit for bit. Timestamps stay ``TIMESTAMP_NTZ`` (DuckDB ``TIMESTAMP``).
 """
 
 from __future__ import annotations
@@ -40,10 +41,6 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-def r9(col):
-    return F.round(col, 9)
-
-
 # ---------------------------------------------------------------------------
 # Bars, reference average, alerts
 # ---------------------------------------------------------------------------
@@ -75,8 +72,8 @@ def intraday_bars_1h(spark, sf_dir):
 def _scored_sql(lookback: int) -> str:
     return O.with_ctes(O.TICKS, O.bars_cte("1 minute", "minute"), O.scored_cte(lookback)) + """
 SELECT ticker, window_start, close,
-       round(reference_avg, 9) AS reference_avg,
-       round(CASE WHEN reference_avg IS NULL THEN close ELSE (reference_avg + close) / 2.0 END, 9)
+       reference_avg,
+       CASE WHEN reference_avg IS NULL THEN close ELSE (reference_avg + close) / 2.0 END
          AS avg_close_5min
 FROM scored"""
 
@@ -87,8 +84,8 @@ def _scored(spark, sf_dir, lookback):
         "ticker",
         "window_start",
         "close",
-        r9(F.col("reference_avg")).alias("reference_avg"),
-        r9(F.col("avg_close_5min")).alias("avg_close_5min"),
+        F.col("reference_avg").alias("reference_avg"),
+        F.col("avg_close_5min").alias("avg_close_5min"),
     )
 
 
@@ -107,8 +104,8 @@ def bar_reference_avg_5h(spark, sf_dir):
 def _alerts_sql(lookback: int) -> str:
     return O.with_ctes(O.TICKS, O.bars_cte("1 minute", "minute"), O.scored_cte(lookback)) + f"""
 SELECT ticker, window_start, close,
-       round(reference_avg, 9) AS reference_avg,
-       round({O.MOVE_PCT}, 9) AS move_pct,
+       reference_avg,
+       {O.MOVE_PCT} AS move_pct,
        2.0::DOUBLE AS threshold_pct
 FROM scored
 WHERE reference_avg IS NOT NULL AND abs({O.MOVE_PCT}) > 2.0"""
@@ -121,8 +118,8 @@ def _alerts(spark, sf_dir, lookback):
         "ticker",
         "window_start",
         "close",
-        r9(F.col("reference_avg")).alias("reference_avg"),
-        r9(F.col("move_pct")).alias("move_pct"),
+        F.col("reference_avg").alias("reference_avg"),
+        F.col("move_pct").alias("move_pct"),
         "threshold_pct",
     )
 
@@ -168,13 +165,13 @@ CLEAN_COLS = (
 @register(
     "clean_prices",
     O.with_ctes(O.FEED, O.CLEAN)
-    + f"SELECT {CLEAN_COLS}, round(daily_return, 9) AS daily_return, "
+    + f"SELECT {CLEAN_COLS}, daily_return, "
     f"TIMESTAMP '{RUN_TS}' AS loaded_at FROM clean",
 )
 def clean_prices(spark, sf_dir):
     """Full transform of the raw feed: the 10 output columns."""
     out = _clean(spark, sf_dir).drop("seq")
-    return out.withColumn("daily_return", r9(F.col("daily_return")))
+    return out.withColumn("daily_return", F.col("daily_return"))
 
 
 @register(
@@ -197,12 +194,12 @@ def dedupe_last(spark, sf_dir):
 @register(
     "daily_return",
     O.with_ctes(O.FEED, O.CLEAN)
-    + "SELECT ticker, price_date, close_price, round(daily_return, 9) AS daily_return FROM clean",
+    + "SELECT ticker, price_date, close_price, daily_return FROM clean",
 )
 def daily_return(spark, sf_dir):
     """close / previous close - 1 per ticker in date order."""
     return _clean(spark, sf_dir).select(
-        "ticker", "price_date", "close_price", r9(F.col("daily_return")).alias("daily_return")
+        "ticker", "price_date", "close_price", F.col("daily_return").alias("daily_return")
     )
 
 
@@ -757,17 +754,19 @@ msgs AS (
   SELECT event_id, upper(trim(event_type)) AS key, event_id % 40 AS kind, value AS price,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume, ts
   FROM events)"""
-_REASON_SQL = """CASE kind
-  WHEN 0 THEN 'price must be positive'
-  WHEN 1 THEN 'missing fields: source'
-  WHEN 2 THEN 'event_time is not ISO-8601'
-  WHEN 3 THEN 'source must be one of (''live'', ''replay'')'
-  WHEN 4 THEN 'ticker must be a non-empty string'
-  WHEN 5 THEN 'price is not numeric'
-  WHEN 6 THEN 'volume must be non-negative'
-  WHEN 7 THEN 'payload is not a JSON object'
-  WHEN 8 THEN 'missing fields: producer_id'
-  WHEN 9 THEN 'volume is not numeric'
+# The first failing rule wins, in rule order, applied to the values each
+# message actually carries (base data may hold a zero price, for example).
+_REASON_SQL = """CASE
+  WHEN kind = 7 THEN 'payload is not a JSON object'
+  WHEN kind = 1 THEN 'missing fields: source'
+  WHEN kind = 8 THEN 'missing fields: producer_id'
+  WHEN kind = 4 THEN 'ticker must be a non-empty string'
+  WHEN kind = 5 THEN 'price is not numeric'
+  WHEN (CASE WHEN kind = 0 THEN -price ELSE price END) <= 0 THEN 'price must be positive'
+  WHEN kind = 9 THEN 'volume is not numeric'
+  WHEN (CASE WHEN kind = 6 THEN -volume - 1 ELSE volume END) < 0 THEN 'volume must be non-negative'
+  WHEN kind = 2 THEN 'event_time is not ISO-8601'
+  WHEN kind = 3 THEN 'source must be one of (''live'', ''replay'')'
   ELSE 'ok' END"""
 
 
@@ -799,7 +798,8 @@ def tick_reject_reasons(spark, sf_dir):
 
 @register(
     "dead_letters",
-    O.with_ctes(_MSG_SQL) + f"SELECT event_id, key, {_REASON_SQL} AS reason FROM msgs WHERE kind < 10",
+    O.with_ctes(_MSG_SQL)
+    + f"SELECT event_id, key, reason FROM (SELECT *, {_REASON_SQL} AS reason FROM msgs) WHERE reason <> 'ok'",
 )
 def dead_letters(spark, sf_dir):
     """Messages routed to the dead-letter sink (the exact complement of valid ticks)."""
@@ -810,7 +810,8 @@ def dead_letters(spark, sf_dir):
 @register(
     "valid_ticks",
     O.with_ctes(_MSG_SQL)
-    + "SELECT event_id, key AS ticker, price, volume, ts AS event_time FROM msgs WHERE kind >= 10",
+    + f"""SELECT event_id, key AS ticker, price, volume, ts AS event_time
+FROM (SELECT *, {_REASON_SQL} AS reason FROM msgs) WHERE reason = 'ok'""",
 )
 def valid_ticks(spark, sf_dir):
     """Valid messages parsed to typed ticks (ticker normalised, time as naive UTC)."""
@@ -866,11 +867,11 @@ def _star(spark, sf_dir):
 @register(
     "latest_close",
     O.with_ctes(O.FEED, _FACT_SQL)
-    + """, last AS (SELECT ticker, max(price_date) AS price_date FROM fact GROUP BY ticker)
-SELECT f.ticker, f.price_date, round(avg(f.close_price), 9) AS latest_close
+    + f""", last AS (SELECT ticker, max(price_date) AS price_date FROM fact GROUP BY ticker)
+SELECT f.ticker, f.price_date, {O.exact_mean("f.close_price")} AS latest_close
 FROM fact f JOIN last l ON f.ticker = l.ticker AND f.price_date = l.price_date GROUP BY 1, 2
 UNION ALL
-SELECT '(all)', price_date, round(avg(close_price), 9) FROM fact
+SELECT '(all)', price_date, {O.exact_mean("close_price")} FROM fact
 WHERE price_date = (SELECT max(price_date) FROM fact) GROUP BY 2""",
 )
 def latest_close(spark, sf_dir):
@@ -878,23 +879,23 @@ def latest_close(spark, sf_dir):
     from barlake.operators.marts import latest_close as measure
 
     out = measure(_fact_rows(spark, sf_dir))
-    return out.withColumn("latest_close", r9(F.col("latest_close")))
+    return out.withColumn("latest_close", F.col("latest_close"))
 
 
 @register(
     "return_30d",
     O.with_ctes(O.FEED, _FACT_SQL)
-    + """, last AS (SELECT ticker, max(price_date) AS latest_date FROM fact GROUP BY ticker),
+    + f""", last AS (SELECT ticker, max(price_date) AS latest_date FROM fact GROUP BY ticker),
 s1 AS (
   SELECT f.ticker, l.latest_date,
-         avg(f.close_price) FILTER (WHERE f.price_date = l.latest_date) AS latest_close,
+         CAST(sum(CAST(f.close_price AS DECIMAL(38,10))) FILTER (WHERE f.price_date = l.latest_date) AS DOUBLE)
+           / count(f.close_price) FILTER (WHERE f.price_date = l.latest_date) AS latest_close,
          max(f.price_date) FILTER (WHERE f.price_date <= l.latest_date - INTERVAL 30 DAY) AS prior_date
   FROM fact f JOIN last l USING (ticker) GROUP BY 1, 2),
-pr AS (SELECT f.ticker, avg(f.close_price) AS prior_close FROM fact f
+pr AS (SELECT f.ticker, {O.exact_mean("f.close_price")} AS prior_close FROM fact f
        JOIN s1 ON f.ticker = s1.ticker AND f.price_date = s1.prior_date GROUP BY 1)
-SELECT s1.ticker, latest_date, round(latest_close, 9) AS latest_close, prior_date,
-       round(prior_close, 9) AS prior_close,
-       round((latest_close - prior_close) / prior_close, 9) AS return_30d
+SELECT s1.ticker, latest_date, latest_close, prior_date, prior_close,
+       (latest_close - prior_close) / prior_close AS return_30d
 FROM s1 LEFT JOIN pr USING (ticker)""",
 )
 def return_30d(spark, sf_dir):
@@ -905,10 +906,10 @@ def return_30d(spark, sf_dir):
     return out.select(
         "ticker",
         "latest_date",
-        r9(F.col("latest_close")).alias("latest_close"),
+        F.col("latest_close").alias("latest_close"),
         "prior_date",
-        r9(F.col("prior_close")).alias("prior_close"),
-        r9(F.col("return_30d")).alias("return_30d"),
+        F.col("prior_close").alias("prior_close"),
+        F.col("return_30d").alias("return_30d"),
     )
 
 
@@ -927,14 +928,14 @@ runs AS (
     "load_success_rate",
     O.with_ctes(_RUNS_SQL)
     + """SELECT count(*) AS runs, count_if(status = 'SUCCESS') AS successful,
-       round(count_if(status = 'SUCCESS') / count(*), 9) AS success_rate FROM runs""",
+       count_if(status = 'SUCCESS') / count(*) AS success_rate FROM runs""",
 )
 def load_success_rate(spark, sf_dir):
     """Share of successful pipeline runs in the audit table."""
     from barlake.operators.marts import load_success_rate as measure
 
     out = measure(src.pipeline_runs_source(spark, sf_dir))
-    return out.withColumn("success_rate", r9(F.col("success_rate")))
+    return out.withColumn("success_rate", F.col("success_rate"))
 
 
 @register(
@@ -951,13 +952,14 @@ def run_health(spark, sf_dir):
 @register(
     "price_trend",
     O.with_ctes(O.FEED, _FACT_SQL)
-    + "SELECT price_date AS full_date, company_name, round(avg(close_price), 9) AS avg_close FROM fact GROUP BY 1, 2",
+    + f"SELECT price_date AS full_date, company_name, {O.exact_mean('close_price')} AS avg_close "
+    "FROM fact GROUP BY 1, 2",
 )
 def price_trend(spark, sf_dir):
     """Average close per day and company (the headline line chart)."""
     from barlake.operators.marts import price_trend as measure
 
-    return measure(_star(spark, sf_dir)).withColumn("avg_close", r9(F.col("avg_close")))
+    return measure(_star(spark, sf_dir)).withColumn("avg_close", F.col("avg_close"))
 
 
 @register(

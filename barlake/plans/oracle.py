@@ -39,13 +39,19 @@ def scored_cte(lookback_seconds: int) -> str:
     return f"""
 scored AS (
   SELECT *,
-         avg(close) OVER (PARTITION BY ticker ORDER BY window_start
-                          RANGE BETWEEN INTERVAL {lookback_seconds} SECONDS PRECEDING
-                                    AND INTERVAL 1 SECONDS PRECEDING) AS reference_avg
+         CAST(sum(CAST(close AS DECIMAL(38,10))) OVER w AS DOUBLE) / count(close) OVER w AS reference_avg
   FROM bars
+  WINDOW w AS (PARTITION BY ticker ORDER BY window_start
+               RANGE BETWEEN INTERVAL {lookback_seconds} SECONDS PRECEDING
+                         AND INTERVAL 1 SECONDS PRECEDING)
 )"""
 
 
+def exact_mean(x: str) -> str:
+    """Mean as exact decimal sum / count (matches ``prices.exact_mean``)."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,10))) AS DOUBLE) / count({x})"
+
+
 MOVE_PCT = "CASE WHEN reference_avg = 0 THEN 0.0 ELSE (close - reference_avg) / reference_avg * 100.0 END"
 
 VALID_TICKER = "regexp_full_match({0}, '[A-Z]{{1,5}}')"
