@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.functions.prices import EXACT_SUM_TYPE
+from barlake.functions.prices import PRICE_UNITS, price_units
 from barlake.functions.timecols import epoch_seconds
 from barlake.session import checkpoint_dir
 
@@ -77,8 +77,8 @@ def trailing_mean(
     frame = (
         Window.partitionBy(*keys, "_bkt").orderBy("_sec").rangeBetween(-lookback_seconds, -1)
     )
-    # exact decimal sum / count: the same value however the frame is summed
-    total = F.sum(F.col(value_col).cast(EXACT_SUM_TYPE)).over(frame).cast("double")
+    # exact integer sum / count: the same value however the frame is summed
+    total = F.sum(price_units(F.col(value_col))).over(frame).cast("double") / F.lit(float(PRICE_UNITS))
     n = F.count(value_col).over(frame).cast("double")
     scored = both.withColumn(out_col, F.try_divide(total, n))
     return scored.where(~F.col("_ctx")).drop("_sec", "_bkt", "_ctx")

@@ -2,7 +2,7 @@
 
 Every query reads the given tables (``sf_dir``) over their whole extent and
 returns a DataFrame; nothing is collected. Doubles computed by arithmetic are
-not rounded: means are exact decimal sums over counts (``prices.exact_mean``), and
+not rounded: means are exact integer micro-unit sums over counts (``prices.exact_mean``), and
 everything else is the same IEEE arithmetic on the same inputs in both engines,
 so the doubles agree bit for bit. Timestamps stay ``TIMESTAMP_NTZ`` (DuckDB ``TIMESTAMP``).
 """
@@ -888,7 +888,8 @@ def latest_close(spark, sf_dir):
     + f""", last AS (SELECT ticker, max(price_date) AS latest_date FROM fact GROUP BY ticker),
 s1 AS (
   SELECT f.ticker, l.latest_date,
-         CAST(sum(CAST(f.close_price AS DECIMAL(38,10))) FILTER (WHERE f.price_date = l.latest_date) AS DOUBLE)
+         CAST(sum(CAST(round(f.close_price * 1000000) AS BIGINT)) FILTER (WHERE f.price_date = l.latest_date)
+              AS DOUBLE) / 1000000.0
            / count(f.close_price) FILTER (WHERE f.price_date = l.latest_date) AS latest_close,
          max(f.price_date) FILTER (WHERE f.price_date <= l.latest_date - INTERVAL 30 DAY) AS prior_date
   FROM fact f JOIN last l USING (ticker) GROUP BY 1, 2),

@@ -39,7 +39,8 @@ def scored_cte(lookback_seconds: int) -> str:
     return f"""
 scored AS (
   SELECT *,
-         CAST(sum(CAST(close AS DECIMAL(38,10))) OVER w AS DOUBLE) / count(close) OVER w AS reference_avg
+         CAST(sum(CAST(round(close * 1000000) AS BIGINT)) OVER w AS DOUBLE) / 1000000.0
+           / count(close) OVER w AS reference_avg
   FROM bars
   WINDOW w AS (PARTITION BY ticker ORDER BY window_start
                RANGE BETWEEN INTERVAL {lookback_seconds} SECONDS PRECEDING
@@ -48,8 +49,8 @@ scored AS (
 
 
 def exact_mean(x: str) -> str:
-    """Mean as exact decimal sum / count (matches ``prices.exact_mean``)."""
-    return f"CAST(sum(CAST({x} AS DECIMAL(38,10))) AS DOUBLE) / count({x})"
+    """Mean as an exact micro-unit sum / count (matches ``prices.exact_mean``)."""
+    return f"CAST(sum(CAST(round({x} * 1000000) AS BIGINT)) AS DOUBLE) / 1000000.0 / count({x})"
 
 
 MOVE_PCT = "CASE WHEN reference_avg = 0 THEN 0.0 ELSE (close - reference_avg) / reference_avg * 100.0 END"
