@@ -102,8 +102,9 @@ def main() -> None:
     spark.stop()
     try:
         shuffle, read = io_by_query(log_dir)
-        out["shuffle_bytes"] = {n: shuffle.get(n, 0) for n in names}
-        out["input_bytes"] = {n: read.get(n, 0) for n in names}
+        # per run: each query's job group covers all of its repeats
+        out["shuffle_bytes"] = {n: shuffle.get(n, 0) // repeat for n in names}
+        out["input_bytes"] = {n: read.get(n, 0) // repeat for n in names}
         out["event_log"] = log_dir
     except Exception as exc:  # noqa: BLE001 - accounting must not cost the result line
         out["io_error"] = str(exc)[:200]
