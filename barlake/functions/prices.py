@@ -28,11 +28,6 @@ def simple_return(close: Column, previous_close: Column) -> Column:
     return F.try_divide(close, previous_close) - F.lit(1.0)
 
 
-def normalise_ticker(col: Column) -> Column:
-    """Trim and upper-case; blank becomes null."""
-    t = F.upper(F.trim(col))
-    return F.when(t == "", F.lit(None).cast("string")).otherwise(t)
-
 
 # Sums of prices are accumulated exactly, as whole micro-units (1e-6) in a
 # BIGINT: the result then does not depend on the order in which partial sums

@@ -148,13 +148,3 @@ def with_tick_check(df: DataFrame, raw: str = "raw") -> DataFrame:
         F.col("t_event_time").alias("t_event_time"),
     )
     return timed.select(*df.columns, F.inline(F.array(result)))
-
-
-def valid_tick_columns(tick: Column) -> list[Column]:
-    """Typed columns of a valid tick; ticker normalised (trim + upper)."""
-    return [
-        F.upper(F.trim(tick["ticker"])).alias("ticker"),
-        tick["price"].alias("price"),
-        tick["volume"].alias("volume"),
-        iso_string_to_ntz(tick["event_time"]).alias("event_time"),
-    ]

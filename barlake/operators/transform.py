@@ -19,7 +19,6 @@ from pyspark.sql.types import (
     IntegerType,
     LongType,
     ShortType,
-    StringType,
 )
 
 from barlake.functions.prices import nan_to_null, simple_return
@@ -192,7 +191,3 @@ def raw_as_text(raw: DataFrame) -> DataFrame:
     """Every column as text: the shape of an untyped extract (used by tests and
     the coercion query)."""
     return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
-
-
-def is_string(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, StringType)

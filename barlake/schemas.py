@@ -22,7 +22,6 @@ from pyspark.sql.types import (
 # Fixed values. These must equal the reference behaviour for right results.
 # ---------------------------------------------------------------------------
 PRICE_COLUMNS = ["open_price", "high_price", "low_price", "close_price", "adj_close_price"]
-NUMERIC_COLUMNS = PRICE_COLUMNS + ["volume"]
 CRITICAL_CHECKS = ("null_tickers", "null_dates", "negative_prices")
 CHECK_ORDER = (
     "null_tickers",
