@@ -8,7 +8,7 @@ by its date range, so it is broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.functions.prices import exact_mean
@@ -42,17 +42,23 @@ def slice_star(starred: DataFrame, company_name: str | None = None, year: int |
 
 def latest_close(fact: DataFrame) -> DataFrame:
     """Average close on the latest date: per ticker, plus one overall row
-    (ticker = '(all)') for the latest date over all tickers."""
+    (ticker = '(all)') for the latest date over all tickers.
+
+    One shuffle on ticker: the ticker's latest date is a window maximum (the
+    fact holds one row per ticker and day, so a ticker's window is bounded by
+    the calendar) and the grouping reuses that partitioning. The overall row
+    filters on the global latest date, a scalar subquery.
+    """
     f = fact.select("ticker", "price_date", "close_price")
-    last = f.groupBy("ticker").agg(F.max("price_date").alias("price_date"))
     per_ticker = (
-        f.join(last, ["ticker", "price_date"], "inner")
+        f.withColumn("_last", F.max("price_date").over(Window.partitionBy("ticker")))
+        .where(F.col("price_date") == F.col("_last"))
         .groupBy("ticker", "price_date")
         .agg(exact_mean(F.col("close_price")).alias("latest_close"))
     )
-    top = f.agg(F.max("price_date").alias("price_date"))
+    top = f.agg(F.max("price_date")).scalar()
     overall = (
-        f.join(top, "price_date", "inner")
+        f.where(F.col("price_date") == top)
         .groupBy("price_date")
         .agg(exact_mean(F.col("close_price")).alias("latest_close"))
         .select(F.lit(ALL_TICKERS).alias("ticker"), "price_date", "latest_close")
@@ -62,26 +68,27 @@ def latest_close(fact: DataFrame) -> DataFrame:
 
 def return_30d(fact: DataFrame, days: int = RETURN_LOOKBACK_DAYS) -> DataFrame:
     """Per ticker: latest close vs the close on the last available date at least
-    ``days`` before the latest one; (latest - prior) / prior, null when undefined."""
+    ``days`` before the latest one; (latest - prior) / prior, null when undefined.
+
+    One shuffle on ticker: the latest and prior dates are window values over the
+    ticker (bounded by the calendar) and the final grouping reuses the partitioning.
+    """
     f = fact.select("ticker", "price_date", "close_price")
-    last = f.groupBy("ticker").agg(F.max("price_date").alias("latest_date"))
+    by_ticker = Window.partitionBy("ticker")
+    latest = F.max("price_date").over(by_ticker)
+    with_latest = f.withColumn("latest_date", latest)
     cutoff = F.date_sub(F.col("latest_date"), days).cast("timestamp_ntz")
-    step1 = (
-        f.join(last, "ticker")
-        .groupBy("ticker", "latest_date")
-        .agg(
-            exact_mean(F.when(F.col("price_date") == F.col("latest_date"), F.col("close_price"))).alias(
-                "latest_close"
-            ),
-            F.max(F.when(F.col("price_date") <= cutoff, F.col("price_date"))).alias("prior_date"),
-        )
+    with_prior = with_latest.withColumn(
+        "prior_date", F.max(F.when(F.col("price_date") <= cutoff, F.col("price_date"))).over(by_ticker)
     )
-    prior = (
-        f.join(step1.select("ticker", F.col("prior_date").alias("price_date")), ["ticker", "price_date"])
-        .groupBy("ticker")
-        .agg(exact_mean(F.col("close_price")).alias("prior_close"))
+    out = with_prior.groupBy("ticker", "latest_date", "prior_date").agg(
+        exact_mean(F.when(F.col("price_date") == F.col("latest_date"), F.col("close_price"))).alias(
+            "latest_close"
+        ),
+        exact_mean(F.when(F.col("price_date") == F.col("prior_date"), F.col("close_price"))).alias(
+            "prior_close"
+        ),
     )
-    out = step1.join(prior, "ticker", "left")
     return out.select(
         "ticker",
         "latest_date",
