@@ -42,12 +42,11 @@ def enrich_facts(batch: DataFrame, dim_company: DataFrame, batch_id: str) -> Dat
     out = (
         batch.join(ids, "ticker", "left")
         .withColumn("date_id", date_id(F.col("price_date")))
-        .withColumn("batch_id", F.lit(batch_id))
         .withColumn("price_date", day_start(F.col("price_date")))
     )
     if "seq" in out.columns:
         out = dedupe_last(out, "seq", KEYS)
-    return out
+    return out.withColumn("batch_id", F.lit(batch_id))
 
 
 def _stored_keys(stored: DataFrame, since=None) -> DataFrame:

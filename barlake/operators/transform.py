@@ -13,12 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BooleanType,
+    ByteType,
+    DateType,
     DecimalType,
     DoubleType,
     FloatType,
     IntegerType,
     LongType,
     ShortType,
+    TimestampNTZType,
+    TimestampType,
 )
 
 from barlake.functions.prices import nan_to_null, simple_return
@@ -147,17 +152,39 @@ def tag_ticker(raw: DataFrame, ticker: str) -> DataFrame:
     return raw.withColumn("Ticker", F.lit(ticker))
 
 
-def dedupe_last(df: DataFrame, seq_col: str = "seq", keys: Sequence[str] = KEYS) -> DataFrame:
-    """Keep the last row per key, "last" = highest ``seq_col`` (arrival order).
+# types an aggregation buffer can hold in place (hash aggregation)
+_FIXED_WIDTH = (
+    BooleanType, ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType,
+    DateType, TimestampType, TimestampNTZType,
+)
+
+
+def _fixed_width(dtype) -> bool:
+    return isinstance(dtype, _FIXED_WIDTH) or (isinstance(dtype, DecimalType) and dtype.precision <= 18)
 
-    A hash aggregate, not a window: duplicates of a hot key collapse map-side
-    before the shuffle. Without an arrival column, file order stands in for it.
+
+def dedupe_last(df: DataFrame, seq_col: str = "seq", keys: Sequence[str] = KEYS) -> DataFrame:
+    """Keep the last row per key, "last" = highest ``seq_col`` (arrival order,
+    unique per key). Without an arrival column, file order stands in for it.
+
+    An aggregate, not a window: duplicates of a hot key collapse map-side before
+    the shuffle. With fixed-width columns each column is ``max_by(col, seq)``,
+    which runs as a hash aggregate (about twice as fast as a struct payload,
+    which needs a sort-based one); since ``seq`` is unique per key, every column
+    comes from the same row.
     """
     keys = list(keys)
     if seq_col not in df.columns:
         df = df.withColumn(seq_col, F.monotonically_increasing_id())
     others = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(seq_col)).alias("_r"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    seq = F.col(seq_col)
+    if all(_fixed_width(types[c]) for c in others):
+        aggs = [
+            (F.max(seq) if c == seq_col else F.max_by(F.col(c), seq)).alias(c) for c in others
+        ]
+        return df.groupBy(*keys).agg(*aggs).select(*df.columns)
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*others), seq).alias("_r"))
     return last.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
 
 
