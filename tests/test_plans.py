@@ -30,6 +30,14 @@ def test_transform_scans_once(spark):
     p = plan(entry_mod.queries()["clean_prices"](spark, SF_SMALL))
     assert p.count("FileScan parquet") == 2  # orders + customer, once each
     assert "partial_max_by" in p
+    # keep-last is a hash aggregate (per-column max_by), not a sort-based one
+    assert "SortAggregate" not in p
+
+
+def test_daily_windows_run_per_ticker_after_dedupe(spark):
+    p = plan(entry_mod.queries()["daily_return"](spark, SF_SMALL))
+    window = [line for line in p.splitlines() if "Window [lag(" in line]
+    assert window and "windowspecdefinition(ticker" in window[0]
 
 
 def test_validation_filter_stays_above_the_parse(spark):
