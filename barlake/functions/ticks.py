@@ -16,8 +16,19 @@ from barlake.schemas import REQUIRED_TICK_FIELDS, TICK, TICK_REASONS, VALID_SOUR
 
 NOT_AN_OBJECT = "payload is not a JSON object"
 
-_NUMBER = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\))$"
-_INTEGER = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,0\))$"
+_INTEGRAL_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
+
+
+def _is_number(token_type: Column) -> Column:
+    """JSON number token: an integer, float or decimal variant type."""
+    return token_type.isin(*_INTEGRAL_TYPES, "FLOAT", "DOUBLE") | token_type.startswith("DECIMAL(")
+
+
+def _is_integer(token_type: Column) -> Column:
+    """Integral JSON number token (a decimal with scale 0 counts)."""
+    return token_type.isin(*_INTEGRAL_TYPES) | (
+        token_type.startswith("DECIMAL(") & token_type.endswith(",0)")
+    )
 
 
 def build_tick(
@@ -63,19 +74,21 @@ def _reason_from_parts(
     source: Column,
 ) -> Column:
     """First failing rule, from already-extracted parts (cheap column logic)."""
-    required = F.array(*[F.lit(name) for name in REQUIRED_TICK_FIELDS])
-    present = F.array(*[types[name].isNotNull() for name in REQUIRED_TICK_FIELDS])
-    missing = F.filter(required, lambda name, i: ~F.element_at(present, i + 1))
+    # concat_ws skips nulls: the absent names, in field order, without a lambda
+    absent = [types[name].isNull() for name in REQUIRED_TICK_FIELDS]
+    missing_list = F.concat_ws(
+        ", ", *[F.when(a, F.lit(name)) for a, name in zip(absent, REQUIRED_TICK_FIELDS)]
+    )
+    any_missing = absent[0]
+    for a in absent[1:]:
+        any_missing = any_missing | a
     return (
         F.when(~F.coalesce(is_object, F.lit(False)), F.lit(NOT_AN_OBJECT))
-        .when(
-            F.size(missing) > 0,
-            F.concat(F.lit(TICK_REASONS["missing_prefix"]), F.array_join(missing, ", ")),
-        )
+        .when(any_missing, F.concat(F.lit(TICK_REASONS["missing_prefix"]), missing_list))
         .when((types["ticker"] != "STRING") | (F.trim(ticker) == ""), F.lit(TICK_REASONS["ticker"]))
-        .when(~types["price"].rlike(_NUMBER) | price.isNull(), F.lit(TICK_REASONS["price_type"]))
+        .when(~_is_number(types["price"]) | price.isNull(), F.lit(TICK_REASONS["price_type"]))
         .when(price <= 0, F.lit(TICK_REASONS["price_sign"]))
-        .when(~types["volume"].rlike(_INTEGER) | volume.isNull(), F.lit(TICK_REASONS["volume_type"]))
+        .when(~_is_integer(types["volume"]) | volume.isNull(), F.lit(TICK_REASONS["volume_type"]))
         .when(volume < 0, F.lit(TICK_REASONS["volume_sign"]))
         .when((types["event_time"] != "STRING") | ~time_ok, F.lit(TICK_REASONS["time"]))
         .when((types["source"] != "STRING") | ~source.isin(*VALID_SOURCES), F.lit(TICK_REASONS["source"]))
