@@ -103,9 +103,15 @@ def global_ordinal(
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c).asc() for c in order_cols]
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # without an explicit count AQE sizes the range partitions (a small dimension
+    # becomes one partition); the ids stay consistent because the tagged rows are
+    # checkpointed before anything else reads them
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *cols)
+    else:
+        ranged = df.repartitionByRange(*cols)
+    ranged = ranged.sortWithinPartitions(*cols)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_local",
         F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33),
