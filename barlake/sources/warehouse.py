@@ -246,3 +246,22 @@ def write_quality_report(spark: SparkSession, report: dict, reports_dir: str) ->
     with open(target, "w", encoding="utf-8") as fh:
         fh.write(text)
     return target
+
+
+def append_jdbc(
+    df: DataFrame, url: str, table: str, batch_size: int = 500, options: dict | None = None
+) -> None:
+    """Append rows to a relational table through Spark's JDBC writer, in insert
+    batches of ``batch_size`` rows (the relational warehouse of the reference).
+
+    Each task writes its own partition over its own connection; the table must
+    exist. Deduplicate against stored keys first (``load.new_rows``)."""
+    writer = (
+        df.write.format("jdbc")
+        .option("url", url)
+        .option("dbtable", table)
+        .option("batchsize", str(batch_size))
+    )
+    for key, value in (options or {}).items():
+        writer = writer.option(key, value)
+    writer.mode("append").save()
