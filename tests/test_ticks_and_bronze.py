@@ -139,3 +139,38 @@ def test_replay_prefers_latest_batch(spark, tmp_path):
     write_bronze(spark.createDataFrame([(d(2026, 1, 2), "A", 2.0, None), (d(2026, 1, 3), "A", None, 1)], schema), root, "b2")
     rows = replay_rows(read_bronze(spark, root)).collect()
     assert [(r.Date, r.price, r.volume) for r in rows] == [(dt.datetime(2026, 1, 2), 2.0, 0)]
+
+
+def test_bronze_year_modes(spark):
+    from barlake.sources.bronze import with_partitions
+
+    raw = spark.createDataFrame(
+        [(d(2025, 12, 30), "AAPL", 1.0), (d(2026, 1, 2), "AAPL", 2.0), (d(2025, 6, 1), "MSFT", 3.0)],
+        "Date timestamp_ntz, Ticker string, Close double",
+    )
+    own = {(r.ticker, r.Date.year): r.year for r in with_partitions(raw, "row").collect()}
+    assert own == {("AAPL", 2025): 2025, ("AAPL", 2026): 2026, ("MSFT", 2025): 2025}
+    latest = {(r.ticker, r.Date.year): r.year for r in with_partitions(raw, "extract").collect()}
+    assert latest == {("AAPL", 2025): 2026, ("AAPL", 2026): 2026, ("MSFT", 2025): 2025}
+    with pytest.raises(ValueError):
+        with_partitions(raw, "other")
+
+
+def test_bronze_failure_is_not_fatal(spark, tmp_path):
+    from barlake.sources.bronze import write_bronze_safely
+
+    blocker = tmp_path / "not-a-dir"
+    blocker.write_text("x")  # a file where the Bronze folder should go
+    raw = spark.createDataFrame([(d(2026, 1, 2), "AAPL", 1.0)], "Date timestamp_ntz, Ticker string, Close double")
+    assert write_bronze_safely(raw, str(blocker / "bronze"), "b1") is False
+
+
+def test_tag_single_ticker_extract(spark):
+    from barlake.operators.transform import tag_ticker, transform_prices
+
+    raw = spark.createDataFrame(
+        [(d(2026, 1, 1), 1.0, 2.0, 0.5, 1.5, 1.5, 10)],
+        "Date timestamp_ntz, Open double, High double, Low double, Close double, `Adj Close` double, Volume bigint",
+    )
+    out = transform_prices(tag_ticker(raw, "nvda")).collect()[0]
+    assert out.ticker == "NVDA" and out.close_price == 1.5
