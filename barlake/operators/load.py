@@ -97,3 +97,15 @@ def to_fact_schema(rows: DataFrame) -> DataFrame:
         c: Column = F.col(f.name) if f.name in rows.columns else F.lit(None)
         cols.append(c.cast(f.dataType).alias(f.name))
     return rows.select(*cols)
+
+
+def merge_rows(enriched: DataFrame, stored: DataFrame) -> DataFrame:
+    """Late corrections (``on_conflict="update"``): the stored rows of the batch's
+    years without the batch's keys, plus every batch row. Written back over
+    those years' partitions, a stored (ticker, day) takes the batch's values."""
+    years = [r[0] for r in enriched.select(F.year("price_date")).distinct().collect()]  # the batch span
+    keep = stored.where(F.year("price_date").isin(years)) if years else stored.limit(0)
+    if "price_year" in keep.columns and years:
+        keep = keep.where(F.col("price_year").isin(years))  # prunes the year folders
+    kept = keep.join(enriched.select(*KEYS), KEYS, "left_anti")
+    return to_fact_schema(kept).unionByName(to_fact_schema(enriched))

@@ -38,6 +38,8 @@ from barlake.operators.load import (
     batch_first_day,
     enrich_facts,
     last_stored_dates,
+    load_counts,
+    merge_rows,
     new_rows,
     to_fact_schema,
 )
@@ -45,7 +47,14 @@ from barlake.operators.quality import CriticalQualityError, quality_results, sum
 from barlake.operators.transform import transform_prices
 from barlake.schemas import LOOKBACK_DAYS, STATUS_FAILED, STATUS_SUCCESS
 from barlake.sources.bronze import write_bronze_safely
-from barlake.sources.warehouse import Warehouse, quality_report, write_audit_row, write_quality_report
+from barlake.session import checkpoint_dir, join_path
+from barlake.sources.warehouse import (
+    Warehouse,
+    quality_report,
+    replace_partitions_via,
+    write_audit_row,
+    write_quality_report,
+)
 
 log = logging.getLogger(__name__)
 
@@ -64,6 +73,9 @@ class BatchConfig:
     lookback_days: int = LOOKBACK_DAYS
     today: dt.date | None = None
     batch_id: str = field(default_factory=lambda: str(uuid.uuid4()))
+    # "skip": stored (ticker, day) keys are left alone (the reference's behaviour);
+    # "update": the batch's values replace them (late corrections are applied)
+    on_conflict: str = "skip"
 
 
 def seed_dim_date(wh: Warehouse) -> None:
@@ -79,6 +91,8 @@ def run_batch(
     attributes: DataFrame | None = None,
 ) -> dict:
     """Run the whole batch job over a raw price ``source`` (Date, Ticker, fields[, seq])."""
+    if cfg.on_conflict not in ("skip", "update"):
+        raise ValueError(f"on_conflict must be 'skip' or 'update', not {cfg.on_conflict!r}")
     started = utc_now()
     t0 = time.monotonic()
     batch_id = cfg.batch_id
@@ -144,11 +158,18 @@ def run_batch(
         new_obs = Observation("inserted")
         observed = enriched.observe(batch_obs, F.count(F.lit(1)).alias("n"))
         since = batch_first_day(enriched)  # day-truncated, like the stored keys
-        fresh = new_rows(observed, facts, since).observe(new_obs, F.count(F.lit(1)).alias("n"))
-        wh.append("fact_stock_prices", to_fact_schema(fresh))
-        in_batch = batch_obs.get["n"]
-        counts["rows_inserted"] = new_obs.get["n"]
-        counts["rows_skipped"] = in_batch - counts["rows_inserted"]
+        if cfg.on_conflict == "update":
+            c = load_counts(enriched, facts, since).first()
+            staging = join_path(checkpoint_dir(spark), f"merge-{batch_id}")
+            replace_partitions_via(wh, "fact_stock_prices", merge_rows(enriched, facts), staging)
+            counts["rows_inserted"], counts["rows_updated"] = c["rows_inserted"], c["rows_skipped"]
+            counts["rows_skipped"] = 0
+        else:
+            fresh = new_rows(observed, facts, since).observe(new_obs, F.count(F.lit(1)).alias("n"))
+            wh.append("fact_stock_prices", to_fact_schema(fresh))
+            in_batch = batch_obs.get["n"]
+            counts["rows_inserted"] = new_obs.get["n"]
+            counts["rows_skipped"] = in_batch - counts["rows_inserted"]
 
         elapsed = time.monotonic() - t0
         report_path = _report(spark, cfg, summary, counts, t0)
@@ -226,12 +247,15 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--attributes", help="Parquet path of ticker, company_name, sector, industry")
     p.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS, help="window for new tickers")
     p.add_argument("--today", help="end of the extract window (YYYY-MM-DD, exclusive); default today")
+    p.add_argument("--on-conflict", choices=["skip", "update"], default="skip",
+                   help="stored (ticker, day) rows: keep them (default) or apply the batch's values")
     args = p.parse_args(argv)
     spark = build_session()
     cfg = BatchConfig(
         tickers=args.tickers.split(","), warehouse=args.warehouse, reports_dir=args.reports,
         bronze_root=args.bronze,
         lookback_days=args.lookback_days,
+        on_conflict=args.on_conflict,
         today=dt.date.fromisoformat(args.today) if args.today else None,
     )
     attrs = spark.read.parquet(args.attributes) if args.attributes else None

@@ -197,6 +197,28 @@ class Warehouse:
         )
 
 
+def replace_partitions_via(wh: "Warehouse", name: str, rows: DataFrame, staging: str) -> None:
+    """Replace whole partitions of a partitioned table with ``rows``.
+
+    Spark cannot overwrite a path it is reading, and ``rows`` is usually
+    derived from those very partitions, so they are first written to
+    ``staging`` (a shared folder) and then swapped in by a second job with
+    dynamic partition overwrite: only the partitions present in ``rows`` change.
+    """
+    out, parts = wh._with_partitions(name, rows)
+    if not parts:
+        raise ValueError(f"{name} is not partitioned")
+    out.write.mode("overwrite").partitionBy(*parts).parquet(staging)
+    staged = wh.spark.read.schema(wh.storage_schema(name)).parquet(staging)
+    (
+        staged.sortWithinPartitions(*parts, *SORT_WITHIN.get(name, []))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts)
+        .parquet(wh.path(name))
+    )
+
+
 def audit_row(spark: SparkSession, audit: dict) -> DataFrame:
     """One-row DataFrame in the pipeline_runs schema; run_id is a hash of batch_id."""
     row = {f.name: audit.get(f.name) for f in PIPELINE_RUNS.fields}

@@ -112,3 +112,23 @@ def test_monitor_cli(spark, tmp_path, capsys):
     code = main(["--warehouse", str(tmp_path / "wh"), "--progress", str(progress)])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 1 and out["lag"] == 5000 and out["total_bars"] == 0
+
+
+def test_update_mode_applies_late_corrections(spark, tmp_path):
+    feed = src.price_feed(spark, SF_SMALL)
+    r1 = run_batch(spark, feed, cfg(tmp_path, "u1"))
+    assert r1["status"] == "SUCCESS", r1["error"]
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    before = {(r.ticker, r.price_date): r.close_price for r in wh.read("fact_stock_prices").collect()}
+
+    corrected = feed.withColumn("Close", F.col("Close") * 2)  # a corrected re-delivery
+    c = cfg(tmp_path, "u2")
+    c.on_conflict = "update"
+    r2 = run_batch(spark, corrected, c)
+    assert r2["status"] == "SUCCESS", r2["error"]
+    assert r2["rows_inserted"] == 0 and r2["rows_updated"] == r2["rows_extracted"] > 0
+    after = {(r.ticker, r.price_date): r.close_price for r in wh.read("fact_stock_prices").collect()}
+    assert set(after) == set(before)  # nothing added, nothing lost
+    changed = [k for k in after if after[k] != before[k]]
+    assert len(changed) == r2["rows_updated"]
+    assert all(abs(after[k] - 2 * before[k]) < 1e-9 for k in changed)
