@@ -30,6 +30,12 @@ def star(fact: DataFrame, dim_company: DataFrame, dim_date: DataFrame) -> DataFr
     return fact.join(comp, "company_id", "left").join(F.broadcast(cal), "date_id", "left")
 
 
+def with_calendar(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Fact rows with calendar attributes only (for measures that need no company)."""
+    cal = dim_date.select("date_id", "full_date", "year", "quarter", "month", "month_name")
+    return fact.join(F.broadcast(cal), "date_id", "left")
+
+
 def slice_star(starred: DataFrame, company_name: str | None = None, year: int | None = None) -> DataFrame:
     """Page slicers: company name and calendar year (None = no filter)."""
     out = starred
@@ -127,9 +133,12 @@ def return_histogram(fact: DataFrame, bin_width: float = RETURN_BIN_WIDTH) -> Da
     return r.groupBy("ticker", b).agg(F.count("*").alias("days"))
 
 
-def volume_matrix(starred: DataFrame) -> DataFrame:
-    """Ticker x month-name matrix of summed volume (months in calendar order)."""
-    return starred.groupBy("ticker").pivot("month_name", MONTH_NAMES).agg(F.sum("volume"))
+def volume_matrix(dated: DataFrame) -> DataFrame:
+    """Ticker x month-name matrix of summed volume (months in calendar order).
+
+    Needs only the calendar (``with_calendar``); the pivot values are fixed, so
+    no extra job looks them up."""
+    return dated.groupBy("ticker").pivot("month_name", MONTH_NAMES).agg(F.sum("volume"))
 
 
 def latest_facts(fact: DataFrame, n: int = 10) -> DataFrame:

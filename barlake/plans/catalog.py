@@ -989,9 +989,11 @@ def _month_sums_sql() -> str:
 @register("volume_matrix", O.with_ctes(O.FEED, _FACT_SQL) + _month_sums_sql())
 def volume_matrix(spark, sf_dir):
     """Ticker x month matrix of summed volume."""
-    from barlake.operators.marts import volume_matrix as measure
+    from barlake.operators.dims import date_dimension
+    from barlake.operators.marts import volume_matrix as measure, with_calendar
 
-    return measure(_star(spark, sf_dir))
+    dated = with_calendar(_fact_rows(spark, sf_dir), date_dimension(spark, "1990-01-01", "2035-12-31"))
+    return measure(dated)
 
 
 @register(
