@@ -312,3 +312,41 @@ def main(argv: list[str] | None = None) -> None:
 
 if __name__ == "__main__":
     main()
+
+
+# ---------------------------------------------------------------------------
+# Compaction
+# ---------------------------------------------------------------------------
+
+COMPACTED_STREAM = "compacted"
+
+
+def compact_day(wh: Warehouse, table: str, day: dt.date, staging: str) -> int:
+    """Rewrite one closed day of a sink table as a single folder of large files.
+
+    Each micro-batch leaves its own ``bar_date/stream_id/batch_id`` folder, so a
+    day at 30 s triggers holds thousands of small ones. Once no micro-batch can
+    touch the day any more (it is older than the watermark plus the reference
+    lookback), its rows are staged in a shared folder and then written back over
+    the day as ``stream_id=compacted/batch_id=0``. Returns the rows kept.
+    """
+    base = wh.path(table)
+    rows = wh.read_partitions(table, "bar_date", [day])
+    declared = wh.schemas[table].fieldNames()
+    rows = rows.select(*declared)
+    rows.write.mode("overwrite").parquet(staging)
+    staged = wh.spark.read.schema(wh.schemas[table]).parquet(staging)
+    n = staged.count()
+    if n == 0:
+        return 0
+    (
+        staged.withColumn("stream_id", F.lit(COMPACTED_STREAM))
+        .withColumn("batch_id", F.lit(0).cast("bigint"))
+        .repartition(max(1, n // 1_000_000 + 1))
+        .sortWithinPartitions("ticker", "window_start")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")  # replace the whole day folder
+        .partitionBy("stream_id", "batch_id")
+        .parquet(join_path(base, f"bar_date={day.isoformat()}"))
+    )
+    return n

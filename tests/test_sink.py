@@ -64,3 +64,24 @@ def test_read_partitions_lists_only_named_folders(spark, tmp_path):
     assert wh.read_partitions("fact_intraday_bars", "bar_date", []).count() == 0
     assert "bar_date" in wh.read("fact_intraday_bars").columns
     assert wh.read("fact_intraday_bars").where(F.col("stream_id") == "stream-a").count() == 1
+
+
+def test_compaction_keeps_rows_and_leaves_one_folder(spark, tmp_path):
+    import os
+
+    from barlake.streaming.processor import compact_day
+
+    wh, s = sink(spark, tmp_path)
+    for k in range(4):  # four micro-batches on the same day
+        s(bars(spark, [("A", 2 * k, 100.0 + k), ("B", 2 * k, 50.0)]), k)
+    before = sorted(tuple(r) for r in wh.read("fact_intraday_bars").select("ticker", "window_start", "close").collect())
+    day = dt.date(2026, 1, 5)
+    assert compact_day(wh, "fact_intraday_bars", day, str(tmp_path / "stage")) == 8
+    after = sorted(tuple(r) for r in wh.read("fact_intraday_bars").select("ticker", "window_start", "close").collect())
+    assert after == before
+    folder = os.path.join(wh.path("fact_intraday_bars"), "bar_date=2026-01-05")
+    assert [d for d in os.listdir(folder) if d.startswith("stream_id=")] == ["stream_id=compacted"]
+    # the sink still reads the compacted day back as its tail
+    s(bars(spark, [("A", 9, 200.0)]), 4)
+    row = [r for r in wh.read("fact_intraday_bars").collect() if r.window_start.minute == 9][0]
+    assert row.avg_close_5min == ((102.0 + 103.0) / 2 + 200.0) / 2  # minutes 4 and 6 lie in [4:00, 8:59]
