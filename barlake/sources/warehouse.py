@@ -197,21 +197,32 @@ class Warehouse:
         )
 
 
-def replace_partitions_via(wh: "Warehouse", name: str, rows: DataFrame, staging: str) -> None:
+ROWS_PER_FILE = 4_000_000
+
+
+def replace_partitions_via(
+    wh: "Warehouse", name: str, rows: DataFrame, staging: str, rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Replace whole partitions of a partitioned table with ``rows``.
 
     Spark cannot overwrite a path it is reading, and ``rows`` is usually
     derived from those very partitions, so they are first written to
     ``staging`` (a shared folder) and then swapped in by a second job with
     dynamic partition overwrite: only the partitions present in ``rows`` change.
+    The second write is range-partitioned on (partition, sort columns) into
+    about ``rows_per_file`` rows per task, so files are large, contiguous and
+    do not overlap (tight row-group statistics).
     """
     out, parts = wh._with_partitions(name, rows)
     if not parts:
         raise ValueError(f"{name} is not partitioned")
     out.write.mode("overwrite").partitionBy(*parts).parquet(staging)
     staged = wh.spark.read.schema(wh.storage_schema(name)).parquet(staging)
+    order = [*parts, *SORT_WITHIN.get(name, [])]
+    tasks = max(1, -(-staged.count() // rows_per_file))
     (
-        staged.sortWithinPartitions(*parts, *SORT_WITHIN.get(name, []))
+        staged.repartitionByRange(tasks, *order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
@@ -219,6 +230,17 @@ def replace_partitions_via(wh: "Warehouse", name: str, rows: DataFrame, staging:
     )
 
 
+def compact_partitions(wh: "Warehouse", name: str, column: str, values: list, staging: str) -> int:
+    """Rewrite the named partitions of an appended table (daily appends leave many
+    small files in the current year) as a few large, sorted files. Returns the
+    rows rewritten; the table's contents do not change."""
+    rows = wh.read(name).where(F.col(column).isin(values))
+    n = rows.count()
+    if n:
+        replace_partitions_via(wh, name, rows, staging)
+    return n
+
+
 def audit_row(spark: SparkSession, audit: dict) -> DataFrame:
     """One-row DataFrame in the pipeline_runs schema; run_id is a hash of batch_id."""
     row = {f.name: audit.get(f.name) for f in PIPELINE_RUNS.fields}

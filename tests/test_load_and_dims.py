@@ -190,3 +190,23 @@ def test_migrate_job_on_a_warehouse(spark, tmp_path):
     assert migrate(spark, root, now()) == {"companies": 2}
     again = sorted((r.ticker, r.price_date, r.company_id, r.date_id) for r in wh.read("fact_stock_prices").collect())
     assert again == first
+
+
+def test_compact_fact_year_keeps_rows(spark, tmp_path):
+    import glob
+
+    from barlake.sources.warehouse import compact_partitions
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.ensure_tables(["fact_stock_prices"])
+    for k in range(3):  # three daily appends into 2026
+        day = spark.createDataFrame([("AAPL", d(2026, 1, 2 + k), 1.0 + k)],
+                                    "ticker string, price_date timestamp_ntz, close_price double")
+        wh.append("fact_stock_prices", day.withColumn("loaded_at", now()))
+    folder = f"{wh.path('fact_stock_prices')}/price_year=2026"
+    assert len(glob.glob(f"{folder}/*.parquet")) >= 3
+    before = sorted(tuple(r) for r in wh.read("fact_stock_prices").select("ticker", "price_date", "close_price").collect())
+    assert compact_partitions(wh, "fact_stock_prices", "price_year", [2026], str(tmp_path / "stage")) == 3
+    after = sorted(tuple(r) for r in wh.read("fact_stock_prices").select("ticker", "price_date", "close_price").collect())
+    assert after == before
+    assert len(glob.glob(f"{folder}/*.parquet")) < 3
