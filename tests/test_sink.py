@@ -85,3 +85,17 @@ def test_compaction_keeps_rows_and_leaves_one_folder(spark, tmp_path):
     s(bars(spark, [("A", 9, 200.0)]), 4)
     row = [r for r in wh.read("fact_intraday_bars").collect() if r.window_start.minute == 9][0]
     assert row.avg_close_5min == ((102.0 + 103.0) / 2 + 200.0) / 2  # minutes 4 and 6 lie in [4:00, 8:59]
+
+
+def test_maintenance_cli(spark, tmp_path, capsys):
+    import json
+
+    from barlake.plans.maintenance import main
+
+    wh, s = sink(spark, tmp_path)
+    s(bars(spark, [("A", 0, 100.0)]), 0)
+    s(bars(spark, [("A", 2, 101.0)]), 1)
+    code = main(["--warehouse", str(tmp_path / "wh"), "--bar-days-before", "2026-01-06", "--bar-days", "1"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and out["fact_intraday_bars:2026-01-05"] == 2
+    assert wh.read("fact_intraday_bars").count() == 2
