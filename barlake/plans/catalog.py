@@ -752,7 +752,7 @@ def replay_schedule(spark, sf_dir):
 _MSG_SQL = """
 msgs AS (
   SELECT event_id, upper(trim(event_type)) AS key, event_id % 40 AS kind, value AS price,
-         CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume, ts
+         TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume, ts
   FROM events)"""
 # The first failing rule wins, in rule order, applied to the values each
 # message actually carries (base data may hold a zero price, for example).
@@ -774,7 +774,7 @@ _REASON_SQL = """CASE
     "tick_messages",
     """SELECT event_id, upper(trim(event_type)) AS key,
        json_object('ticker', upper(trim(event_type)), 'price', value,
-                   'volume', CAST(json_extract_string(props, '$.k') AS BIGINT),
+                   'volume', TRY_CAST(json_extract_string(props, '$.k') AS BIGINT),
                    'event_time', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00',
                    'source', 'replay', 'producer_id', 'events')::VARCHAR AS value
 FROM events""",

@@ -11,7 +11,7 @@ ticks AS (
   SELECT event_id,
          upper(event_type) AS ticker,
          value AS price,
-         CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume,
+         TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume,
          ts AS event_time
   FROM events
 )"""

@@ -39,7 +39,7 @@ def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.upper(F.col("event_type")).alias("ticker"),
         F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("volume"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("volume"),
         F.col("ts").alias("event_time"),
     )
 
@@ -70,7 +70,7 @@ def tick_messages(spark: SparkSession, sf_dir: str, with_faults: bool = True) ->
     ev = read_table(spark, sf_dir, "events")
     ticker = F.col("event_type")
     price = F.col("value")
-    volume = F.get_json_object("props", "$.k").cast("bigint")
+    volume = F.get_json_object("props", "$.k").try_cast("bigint")
     good = build_tick(ticker, price, volume, F.col("ts"), F.lit("events"))
     value: Column = F.to_json(good)
     if with_faults:
