@@ -56,7 +56,11 @@ def trailing_mean(
     bucket_seconds: int = SECONDS_PER_DAY,
 ) -> DataFrame:
     """``out_col`` = mean of ``value_col`` over rows of the same key whose time lies in
-    ``[t - lookback, t - 1 s]`` (null when there are none)."""
+    ``[t - lookback, t - 1 s]`` (null when there are none).
+
+    Values are summed exactly as price micro-units (``prices.price_units``), so
+    the mean does not depend on summation order; they carry up to 6 decimals.
+    """
     if lookback_seconds <= 0:
         raise ValueError("lookback_seconds must be positive")
     bucket_seconds = max(bucket_seconds, lookback_seconds)
