@@ -188,3 +188,22 @@ def test_progress_tracker_sees_both_queries(spark, tmp_path):
     # the file source reports no broker lag: unknown is not unhealthy
     assert check(tracker.latest["intraday_bars"])["healthy"] is True
     assert tracker.latest["intraday_bars"]["numInputRows"] >= 0
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    msgs = src.tick_messages(spark, SF_SMALL, with_faults=False)
+    land(spark, msgs, landing, parts=2)
+    cfg = cfg_for(tmp_path, landing)
+    cfg.available_now = False
+    cfg.trigger = "1 second"
+    dlq_q, bars_q = start(spark, cfg)
+    try:
+        for q in (dlq_q, bars_q):
+            q.processAllAvailable()
+        assert bars_q.isActive and bars_q.lastProgress is not None
+    finally:
+        dlq_q.stop()
+        bars_q.stop()
+    n = Warehouse(spark, cfg.warehouse).read("fact_intraday_bars").count()
+    assert n > 0
