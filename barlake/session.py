@@ -21,6 +21,10 @@ _JOB_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # AQE merges small shuffle partitions up to this size and splits skewed ones
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # the size check for sides that grow with the data (dimensions, key sets,
+    # per-ticker summaries): AQE broadcasts one only when its measured size is
+    # below this, otherwise the shuffle join stays
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
 # On a cluster, start shuffles wide and let AQE coalesce: AQE can merge small
