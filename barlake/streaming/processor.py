@@ -141,8 +141,10 @@ class BarSink:
             bars.unpersist()
 
     def _write(self, bars: DataFrame, batch_id: int) -> None:
-        span = bars.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).first()
-        first, last = span["lo"], span["hi"]
+        span = bars.agg(
+            F.min("window_start").alias("lo"), F.max("window_start").alias("hi"), F.count("*").alias("n")
+        ).first()
+        first, last, bars_in = span["lo"], span["hi"], span["n"]
         if first is None:
             return
         spark = bars.sparkSession
@@ -182,7 +184,6 @@ class BarSink:
             self.wh.overwrite_partitions(
                 "fact_intraday_bars", out.observe(bar_obs, F.count(F.lit(1)).alias("n")), SINK_PARTITIONS
             )
-            bars_in = bars.count()
             inserted = bar_obs.get["n"]
             metrics = spark.createDataFrame(
                 [(self.stream_id, batch_id, bars_in, inserted, bars_in - inserted, alert_obs.get["n"])],
