@@ -65,6 +65,8 @@ def test_validation_cases(spark):
         (js(ticker="   "), "ticker must be a non-empty string"),
         (js(ticker=123), "ticker must be a non-empty string"),
         (js(volume=1.5), "volume is not numeric"),
+        (js(volume=100.0), "ok"),
+        (js(volume=1e20), "volume is not numeric"),
         (js(volume=-1), "volume must be non-negative"),
         ('{"price": NaN}', "payload is not a JSON object"),
         ("not json", "payload is not a JSON object"),
