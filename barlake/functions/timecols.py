@@ -8,6 +8,16 @@ from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType,
 
 
 
+def instant_to_ntz(ts: Column) -> Column:
+    """A ``TIMESTAMP`` (an instant) as its naive UTC wall clock.
+
+    Goes through epoch microseconds, never through the session's local time,
+    which is ambiguous for an hour each autumn where clocks fall back.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
+
+
 def as_ntz(col: Column, dtype: DataType) -> Column:
     """Coerce a date/time-like column to naive UTC ``TIMESTAMP_NTZ``; bad values become null.
 
@@ -17,7 +27,7 @@ def as_ntz(col: Column, dtype: DataType) -> Column:
     if isinstance(dtype, TimestampNTZType):
         return col
     if isinstance(dtype, TimestampType):
-        return F.convert_timezone(None, F.lit("UTC"), col)
+        return instant_to_ntz(col)
     if isinstance(dtype, DateType):
         return col.cast("timestamp_ntz")
     if isinstance(dtype, StringType):
@@ -40,7 +50,7 @@ def iso_string_to_ntz(col: Column) -> Column:
         text.endswith("Z") | (F.locate("+", text, 12) > 0) | (F.locate("-", text, 12) > 0)
     )
     # With a zone: parse to an instant and show it in UTC. Without: wall clock.
-    zoned = F.convert_timezone(None, F.lit("UTC"), F.try_to_timestamp(text))
+    zoned = instant_to_ntz(F.try_to_timestamp(text))
     naive = text.try_cast("timestamp_ntz")
     return F.when(~text.rlike(ISO_PATTERN), F.lit(None).cast("timestamp_ntz")).when(
         has_zone, zoned
@@ -60,8 +70,8 @@ def epoch_seconds(ts: Column) -> Column:
 
 
 def day_start(ts: Column) -> Column:
-    """Midnight of the same day, keeping the NTZ type."""
-    return F.date_trunc("day", ts).cast("timestamp_ntz")
+    """Midnight of the same day, keeping the NTZ type (no session-zone round trip)."""
+    return F.to_date(ts).cast("timestamp_ntz")
 
 
 def date_id(ts: Column) -> Column:
