@@ -4,7 +4,9 @@ Every query reads the given tables (``sf_dir``) over their whole extent and
 returns a DataFrame; nothing is collected. Doubles computed by arithmetic are
 not rounded: means are exact integer micro-unit sums over counts (``prices.exact_mean``), and
 everything else is the same IEEE arithmetic on the same inputs in both engines,
-so the doubles agree bit for bit. Timestamps stay ``TIMESTAMP_NTZ`` (DuckDB ``TIMESTAMP``).
+so the doubles agree bit for bit. Timestamps stay ``TIMESTAMP_NTZ`` (DuckDB ``TIMESTAMP``),
+and every time conversion is zone-free, so the queries leave the caller's session
+settings alone and give the same rows in any session time zone.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from pyspark.sql import functions as F
 
 from barlake.operators import bars as bars_ops
 from barlake.plans import oracle as O
-from barlake.session import ensure_utc
 from barlake.sources import testdata as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +29,6 @@ ORACLES: dict[str, str] = {}
 def register(name: str, oracle: str | None = None):
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_utc(spark)
             return fn(spark, sf_dir)
 
         run.__name__ = fn.__name__
