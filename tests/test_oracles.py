@@ -61,3 +61,21 @@ def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() >= 0
     assert "reference_avg" in df.columns
+
+
+ZONE_SENSITIVE = ["tick_parse", "valid_ticks", "coerce_types", "fact_enriched", "bar_reference_avg",
+                  "replay_schedule", "dim_date", "dq_date_gaps", "stream_health"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_query_is_session_zone_free(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        sdf = entry_mod.queries()[name](spark, SF_SMALL)
+        srows = [tuple(r) for r in sdf.collect()]
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/Los_Angeles"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(entry_mod.oracle_sql()[name])
+    assert canon(sdf.columns, srows) == canon([c[0] for c in res.description], res.fetchall())
