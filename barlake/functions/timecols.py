@@ -44,14 +44,17 @@ ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d
 def iso_string_to_ntz(col: Column) -> Column:
     """ISO-8601 text -> naive UTC timestamp; null when not ISO-8601."""
     text = F.trim(col)
+    # minute precision ("14:30", "14:30Z", "14:30+05:30"): add ":00" seconds,
+    # which Spark's parser needs before a zone
+    full = F.regexp_replace(text, r"([T ]\d{2}:\d{2})(?=Z|[+-]|$)", "$1:00")
     # the shape regex has passed, so a zone is a trailing Z or a sign after the
     # time part (position 12 on); plain string functions, no second regex
     has_zone = (F.length(text) > 10) & (
         text.endswith("Z") | (F.locate("+", text, 12) > 0) | (F.locate("-", text, 12) > 0)
     )
     # With a zone: parse to an instant and show it in UTC. Without: wall clock.
-    zoned = instant_to_ntz(F.try_to_timestamp(text))
-    naive = text.try_cast("timestamp_ntz")
+    zoned = instant_to_ntz(F.try_to_timestamp(full))
+    naive = full.try_cast("timestamp_ntz")
     return F.when(~text.rlike(ISO_PATTERN), F.lit(None).cast("timestamp_ntz")).when(
         has_zone, zoned
     ).otherwise(naive)

@@ -13,16 +13,20 @@ SETTINGS = settings(max_examples=30, deadline=None, suppress_health_check=list(H
 
 MOMENTS = st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2035, 12, 31))
 OFFSETS = st.one_of(st.none(), st.just("Z"), st.integers(min_value=-12 * 4, max_value=14 * 4))
-FRACTIONS = st.sampled_from([0, 3, 6])
+FRACTIONS = st.sampled_from([-1, 0, 3, 6])  # -1: minute precision, no seconds
 
 
 def render(moment: dt.datetime, offset, digits: int) -> tuple[str, dt.datetime]:
     """ISO text and the naive UTC instant it denotes."""
-    base = moment.strftime("%Y-%m-%dT%H:%M:%S")
-    if digits:
-        base += "." + f"{moment.microsecond:06d}"[:digits]
-    frac = int((f"{moment.microsecond:06d}"[:digits] or "0").ljust(6, "0"))
-    wall = moment.replace(microsecond=frac)
+    if digits < 0:
+        base = moment.strftime("%Y-%m-%dT%H:%M")
+        wall = moment.replace(second=0, microsecond=0)
+    else:
+        base = moment.strftime("%Y-%m-%dT%H:%M:%S")
+        if digits:
+            base += "." + f"{moment.microsecond:06d}"[:digits]
+        frac = int((f"{moment.microsecond:06d}"[:digits] or "0").ljust(6, "0"))
+        wall = moment.replace(microsecond=frac)
     if offset is None:
         return base, wall
     if offset == "Z":
