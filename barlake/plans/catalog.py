@@ -203,6 +203,19 @@ def daily_return(spark, sf_dir):
     )
 
 
+@register(
+    "daily_return_many_keys",
+    O.with_ctes(O.FEED_MANY_KEYS, O.CLEAN)
+    + "SELECT ticker, price_date, close_price, daily_return FROM clean",
+)
+def daily_return_many_keys(spark, sf_dir):
+    """Daily returns when every customer is its own ticker (tickers grow with the data)."""
+    from barlake.operators.transform import transform_prices
+
+    clean = transform_prices(src.price_feed(spark, sf_dir, many_keys=True), loaded_at=_run_ts())
+    return clean.select("ticker", "price_date", "close_price", "daily_return")
+
+
 def _text_feed(spark, sf_dir):
     """The feed as untyped text with injected bad values (fixed rules on seq)."""
     from barlake.operators.transform import raw_as_text

@@ -66,7 +66,7 @@ FEED_TICKER = (
 FEED = f"""
 feed AS (
   SELECT o_orderdate AS "Date",
-         {FEED_TICKER} AS "Ticker",
+         <<TICKER>> AS "Ticker",
          (o_totalprice / 100.0::DOUBLE) * (0.98::DOUBLE + 0.01::DOUBLE * (o_custkey % 5)) AS "Open",
          greatest((o_totalprice / 100.0::DOUBLE) * (0.98::DOUBLE + 0.01::DOUBLE * (o_custkey % 5)),
                   o_totalprice / 100.0::DOUBLE) * 1.01::DOUBLE AS "High",
@@ -79,6 +79,8 @@ feed AS (
          o_orderkey AS seq
   FROM orders JOIN customer ON o_custkey = c_custkey
 )"""
+FEED_MANY_KEYS = FEED.replace("<<TICKER>>", "'C' || CAST(o_custkey AS VARCHAR)")
+FEED = FEED.replace("<<TICKER>>", FEED_TICKER)
 
 def clean_cte(name: str = "clean", feed: str = "feed", where: str = "TRUE") -> str:
     """Transformed batch: keep-last per (ticker, day) by seq, then the daily return."""

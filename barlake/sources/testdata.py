@@ -126,11 +126,13 @@ def feed_ticker(segment: Column, nationkey: Column, acctbal: Column) -> Column:
     ).otherwise(F.upper(F.substring(segment, 1, 5)))
 
 
-def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def price_feed(spark: SparkSession, sf_dir: str, many_keys: bool = False) -> DataFrame:
     """Raw flat extract: Date, Ticker, Open, High, Low, Close, Adj Close, Volume, seq.
 
     Urgent orders get a low above the close, which the price-relationship check
-    must flag. ``seq`` (the order key) is unique and orders duplicates.
+    must flag. ``seq`` (the order key) is unique and orders duplicates. With
+    ``many_keys`` every customer is its own ticker (``C<custkey>``), so the
+    number of tickers grows with the data instead of five hot ones.
     """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
@@ -143,7 +145,11 @@ def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     open_ = close * (F.lit(0.98) + F.lit(0.01) * (F.col("o_custkey") % 5))
     return joined.select(
         F.col("o_orderdate").alias("Date"),
-        feed_ticker(F.col("c_mktsegment"), F.col("c_nationkey"), F.col("c_acctbal")).alias("Ticker"),
+        (
+            F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
+            if many_keys
+            else feed_ticker(F.col("c_mktsegment"), F.col("c_nationkey"), F.col("c_acctbal"))
+        ).alias("Ticker"),
         open_.alias("Open"),
         (F.greatest(open_, close) * F.lit(1.01)).alias("High"),
         F.when(F.col("o_orderpriority") == "1-URGENT", close * F.lit(1.005))
