@@ -132,7 +132,15 @@ def with_tick_check(df: DataFrame, raw: str = "raw") -> DataFrame:
     parts = parsed.select(
         "*",
         F.schema_of_variant(v).startswith("OBJECT").alias("_obj"),
-        *[_token_type(v, n).alias(f"_ty_{n}") for n in REQUIRED_TICK_FIELDS],
+        # token types where a rule needs them; for producer_id presence is enough
+        *[
+            (
+                _token_type(v, n)
+                if n != "producer_id"
+                else F.when(F.variant_get(v, f"$.{n}", "variant").isNotNull(), F.lit("PRESENT"))
+            ).alias(f"_ty_{n}")
+            for n in REQUIRED_TICK_FIELDS
+        ],
         F.try_variant_get(v, "$.ticker", "string").alias("t_ticker_raw"),
         F.try_variant_get(v, "$.price", "double").alias("t_price"),
         F.try_variant_get(v, "$.volume", "bigint").alias("t_volume"),
