@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from barlake.llm import line_dedup, sharding
+from barlake.llm import line_dedup, packing, sharding, token_files
 
 QUERIES = {
+    "op2_token_files": token_files.op2_query,
     "op5_line_dedup": line_dedup.op5_query,
     "op7_hash_tree": sharding.op7_query,
+    "op10_packing": packing.op10_query,
 }
 
 ORACLES = {"op5_line_dedup": line_dedup.OP5_SQL}
