@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barlake.session import checkpoint_dir, join_path
 
@@ -15,6 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(join_path(sf_dir, f"{name}.parquet"))
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let executors import this package from a zip that Spark hands out, once an application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="barlake-zip-")
+    zipped = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+    context.addPyFile(zipped)
+    _shipped.add(context.applicationId)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` stored as a table in the shared checkpoint folder and read back.
 
@@ -37,6 +56,11 @@ def appended(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBa
     )
 
 
+def extended(df: DataFrame, more: str) -> StructType:
+    """Schema of ``df`` with the columns of the DDL string ``more`` after its own."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Working column names that no column of ``df`` has (compared without case)."""
     taken = {c.lower() for c in df.columns}

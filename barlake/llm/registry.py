@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from barlake.llm import line_dedup, packing, sharding, token_files
+from collections.abc import Callable
 
-QUERIES = {
+from pyspark.sql import DataFrame, SparkSession
+
+from barlake.llm import line_dedup, packing, sharding, simhash, token_files
+from barlake.llm.common import ship_package
+
+_OPERATORS = {
     "op2_token_files": token_files.op2_query,
     "op5_line_dedup": line_dedup.op5_query,
     "op7_hash_tree": sharding.op7_query,
+    "op8_simhash": simhash.op8_query,
     "op10_packing": packing.op10_query,
 }
 
+
+def _query(operator: Callable[[SparkSession, str], DataFrame]):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return operator(spark, sf_dir)
+
+    return query
+
+
+QUERIES = {name: _query(operator) for name, operator in _OPERATORS.items()}
+
 ORACLES = {"op5_line_dedup": line_dedup.OP5_SQL}
