@@ -34,6 +34,19 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, Path]:
+    spark = df.sparkSession
+    path = join_path(checkpoint_dir(spark), f"barlake-{name}-{uuid.uuid4().hex}")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    _file_system(spark, hadoop).deleteOnExit(hadoop)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), hadoop
+
+
+def _file_system(spark: SparkSession, hadoop):
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` stored as a table in the shared checkpoint folder and read back.
 
@@ -41,12 +54,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     the shared folder. The table is removed when the application's file system
     closes.
     """
-    spark = df.sparkSession
-    path = join_path(checkpoint_dir(spark), f"barlake-{name}-{uuid.uuid4().hex}")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _stored(df, name)[0]
+
+
+class Rewritten:
+    """A table that is stored again and again; only the newest copy stays."""
+
+    def __init__(self, name: str):
+        self._name, self._old = name, None
+
+    def store(self, df: DataFrame) -> DataFrame:
+        kept, path = _stored(df, self._name)
+        if self._old is not None:
+            _file_system(df.sparkSession, self._old).delete(self._old, True)
+        self._old = path
+        return kept
 
 
 def appended(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:

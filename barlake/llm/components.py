@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import written
+from barlake.llm.common import Rewritten
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -23,10 +23,10 @@ def components(edges: DataFrame) -> DataFrame:
     grows with the logarithm of the longest path. Each round's edges are a table
     in the shared folder, and only their count and checksum reach the driver.
     """
-    edges = written(
+    large_store, small_store = Rewritten("large-star"), Rewritten("small-star")
+    edges = small_store.store(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .where("a <> b").distinct(),
-        "edges",
+        .where("a <> b").distinct()
     )
     before = None
     while (state := _digest(edges)) != before:
@@ -40,7 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
             both.join(lowest, both["a"] == lowest["node"]).where("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         )
-        large = written(large, "large-star")
+        large = large_store.store(large)
         # every node and its smaller neighbours move to the smallest of them
         lowest = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), "m")
         small = (
@@ -49,6 +49,6 @@ def components(edges: DataFrame) -> DataFrame:
             .union(lowest.select(F.col("node").alias("a"), F.col("m").alias("b")))
             .distinct()
         )
-        edges = written(small, "small-star")
+        edges = small_store.store(small)
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.union(edges.select(F.col("b"), F.col("b")).distinct())

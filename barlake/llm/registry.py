@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import line_dedup, packing, sharding, simhash, token_files
+from barlake.llm import decontam, line_dedup, packing, sharding, simhash, token_files
 from barlake.llm.common import ship_package
 
 _OPERATORS = {
     "op2_token_files": token_files.op2_query,
     "op5_line_dedup": line_dedup.op5_query,
+    "op6_decontamination": decontam.op6_query,
     "op7_hash_tree": sharding.op7_query,
     "op8_simhash": simhash.op8_query,
     "op10_packing": packing.op10_query,
@@ -28,4 +29,4 @@ def _query(operator: Callable[[SparkSession, str], DataFrame]):
 
 QUERIES = {name: _query(operator) for name, operator in _OPERATORS.items()}
 
-ORACLES = {"op5_line_dedup": line_dedup.OP5_SQL}
+ORACLES = {"op5_line_dedup": line_dedup.OP5_SQL, "op6_decontamination": decontam.OP6_SQL}
