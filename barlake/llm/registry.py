@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import decontam, line_dedup, packing, sharding, simhash, token_files
+from barlake.llm import decontam, line_dedup, maxscore, packing, sharding, simhash, token_files, toxicity
 from barlake.llm.common import ship_package
 
 _OPERATORS = {
+    "op1_toxicity": toxicity.op1_query,
     "op2_token_files": token_files.op2_query,
+    "op4_maxscore": maxscore.op4_query,
     "op5_line_dedup": line_dedup.op5_query,
     "op6_decontamination": decontam.op6_query,
     "op7_hash_tree": sharding.op7_query,
@@ -29,4 +31,8 @@ def _query(operator: Callable[[SparkSession, str], DataFrame]):
 
 QUERIES = {name: _query(operator) for name, operator in _OPERATORS.items()}
 
-ORACLES = {"op5_line_dedup": line_dedup.OP5_SQL, "op6_decontamination": decontam.OP6_SQL}
+ORACLES = {
+    "op4_maxscore": maxscore.OP4_SQL,
+    "op5_line_dedup": line_dedup.OP5_SQL,
+    "op6_decontamination": decontam.OP6_SQL,
+}
