@@ -4,8 +4,10 @@ Training takes a bounded, documented sample of labelled rows (``LABELLED_ROWS``,
 those with the smallest hash of their id; all counts below are over that sample):
 
 1. words and word beginnings (stems) are counted per label by a grouped
-   aggregation; those that mark toxic rows beyond chance are the lexicon, where a
-   stem stands for its words when no single word explains it;
+   aggregation, and those that mark toxic rows beyond chance once more by the
+   different surroundings they occur in, so that copies of a text count once; what
+   still stands out is the lexicon, where a stem stands for its words when no
+   single word explains it;
 2. every word of a text is run against the lexicon's trie with the Levenshtein
    automaton of the word: the automaton's states (one row of edit distances) move
    along the trie's edges, and a branch dies when all states exceed the budget of
@@ -26,19 +28,21 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm.common import appended, extended, fresh, id_held_out, table, written
 
 LABELLED_ROWS = 20_000
-LEXICON_SIZE = 2_000
+CANDIDATE_TERMS = 20_000
+LEXICON_SIZE = 500
 THRESHOLD = 0.3
 STEM_LENGTHS = range(4, 9)
 CACHED_WORDS = 300_000
@@ -68,9 +72,10 @@ class Lexicon:
 
     def __post_init__(self) -> None:
         self.trie: dict = {}
-        starts: set[str] = set()
-        ends: set[str] = set()
-        self.middles: list[str] = []
+        # parts of terms that are free of edits, by where they are looked for
+        self.starts: dict[int, set[str]] = {}
+        self.ends: dict[int, set[str]] = {}
+        self.middles: dict[tuple[int, int], set[str]] = {}
         for term, stem in self.entries:
             budget = _budget(term, stem)
             node = self.trie
@@ -80,23 +85,23 @@ class Lexicon:
             node["budget"] = max(node.get("budget", 0), budget)
             node["stem" if stem else "word"] = budget
             # of budget + 1 parts of a term at least one is free of edits
-            size = len(term)
-            cuts = [size * k // (budget + 1) for k in range(budget + 2)]
-            parts = [term[a:b] for a, b in zip(cuts, cuts[1:])]
-            starts.add(parts[0])
-            if budget:
-                if stem:
-                    self.middles += parts[1:]
-                else:
-                    ends.add(parts[-1])
-                    self.middles += parts[1:-1]
-        self.starts, self.ends = tuple(starts), tuple(ends)
+            cuts = [len(term) * k // (budget + 1) for k in range(budget + 2)]
+            self.starts.setdefault(cuts[1], set()).add(term[: cuts[1]])
+            for k in range(1, budget + 1):
+                part = term[cuts[k] : cuts[k + 1]]
+                if k == budget and not stem:
+                    self.ends.setdefault(len(part), set()).add(part)
+                else:  # edits before it may have moved it
+                    for shift in range(-budget, budget + 1):
+                        at = cuts[k] + shift
+                        self.middles.setdefault((at, at + len(part)), set()).add(part)
 
     def may_match(self, word: str) -> bool:
         """Whether some term's part that is free of edits is at its place in the word."""
         return (
-            word.startswith(self.starts) or word.endswith(self.ends)
-            or any(part in word for part in self.middles)
+            any(word[:n] in parts for n, parts in self.starts.items())
+            or any(word[-n:] in parts for n, parts in self.ends.items())
+            or any(word[a:b] in parts for (a, b), parts in self.middles.items())
         )
 
     def match(self, word: str) -> str:
@@ -214,27 +219,68 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _count_surroundings(terms: frozenset[str]):
+    """(term, toxic, hash of the words before and after) of each occurrence of ``terms``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: set[tuple[str, int, int]] = set()
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+                words = ["", *_WORD.findall((text.as_py() or "").lower()), ""]
+                for before, word, after in zip(words, words[1:], words[2:]):
+                    place = zlib.crc32(f"{before} {after}".encode("utf-8", "surrogatepass"))
+                    if word in terms:
+                        rows.add((word, toxic, place))
+                    for n in STEM_LENGTHS:
+                        if len(word) > n and word[:n] + "*" in terms:
+                            rows.add((word[:n] + "*", toxic, place))
+            columns = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(columns, (pa.string(), pa.int32(), pa.int64()))],
+                names=["term", "toxic", "place"],
+            )
+
+    return run
+
+
+def _surprise(toxic: Column, clean: Column, share: float) -> Column:
+    """Log-likelihood ratio of a term's rows against the share of toxic rows."""
+    both = toxic + clean
+    return 2 * (
+        toxic * F.log(toxic / (both * share))
+        + F.when(clean > 0, clean * F.log(clean / (both * (1 - share)))).otherwise(0.0)
+    )
+
+
 def learn_lexicon(sample: DataFrame, toxic_rows: int, rows: int) -> Lexicon:
     """Terms that mark toxic rows: nine in ten of their rows, far beyond chance."""
     if not toxic_rows or toxic_rows == rows:
         return Lexicon([])
     share = toxic_rows / rows
-    terms = (
+    toxic, clean = F.col("toxic"), F.col("clean")
+    terms = written(
         sample.mapInArrow(_count_terms, "term string, toxic long, clean long")
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where("toxic + clean >= 3")
-    )
-    both = F.col("toxic") + F.col("clean")
-    surprise = 2 * (
-        F.col("toxic") * F.log(F.col("toxic") / (both * share))
-        + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (both * (1 - share)))).otherwise(0.0)
+        .where("toxic + clean >= 3"),
+        "terms",
     )
-    rated = written(terms.where("toxic > 0").withColumn("surprise", surprise), "terms")
     # chance alone leaves about one term in five runs above this
     least = 2 * math.log(5 * max(1, terms.count()))
+    telling = (_surprise(toxic, clean, share) > least) & (toxic >= 0.9 * (toxic + clean))
+    marked = (
+        terms.where("toxic > 0").where(telling)
+        .orderBy(_surprise(toxic, clean, share).desc(), "term").limit(CANDIDATE_TERMS).collect()
+    )
+    places = (
+        sample.mapInArrow(
+            _count_surroundings(frozenset(r["term"] for r in marked)), "term string, toxic int, place long"
+        )
+        .distinct().groupBy("term")
+        .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+    )
     found = (
-        rated.where((F.col("surprise") > least) & (F.col("toxic") >= 0.9 * both))
-        .orderBy(F.desc("surprise"), "term").limit(LEXICON_SIZE).collect()
+        places.where("toxic > 0").where(telling)
+        .orderBy(_surprise(toxic, clean, share).desc(), "term").limit(LEXICON_SIZE).collect()
     )
     kept: dict[str, int] = {}
     for row in sorted(found, key=lambda r: (not r["term"].endswith("*"), len(r["term"])), reverse=True):
