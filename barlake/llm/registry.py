@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm import decontam, line_dedup, maxscore, packing, sharding, simhash, token_files, toxicity
+from barlake.llm import (
+    decontam, language, line_dedup, maxscore, packing, secrets, sharding, simhash, token_files, toxicity,
+)
 from barlake.llm.common import ship_package
 
 _OPERATORS = {
     "op1_toxicity": toxicity.op1_query,
     "op2_token_files": token_files.op2_query,
+    "op3_language": language.op3_query,
     "op4_maxscore": maxscore.op4_query,
     "op5_line_dedup": line_dedup.op5_query,
     "op6_decontamination": decontam.op6_query,
     "op7_hash_tree": sharding.op7_query,
     "op8_simhash": simhash.op8_query,
+    "op9_secrets": secrets.op9_query,
     "op10_packing": packing.op10_query,
 }
 

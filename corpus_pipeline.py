@@ -1,26 +1,67 @@
-"""Corpus pipeline: the stages a document passes on its way to packed sequences."""
+"""Corpus pipeline: the stages a document passes on its way to packed sequences.
+
+Each stage takes the documents that its predecessor kept and gives back the
+columns of documents; the last one gives the packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barlake.llm import line_dedup
+from barlake.llm import decontam, line_dedup, packing, simhash, toxicity
 from barlake.llm.common import ship_package, table, written
 
 
-def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.delete_repeated_lines(docs).select(*docs.columns)
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score stays below the threshold."""
+    ship_package(spark)
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def delete_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, later repeats of passages deleted; n_chars follows the text."""
+    shorter = line_dedup.delete_repeated_lines(docs).select(*docs.columns)
+    if "n_chars" not in docs.columns:
+        return shorter
+    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return shorter.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    ship_package(spark)
+    return simhash.one_of_each(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
+
+
+def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    ship_package(spark)
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents that are left, with their sequence and place."""
+    import public_tokenizers
+
+    ship_package(spark)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
-    ("line dedup", drop_repeated_lines),
+    ("toxicity", remove_toxic),
+    ("line dedup", delete_lines),
+    ("near duplicates", keep_one_of_near_copies),
+    ("decontamination", remove_contaminated),
+    ("packing", pack),
 ]
 
+# the learned classifier, the fingerprints and the tokenizer have no SQL form
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    """All stages over ``documents``, each stored before the next one reads it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
