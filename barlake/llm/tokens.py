@@ -2,9 +2,11 @@
 
 The pre-tokenizer of a byte-level BPE never joins a lone space or a lone line
 break to what stands before it, so a text falls into chunks at those places whose
-ids do not depend on each other. A worker keeps the ids of chunks it has seen
-(bounded) and asks the library for the others. A text in which a space or line
-break touches more white space is given to the library whole.
+ids do not depend on each other; punctuation that ends a chunk stands apart from
+the word as well. A worker keeps the ids of chunks it has seen (bounded) and asks
+the library for the others, many at a time; those that are a single word skip the
+pre-tokenizer. A text in which a space or line break touches more white space is
+given to the library whole.
 """
 
 from __future__ import annotations
@@ -16,23 +18,80 @@ from functools import lru_cache
 import numpy as np
 
 END_ID = 0
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 1_000_000  # about 170 MB in a worker
+KEPT_CHUNKS = 200_000  # when there are more: those met first, mostly the common ones
 _END = np.array([END_ID], dtype="<u4").tobytes()
 _TOUCHING = re.compile(r"\x00|[ \n]\s|\s[ \n]")
+_MARKS = ".,;:!?"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary.
+
+    Visible Latin-1 bytes stand for themselves, the others for the letters from
+    256 on in their order.
+    """
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b if b in shown else next(hidden)) for b in range(256)]
 
 
 class Encoder:
     def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
+        letters = _byte_letters()
+        self._letters = dict(enumerate(letters))
+        self._break = letters[ord("\n")]
+        (self._break_id,) = self._tokenizer.encode("\n", add_special_tokens=False).ids
+        # the same model on words that need no more splitting, one a line
+        self._words = Tokenizer.from_file(vocabulary)
+        self._words.pre_tokenizer = pre_tokenizers.Split(self._break, "isolated")
         self._known: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
+    def _library_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, with or without a space before: one call for all."""
+        if not words:
+            return []
+        lines = "\n".join(words).encode().decode("latin-1").translate(self._letters)
+        (encoded,) = self._words.encode_batch_fast([lines], add_special_tokens=False)
+        ids = np.array(encoded.ids, dtype="<u4")
+        data = ids.tobytes()
+        ends = [*(np.flatnonzero(ids == self._break_id) * 4).tolist(), len(data)]
+        return [data[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Make the ids of all ``chunks`` known."""
+        known = self._known
+        if len(known) > CACHED_CHUNKS:
+            for chunk in list(known)[KEPT_CHUNKS:]:
+                del known[chunk]
+        new = {c for c in chunks if c not in known}
+        ended = {}  # chunks that end in marks, and the words before these
+        parts = set()
+        for chunk in new:
+            word = chunk.rstrip(_MARKS)
+            if len(word) < len(chunk) and word[-1:].isalnum():
+                ended[chunk] = word
+                parts.add(word)
+                parts.add(chunk[len(word) :])
+            else:
+                parts.add(chunk)
+        words, other = [], []
+        for part in parts:
+            if part not in known:
+                (words if part.lstrip(" ").isalpha() else other).append(part)
+        known.update(zip(words, self._library_words(words)))
+        known.update(zip(other, self._library(other)))
+        for chunk, word in ended.items():
+            known[chunk] = known[word] + known[chunk[len(word) :]]
+
     def ids(self, text: str | None) -> bytes:
         """Ids of the text and the end id, as little-endian unsigned 32-bit integers."""
         if not text:
@@ -47,10 +106,7 @@ class Encoder:
             return b"".join(map(known.__getitem__, chunks)) + _END
         except KeyError:
             pass
-        if len(known) > CACHED_CHUNKS:
-            known.clear()
-        new = [c for c in set(chunks) if c not in known]
-        known.update(zip(new, self._library(new)))
+        self._learn(chunks)
         return b"".join(map(known.__getitem__, chunks)) + _END
 
 
