@@ -30,22 +30,26 @@ def _widths(values: np.ndarray) -> np.ndarray:
     return wide + (rest > 0)
 
 
+_AFTER_MISFITS = np.array([0, *range(2, len(LAYOUT)), ESCAPE], dtype=np.uint8)
+
+
 def _selectors(widths: np.ndarray) -> np.ndarray:
-    """For each place the selector that packs most integers from there on."""
+    """For each place the selector that packs most integers from there on.
+
+    Later selectors have fewer and wider fields, so one fits wherever an earlier
+    one does: counting those that do not fit gives the first that does.
+    """
     n = len(widths)
     # widest of the next `count` integers; past the end there is nothing to fit
-    widest = {1: np.concatenate((widths, np.zeros(240, dtype=np.uint8)))}
-    counts = sorted({c for c, _ in LAYOUT} | {120})
-    for count, last in zip(counts[1:], counts):
-        shift = count - last  # two windows of the last size cover one of this size
-        before = widest[last]
-        widest[count] = np.maximum(before, np.concatenate((before[shift:], np.zeros(shift, np.uint8))))
-    choice = np.full(n, ESCAPE, dtype=np.uint8)
-    for selector in range(len(LAYOUT) - 1, -1, -1):
-        count, bits = LAYOUT[selector]
-        if selector != ESCAPE:
-            choice[widest[count][:n] <= bits] = selector
-    return choice
+    last, widest = 1, np.concatenate((widths, np.zeros(240, dtype=np.uint8)))
+    misfits = np.zeros(n, dtype=np.uint8)
+    for count, bits in sorted([*(x for x in LAYOUT if x[1] != 64), (120, None)]):
+        if count > last:  # two windows of the last size cover one of this size
+            widest = np.maximum(widest[: len(widest) - count + last], widest[count - last :])
+            last = count
+        if bits is not None:
+            misfits += widest[:n] > bits
+    return _AFTER_MISFITS[misfits]
 
 
 def encode(values: np.ndarray) -> np.ndarray:
@@ -77,9 +81,11 @@ def encode(values: np.ndarray) -> np.ndarray:
         if not bits:
             words[first[mine]] = head
             continue
-        shifts = np.arange(count, dtype=_U) * _U(bits)
-        taken = padded[starts[mine][:, None] + np.arange(count)] << shifts
-        words[first[mine]] = np.bitwise_or.reduce(taken, axis=1) | head
+        at = starts[mine]
+        packed = np.full(len(at), head)
+        for k in range(count):
+            packed |= padded[at + k] << _U(bits * k)
+        words[first[mine]] = packed
     return words
 
 
@@ -102,7 +108,7 @@ def decode(words: np.ndarray, n: int) -> np.ndarray:
         if selector == ESCAPE:
             out[starts[mine]] = words[mine + 1]
             continue
-        shifts = np.arange(count, dtype=_U) * _U(bits)
-        mask = (_U(1) << _U(bits)) - _U(1)
-        out[starts[mine][:, None] + np.arange(count)] = (words[mine][:, None] >> shifts) & mask
+        own, at, mask = words[mine], starts[mine], _U((1 << bits) - 1)
+        for k in range(count):
+            out[at + k] = own >> _U(bits * k) & mask
     return out[:n]
