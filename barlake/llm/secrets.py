@@ -1,7 +1,7 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are all runs of key-like characters, 12 or more with a digit among
-them, in whole texts. A candidate's features are its length, the shares of its
+Candidates are all runs of key-like characters in whole texts, 12 or more with a
+digit among them or without small letters. A candidate's features are its length, the shares of its
 character classes, its entropy, how often the class changes, how likely its
 letter transitions are in the corpus's words, how much of it dictionary words
 cover, its path (the row's source) and its neighbouring words, hashed.
@@ -153,7 +153,7 @@ def findings(docs: DataFrame, words: dict[str, int]) -> DataFrame:
                 text = text.as_py() or ""
                 for found in _CANDIDATE.finditer(text):
                     value = found.group()
-                    if not any(c.isdigit() for c in value):
+                    if any(c.islower() for c in value) and not any(c.isdigit() for c in value):
                         continue
                     start, end = found.span()
                     before, after = text[max(0, start - _NEAR_CHARS) : start], text[end : end + _NEAR_CHARS]
