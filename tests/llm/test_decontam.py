@@ -1,0 +1,92 @@
+import hashlib
+import random
+import re
+
+from barlake.llm import decontam
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words(text):
+    return WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def brute(rows, items):
+    windows = []
+    for item, text in items:
+        if item is not None:
+            w = words(text)
+            windows += [(str(item), tuple(w[k : k + 13])) for k in range(max(1, len(w) - 12)) if w]
+    out = []
+    for doc_id, text in rows:
+        w = words(text)
+        hit, found = set(), set()
+        for item, run in windows:
+            for k in range(len(w) - len(run) + 1):
+                if tuple(w[k : k + len(run)]) == run:
+                    hit.update(range(k, k + len(run)))
+                    found.add(item)
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((doc_id, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    return out
+
+
+def run(spark, docs, rows, items, **more):
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    marked = decontam.judged(decontam.mark_hits(docs(rows), benchmark, **more), "n_words", "hit_spans", "hit_items")
+    return [tuple(r) for r in marked.select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()]
+
+
+def cases():
+    rng = random.Random(8)
+    items = [(k, " ".join(rng.choice("abcde") for _ in range(rng.choice([1, 2, 5, 13, 14, 20, 40])))) for k in range(25)]
+    items += [(3, "Repeated, item-id words"), (100, None), (101, "..!"), (102, ""), (None, "a b c"), (103, "ÉCOLE naïve ünder")]
+    items.append(items[0])
+    rows = []
+    for k in range(50):
+        filler = [rng.choice("abcdefgh") for _ in range(rng.randint(0, 60))]
+        quoted = rng.choice(items)[1] or ""
+        rows.append((k, " ".join(filler) + "\n" + quoted.upper() + "!" + " z " * rng.randint(0, 200)))
+    rows += [(60, None), (61, ""), (62, "..."), (63, "naïve ünder"), (64, "École naïve; ünder"), (7, rows[7][1])]
+    return rows, items
+
+
+def test_equals_brute_force_in_one_and_many_blocks(spark, docs):
+    rows, items = cases()
+    want = sorted(map(str, brute(rows, items)))
+    assert sorted(map(str, run(spark, docs, rows, items))) == want
+    # so small that items are cut and documents pass through many blocks
+    assert sorted(map(str, run(spark, docs, rows, items[:12], block_words=30))) == sorted(map(str, brute(rows, items[:12])))
+
+
+def test_empty_sides(spark, docs):
+    rows = [(1, "a b c"), (2, None)]
+    assert sorted(run(spark, docs, rows, [])) == sorted(brute(rows, []))
+    assert run(spark, docs, [], [(1, "a b c")]) == []
+
+
+def test_contaminated_documents_go_and_others_stay(spark, docs):
+    passage = " ".join(f"q{k}" for k in range(13))
+    rows = [(1, passage), (2, passage + " w" * 247), (3, passage + " w" * 248), (4, "clean words only"), (5, None)]
+    benchmark = spark.createDataFrame([(9, passage)], "item_id long, text string")
+    kept = decontam.drop_contaminated(docs(rows), benchmark)
+    assert kept.columns == docs(rows).columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5]
+
+
+def test_very_long_text_and_clashing_names(spark, docs):
+    passage = " ".join(f"q{k}" for k in range(20))
+    docs([])
+    df = spark.createDataFrame([(1, "w " * 100_000 + passage, 5)], "doc_id long, text string, n_words int")
+    benchmark = spark.createDataFrame([(9, passage)], "item_id long, text string")
+    (row,) = decontam.mark_hits(df, benchmark).collect()
+    assert row["n_words"] == 5 and row["n_words_"] == 100_020 and row["hit_spans"] == [100_000, 100_020]
+
+
+def test_prefix_is_the_rarest_shingle():
+    block = decontam.build_block([("1", decontam.words_of("a b c d e"))])
+    codes = decontam.shingles(block)[3].tolist()
+    rare = codes[1]
+    decontam.choose_prefixes(block, {(3, c): 9 for c in codes} | {(3, rare): 1})
+    assert block.prefixes[3][0].tolist() == [rare]

@@ -1,0 +1,129 @@
+import random
+import re
+
+import numpy as np
+import xxhash
+
+from barlake.llm import golay, simhash
+from barlake.llm.components import components
+
+
+def brute_fingerprint(text, size=3):
+    lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    words = re.findall("[^\x20\x09-\x0d]+", lower)
+    if not words:
+        return 0
+    runs = [" ".join(words[k : k + size]) for k in range(len(words) - size + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+
+def test_fingerprints():
+    rng = random.Random(1)
+    texts = [None, "", " \t\n", "One", "one TWO", "a b c", "É é A", "x\x0by z w q"]
+    texts += [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 60))) for _ in range(40)]
+    texts.append("many " * 70_000)
+    for text in texts:
+        assert simhash.fingerprint(text) == brute_fingerprint(text)
+
+
+def test_words_one_bit_apart_share_a_codeword():
+    words = np.random.default_rng(0).integers(0, 1 << golay.LENGTH, 3000)
+    own = golay.codeword_keys(words)
+    assert ((own >= 0).sum(axis=1) <= golay.KEYS).all()
+    for bit in range(golay.LENGTH):
+        other = golay.codeword_keys(words ^ (1 << bit))
+        shared = (own[:, :, None] == other[:, None, :]) & (own[:, :, None] >= 0)
+        assert shared.any(axis=(1, 2)).all()
+
+
+def near(base, rng, bits):
+    for b in rng.sample(range(64), bits):
+        base ^= 1 << b
+    return base
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_links_equal_all_pairs(spark):
+    rng = random.Random(7)
+    prints = {rng.getrandbits(64) for _ in range(150)} | {0, (1 << 64) - 1}
+    for _ in range(5):
+        base = rng.getrandbits(64)
+        prints |= {near(base, rng, rng.randint(0, 4)) for _ in range(60)}
+    rows = sorted(prints)
+    want = {(signed(min(a, b, key=signed)), signed(max(a, b, key=signed)))
+            for k, a in enumerate(rows) for b in rows[k + 1 :] if (a ^ b).bit_count() <= 2}
+    df = spark.createDataFrame([(signed(x),) for x in rows], "print long")
+    for hot in (1, 5, 64):  # with most keys hot, some, and none
+        got = {tuple(r) for r in simhash.links(df, 2, hot).collect()}
+        assert got == want
+
+
+def test_components_of_paths_stars_and_repeats(spark):
+    edges = [(k, k + 1) for k in range(200, 240)] + [(5, k) for k in range(6, 60)] + [(1, 2), (2, 1), (2, 2), (300, 2)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got[k] == 200 for k in range(200, 241)) and all(got[k] == 5 for k in range(5, 60))
+    assert got[1] == got[2] == got[300] == 1
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def brute_classes(rows):
+    prints = [brute_fingerprint(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
+                root[find(a)] = find(b)
+    low = {}
+    for k, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            low[find(k)] = min(low.get(find(k), doc_id), doc_id)
+    return prints, [low.get(find(k)) for k in range(len(rows))]
+
+
+def sample_rows():
+    rng = random.Random(3)
+    rows = []
+    for k in range(60):
+        words = [rng.choice("abcdefghijkl") * rng.randint(1, 3) for _ in range(400)]
+        rows.append((100 - k, " ".join(words)))
+        if k % 4 == 0:
+            words[rng.randint(0, 399)] = "zz"
+            rows.append((200 + k, " ".join(words)))
+    return rows + [(1, None), (2, ""), (3, "  "), (-50, rows[0][1]), (-50, rows[0][1]), (None, rows[2][1]), (None, "alone here now")]
+
+
+def test_near_duplicates_equal_brute_force(docs):
+    rows = sample_rows()
+    prints, low = brute_classes(rows)
+    want = sorted((str(r[0]), f"{p:016x}", str(c)) for r, p, c in zip(rows, prints, low))
+    got = simhash.near_duplicates(docs(rows)).collect()
+    assert sorted((str(r["doc_id"]), r["fingerprint"], str(r["component_id"])) for r in got) == want
+    assert simhash.near_duplicates(docs([])).collect() == []
+
+
+def test_one_document_of_each_class_stays(docs):
+    rows = sample_rows()
+    prints, low = brute_classes(rows)
+    got = [(r["doc_id"], r["text"]) for r in simhash.one_of_each(docs(rows)).collect()]
+    assert len(got) == len({c if c is not None else ("null", p) for c, p in zip(low, prints)})
+    assert {i for i, _ in got if i is not None} == {c for c in low if c is not None}
+    assert simhash.one_of_each(docs([])).collect() == []
+
+
+def test_clashing_names(spark, docs):
+    docs([])
+    df = spark.createDataFrame([(1, "a b c", 9, "k")], "doc_id long, text string, print int, component_id string")
+    (row,) = simhash.near_duplicates(df).collect()
+    assert row["print"] == 9 and row["component_id"] == "k" and row["component_id_"] == 1
+    (row,) = simhash.one_of_each(df).collect()
+    assert row.asDict() == {"doc_id": 1, "text": "a b c", "print": 9, "component_id": "k"}
