@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -29,25 +29,22 @@ def simple_return(close: Column, previous_close: Column) -> Column:
 
 
 
-# Sums of prices are accumulated exactly, as whole micro-units (1e-6) in a
-# BIGINT: the result then does not depend on the order in which partial sums
-# meet (tasks, frames, engines), and the mean is one division. Integer sums
-# run as fast as double sums (DECIMAL(38, s) goes through BigDecimal and is
-# several times slower in sliding frames). Prices carry at most 6 decimals.
-PRICE_UNITS = 1_000_000
+# Sums of prices are exact, so they do not depend on the order in which partial
+# sums meet (tasks, frames, engines). A double's shortest decimal form fits
+# DECIMAL(38, 18) up to 1e20 and is taken to 18 places behind the point. Where a
+# value or a sum does not fit, the mean is the plain double average.
+EXACT_PRICE = "decimal(38,18)"
 
 
-def price_units(col: Column) -> Column:
-    """A price as whole micro-units (exact for up to 6 decimals)."""
-    return F.round(col * F.lit(float(PRICE_UNITS))).cast("bigint")
+def exact_mean(col: Column, over: WindowSpec | None = None) -> Column:
+    """Mean of the non-null values, as an aggregate or over a window frame.
 
-
-def exact_sum(col: Column) -> Column:
-    """Order-independent sum of a price column, in price units (a double)."""
-    return F.sum(price_units(col)).cast("double") / F.lit(float(PRICE_UNITS))
-
-
-def exact_mean(col: Column) -> Column:
-    """Mean of the non-null values: exact sum / count, as a double; null when
-    there are none."""
-    return F.try_divide(exact_sum(col), F.count(col).cast("double"))
+    The exact sum divided by the count; null when there are no values.
+    """
+    digits = col.try_cast(EXACT_PRICE)
+    parts = [F.try_sum(digits), F.count(digits), F.count(col), F.avg(col)]
+    if over is not None:
+        parts = [p.over(over) for p in parts]
+    total, fitting, n, plain = parts
+    exact = F.try_divide(total.cast("double"), n.cast("double"))
+    return F.when((fitting == n) & total.isNotNull(), exact).otherwise(plain)

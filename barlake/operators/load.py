@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.timecols import date_id, day_start
-from barlake.operators.transform import dedupe_last
 from barlake.schemas import FACT_STOCK_PRICES
 
 KEYS = ["ticker", "price_date"]
@@ -35,18 +34,26 @@ def existing_keys(facts: DataFrame, tickers: DataFrame) -> DataFrame:
     return keys.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
 
 
+def daily_rows(batch: DataFrame) -> DataFrame:
+    """One row per (ticker, day): the latest time of the day, of equal times the
+    latest arrival (``seq``); price_date becomes the day. Without ``seq`` equal
+    times are told apart by the row's values, so a re-run keeps the same row."""
+    others = [c for c in batch.columns if c not in KEYS]
+    arrival = ["seq"] if "seq" in batch.columns else others
+    day = day_start(F.col("price_date"))
+    latest = F.max_by(F.struct(*others), F.struct("price_date", *arrival)).alias("row")
+    kept = batch.groupBy("ticker", day.alias("price_date")).agg(latest)
+    return kept.select(*[F.col(c) if c in KEYS else F.col(f"row.{c}") for c in batch.columns])
+
+
 def enrich_facts(batch: DataFrame, dim_company: DataFrame, batch_id: str) -> DataFrame:
-    """Add company_id (left lookup), date_id, batch_id; truncate price_date to the day;
-    keep the last row per (ticker, day)."""
+    """One row per (ticker, day) with company_id (left lookup), date_id and batch_id."""
     ids = dim_company.select("ticker", "company_id")
-    out = (
-        batch.join(ids, "ticker", "left")
+    return (
+        daily_rows(batch).join(ids, "ticker", "left")
         .withColumn("date_id", date_id(F.col("price_date")))
-        .withColumn("price_date", day_start(F.col("price_date")))
+        .withColumn("batch_id", F.lit(batch_id))
     )
-    if "seq" in out.columns:
-        out = dedupe_last(out, "seq", KEYS)
-    return out.withColumn("batch_id", F.lit(batch_id))
 
 
 def _stored_keys(stored: DataFrame, since=None) -> DataFrame:

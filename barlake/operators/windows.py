@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.functions.prices import PRICE_UNITS, price_units
+from barlake.functions.prices import exact_mean
 from barlake.functions.timecols import epoch_seconds
 from barlake.session import checkpoint_dir
 
@@ -58,8 +58,7 @@ def trailing_mean(
     """``out_col`` = mean of ``value_col`` over rows of the same key whose time lies in
     ``[t - lookback, t - 1 s]`` (null when there are none).
 
-    Values are summed exactly as price micro-units (``prices.price_units``), so
-    the mean does not depend on summation order; they carry up to 6 decimals.
+    The mean does not depend on summation order (``prices.exact_mean``).
     """
     if lookback_seconds <= 0:
         raise ValueError("lookback_seconds must be positive")
@@ -81,10 +80,7 @@ def trailing_mean(
     frame = (
         Window.partitionBy(*keys, "_bkt").orderBy("_sec").rangeBetween(-lookback_seconds, -1)
     )
-    # exact integer sum / count: the same value however the frame is summed
-    total = F.sum(price_units(F.col(value_col))).over(frame).cast("double") / F.lit(float(PRICE_UNITS))
-    n = F.count(value_col).over(frame).cast("double")
-    scored = both.withColumn(out_col, F.try_divide(total, n))
+    scored = both.withColumn(out_col, exact_mean(F.col(value_col), frame))
     return scored.where(~F.col("_ctx")).drop("_sec", "_bkt", "_ctx")
 
 

@@ -43,14 +43,14 @@ from barlake.operators.load import (
     new_rows,
     to_fact_schema,
 )
-from barlake.operators.quality import CriticalQualityError, quality_results, summarize
+from barlake.operators.quality import CriticalQualityError, date_gaps, quality_results, summarize
 from barlake.operators.transform import transform_prices
 from barlake.schemas import LOOKBACK_DAYS, STATUS_FAILED, STATUS_SUCCESS
 from barlake.sources.bronze import write_bronze_safely
 from barlake.session import checkpoint_dir, join_path
 from barlake.sources.warehouse import (
+    QualityReport,
     Warehouse,
-    quality_report,
     replace_partitions_via,
     write_audit_row,
     write_quality_report,
@@ -104,6 +104,8 @@ def run_batch(
     try:
         wh.ensure_tables()
         seed_dim_date(wh)
+        if "seq" not in source.columns:  # the order of the rows in the source, before any shuffle
+            source = source.withColumn("seq", F.monotonically_increasing_id())
 
         requests = spark.createDataFrame([(",".join(cfg.tickers),)], "request string")
         tickers = normalise_requests(requests)
@@ -137,6 +139,7 @@ def run_batch(
             _report(spark, cfg, summary, counts, t0)
             raise CriticalQualityError(summary["critical"])
         wh.append("quality_results", spark.createDataFrame(rows, results.schema))
+        wh.append("date_gaps", date_gaps(clean).withColumn("batch_id", F.lit(batch_id)))
 
         ok_tickers = tickers.join(
             spark.createDataFrame([(t,) for t in failed], "ticker string"), "ticker", "left_anti"
@@ -207,15 +210,10 @@ def run_batch(
 
 
 def _report(spark, cfg: BatchConfig, summary: dict, counts: dict, t0: float) -> str:
-    report = quality_report(
-        summary,
-        cfg.batch_id,
-        counts["rows_extracted"],
-        counts["rows_inserted"],
-        counts["rows_skipped"],
-        time.monotonic() - t0,
-    )
-    return write_quality_report(spark, report, cfg.reports_dir)
+    outcome = {k: summary[k] for k in ("checks", "overall_passed") if k in summary}
+    rows = {k: counts[k] for k in ("rows_extracted", "rows_inserted", "rows_skipped")}
+    report = QualityReport(cfg.batch_id, **rows, **outcome, execution_time_seconds=time.monotonic() - t0)
+    return write_quality_report(spark, report.document(), cfg.reports_dir)
 
 
 def _audit(cfg: BatchConfig, started, status: str, counts: dict, passed, error) -> dict:

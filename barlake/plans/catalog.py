@@ -2,7 +2,7 @@
 
 Every query reads the given tables (``sf_dir``) over their whole extent and
 returns a DataFrame; nothing is collected. Doubles computed by arithmetic are
-not rounded: means are exact integer micro-unit sums over counts (``prices.exact_mean``), and
+not rounded: means are exact decimal sums over counts (``prices.exact_mean``), and
 everything else is the same IEEE arithmetic on the same inputs in both engines,
 so the doubles agree bit for bit. Timestamps stay ``TIMESTAMP_NTZ`` (DuckDB ``TIMESTAMP``),
 and every time conversion is zone-free, so the queries leave the caller's session
@@ -48,7 +48,7 @@ def register(name: str, oracle: str | None = None):
 
 def _bars(spark, sf_dir, width="1 minute"):
     ticks = src.event_ticks(spark, sf_dir)
-    return bars_ops.aggregate_bars(ticks, width)
+    return bars_ops.ohlcv_bars(ticks, width)
 
 
 @register(
@@ -84,8 +84,8 @@ def _scored(spark, sf_dir, lookback):
         "ticker",
         "window_start",
         "close",
-        F.col("reference_avg").alias("reference_avg"),
-        F.col("avg_close_5min").alias("avg_close_5min"),
+        "reference_avg",
+        "avg_close_5min",
     )
 
 
@@ -118,8 +118,8 @@ def _alerts(spark, sf_dir, lookback):
         "ticker",
         "window_start",
         "close",
-        F.col("reference_avg").alias("reference_avg"),
-        F.col("move_pct").alias("move_pct"),
+        "reference_avg",
+        "move_pct",
         "threshold_pct",
     )
 
@@ -171,7 +171,7 @@ CLEAN_COLS = (
 def clean_prices(spark, sf_dir):
     """Full transform of the raw feed: the 10 output columns."""
     out = _clean(spark, sf_dir).drop("seq")
-    return out.withColumn("daily_return", F.col("daily_return"))
+    return out
 
 
 @register(
@@ -199,7 +199,7 @@ def dedupe_last(spark, sf_dir):
 def daily_return(spark, sf_dir):
     """close / previous close - 1 per ticker in date order."""
     return _clean(spark, sf_dir).select(
-        "ticker", "price_date", "close_price", F.col("daily_return").alias("daily_return")
+        "ticker", "price_date", "close_price", "daily_return"
     )
 
 
@@ -258,16 +258,15 @@ def coerce_types(spark, sf_dir):
 @register(
     "wide_to_long",
     O.with_ctes(O.FEED)
-    + """, valid AS (SELECT * FROM feed WHERE regexp_full_match("Ticker", '[A-Z]{1,5}')),
-days AS (SELECT DISTINCT "Date" FROM valid),
-tk AS (SELECT * FROM (VALUES ('AUTOM'), ('BUILD'), ('FURNI'), ('HOUSE'), ('MACHI')) t("Ticker")),
+    + f""", days AS (SELECT DISTINCT "Date" FROM feed),
+tk AS (SELECT DISTINCT {O.FEED_TICKER} AS "Ticker" FROM customer),
 last AS (
   SELECT "Date", "Ticker", arg_max("Open", seq) AS "Open", arg_max("Close", seq) AS "Close",
          arg_max("Volume", seq) AS "Volume"
-  FROM valid GROUP BY 1, 2)
+  FROM feed GROUP BY 1, 2)
 SELECT d."Date", tk."Ticker", l."Open", l."Close", l."Volume"
 FROM days d CROSS JOIN tk LEFT JOIN last l ON l."Date" = d."Date" AND l."Ticker" = tk."Ticker"
-""".replace("WITH ", "WITH ", 1),
+""",
 )
 def wide_to_long(spark, sf_dir):
     """Wide per-date frame with <Field>_<Ticker> columns -> long rows with a Ticker column."""
@@ -380,20 +379,20 @@ def dq_date_gaps(spark, sf_dir):
 
 NEW_BATCH_FROM = "1997-10-01"
 
-# stored facts: well-formed tickers before the cut-off; new batch: the feed from NEW_BATCH_FROM
+# stored facts: all before the cut-off; new batch: the feed from NEW_BATCH_FROM
 _STORED_SQL = O.clean_cte("stored_all") + f""",
 stored AS (SELECT * FROM stored_all
-           WHERE price_date < TIMESTAMP '{STORED_CUTOFF}' AND {O.VALID_TICKER.format('ticker')})"""
+           WHERE price_date < TIMESTAMP '{STORED_CUTOFF}')"""
 _BATCH_SQL = O.clean_cte("batch", where=f"\"Date\" >= TIMESTAMP '{NEW_BATCH_FROM}'")
 _COMPANY_SQL = f"""
 company AS (
   SELECT {O.FEED_TICKER} AS ticker,
-         arg_min(upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) || ' Holdings',
+         arg_min(CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN
+                   upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) || ' Holdings' END,
                  c_custkey) AS company_name,
-         arg_min(r_name, c_custkey) AS sector,
-         arg_min(n_name, c_custkey) AS industry
+         arg_min(CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN r_name END, c_custkey) AS sector,
+         arg_min(CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN n_name END, c_custkey) AS industry
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE c_mktsegment <> 'HOUSEHOLD'
   GROUP BY 1
 )"""
 _EXISTING_DIM_SQL = """
@@ -407,12 +406,8 @@ existing AS (
 
 
 def _stored(spark, sf_dir):
-    from barlake.schemas import TICKER_PATTERN
-
-    clean = _clean(spark, sf_dir)
-    return clean.where(
-        (F.col("price_date") < F.lit(STORED_CUTOFF).cast("timestamp_ntz"))
-        & F.col("ticker").rlike(TICKER_PATTERN)
+    return _clean(spark, sf_dir).where(
+        F.col("price_date") < F.lit(STORED_CUTOFF).cast("timestamp_ntz")
     )
 
 
@@ -498,10 +493,10 @@ WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.ticker = b.ticker AND s.price_d
 )
 def new_rows(spark, sf_dir):
     """Batch rows whose (ticker, day) is not stored yet (left anti join)."""
-    from barlake.operators.load import enrich_facts, new_rows as anti
+    from barlake.operators.load import daily_rows, new_rows as anti
 
-    enriched = enrich_facts(_new_batch(spark, sf_dir), _batch_dim(spark, sf_dir), BATCH_ID)
-    return anti(enriched, _stored(spark, sf_dir)).select("ticker", "price_date", "close_price")
+    batch = daily_rows(_new_batch(spark, sf_dir))
+    return anti(batch, _stored(spark, sf_dir), NEW_BATCH_FROM).select("ticker", "price_date", "close_price")
 
 
 @register(
@@ -513,10 +508,9 @@ FROM batch b LEFT JOIN stored s ON s.ticker = b.ticker AND s.price_date = b.pric
 )
 def load_counts(spark, sf_dir):
     """Rows in the batch, inserted and skipped, in one pass."""
-    from barlake.operators.load import enrich_facts, load_counts as counts
+    from barlake.operators.load import daily_rows, load_counts as counts
 
-    enriched = enrich_facts(_new_batch(spark, sf_dir), _batch_dim(spark, sf_dir), BATCH_ID)
-    return counts(enriched, _stored(spark, sf_dir))
+    return counts(daily_rows(_new_batch(spark, sf_dir)), _stored(spark, sf_dir), NEW_BATCH_FROM)
 
 
 _REQUESTED_SQL = f"""
@@ -870,11 +864,18 @@ def _fact_rows(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    from barlake.operators.dims import date_dimension
     from barlake.operators.marts import star
 
     fact, dim = _fact(spark, sf_dir)
-    return star(fact, dim, date_dimension(spark, "1990-01-01", "2035-12-31"))
+    return star(fact, dim, _calendar(spark, sf_dir))
+
+
+def _calendar(spark, sf_dir):
+    """Calendar rows of the days that the feed has: no fixed range that could cut any."""
+    from barlake.operators.dims import date_attributes
+
+    days = src.read_table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("d")).distinct()
+    return days.select(*date_attributes(F.col("d")))
 
 
 @register(
@@ -892,7 +893,7 @@ def latest_close(spark, sf_dir):
     from barlake.operators.marts import latest_close as measure
 
     out = measure(_fact_rows(spark, sf_dir))
-    return out.withColumn("latest_close", F.col("latest_close"))
+    return out
 
 
 @register(
@@ -901,9 +902,7 @@ def latest_close(spark, sf_dir):
     + f""", last AS (SELECT ticker, max(price_date) AS latest_date FROM fact GROUP BY ticker),
 s1 AS (
   SELECT f.ticker, l.latest_date,
-         CAST(sum(CAST(round(f.close_price * 1000000) AS BIGINT)) FILTER (WHERE f.price_date = l.latest_date)
-              AS DOUBLE) / 1000000.0
-           / count(f.close_price) FILTER (WHERE f.price_date = l.latest_date) AS latest_close,
+         {O.exact_mean("f.close_price", "f.price_date = l.latest_date")} AS latest_close,
          max(f.price_date) FILTER (WHERE f.price_date <= l.latest_date - INTERVAL 30 DAY) AS prior_date
   FROM fact f JOIN last l USING (ticker) GROUP BY 1, 2),
 pr AS (SELECT f.ticker, {O.exact_mean("f.close_price")} AS prior_close FROM fact f
@@ -920,10 +919,10 @@ def return_30d(spark, sf_dir):
     return out.select(
         "ticker",
         "latest_date",
-        F.col("latest_close").alias("latest_close"),
+        "latest_close",
         "prior_date",
-        F.col("prior_close").alias("prior_close"),
-        F.col("return_30d").alias("return_30d"),
+        "prior_close",
+        "return_30d",
     )
 
 
@@ -949,7 +948,7 @@ def load_success_rate(spark, sf_dir):
     from barlake.operators.marts import load_success_rate as measure
 
     out = measure(src.pipeline_runs_source(spark, sf_dir))
-    return out.withColumn("success_rate", F.col("success_rate"))
+    return out
 
 
 @register(
@@ -973,7 +972,7 @@ def price_trend(spark, sf_dir):
     """Average close per day and company (the headline line chart)."""
     from barlake.operators.marts import price_trend as measure
 
-    return measure(_star(spark, sf_dir)).withColumn("avg_close", F.col("avg_close"))
+    return measure(_star(spark, sf_dir))
 
 
 @register(
@@ -1002,11 +1001,9 @@ def _month_sums_sql() -> str:
 @register("volume_matrix", O.with_ctes(O.FEED, _FACT_SQL) + _month_sums_sql())
 def volume_matrix(spark, sf_dir):
     """Ticker x month matrix of summed volume."""
-    from barlake.operators.dims import date_dimension
     from barlake.operators.marts import volume_matrix as measure, with_calendar
 
-    dated = with_calendar(_fact_rows(spark, sf_dir), date_dimension(spark, "1990-01-01", "2035-12-31"))
-    return measure(dated)
+    return measure(with_calendar(_fact_rows(spark, sf_dir), _calendar(spark, sf_dir)))
 
 
 @register(

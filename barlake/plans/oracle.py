@@ -17,6 +17,11 @@ ticks AS (
 )"""
 
 
+def digits(x: str) -> str:
+    """A double as the decimal number that its shortest text form shows."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18))"
+
+
 def bars_cte(width: str, trunc: str) -> str:
     """Bars of ``width``; ``trunc`` is the DuckDB date_trunc unit with the same alignment."""
     return f"""
@@ -39,8 +44,7 @@ def scored_cte(lookback_seconds: int) -> str:
     return f"""
 scored AS (
   SELECT *,
-         CAST(sum(CAST(round(close * 1000000) AS BIGINT)) OVER w AS DOUBLE) / 1000000.0
-           / count(close) OVER w AS reference_avg
+         CAST(CAST(sum({digits("close")}) OVER w AS VARCHAR) AS DOUBLE) / count(close) OVER w AS reference_avg
   FROM bars
   WINDOW w AS (PARTITION BY ticker ORDER BY window_start
                RANGE BETWEEN INTERVAL {lookback_seconds} SECONDS PRECEDING
@@ -48,9 +52,10 @@ scored AS (
 )"""
 
 
-def exact_mean(x: str) -> str:
-    """Mean as an exact micro-unit sum / count (matches ``prices.exact_mean``)."""
-    return f"CAST(sum(CAST(round({x} * 1000000) AS BIGINT)) AS DOUBLE) / 1000000.0 / count({x})"
+def exact_mean(x: str, where: str = "") -> str:
+    """Mean as the sum of the values' decimal digits over their count."""
+    only = f" FILTER (WHERE {where})" if where else ""
+    return f"CAST(CAST(sum({digits(x)}){only} AS VARCHAR) AS DOUBLE) / count({x}){only}"
 
 
 MOVE_PCT = "CASE WHEN reference_avg = 0 THEN 0.0 ELSE (close - reference_avg) / reference_avg * 100.0 END"

@@ -118,16 +118,6 @@ STATUS_FAILED = "FAILED"
 BRONZE_TARGETS = ("local", "azure")
 CRITICAL_ERROR_PREFIX = "Critical quality checks failed: "
 FRACTIONAL_VOLUME_ISSUE = "volume contains non-integer float values"
-REPORT_FIELDS = (
-    "batch_id",
-    "timestamp",
-    "rows_extracted",
-    "rows_inserted",
-    "rows_skipped",
-    "checks",
-    "overall_passed",
-    "execution_time_seconds",
-)
 REPORT_FILE = "quality_report_{batch_id}.json"
 # ---------------------------------------------------------------------------
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions.ticks import build_tick
 from barlake.functions.timecols import iso_text
-from barlake.schemas import STATUS_FAILED, STATUS_SUCCESS, TICKER_PATTERN
+from barlake.schemas import STATUS_FAILED, STATUS_SUCCESS
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,12 +163,16 @@ def price_feed(spark: SparkSession, sf_dir: str, many_keys: bool = False) -> Dat
 
 
 def wide_price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide layout (one row per date, ``<Field>_<Ticker>`` columns) for the five
-    well-formed segment tickers, the shape a multi-ticker download returns."""
+    """Wide layout (one row per date, ``<Field>_<Ticker>`` columns) for all tickers of
+    the feed, the shape a multi-ticker download returns. The tickers are the
+    columns, at most segments x (nations + 1), so they are looked up first."""
     from barlake.schemas import RAW_FIELDS
 
-    feed = price_feed(spark, sf_dir).where(F.col("Ticker").rlike(TICKER_PATTERN))
-    tickers = ["AUTOM", "BUILD", "FURNI", "HOUSE", "MACHI"]
+    feed = price_feed(spark, sf_dir)
+    customer = read_table(spark, sf_dir, "customer").select(
+        feed_ticker(F.col("c_mktsegment"), F.col("c_nationkey"), F.col("c_acctbal")).alias("ticker")
+    )
+    tickers = sorted(r[0] for r in customer.distinct().collect())
     aggs = [
         F.max_by(F.col(field), F.col("seq")).alias(field.replace(" ", "_")) for field in RAW_FIELDS
     ]
@@ -185,20 +189,21 @@ def company_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company attributes per ticker: name from the segment, sector = region, industry = nation.
 
     One row per ticker: the customer with the smallest key decides. The
-    provider does not cover the HOUSEHOLD segment, so those tickers get nulls.
+    provider knows nothing of the HOUSEHOLD segment, whose tickers get nulls.
     """
-    customer = read_table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "HOUSEHOLD")
+    customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
+    covered = F.col("c_mktsegment") != "HOUSEHOLD"
     rows = (
-        customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)
-        .join(F.broadcast(region), F.col("n_regionkey") == region.r_regionkey)
+        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+        .join(region, F.col("n_regionkey") == region.r_regionkey)
         .select(
             feed_ticker(F.col("c_mktsegment"), F.col("c_nationkey"), F.col("c_acctbal")).alias("ticker"),
             "c_custkey",
-            F.concat(F.initcap(F.col("c_mktsegment")), F.lit(" Holdings")).alias("company_name"),
-            F.col("r_name").alias("sector"),
-            F.col("n_name").alias("industry"),
+            F.when(covered, F.concat(F.initcap("c_mktsegment"), F.lit(" Holdings"))).alias("company_name"),
+            F.when(covered, F.col("r_name")).alias("sector"),
+            F.when(covered, F.col("n_name")).alias("industry"),
         )
     )
     best = rows.groupBy("ticker").agg(

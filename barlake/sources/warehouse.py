@@ -1,9 +1,11 @@
 """Parquet warehouse: the star-schema tables of ``barlake.schemas`` under one root.
 
-Layout: ``<root>/<table>/v=<version>/...`` plus ``<root>/<table>/_current``, a
-one-line text table naming the live version. Appends add files to the live
-version. ``replace`` (dimension upserts, migrations) writes a new version and
-then moves the pointer, because Spark cannot overwrite a table it is reading.
+Layout: ``<root>/<table>/v=<version>/...`` plus ``<root>/<table>/_commits``, a
+text table with one line per committed version; the last one is live. Appends add
+files to the live version. ``replace`` (dimension upserts, migrations) writes a
+new version and then appends its commit line, because Spark cannot overwrite a
+table it is reading. Nothing is ever overwritten on the way, so a run that breaks
+between any two steps leaves the earlier version live.
 ``overwrite_partitions`` replaces only the partitions present in the new data
 (dynamic partition overwrite), which makes retried micro-batches idempotent.
 Everything goes through Spark readers and writers, so the root can be a
@@ -16,13 +18,14 @@ import datetime as dt
 import json
 import os
 import uuid
+from dataclasses import asdict, dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
-from barlake.schemas import PIPELINE_RUNS, QUALITY_RESULTS, REPORT_FIELDS, REPORT_FILE, WAREHOUSE_TABLES
+from barlake.schemas import PIPELINE_RUNS, QUALITY_RESULTS, REPORT_FILE, WAREHOUSE_TABLES
 from barlake.session import join_path
 
 QUALITY_TABLE = StructType(QUALITY_RESULTS.fields + [StructField("batch_id", StringType(), True)])
@@ -36,7 +39,15 @@ BAR_METRICS = StructType(
         StructField("alerts", LongType(), True),
     ]
 )
-EXTRA_TABLES = {"quality_results": QUALITY_TABLE, "bar_metrics": BAR_METRICS}
+DATE_GAPS = StructType(
+    [
+        StructField("batch_id", StringType(), True),
+        StructField("ticker", StringType(), True),
+        StructField("gap_after", TimestampNTZType(), True),
+        StructField("gap_calendar_days", LongType(), True),
+    ]
+)
+EXTRA_TABLES = {"quality_results": QUALITY_TABLE, "bar_metrics": BAR_METRICS, "date_gaps": DATE_GAPS}
 
 # Storage-only partition columns. The price fact is appended daily and read back
 # by date range, so it is split by year; the stream sink tables carry the
@@ -64,6 +75,11 @@ SORT_WITHIN = {
 }
 
 
+def is_missing_path(error: AnalysisException) -> bool:
+    """Whether a read failed for the one reason that means "nothing there"."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None):
         self.spark = spark
@@ -81,20 +97,21 @@ class Warehouse:
     def _table_dir(self, name: str) -> str:
         return join_path(self.root, name)
 
-    def _pointer(self, name: str) -> str:
-        return join_path(self._table_dir(name), "_current")
+    def _commits(self, name: str) -> str:
+        return join_path(self._table_dir(name), "_commits")
 
     def current_version(self, name: str, fresh: bool = False) -> str | None:
         if not fresh and name in self._versions and name in FIXED_VERSION_TABLES:
             return self._versions[name]
         try:
-            rows = self.spark.read.text(self._pointer(name)).collect()
-        except AnalysisException:
-            return None
-        if not rows:
+            latest = self.spark.read.text(self._commits(name)).agg(F.max(F.trim("value"))).first()[0]
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
             return None
-        self._versions[name] = rows[0][0].strip()
-        return self._versions[name]
+        if latest is not None:
+            self._versions[name] = latest
+        return latest
 
     def path(self, name: str) -> str:
         version = self.current_version(name)
@@ -103,9 +120,8 @@ class Warehouse:
         return join_path(self._table_dir(name), f"v={version}")
 
     def _set_version(self, name: str, version: str) -> None:
-        self.spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode(
-            "overwrite"
-        ).text(self._pointer(name))
+        line = self.spark.createDataFrame([(version,)], "value string").coalesce(1)
+        line.write.mode("append").text(self._commits(name))
         self._versions[name] = version
 
     # -- lifecycle ----------------------------------------------------------------
@@ -113,12 +129,30 @@ class Warehouse:
         return self.current_version(name) is not None
 
     def ensure_tables(self, names: list[str] | None = None) -> None:
-        """Create every missing table as an empty Parquet table; existing ones are kept."""
+        """Create every missing table as an empty Parquet table; existing ones are kept.
+
+        A table without a commit but with files of some version is not created
+        over: what is there has to be looked at first.
+        """
         for name in names or list(self.schemas):
-            if not self.exists(name):
-                version = "0"
-                self._write_version(name, self.spark.createDataFrame([], self.schemas[name]), version)
-                self._set_version(name, version)
+            if self.exists(name):
+                continue
+            if self._has_rows(name):
+                raise RuntimeError(f"table {name} under {self.root} has files but no committed version")
+            self._write_version(name, self.spark.createDataFrame([], self.schemas[name]), "0")
+            self._set_version(name, "0")
+
+    def _has_rows(self, name: str) -> bool:
+        """Whether any version folder of the table holds rows, committed or not."""
+        try:
+            found = self._reader(name).option("recursiveFileLookup", "true").parquet(
+                join_path(self._table_dir(name), "v=*")
+            )
+            return not found.isEmpty()
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
+            return False
 
     def read(self, name: str) -> DataFrame:
         """The live version, projected to the declared schema (extra storage columns,
@@ -141,8 +175,9 @@ class Warehouse:
             try:
                 df = self._reader(name).option("basePath", base).parquet(glob)
                 return self._project(name, df)
-            except AnalysisException:
-                pass
+            except AnalysisException as error:
+                if not is_missing_path(error):
+                    raise
         return self._project(name, self.spark.createDataFrame([], self.schemas[name]))
 
     def _project(self, name: str, df: DataFrame) -> DataFrame:
@@ -266,25 +301,24 @@ def write_audit_row(wh: Warehouse, audit: dict) -> None:
     wh.append("pipeline_runs", audit_row(wh.spark, audit))
 
 
-def quality_report(
-    summary: dict,
-    batch_id: str,
-    rows_extracted: int,
-    rows_inserted: int,
-    rows_skipped: int,
-    execution_time_seconds: float,
-) -> dict:
-    values = (
-        batch_id,
-        dt.datetime.now(dt.timezone.utc).isoformat(),
-        rows_extracted,
-        rows_inserted,
-        rows_skipped,
-        summary.get("checks", {}),
-        summary.get("overall_passed", False),
-        round(execution_time_seconds, 3),
-    )
-    return dict(zip(REPORT_FIELDS, values))
+@dataclass
+class QualityReport:
+    """What a run leaves for its readers; field names are the report's keys."""
+
+    batch_id: str
+    rows_extracted: int
+    rows_inserted: int
+    rows_skipped: int
+    execution_time_seconds: float
+    checks: dict = field(default_factory=dict)
+    overall_passed: bool = False
+    timestamp: str = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc).isoformat())
+
+    def __post_init__(self) -> None:
+        self.execution_time_seconds = round(self.execution_time_seconds, 3)
+
+    def document(self) -> dict:
+        return asdict(self)
 
 
 def write_quality_report(spark: SparkSession, report: dict, reports_dir: str) -> str:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions.ticks import with_tick_check
 from barlake.functions.timecols import ntz_literal
-from barlake.operators.bars import aggregate_bars, price_alerts, with_reference_average
+from barlake.operators.bars import ohlcv_bars, price_alerts, with_reference_average
 from barlake.schemas import (
     ALERT_THRESHOLD_PCT,
     BAR_WIDTH,
@@ -107,7 +107,7 @@ def dead_letters(messages: DataFrame) -> DataFrame:
 
 def stream_bars(ticks: DataFrame, watermark: str = WATERMARK_DELAY, width: str = BAR_WIDTH) -> DataFrame:
     """Watermarked tumbling-window bars; window bounds returned as naive UTC."""
-    bars = aggregate_bars(ticks.withWatermark("event_time", watermark), width)
+    bars = ohlcv_bars(ticks.withWatermark("event_time", watermark), width)
     return bars.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
         "window_end", F.col("window_end").cast("timestamp_ntz")
     )

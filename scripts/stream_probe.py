@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from barlake.operators.bars import aggregate_bars  # noqa: E402
+from barlake.operators.bars import ohlcv_bars  # noqa: E402
 from barlake.plans import catalog  # noqa: E402
 from barlake.session import build_session  # noqa: E402
 from barlake.sources import testdata as src  # noqa: E402
@@ -55,7 +55,7 @@ def main() -> None:
     valid = catalog.QUERIES["valid_ticks"](spark, sf_dir)
     last = valid.agg(F.max("event_time")).first()[0]
     cols = ["ticker", "window_start", "open", "high", "low", "close", "volume", "tick_count"]
-    twin = aggregate_bars(valid).where(
+    twin = ohlcv_bars(valid).where(
         F.col("window_end") <= F.lit(last) - F.expr("INTERVAL 30 SECONDS")
     ).select(*cols)
     stored = Warehouse(spark, cfg.warehouse).read("fact_intraday_bars").select(*cols)

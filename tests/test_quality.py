@@ -8,7 +8,7 @@ from barlake.operators.quality import (
     quality_results,
     run_quality_checks,
 )
-from barlake.sources.warehouse import quality_report, write_quality_report
+from barlake.sources.warehouse import QualityReport, write_quality_report
 
 from .conftest import QUALITY_COLUMNS, d
 
@@ -119,8 +119,8 @@ def test_missing_columns(spark):
 
 def test_report_json(spark, two_valid_rows, tmp_path):
     res = run_quality_checks(frame(spark, two_valid_rows))
-    rep = quality_report(res, "test-batch-123", 2, 2, 0, 1.2345)
-    path = write_quality_report(spark, rep, str(tmp_path))
+    rep = QualityReport("test-batch-123", 2, 2, 0, 1.2345, res["checks"], res["overall_passed"])
+    path = write_quality_report(spark, rep.document(), str(tmp_path))
     assert "test-batch-123" in path
     data = json.loads(open(path).read())
     for key in ("batch_id", "rows_extracted", "rows_inserted", "rows_skipped", "checks",

@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from barlake.operators.bars import aggregate_bars, with_reference_average
+from barlake.operators.bars import ohlcv_bars, with_reference_average
 from barlake.sources import testdata as src
 from barlake.sources.warehouse import Warehouse
 from barlake.streaming.monitor import check, is_healthy, lag_from_progress
@@ -60,7 +60,7 @@ def test_stream_equals_batch_twin_and_dlq_is_complement(spark, tmp_path):
     # the batch twin over the same valid ticks
     valid_ids = (msgs.where(F.col("event_id") % 40 >= 10)).select("event_id")
     ticks = src.event_ticks(spark, SF_SMALL).join(valid_ids, "event_id")
-    twin = with_reference_average(aggregate_bars(ticks), 5 * 3600)
+    twin = with_reference_average(ohlcv_bars(ticks), 5 * 3600)
     max_ts = ticks.agg(F.max("event_time")).collect()[0][0]
     # the last open window stays open under the watermark at the end of a finite stream
     final = twin.where(F.col("window_end") <= F.lit(max_ts) - F.expr("INTERVAL 30 SECONDS"))

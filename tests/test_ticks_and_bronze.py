@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions.prices import move_pct, should_alert
 from barlake.functions.ticks import build_tick, is_valid, reject_reason
-from barlake.operators.replay import tick_interval_seconds
+from barlake.operators.replay import replay_schedule
 from barlake.sources.bronze import read_bronze, replay_rows, resolve_bronze_root, write_bronze
 
 from .conftest import d
@@ -86,11 +86,14 @@ def test_null_payload_is_a_dead_letter(spark):
     assert df.select(is_valid(F.col("raw"))).collect()[0][0] is False
 
 
-def test_pacing():
-    assert tick_interval_seconds(10) == pytest.approx(0.1)
-    assert tick_interval_seconds(0.5) == pytest.approx(2.0)
+def test_pacing(spark):
+    rows = spark.createDataFrame([("A", dt.date(2024, 1, 1 + k)) for k in range(7)], "ticker string, Date date")
+    t0 = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    for rate, last in ((10, 600_000), (0.5, 12_000_000), (3, 2_000_000)):
+        got = replay_schedule(rows, t0, rate).agg(F.max("event_time")).first()[0]
+        assert got == dt.datetime(2024, 1, 1) + dt.timedelta(microseconds=last)
     with pytest.raises(ValueError):
-        tick_interval_seconds(0)
+        replay_schedule(rows, t0, 0)
 
 
 def test_move_and_alert(spark):
