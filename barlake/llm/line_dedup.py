@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import fresh, table
+from barlake.llm.common import fresh, table, written
 
 MIN_WORDS = 50
 _DOC = ("_id", "_th")
@@ -95,11 +95,13 @@ def repeated_runs(windows: DataFrame) -> DataFrame:
         .select("print")
     )
     candidates = windows.join(shared, "print", "left_semi")
-    first = (
+    # a table of its own: a very common passage's places can then be dealt to many tasks
+    first = written(
         candidates.groupBy("key_a", "key_b")
         .agg(F.min(F.struct("_id", "_th", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select(F.col("key_a").alias("first_a"), F.col("key_b").alias("first_b"), "first")
+        .select(F.col("key_a").alias("first_a"), F.col("key_b").alias("first_b"), "first"),
+        "first-places",
     )
     later = candidates.join(
         first, (F.col("key_a") == F.col("first_a")) & (F.col("key_b") == F.col("first_b"))
@@ -122,7 +124,8 @@ def delete_repeated_lines(
     (With the two names lengthened by ``_`` where ``docs`` has them already.)
     """
     n_lines, n_deleted, left_id, left_th = fresh(docs, "n_lines", "n_deleted", "l_id", "l_th")
-    runs = repeated_runs(winnowed_windows(document_lines(docs, doc_id, text), min_words))
+    windows = winnowed_windows(document_lines(docs, doc_id, text), min_words)
+    runs = repeated_runs(written(windows, "windows"))
     deleted = runs.groupBy(*_DOC).agg(
         F.flatten(F.collect_list(F.sequence("start", "end"))).alias("_gone")
     )
