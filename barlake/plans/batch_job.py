@@ -78,6 +78,9 @@ class BatchConfig:
     on_conflict: str = "skip"
 
 
+MAX_LISTED_FAILURES = 1_000
+
+
 def seed_dim_date(wh: Warehouse) -> None:
     """Fill dim_date once (only when empty)."""
     if wh.is_empty("dim_date"):
@@ -119,8 +122,11 @@ def run_batch(
         raw = incremental_extract(source, windows, bounds=window_bounds(windows))
         raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(raw)
-        # bounded by the requested ticker list
-        failed = sorted(r["ticker"] for r in failed_tickers(tickers, raw).collect())
+        missing = failed_tickers(tickers, raw).persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(missing)
+        wh.append("failed_tickers", missing.withColumn("batch_id", F.lit(batch_id)))
+        # the run's summary names the first ones; the table has all
+        failed = [r["ticker"] for r in missing.orderBy("ticker").limit(MAX_LISTED_FAILURES).collect()]
         require_rows(raw)
 
         if cfg.bronze_root:
@@ -141,9 +147,7 @@ def run_batch(
         wh.append("quality_results", spark.createDataFrame(rows, results.schema))
         wh.append("date_gaps", date_gaps(clean).withColumn("batch_id", F.lit(batch_id)))
 
-        ok_tickers = tickers.join(
-            spark.createDataFrame([(t,) for t in failed], "ticker string"), "ticker", "left_anti"
-        )
+        ok_tickers = tickers.join(missing, "ticker", "left_anti")
         info_src = attributes if attributes is not None else ok_tickers.select(
             "ticker",
             F.lit(None).cast("string").alias("company_name"),

@@ -47,7 +47,15 @@ DATE_GAPS = StructType(
         StructField("gap_calendar_days", LongType(), True),
     ]
 )
-EXTRA_TABLES = {"quality_results": QUALITY_TABLE, "bar_metrics": BAR_METRICS, "date_gaps": DATE_GAPS}
+FAILED_TICKERS = StructType(
+    [StructField("batch_id", StringType(), True), StructField("ticker", StringType(), True)]
+)
+EXTRA_TABLES = {
+    "quality_results": QUALITY_TABLE,
+    "bar_metrics": BAR_METRICS,
+    "date_gaps": DATE_GAPS,
+    "failed_tickers": FAILED_TICKERS,
+}
 
 # Storage-only partition columns. The price fact is appended daily and read back
 # by date range, so it is split by year; the stream sink tables carry the
@@ -246,6 +254,13 @@ class Warehouse:
         )
 
 
+    def drop_partition(self, name: str, values: dict) -> None:
+        """Delete one partition folder, if it is there (a retried batch's own output)."""
+        folder = join_path(self.path(name), *[f"{k}={v}" for k, v in values.items()])
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 ROWS_PER_FILE = 4_000_000
 
 

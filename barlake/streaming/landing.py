@@ -14,11 +14,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.schemas import TICK_TOPIC
+from barlake.operators.replay import replay_messages, replay_schedule
+from barlake.schemas import REPLAY_SPEED, TICK_TOPIC
 from barlake.session import checkpoint_dir, join_path
+from barlake.sources.bronze import read_bronze, replay_rows
 
 
 def land_in_order(
@@ -50,6 +52,11 @@ def land_in_order(
     return slices
 
 
+def replay_bronze(spark: SparkSession, bronze: str, t0: Column, rate: float = REPLAY_SPEED) -> DataFrame:
+    """Bronze rows of a root as paced tick messages."""
+    return replay_messages(replay_schedule(replay_rows(read_bronze(spark, bronze)), t0, rate))
+
+
 def publish_kafka(messages: DataFrame, bootstrap: str, topic: str = TICK_TOPIC) -> None:
     """Keyed messages (``key``, ``value``) to a Kafka topic (needs the connector jar)."""
     (
@@ -59,3 +66,34 @@ def publish_kafka(messages: DataFrame, bootstrap: str, topic: str = TICK_TOPIC)
         .option("topic", topic)
         .save()
     )
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Replay Bronze: to a landing folder for the file source, or to Kafka."""
+    import argparse
+
+    from barlake.session import build_session
+
+    p = argparse.ArgumentParser(description="barlake replay")
+    p.add_argument("--bronze", required=True)
+    p.add_argument("--rate", type=float, default=REPLAY_SPEED, help="ticks per second of event time")
+    p.add_argument("--start", help="event time of the first tick; default now")
+    p.add_argument("--landing")
+    p.add_argument("--rows-per-slice", type=int, default=1_000_000)
+    p.add_argument("--bootstrap")
+    p.add_argument("--topic", default=TICK_TOPIC)
+    a = p.parse_args(argv)
+    if bool(a.landing) == bool(a.bootstrap):
+        p.error("give either --landing or --bootstrap")
+    spark = build_session(app_name="barlake-replay")
+    t0 = (F.lit(a.start) if a.start else F.localtimestamp()).cast("timestamp_ntz")
+    messages = replay_bronze(spark, a.bronze, t0, a.rate)
+    if a.landing:
+        land_in_order(messages, a.landing, a.rows_per_slice)
+    else:
+        publish_kafka(messages, a.bootstrap, a.topic)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

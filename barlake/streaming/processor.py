@@ -20,7 +20,6 @@ missing, so the retry recomputes both.
 from __future__ import annotations
 
 import datetime as dt
-import logging
 import uuid
 from dataclasses import dataclass
 
@@ -42,9 +41,9 @@ from barlake.schemas import (
     WATERMARK_DELAY,
 )
 from barlake.session import ensure_utc, join_path
-from barlake.sources.warehouse import Warehouse
+from barlake.sources.warehouse import Warehouse, is_missing_path
+from barlake.streaming.monitor import progress_folder, save_progress
 
-log = logging.getLogger(__name__)
 
 # bar_date first: the sink reads back only the last lookback of stored bars,
 # which then prunes to one or two date folders
@@ -118,6 +117,9 @@ def stream_bars(ticks: DataFrame, watermark: str = WATERMARK_DELAY, width: str =
 # ---------------------------------------------------------------------------
 
 
+PROGRESS_SECONDS = 30  # how often the stream's progress is saved for the monitor
+
+
 class BarSink:
     """``foreachBatch`` function: dedupe, score, write bars + alerts, record metrics."""
 
@@ -175,6 +177,10 @@ class BarSink:
                 F.lit(batch_id).cast("bigint").alias("batch_id"),
             ]
             alerts = price_alerts(scored, self.threshold, created_at=now).select("*", *tag)
+            # a retry that raises no alert on some day must not leave the old ones there
+            for day in days:
+                own = {"bar_date": day.isoformat(), "stream_id": self.stream_id, "batch_id": batch_id}
+                self.wh.drop_partition("alerts", own)
             alert_obs = Observation(f"alerts_{batch_id}")
             self.wh.overwrite_partitions(
                 "alerts", alerts.observe(alert_obs, F.count(F.lit(1)).alias("n")), SINK_PARTITIONS
@@ -190,10 +196,6 @@ class BarSink:
                 self.wh.schemas["bar_metrics"],
             )
             self.wh.append("bar_metrics", metrics)
-            log.info(
-                "batch=%d bars_in=%d inserted=%d skipped=%d alerts=%d",
-                batch_id, bars_in, inserted, bars_in - inserted, alert_obs.get["n"],
-            )
         finally:
             scored.unpersist()
 
@@ -233,8 +235,9 @@ def stream_id_for(spark: SparkSession, checkpoint_root: str) -> str:
         rows = spark.read.text(path).collect()
         if rows:
             return rows[0][0].strip()
-    except AnalysisException:
-        pass
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
     sid = uuid.uuid4().hex
     spark.createDataFrame([(sid,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return sid
@@ -306,9 +309,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--state-partitions", type=int, help="shuffle/state partitions (fixed per checkpoint)")
     a = p.parse_args(argv)
     spark = build_session(app_name="barlake-stream")
-    start(spark, StreamConfig(a.warehouse, a.checkpoints, a.dlq, a.source, a.landing, a.bootstrap,
-                              threshold_pct=a.threshold, state_partitions=a.state_partitions))
-    spark.streams.awaitAnyTermination()
+    queries = start(spark, StreamConfig(a.warehouse, a.checkpoints, a.dlq, a.source, a.landing, a.bootstrap,
+                                        threshold_pct=a.threshold, state_partitions=a.state_partitions))
+    while not spark.streams.awaitAnyTermination(PROGRESS_SECONDS):
+        save_progress(spark, queries, progress_folder(a.checkpoints))
 
 
 if __name__ == "__main__":
