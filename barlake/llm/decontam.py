@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm.common import Rewritten, appended, extended, fresh, table
@@ -284,27 +284,37 @@ def mark_hits(
     return marked
 
 
+def hit_words(spans: str) -> Column:
+    """How many words the disjoint spans (flat starts and ends) cover."""
+    signed = F.transform(spans, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
+    return F.aggregate(signed, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def is_contaminated(n_words: str, spans: str) -> Column:
+    """Some words are hit, and a twentieth of all or more."""
+    return (hit_words(spans) > 0) & (hit_words(spans) * 20 >= F.col(n_words))
+
+
 def judged(marked: DataFrame, n_words: str, spans: str, items: str) -> DataFrame:
-    """n_hit, n_items, items_sha256 and contaminated from the marks."""
-    flat = F.col(spans)
-    n_hit = F.aggregate(
-        F.transform(flat, lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)),
-        F.lit(0).cast("long"), lambda a, x: a + x,
-    )
+    """n_hit, n_items, items_sha256 and contaminated from the marks.
+
+    (The names lengthened by ``_`` where ``marked`` has them already.)
+    """
+    n_hit, n_items, digest, verdict = fresh(marked, "n_hit", "n_items", "items_sha256", "contaminated")
     return marked.withColumns(
         {
-            "n_hit": n_hit,
-            "n_items": F.size(items).cast("long"),
-            "items_sha256": F.sha2(F.array_join(F.array_sort(items), ","), 256),
+            n_hit: hit_words(spans),
+            n_items: F.size(items).cast("long"),
+            digest: F.sha2(F.array_join(F.array_sort(items), ","), 256),
+            verdict: is_contaminated(n_words, spans),
         }
-    ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col(n_words)))
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents of which a twentieth or more is benchmark text."""
-    names = fresh(docs, "n_words", "hit_spans", "hit_items")
-    marked = judged(mark_hits(docs, benchmark), *names)
-    return marked.where(~F.col("contaminated")).select(*docs.columns)
+    n_words, spans, _ = fresh(docs, "n_words", "hit_spans", "hit_items")
+    return mark_hits(docs, benchmark).where(~is_contaminated(n_words, spans)).select(*docs.columns)
 
 
 def op6_query(spark: SparkSession, sf_dir: str) -> DataFrame:

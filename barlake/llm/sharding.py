@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.common import table, written
+from barlake.llm.common import fresh, table, written
 
 RANK_BUCKETS = 1024
 
@@ -98,20 +98,20 @@ def gapless_slots(
     The offsets table has at most groups x ``buckets`` rows and is broadcast
     under that bound (the caller's groups are a fixed number of shards).
     """
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    bucket, rank, before = fresh(df, "bucket", "rank", "before")
+    bucketed = df.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)))
     ranked = bucketed.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(*order))
+        rank, F.row_number().over(Window.partitionBy(group, bucket).orderBy(*order))
     )
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+    earlier = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = bucketed.groupBy(group, bucket).agg(F.count(F.lit(1)).alias("rows"))
+    offsets = sizes.select(
+        group, bucket, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(before)
     )
     return (
-        ranked.join(F.broadcast(offsets), [group, "_bucket"])
-        .withColumn(name, (F.col("_before") + F.col("_rank") - 1).cast("long"))
-        .drop("_bucket", "_rank", "_before")
+        ranked.join(F.broadcast(offsets), [group, bucket])
+        .withColumn(name, (F.col(before) + F.col(rank) - 1).cast("long"))
+        .drop(bucket, rank, before)
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm import decontam, line_dedup, packing, simhash, toxicity
-from barlake.llm.common import ship_package, table, written
+from barlake.llm.common import fresh, ship_package, table, written
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,12 +20,13 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def delete_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, later repeats of passages deleted; n_chars follows the text."""
-    shorter = line_dedup.delete_repeated_lines(docs).select(*docs.columns)
-    if "n_chars" not in docs.columns:
-        return shorter
-    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return shorter.withColumn("n_chars", n_chars).select(*docs.columns)
+    """All documents, later repeats of passages deleted; n_chars follows a changed text."""
+    shorter = line_dedup.delete_repeated_lines(docs)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed = F.col(fresh(docs, "n_deleted")[0]) > 0
+        shorter = shorter.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
+    return shorter.select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,3 +90,16 @@ def test_prefix_is_the_rarest_shingle():
     rare = codes[1]
     decontam.choose_prefixes(block, {(3, c): 9 for c in codes} | {(3, rare): 1})
     assert block.prefixes[3][0].tolist() == [rare]
+
+
+def test_verdict_names_do_not_replace_columns(spark, docs):
+    docs([])
+    passage = " ".join(f"q{k}" for k in range(13))
+    df = spark.createDataFrame(
+        [(1, "clean", 7, "mine"), (2, passage, 8, "x")], "doc_id long, text string, n_hit int, contaminated string"
+    )
+    benchmark = spark.createDataFrame([(9, passage)], "item_id long, text string")
+    kept = decontam.drop_contaminated(df, benchmark)
+    assert [r.asDict() for r in kept.collect()] == [
+        {"doc_id": 1, "text": "clean", "n_hit": 7, "contaminated": "mine"}
+    ]

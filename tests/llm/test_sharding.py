@@ -71,6 +71,13 @@ def test_slots_are_gapless_with_nulls_and_repeats(spark):
         )
 
 
+def test_slots_leave_columns_with_working_names(spark):
+    df = spark.createDataFrame([(k, 0, "b", 3) for k in range(20)], "doc_id long, shard int, bucket string, rank int")
+    got = sharding.gapless_slots(df, "shard", ["doc_id"], buckets=4).collect()
+    assert sorted(r["slot"] for r in got) == list(range(20))
+    assert {(r["bucket"], r["rank"]) for r in got} == {("b", 3)}
+
+
 def test_query_on_empty_and_odd_rows(spark, tmp_path):
     rows = [(1, "a"), (1, "a"), (2, None), (3, ""), (None, "é" * 10), (None, "é" * 10)]
     for name, some in (("full", rows), ("empty", [])):
