@@ -280,7 +280,7 @@ def wide_to_long(spark, sf_dir):
 # Data quality
 # ---------------------------------------------------------------------------
 
-_DQ_SQL = O.with_ctes(O.FEED, O.CLEAN) + """,
+_DQ_CHECKS = """,
 gaps AS (
   SELECT count(*) AS n FROM (
     SELECT date_diff('day', lag(price_date) OVER (PARTITION BY ticker ORDER BY price_date), price_date) AS d
@@ -307,16 +307,20 @@ SELECT * FROM (VALUES
   ('price_relationships', 'WARNING', (SELECT price_relationships FROM cnt)),
   ('invalid_ticker_format', 'WARNING', (SELECT invalid_ticker_format FROM cnt)),
   ('date_gaps', 'WARNING', (SELECT n FROM gaps)),
-  ('column_types', 'WARNING', 0)
+  ('column_types', 'WARNING', (SELECT CASE WHEN count_if(volume <> floor(volume)) > 0 THEN 1 ELSE 0 END FROM clean))
 ) t("check", severity, failures_raw)
 """
-_DQ_SQL = (
-    "SELECT \"check\", severity, failures_raw = 0 AS passed, CAST(failures_raw AS BIGINT) AS failures "
-    "FROM (" + _DQ_SQL + ")"
-)
 
 
-@register("dq_summary", _DQ_SQL)
+def _dq_sql(rows: str) -> str:
+    """The nine checks over the CTE ``clean`` that ``rows`` ends with."""
+    return (
+        "SELECT \"check\", severity, failures_raw = 0 AS passed, CAST(failures_raw AS BIGINT) AS failures "
+        "FROM (" + rows + _DQ_CHECKS + ")"
+    )
+
+
+@register("dq_summary", _dq_sql(O.with_ctes(O.FEED, O.CLEAN)))
 def dq_summary(spark, sf_dir):
     """All nine checks on the transformed batch: check, severity, passed, failures."""
     from barlake.operators.quality import quality_results
@@ -324,6 +328,47 @@ def dq_summary(spark, sf_dir):
     return quality_results(_clean(spark, sf_dir)).select("check", "severity", "passed", "failures")
 
 
+@register(
+    "dq_summary_faults",
+    _dq_sql(
+        O.with_ctes(
+            O.FEED,
+            """clean AS (
+  SELECT CASE WHEN seq % 97 = 0 THEN NULL WHEN seq % 89 = 0 THEN '  ' ELSE "Ticker" END AS ticker,
+         CASE WHEN seq % 101 = 0 THEN NULL ELSE "Date" END AS price_date,
+         CASE WHEN seq % 103 = 0 THEN -"Open" ELSE "Open" END AS open_price,
+         "High" AS high_price, "Low" AS low_price,
+         CASE WHEN seq % 107 = 0 THEN -"Close" ELSE "Close" END AS close_price,
+         "AdjClose" AS adj_close_price,
+         CASE WHEN seq % 109 = 0 THEN -"Volume" WHEN seq % 113 = 0 THEN "Volume" + 0.5::DOUBLE
+              ELSE "Volume" END::DOUBLE AS volume
+  FROM feed)""",
+        )
+    ),
+)
+def dq_summary_faults(spark, sf_dir):
+    """All nine checks on the whole raw feed with faults of every kind put in by order key."""
+    from barlake.operators.quality import quality_results
+    from barlake.operators.transform import coerce_types, standardize_columns
+
+    std = coerce_types(standardize_columns(src.price_feed(spark, sf_dir)))
+
+    def each(n):
+        return F.col("seq") % n == 0
+
+    volume = F.col("volume").cast("double")
+    faulty = std.withColumns(
+        {
+            "ticker": F.when(each(97), F.lit(None)).when(each(89), F.lit("  ")).otherwise(F.col("ticker")),
+            "price_date": F.when(~each(101), F.col("price_date")),
+            "open_price": F.when(each(103), -F.col("open_price")).otherwise(F.col("open_price")),
+            "close_price": F.when(each(107), -F.col("close_price")).otherwise(F.col("close_price")),
+            "volume": F.when(each(109), -volume).when(each(113), volume + 0.5).otherwise(volume),
+        }
+    )
+    return quality_results(faulty).select("check", "severity", "passed", "failures")
+
+
 @register(
     "dq_duplicates",
     O.with_ctes(O.FEED)
@@ -485,6 +530,25 @@ def fact_enriched(spark, sf_dir):
     return out.select("ticker", "price_date", "company_id", "date_id", "batch_id", "close_price")
 
 
+@register(
+    "latest_of_day",
+    """SELECT upper(event_type) AS ticker, date_trunc('day', ts) AS price_date,
+       arg_max(value, row(ts, event_id)) AS close_price, max_by(event_id, row(ts, event_id)) AS seq
+FROM events GROUP BY 1, 2""",
+)
+def latest_of_day(spark, sf_dir):
+    """What the load keeps of many stamps a day: the latest time, then the latest arrival."""
+    from barlake.operators.load import daily_rows
+
+    stamps = src.read_table(spark, sf_dir, "events").select(
+        F.upper("event_type").alias("ticker"),
+        F.col("ts").alias("price_date"),
+        F.col("value").alias("close_price"),
+        F.col("event_id").alias("seq"),
+    )
+    return daily_rows(stamps)
+
+
 @register(
     "new_rows",
     O.with_ctes(O.FEED, _STORED_SQL, _BATCH_SQL)
