@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.common import table, written
+from barlake.llm.common import sampled, table, written
 
 TRAINING_ROWS = 4_000
 MAX_LANGUAGES = 200
@@ -92,9 +92,9 @@ class TextModel:
 
 def train(docs: DataFrame, rows: int = TRAINING_ROWS) -> TextModel:
     """n-gram counts of the sampled documents, by language."""
-    usable = docs.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
-    chosen = usable.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = usable.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
+    known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", "text")
+    chosen = sampled(known.select("doc_id"), rows, "doc_id")
+    sample = known.join(F.broadcast(chosen), "doc_id", "left_semi").where("text IS NOT NULL").select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}

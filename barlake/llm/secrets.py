@@ -34,7 +34,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.common import id_held_out, table, written
+from barlake.llm.common import id_held_out, sampled, table, written
 
 DICTIONARY_WORDS = 5_000
 LABELLED_FINDINGS = 20_000
@@ -176,7 +176,7 @@ def classified(
     ``labelled`` has the columns features and label; at most ``rows`` are used.
     """
     sample = written(
-        labelled.where("label IS NOT NULL").orderBy(F.xxhash64("features", "label")).limit(rows)
+        sampled(labelled.where("label IS NOT NULL"), rows, "features", "label")
         .select(array_to_vector("features").alias("vector"), F.col("label").cast("double").alias("label")),
         "findings-sample",
     )

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.common import appended, extended, fresh, id_held_out, table, written
+from barlake.llm.common import appended, extended, fresh, id_held_out, sampled, table, written
 
 LABELLED_ROWS = 20_000
 CANDIDATE_TERMS = 20_000
@@ -197,7 +197,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, doc_id: str,
         .where(~id_held_out(F.col("labelled_id")))
         .groupBy("labelled_id").agg(F.max("toxic").alias("toxic"))
     )
-    chosen = usable.orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(rows)
+    chosen = sampled(usable, rows, "labelled_id")
     texts = docs.select(F.col(doc_id).cast("long").alias("own_id"), F.col(text).alias("text"))
     joined = texts.join(F.broadcast(chosen), texts["own_id"] == chosen["labelled_id"])  # `rows` ids
     return written(joined.select("text", (F.col("toxic") > 0).cast("int").alias("toxic")), "labelled")
