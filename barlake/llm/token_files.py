@@ -34,6 +34,7 @@ from barlake.session import checkpoint_dir, join_path
 
 BLOCK_IDS = 65_536
 GROUP_IDS = 8_192
+CACHED_CHUNKS = 1_000_000  # of a worker, about 200 MB
 BLOCK_SCHEMA = (
     "shard int, block int, before long, n_ids long, doc_ids array<long>, lengths array<long>, "
     "offsets array<int>, words binary"
@@ -77,7 +78,7 @@ def unpack_block(n_ids: int, offsets: list[int], words: bytes) -> np.ndarray:
 def _encode_blocks(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        encode = encoder(vocabulary).ids
+        encode = encoder(vocabulary, CACHED_CHUNKS).ids
         block = before = n_ids = 0
         doc_ids: list = []
         lengths: list = []

@@ -18,8 +18,7 @@ from functools import lru_cache
 import numpy as np
 
 END_ID = 0
-CACHED_CHUNKS = 1_000_000  # about 170 MB in a worker
-KEPT_CHUNKS = 200_000  # when there are more: those met first, mostly the common ones
+CACHED_CHUNKS = 400_000  # about 80 MB in a worker
 _END = np.array([END_ID], dtype="<u4").tobytes()
 _TOUCHING = re.compile(r"\x00|[ \n]\s|\s[ \n]")
 _MARKS = ".,;:!?"
@@ -37,7 +36,12 @@ def _byte_letters() -> list[str]:
 
 
 class Encoder:
-    def __init__(self, vocabulary: str):
+    """Ids by a vocabulary file; keeps those of up to ``cached_chunks`` chunks.
+
+    When there are more, the fifth met first stays: mostly the common ones.
+    """
+
+    def __init__(self, vocabulary: str, cached_chunks: int = CACHED_CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -47,9 +51,10 @@ class Encoder:
         self._break = letters[ord("\n")]
         (self._break_id,) = self._tokenizer.encode("\n", add_special_tokens=False).ids
         # the same model on words that need no more splitting, one a line
-        self._words = Tokenizer.from_file(vocabulary)
+        self._words = Tokenizer(self._tokenizer.model)
         self._words.pre_tokenizer = pre_tokenizers.Split(self._break, "isolated")
         self._known: dict[str, bytes] = {}
+        self._cached_chunks = cached_chunks
 
     def _library(self, texts: list[str]) -> list[bytes]:
         encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -69,8 +74,8 @@ class Encoder:
     def _learn(self, chunks: list[str]) -> None:
         """Make the ids of all ``chunks`` known."""
         known = self._known
-        if len(known) > CACHED_CHUNKS:
-            for chunk in list(known)[KEPT_CHUNKS:]:
+        if len(known) > self._cached_chunks:
+            for chunk in list(known)[self._cached_chunks // 5 :]:
                 del known[chunk]
         new = {c for c in chunks if c not in known}
         ended = {}  # chunks that end in marks, and the words before these
@@ -110,7 +115,7 @@ class Encoder:
         return b"".join(map(known.__getitem__, chunks)) + _END
 
 
-@lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> Encoder:
+@lru_cache(maxsize=1)
+def encoder(vocabulary: str, cached_chunks: int = CACHED_CHUNKS) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    return Encoder(vocabulary)
+    return Encoder(vocabulary, cached_chunks)

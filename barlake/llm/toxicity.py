@@ -45,7 +45,7 @@ CANDIDATE_TERMS = 20_000
 LEXICON_SIZE = 500
 THRESHOLD = 0.3
 STEM_LENGTHS = range(4, 9)
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 CONTEXT_WORDS = 4
 _WORD = re.compile(r"[^\W_]+")
 # Marks that open and close a quotation, and words that report one.

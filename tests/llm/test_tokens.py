@@ -57,12 +57,10 @@ def test_known_traps(vocabulary):
         assert ids == [*library_ids(vocabulary, text), 0], text
 
 
-def test_cache_overflow_keeps_results(vocabulary, monkeypatch):
+def test_cache_overflow_keeps_results(vocabulary):
     from barlake.llm import tokens
 
-    monkeypatch.setattr(tokens, "CACHED_CHUNKS", 10)
-    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 3)
-    own = tokens.Encoder(vocabulary)
+    own = tokens.Encoder(vocabulary, cached_chunks=10)
     for k in range(30):
         text = f"word{k} alpha beta, gamma{k}. delta"
         assert np.frombuffer(own.ids(text), "<u4").tolist() == [*library_ids(vocabulary, text), 0]
@@ -108,3 +106,13 @@ def test_file_set_of_repeated_and_missing_rows(spark, docs, tmp_path, vocabulary
 def test_written_table_has_the_same_rows(spark):
     df = spark.createDataFrame([(1, None), (None, "a")], "a int, b string")
     assert sorted(map(str, written(df, "t").collect())) == sorted(map(str, df.collect()))
+
+
+def test_samples_are_bounded_and_repeatable(spark):
+    from barlake.llm.common import sampled
+
+    df = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    first = [r["doc_id"] for r in sampled(df, 500, "doc_id").collect()]
+    again = [r["doc_id"] for r in sampled(df.repartition(7), 500, "doc_id").collect()]
+    assert len(first) == 500 and first == again
+    assert sampled(df.limit(3), 500, "doc_id").count() == 3 and sampled(df.limit(0), 5, "doc_id").count() == 0
