@@ -1,7 +1,8 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are all runs of key-like characters in whole texts, 12 or more with a
-digit among them or without small letters. A candidate's features are its length, the shares of its
+Candidates are all runs of 12 or more key-like characters in whole texts, except
+those of small letters alone, and all values of any length and any marks that are
+assigned to a telling name or quoted after one. A candidate's features are its length, the shares of its
 character classes, its entropy, how often the class changes, how likely its
 letter transitions are in the corpus's words, how much of it dictionary words
 cover, its path (the row's source) and its neighbouring words, hashed.
@@ -13,10 +14,11 @@ labelled findings (``LABELLED_FINDINGS``, those with the smallest hash). Where n
 findings are labelled by hand, ``rule_labels`` labels them by known formats.
 
 Defined cases: a null or empty text has no candidates; null sources are a path of
-their own; rows that repeat a doc_id give their findings each; where all labels
+their own; a run within a longer assigned value is a finding besides that value;
+rows that repeat a doc_id give their findings each; where all labels
 agree or there are none, the probability is the labels' smoothed mean; an empty
 table gives an empty result; other columns are not carried. Values are shown by
-their first and last two characters and a hash, never whole.
+their first and last two characters (one below 12, none below 6) and a hash, never whole.
 """
 
 from __future__ import annotations
@@ -48,7 +50,12 @@ _PATHS, _BEFORE, _AFTER = 8, 16, 8
 _NEAR_CHARS = 40
 # Formats of known secrets, and names that a secret is assigned to.
 _KNOWN = re.compile(r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{10,})")
-_ASSIGNED = re.compile(r"""(?i)(?:pass(?:word|wd)?|token|secret|api[_-]?key)\s*[:=]\s*["']?$""")
+_NAME = r"""(?:pass(?:word|wd)?|token|secret|api[_-]?key)["']?\s*"""
+_ASSIGNED = re.compile(rf"""(?i){_NAME}[:=]\s*["']?$""")
+# a quoted value after a name, or one up to the next space after a name and a sign
+_VALUE = re.compile(
+    rf"""(?i){_NAME}(?:(?:[:=]\s*)?(?:"([^"\n]+)"|'([^'\n]+)')|[:=]\s*["']?([^\s"']*[^\s"',;.)\]}}]))"""
+)
 
 _FINDING = (
     "doc_id long, start long, length int, preview string, sha256 string, rule_label int, features array<double>"
@@ -138,6 +145,20 @@ def rule_label(value: str, before: str) -> int:
     return int(bool(_KNOWN.fullmatch(value) or _ASSIGNED.search(before)))
 
 
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Places of all candidates, in their order."""
+    runs = (m for m in _CANDIDATE.finditer(text) if not (m.group().isalpha() and m.group().islower()))
+    places = {m.span() for m in runs}
+    places.update(m.span(m.lastindex) for m in _VALUE.finditer(text))
+    return sorted(places)
+
+
+def preview(value: str) -> str:
+    """The first and last characters: two, one of short values, none of very short ones."""
+    shown = 2 if len(value) >= 12 else 1 if len(value) >= 6 else 0
+    return f"{value[:shown]}...{value[len(value) - shown:]}"
+
+
 def findings(docs: DataFrame, words: dict[str, int]) -> DataFrame:
     """All candidates of all texts with their features and rule label."""
     shared = docs.sparkSession.sparkContext.broadcast(Features(words))  # DICTIONARY_WORDS words
@@ -151,14 +172,11 @@ def findings(docs: DataFrame, words: dict[str, int]) -> DataFrame:
             out: list[tuple] = []
             for doc_id, text, path in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 text = text.as_py() or ""
-                for found in _CANDIDATE.finditer(text):
-                    value = found.group()
-                    if any(c.islower() for c in value) and not any(c.isdigit() for c in value):
-                        continue
-                    start, end = found.span()
+                for start, end in candidates(text):
+                    value = text[start:end]
                     before, after = text[max(0, start - _NEAR_CHARS) : start], text[end : end + _NEAR_CHARS]
                     out.append((
-                        doc_id, start, end - start, f"{value[:2]}...{value[-2:]}",
+                        doc_id, start, end - start, preview(value),
                         hashlib.sha256(value.encode()).hexdigest(), rule_label(value, before),
                         own.vector(value, before, after, path or ""),
                     ))

@@ -72,3 +72,29 @@ def test_labels_of_one_kind_none_and_empty(spark, docs):
     nothing = found.limit(0).select("features", F.lit(1).alias("label"))
     assert [r["probability"] for r in secrets.classified(found, nothing).collect()] == [0.5]
     assert scan(docs, []).collect() == []
+
+
+def test_values_of_telling_names_and_runs_without_digits_are_candidates(docs):
+    texts = {
+        1: ("password = Tr0ub4dor&3 end", ["Tr0ub4dor&3"]),
+        2: ('"secret": "my pass phrase", x', ["my pass phrase"]),
+        3: ("passwd: hunter2, next", ["hunter2"]),
+        4: ("see hQzKpWvRtYbN there", ["hQzKpWvRtYbN"]),
+        5: ("correct-horse-battery-staple", ["correct-horse-battery-staple"]),
+        6: ("api_key 'Ab.9' and token of thanks", ["Ab.9"]),
+        7: ("token=nodigitsatallhere", ["nodigitsatallhere"]),
+        8: ("token = abc123def456ghi&x", ["abc123def456ghi", "abc123def456ghi&x"]),
+        9: ("the password is long", []),
+        10: ("secret: 'left open", ["left"]),
+    }
+    for text, values in texts.values():
+        assert [text[a:b] for a, b in secrets.candidates(text)] == values, text
+    got = secrets.findings(docs([(k, text) for k, (text, _) in texts.items()]), {}).collect()
+    assert sorted((r["doc_id"], r["length"]) for r in got) == sorted(
+        (k, len(v)) for k, (_, values) in texts.items() for v in values
+    )
+    assert {r["doc_id"] for r in got if r["rule_label"]} == {1, 2, 3, 7, 8, 10}
+
+
+def test_no_preview_shows_a_whole_value():
+    assert [secrets.preview(v) for v in ("ab", "abcde", "abcdef", "abc123def456ghi")] == ["...", "...", "a...f", "ab...hi"]
