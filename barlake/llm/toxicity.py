@@ -4,7 +4,7 @@ Training takes a bounded, documented sample of labelled rows (``LABELLED_ROWS``,
 those with the smallest hash of their id; all counts below are over that sample):
 
 1. words and word beginnings (stems) are counted per label by a grouped
-   aggregation, and those that mark toxic rows beyond chance once more by the
+   aggregation that leaves quoted and reported occurrences out, and those that mark toxic rows beyond chance once more by the
    different surroundings they occur in, so that copies of a text count once; what
    still stands out is the lexicon, where a stem stands for its words when no
    single word explains it;
@@ -50,6 +50,7 @@ CONTEXT_WORDS = 4
 _WORD = re.compile(r"[^\W_]+")
 # Marks that open and close a quotation, and words that report one.
 _QUOTES = (("“", "”"), ("«", "»"), ("„", "“"), ("‹", "›"))
+_MARK = re.compile('["\\n' + "".join({mark for pair in _QUOTES for mark in pair}) + "]")
 _REPORTING = frozenset(
     "said says called wrote quote quoted quotes term word slur dit disait écrit mot "
     "dijo llamó escribió palabra sagte nannte schrieb wort zitat".split()
@@ -129,6 +130,50 @@ class Lexicon:
         return best
 
 
+def _mentions(lower: str) -> tuple[list[str], list[bool]]:
+    """All words of a text, and which of them ``_quoted`` or a reporting word shows to be quoted.
+
+    One pass over the marks: between two of them, all places are quoted or none is.
+    """
+    last: dict[str, int] = {}
+    final: dict[tuple[int, str], int] = {}
+    marks = [(m.start(), m.group()) for m in _MARK.finditer(lower)]
+    line = 0
+    lines = []
+    for at, mark in marks:
+        lines.append(line)
+        if mark == "\n":
+            line += 1
+        else:
+            final[line, mark] = at
+    words: list[str] = []
+    quoted: list[bool] = []
+    k = odd = line = 0
+    inside, reported = False, -CONTEXT_WORDS - 1
+    for n, place in enumerate(_WORD.finditer(lower)):
+        moved = False
+        while k < len(marks) and marks[k][0] < place.start():
+            at, mark = marks[k]
+            line, moved, k = lines[k], True, k + 1
+            if mark == "\n":
+                last.clear()
+                line, odd = line + 1, 0
+            else:
+                last[mark] = at
+                odd ^= mark == '"'
+        if moved:
+            after = marks[k - 1][0]
+            inside = bool(odd and final[line, '"'] > after) or any(
+                last.get(a, -1) > last.get(b, -1) and final.get((line, b), -1) > after for a, b in _QUOTES
+            )
+        word = place.group()
+        words.append(word)
+        quoted.append(inside or n - reported <= CONTEXT_WORDS)
+        if word in _REPORTING:
+            reported = n
+    return words, quoted
+
+
 def _quoted(text: str, start: int, end: int) -> bool:
     """Whether the place lies in quotation marks of its line."""
     low = text.rfind("\n", 0, start) + 1
@@ -207,7 +252,8 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-            words = {w for w in _WORD.findall((text.as_py() or "").lower()) if 3 <= len(w) <= 40}
+            spoken = zip(*_mentions((text.as_py() or "").lower()))
+            words = {w for w, quoted in spoken if not quoted and 3 <= len(w) <= 40}
             stems = {w[:n] + "*" for w in words for n in STEM_LENGTHS if len(w) > n}
             counts[toxic].update(words)
             counts[toxic].update(stems)
@@ -226,8 +272,11 @@ def _count_surroundings(terms: frozenset[str]):
         for batch in batches:
             rows: set[tuple[str, int, int]] = set()
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = ["", *_WORD.findall((text.as_py() or "").lower()), ""]
-                for before, word, after in zip(words, words[1:], words[2:]):
+                spoken, mentions = _mentions((text.as_py() or "").lower())
+                words = ["", *spoken, ""]
+                for before, word, after, quoted in zip(words, words[1:], words[2:], mentions):
+                    if quoted:
+                        continue
                     place = zlib.crc32(f"{before} {after}".encode("utf-8", "surrogatepass"))
                     if word in terms:
                         rows.add((word, toxic, place))

@@ -139,3 +139,28 @@ def test_clashing_names_survive(spark, docs):
     label_table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     kept = toxicity.drop_toxic(df, label_table)
     assert kept.columns == df.columns and {r["score"] for r in kept.collect()} == {"en"}
+
+
+def test_mentions_are_what_the_quotation_windows_find():
+    rng = random.Random(8)
+    parts = ["loser", "word", "said", "x y z v w", '"', "“", "”", "„", "«", "»", "‹", "›", "\n", "."]
+    model = Model(Lexicon([("loser", False)]), [])
+    for _ in range(3000):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        words, quoted = toxicity._mentions(text)
+        assert words == toxicity._WORD.findall(text)
+        kinds = [model.lexicon.match(w) for w in words]
+        found = sum(q for q, kind in zip(quoted, kinds) if kind)
+        assert found == sum(model._quotations(text, words, kinds).values()), text
+
+
+def test_terms_that_clean_rows_quote_stay_in_the_lexicon(spark, docs):
+    rows, labels = corpus()
+    rows = [
+        (k, f'{t} "such a grobnak" {t}') if k % 6 == 1 else (k, f"{t} he called them a snivelung") if k % 6 == 2 else (k, t)
+        for k, t in rows
+    ]
+    model, got = scored(spark, docs, rows, labels)
+    assert {t for t, _ in model.lexicon.entries} == {"grobnak", "snivelung"}
+    wrong = sum((r["score"] >= toxicity.THRESHOLD) != (r["doc_id"] % 6 == 0) for r in got)
+    assert wrong <= 0.02 * len(got)
