@@ -20,8 +20,8 @@ those with the smallest hash of their id; all counts below are over that sample)
 Defined cases: a null or empty text has no words and gets the score of a text
 without matches; labels with a null id or value are not used, and an id labelled
 more than once is toxic if any label says so; rows that repeat a doc_id are each
-scored; without any toxic label all scores are the smoothed share of toxic labels;
-an empty table gives an empty result; other columns stay, whatever their names.
+scored; where no lexicon can be learned (no usable label, labels of one kind, no
+term that stands out) all scores are nearly 0 and no document is toxic; an empty table gives an empty result; other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -369,9 +369,8 @@ def train(
     found = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     total, toxic = sum(found.values()), found.get(1, 0)
     model = Model(learn_lexicon(sample, toxic, total))
-    prior = math.log((toxic + 0.5) / (total - toxic + 0.5))
-    if not model.lexicon.entries:
-        model.weights = [0.0] * 6 + [prior]
+    if not model.lexicon.entries:  # nothing to tell documents apart by: none is toxic
+        model.weights = [0.0] * 6 + [-50.0]
         return model
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -164,3 +164,12 @@ def test_terms_that_clean_rows_quote_stay_in_the_lexicon(spark, docs):
     assert {t for t, _ in model.lexicon.entries} == {"grobnak", "snivelung"}
     wrong = sum((r["score"] >= toxicity.THRESHOLD) != (r["doc_id"] % 6 == 0) for r in got)
     assert wrong <= 0.02 * len(got)
+
+
+def test_without_a_lexicon_all_documents_are_kept(spark, docs):
+    rows = [(k, f"alpha beta gamma delta {k % 2}") for k in range(40)] + [(None, None)]
+    for labels in ([], [(9000, 1, 1)], [(k, 1, 1) for k in range(40)], [(k, 1, k % 2) for k in range(8)]):
+        label_table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        model = toxicity.train(docs(rows), label_table)
+        assert model.lexicon.entries == []
+        assert toxicity.drop_toxic(docs(rows), label_table).count() == len(rows)
