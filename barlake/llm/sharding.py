@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barlake.llm.common import fresh, table, written
@@ -92,26 +92,50 @@ def gapless_slots(
 ) -> DataFrame:
     """Number the rows of each group from 0 without gaps, no group in one task.
 
-    Rows of a group are spread over hash buckets of their ``order`` columns,
-    ranked within their bucket, and moved up by the sizes of the buckets before.
-    ``order`` must tell different rows apart; equal rows take any order.
+    Rows of a group are spread over hash buckets of their ``order`` columns. Equal
+    rows are spread once more, by a hash of their row number (stored, so that all
+    readers see the same), into pieces that are counted before they are numbered:
+    a row's slot is the size of the buckets before, plus that of the pieces before
+    in its bucket, plus its rank in its piece. ``order`` must tell different rows
+    apart; equal rows take any order.
     The offsets table has at most groups x ``buckets`` rows and is broadcast
     under that bound (the caller's groups are a fixed number of shards).
     """
-    bucket, rank, before = fresh(df, "bucket", "rank", "before")
-    bucketed = df.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    ranked = bucketed.withColumn(
-        rank, F.row_number().over(Window.partitionBy(group, bucket).orderBy(*order))
+    bucket, salt, rank, before, inside, rows = fresh(
+        df, "bucket", "salt", "rank", "before", "inside", "rows"
     )
-    earlier = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = bucketed.groupBy(group, bucket).agg(F.count(F.lit(1)).alias("rows"))
-    offsets = sizes.select(
-        group, bucket, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(before)
+    piece = [group, bucket, *order, salt]
+    of = fresh(df, *[f"of{k}" for k in range(len(piece))])
+    row_number = F.monotonically_increasing_id()
+    stored = written(
+        df.withColumns(
+            {
+                bucket: F.pmod(F.xxhash64(*order), F.lit(buckets)),
+                salt: F.pmod(F.xxhash64(row_number), F.lit(buckets)),
+            }
+        ),
+        "salted",
     )
+    ranked = stored.withColumn(rank, F.row_number().over(Window.partitionBy(*piece).orderBy(salt)))
+    count = F.count(F.lit(1)).alias(rows)
+
+    def rows_before(window: WindowSpec) -> Column:
+        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(rows).over(earlier), F.lit(0))
+
+    in_bucket = stored.groupBy(*piece).agg(count).select(
+        *[F.col(c).alias(o) for c, o in zip(piece, of)],
+        rows_before(Window.partitionBy(group, bucket).orderBy(*order, salt)).alias(inside),
+    )
+    offsets = stored.groupBy(group, bucket).agg(count).select(
+        group, bucket, rows_before(Window.partitionBy(group).orderBy(bucket)).alias(before)
+    )
+    same = [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(piece, of)]
     return (
-        ranked.join(F.broadcast(offsets), [group, bucket])
-        .withColumn(name, (F.col(before) + F.col(rank) - 1).cast("long"))
-        .drop(bucket, rank, before)
+        ranked.join(in_bucket, same)
+        .join(F.broadcast(offsets), [group, bucket])
+        .withColumn(name, (F.col(before) + F.col(inside) + F.col(rank) - 1).cast("long"))
+        .select(*df.columns, *([] if name in df.columns else [name]))
     )
 
 
@@ -127,7 +151,6 @@ def op7_query(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFrame:
         shard_of(F.col("doc_id"), tree).alias("shard"),
         shard_of(F.col("doc_id"), grown(tree)).alias("grown_shard"),
     )
-    # the texts are read once; counting and ranking use the narrow rows
-    placed = written(placed, "shards")
+    # stores the narrow rows, so the texts are read once
     ranked = gapless_slots(placed, "shard", ["doc_id", "size", "text_crc32"])
     return ranked.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -89,3 +89,18 @@ def test_query_on_empty_and_odd_rows(spark, tmp_path):
         for r in got:
             per.setdefault(r["shard"], []).append(r["slot"])
         assert all(sorted(v) == list(range(len(v))) for v in per.values())
+
+
+def test_equal_rows_are_numbered_in_many_pieces(spark, monkeypatch):
+    """A third of all rows are equal: no window partition holds more than a few of them."""
+    tables = []
+    keep = sharding.written
+    monkeypatch.setattr(sharding, "written", lambda df, name: tables.append(keep(df, name)) or tables[-1])
+    rows = [(k, 0) for k in range(4000)] + [(None, 0)] * 2000
+    df = spark.createDataFrame(rows, "doc_id long, shard int").repartition(4)
+    got = sharding.gapless_slots(df, "shard", ["doc_id"], buckets=64).collect()
+    assert sorted(r["slot"] for r in got) == list(range(6000)) and set(got[0].asDict()) == {"doc_id", "shard", "slot"}
+    nulls = sorted(r["slot"] for r in got if r["doc_id"] is None)
+    assert nulls == list(range(nulls[0], nulls[0] + 2000))
+    (stored,) = tables
+    assert max(r["count"] for r in stored.groupBy("shard", "bucket", "doc_id", "salt").count().collect()) < 100
