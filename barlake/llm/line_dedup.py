@@ -8,14 +8,16 @@ whole lines share a whole window and are guaranteed to select the same line in
 it. Fingerprints that occur at one position only are dropped; around the others
 the match is extended line by line to the whole window on either side, equal
 windows are traced to their first place (smallest doc_id, then line number), and
-overlapping later windows join to maximal runs, which are deleted.
+overlapping later windows join to runs, which are deleted. The match is not extended
+past its last whole window: fewer than ``min_words`` words of a shared run that follow
+a window's last line stay.
 
 No pairs of documents are made: every later window meets its first place through
 one grouped minimum, so a passage in a third of all documents costs no more than
 any other.
 
 Defined cases: a null text stays null, an empty text stays empty; a document all
-of whose lines repeat becomes the empty text; a null doc_id comes before all
+of whose lines lie in repeated windows becomes the empty text; a null doc_id comes before all
 others; rows that repeat both doc_id and text count as one document and get the
 same result; blank lines go with the run around them; an empty table gives an
 empty table; other columns stay, whatever their names. Lines are compared without
@@ -84,7 +86,7 @@ def winnowed_windows(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def repeated_runs(windows: DataFrame) -> DataFrame:
-    """Maximal runs of lines that occurred before, one row per document and run."""
+    """Runs of lines whose windows occurred before, one row per document and run."""
     by_pos = Window.partitionBy(*_DOC).orderBy("pos")
     # neighbouring windows mostly select the same line: count each selected place once
     selected = windows.withColumn(
