@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from barlake.llm import (
-    decontam, language, line_dedup, maxscore, packing, secrets, sharding, simhash, token_files, toxicity,
+    decontam, language, line_dedup, maxscore, merkle, packing, pii, secrets, sharding, simhash,
+    token_files, toxicity, word_runs,
 )
 from barlake.llm.common import ship_package
 
@@ -22,6 +23,9 @@ _OPERATORS = {
     "op8_simhash": simhash.op8_query,
     "op9_secrets": secrets.op9_query,
     "op10_packing": packing.op10_query,
+    "op11_pii": pii.op11_query,
+    "op12_word_runs": word_runs.op12_query,
+    "op13_merkle": merkle.op13_query,
 }
 
 
@@ -39,4 +43,5 @@ ORACLES = {
     "op4_maxscore": maxscore.OP4_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
     "op6_decontamination": decontam.OP6_SQL,
+    "op13_merkle": merkle.OP13_SQL,
 }
