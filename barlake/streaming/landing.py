@@ -1,17 +1,17 @@
-"""Publishing replayed tick messages: a landing folder for the file source, or Kafka.
-
-The file source reads files in modification-time order, so the replay is
-written as consecutive ordinal slices, one write after another: slice k+1 is
-never older than slice k, and a stream reading one file per trigger sees the
-ticks in event-time order. Each slice is written by a distributed job.
-
-The schedule is first staged once as Parquet, range-partitioned and sorted by
-ordinal, in the shared checkpoint folder; each slice then reads only the row
-groups whose ordinal statistics overlap it, instead of re-scanning everything.
+"""Publishing replayed tick messages: a landing folder for the file source, a staged
+replay for the ``replay`` source, or Kafka.
+
+The file source reads files in modification-time order. One job writes all slices of
+consecutive ordinals, a file each, to a hidden folder; then the files are given
+modification times in slice order and moved into the landing folder one after the
+other, so a stream that already reads it sees them in event-time order too. That needs
+a file system that keeps modification times (local, HDFS). ``replay_source`` needs
+none: its offsets are the ordinals themselves.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,37 +19,49 @@ from pyspark.sql import functions as F
 
 from barlake.operators.replay import replay_messages, replay_schedule
 from barlake.schemas import REPLAY_SPEED, TICK_TOPIC
-from barlake.session import checkpoint_dir, join_path
+from barlake.session import join_path
 from barlake.sources.bronze import read_bronze, replay_rows
+from barlake.streaming.replay_source import stage_replay
 
 
-def land_in_order(
-    messages: DataFrame, landing: str, rows_per_slice: int, staging: str | None = None
-) -> int:
-    """Write ``messages`` (with ``ordinal`` and ``value``) as text slices of
-    ``rows_per_slice`` consecutive ordinals; returns the number of slices."""
+def land_in_order(messages: DataFrame, landing: str, rows_per_slice: int) -> int:
+    """Write ``messages`` (with ``ordinal`` and ``value``) as text files of
+    ``rows_per_slice`` consecutive ordinals; returns the number of files."""
     if rows_per_slice <= 0:
         raise ValueError("rows_per_slice must be positive")
     spark = messages.sparkSession
-    staging = staging or join_path(checkpoint_dir(spark), f"replay-staging-{uuid.uuid4().hex}")
-    staged_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hidden = join_path(landing, f"_slices-{uuid.uuid4().hex}")
     (
-        messages.select("ordinal", "value")
-        .repartitionByRange(staged_parts, "ordinal")
-        .sortWithinPartitions("ordinal")
-        .write.mode("overwrite")
-        .parquet(staging)
+        messages.select("value", "ordinal", F.expr(f"ordinal div {int(rows_per_slice)}").alias("slice"))
+        .repartition("slice")
+        .sortWithinPartitions("slice", "ordinal")
+        .drop("ordinal")
+        .write.partitionBy("slice")
+        .text(hidden)
+    )
+    return _move_in_order(spark, hidden, landing)
+
+
+def _move_in_order(spark: SparkSession, hidden: str, landing: str) -> int:
+    """Files of ``hidden/slice=k`` go to ``landing``, times rising with k. Names only: a
+    file is one metadata call, and nothing is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(hidden).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    slices = sorted(
+        (int(s.getPath().getName().removeprefix("slice=")), s.getPath())
+        for s in fs.listStatus(path(hidden))
+        if s.isDirectory()
     )
-    staged = spark.read.parquet(staging)
-    top = staged.agg(F.max("ordinal")).first()[0]
-    if top is None:
-        return 0
-    slices = int(top) // rows_per_slice + 1
-    for k in range(slices):
-        lo, hi = k * rows_per_slice, (k + 1) * rows_per_slice
-        part = staged.where((F.col("ordinal") >= lo) & (F.col("ordinal") < hi))
-        part.sortWithinPartitions("ordinal").select("value").write.mode("append").text(landing)
-    return slices
+    run = uuid.uuid4().hex
+    # the newest file gets the present time, the others a millisecond less each
+    first = int(time.time() * 1000) - len(slices)
+    for k, (number, folder) in enumerate(slices):
+        (part,) = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+        fs.setTimes(part, first + k, -1)
+        if not fs.rename(part, path(join_path(landing, f"part-{number:012d}-{run}.txt"))):
+            raise OSError(f"cannot move slice {number} into {landing}")
+    fs.delete(path(hidden), True)
+    return len(slices)
 
 
 def replay_bronze(spark: SparkSession, bronze: str, t0: Column, rate: float = REPLAY_SPEED) -> DataFrame:
@@ -69,7 +81,7 @@ def publish_kafka(messages: DataFrame, bootstrap: str, topic: str = TICK_TOPIC)
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Replay Bronze: to a landing folder for the file source, or to Kafka."""
+    """Replay Bronze: to a landing folder, to a staged replay, or to Kafka."""
     import argparse
 
     from barlake.session import build_session
@@ -78,18 +90,21 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--bronze", required=True)
     p.add_argument("--rate", type=float, default=REPLAY_SPEED, help="ticks per second of event time")
     p.add_argument("--start", help="event time of the first tick; default now")
-    p.add_argument("--landing")
+    p.add_argument("--landing", help="folder of text files for the file source")
+    p.add_argument("--staged", help="folder of a staged replay for the replay source")
     p.add_argument("--rows-per-slice", type=int, default=1_000_000)
     p.add_argument("--bootstrap")
     p.add_argument("--topic", default=TICK_TOPIC)
     a = p.parse_args(argv)
-    if bool(a.landing) == bool(a.bootstrap):
-        p.error("give either --landing or --bootstrap")
+    if sum(map(bool, (a.landing, a.staged, a.bootstrap))) != 1:
+        p.error("give one of --landing, --staged and --bootstrap")
     spark = build_session(app_name="barlake-replay")
     t0 = (F.lit(a.start) if a.start else F.localtimestamp()).cast("timestamp_ntz")
     messages = replay_bronze(spark, a.bronze, t0, a.rate)
     if a.landing:
         land_in_order(messages, a.landing, a.rows_per_slice)
+    elif a.staged:
+        stage_replay(messages, a.staged, a.rate)
     else:
         publish_kafka(messages, a.bootstrap, a.topic)
     return 0

@@ -43,6 +43,7 @@ from barlake.schemas import (
 from barlake.session import ensure_utc, join_path
 from barlake.sources.warehouse import Warehouse, is_missing_path
 from barlake.streaming.monitor import progress_folder, save_progress
+from barlake.streaming.replay_source import read_replay
 
 
 # bar_date first: the sink reads back only the last lookback of stored bars,
@@ -66,9 +67,12 @@ def read_messages(
     """Streaming DataFrame with one string column ``raw`` per message.
 
     ``files``: a landing folder of text files, one JSON message per line
-    (read in file modification order). ``kafka``: the tick topic from the
+    (read in file modification order). ``replay``: a staged replay, read in the
+    order of its ordinals at its own rate. ``kafka``: the tick topic from the
     earliest offset (needs the Kafka connector on the classpath).
     """
+    if source == "replay":
+        return read_replay(spark, path).select(F.col("value").alias("raw"))
     if source == "files":
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
@@ -83,7 +87,7 @@ def read_messages(
             .load()
             .select(F.col("value").cast("string").alias("raw"))
         )
-    raise ValueError(f"unknown tick source {source!r} (expected 'files' or 'kafka')")
+    raise ValueError(f"unknown tick source {source!r} (expected 'files', 'replay' or 'kafka')")
 
 
 def valid_ticks(messages: DataFrame) -> DataFrame:
@@ -302,8 +306,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--warehouse", required=True)
     p.add_argument("--checkpoints", required=True)
     p.add_argument("--dlq", required=True)
-    p.add_argument("--source", default="files", choices=["files", "kafka"])
-    p.add_argument("--landing")
+    p.add_argument("--source", default="files", choices=["files", "replay", "kafka"])
+    p.add_argument("--landing", help="landing folder, or the folder of a staged replay")
     p.add_argument("--bootstrap")
     p.add_argument("--threshold", type=float, default=ALERT_THRESHOLD_PCT)
     p.add_argument("--state-partitions", type=int, help="shuffle/state partitions (fixed per checkpoint)")
