@@ -1,8 +1,8 @@
 """The nine data-quality checks and their runner.
 
 All checks come out of one pass: per-row flags are summed per (ticker, day)
-on the map side (the key's row count is also the duplicate check), a window
-per ticker over those keyed rows finds the date gaps, and one global
+on the map side (the key's row count is also the duplicate check), windows
+per ticker and month over those keyed rows find the date gaps, and one global
 aggregate totals everything. Only the five ticker examples take a second,
 top-k pass. The result is a small tall table
 ``(check, severity, passed, failures, details)``; only that table is ever
@@ -68,8 +68,7 @@ def invalid_ticker_examples(df: DataFrame, n: int = TICKER_EXAMPLES) -> DataFram
 def date_gaps(df: DataFrame, max_gap_days: int = DATE_GAP_DAYS) -> DataFrame:
     """One row per gap of more than ``max_gap_days`` whole days between consecutive
     dates of a ticker: ticker, gap_after (the earlier date), gap_calendar_days."""
-    # distinct days first: a duplicate day is never a gap, and afterwards a
-    # ticker holds at most one row per calendar day
+    # distinct times first: a duplicate is never a gap
     dated = (
         df.where(F.col("ticker").isNotNull() & F.col("price_date").isNotNull())
         .select("ticker", "price_date")
@@ -133,8 +132,8 @@ def check_totals(df: DataFrame, max_gap_days: int = DATE_GAP_DAYS) -> DataFrame:
     """One row with every counter, the duplicate rows and the date gaps.
 
     One shuffle on (ticker, day): each key's counters are summed map-side, and
-    the key's row count is the duplicate check. One more shuffle on ticker over
-    those keyed rows (at most one per calendar day and ticker) finds the gaps.
+    the key's row count is the duplicate check. The previous date of each key is
+    found by month, with the months' edges carried over, which finds the gaps.
     """
     flagged = df.select("ticker", "price_date", *_row_flags(df))
     keyed = flagged.groupBy("ticker", "price_date").agg(

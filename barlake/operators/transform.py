@@ -192,8 +192,8 @@ def with_daily_return(df: DataFrame) -> DataFrame:
     """close / previous close - 1 per ticker in date order; null on a ticker's first
     row, across a missing close, and for rows without ticker or date.
 
-    Expects one row per (ticker, day) (``dedupe_last`` first), so a ticker's
-    window holds at most one row per calendar day (see ``previous_in_key``).
+    Expects one row per (ticker, time) (``dedupe_last`` first). A ticker with many
+    times a day is spread over tasks by month (see ``previous_in_key``).
     """
     lagged = previous_in_key(df, ["ticker"], "price_date", ["close_price"], prefix="_p_")
     ret = simple_return(F.col("close_price"), F.col("_p_close_price"))

@@ -3,11 +3,10 @@
 A plain ``Window.partitionBy(ticker)`` sends every row of a ticker to one task;
 if one ticker holds a third of the data, that task holds a third of the data.
 
-* ``previous_in_key``: the previous row per key, for data that is unique per
-  (key, day). Such data holds at most one row per calendar day for a key, so
-  the per-key partition is bounded by the calendar (36,500 rows a century),
-  not by the data size; duplicates must be collapsed first (a hash aggregate,
-  partial on the map side, which is where hot keys shrink).
+* ``previous_in_key``: the previous row per key. Each key is split into calendar
+  months; the previous row is found inside a month, and the first and last rows
+  of the months (two each, whatever the data size) carry the edges over in a
+  second window, which holds at most 2,400 rows per key and century.
 * ``trailing_mean``: a range frame ``[t - lookback, t - 1]`` over intraday
   rows, whose count per key is not bounded. Each key is split into time
   buckets; rows within ``lookback`` of a bucket's end are also emitted into
@@ -24,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from barlake.functions.prices import exact_mean
 from barlake.functions.timecols import epoch_seconds
@@ -38,12 +38,32 @@ def previous_in_key(
     """Add ``prefix + c`` for ``order_col`` and each ``carry`` column: the value on the
     previous row of the same key in ``order_col`` order (null on a key's first row).
 
-    Only for rows unique per (key, day): see the module note on the bound.
+    ``order_col`` is unique per key; nulls come first. Dates and timestamps are cut
+    into months (see the module note); other types take one window per key.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
-    return df.select(
-        "*", *[F.lag(c).over(w).alias(f"{prefix}{c}") for c in [order_col, *carry]]
+    in_order = F.col(order_col).asc()
+    names = [order_col, *carry]
+    if not isinstance(df.schema[order_col].dataType, (DateType, TimestampType, TimestampNTZType)):
+        whole = Window.partitionBy(*keys).orderBy(in_order)
+        return df.select("*", *[F.lag(c).over(whole).alias(f"{prefix}{c}") for c in names])
+    month = F.date_trunc("MONTH", order_col)
+    piece = Window.partitionBy(*keys, "_month").orderBy(in_order)
+    marked = df.withColumn("_month", month).select(
+        "*",
+        *[F.lag(c).over(piece).alias(f"{prefix}{c}") for c in names],
+        F.lag(F.lit(1)).over(piece).isNull().alias("_first"),
+        F.lead(F.lit(1)).over(piece).isNull().alias("_last"),
     )
+    # the edges of a key meet in one window; other rows stay with their month, so
+    # that one plan over one scan serves both
+    edge = F.col("_first") | F.col("_last")
+    carried = Window.partitionBy(*keys, edge, F.when(~edge, F.col("_month"))).orderBy(in_order)
+    return marked.withColumns(
+        {
+            f"{prefix}{c}": F.when(F.col("_first"), F.lag(c).over(carried)).otherwise(F.col(f"{prefix}{c}"))
+            for c in names
+        }
+    ).drop("_month", "_first", "_last")
 
 
 def trailing_mean(

@@ -59,3 +59,19 @@ def test_global_ordinal_is_consecutive(spark):
     out = global_ordinal(df, ["a", "b"], "o", num_partitions=7).toPandas()
     out = out.sort_values(["a", "b"]).reset_index(drop=True)
     assert (out["o"] == range(len(out))).all()
+
+
+def test_previous_over_months_matches_pandas_and_spreads_a_hot_key(spark):
+    """One ticker with intraday stamps: no window partition holds more than a month of it."""
+    start = dt.datetime(2020, 1, 1)
+    rows = [("HOT", start + dt.timedelta(hours=7 * k), float(k)) for k in range(3000)]
+    rows += [("B", start + dt.timedelta(days=45 * k), float(k)) for k in range(20)] + [("B", None, 5.0), ("C", None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double")
+    got = {(r.k, r.t): (r.p_t, r.p_v) for r in previous_in_key(df, ["k"], "t", ["v"], prefix="p_").collect()}
+    assert len(got) == len(rows)
+    rows.sort(key=lambda r: (r[0], r[1] is not None, r[1] or start))
+    for before, row in zip([(None, None, None), *rows], rows):
+        same = before[0] == row[0]
+        assert got[row[:2]] == ((before[1], before[2]) if same else (None, None))
+    plan = previous_in_key(df, ["k"], "t", ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") >= 2 and "_month" in plan
