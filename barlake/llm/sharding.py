@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from barlake.llm.common import fresh, table, written
 
 RANK_BUCKETS = 1024
+BASE_SHARDS = 16
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,19 @@ def grown(tree: list[Leaf], weight: float = 1.0) -> list[Leaf]:
     return [*tree, Leaf(f"region-of-{shard}", f"rack-of-{shard}", shard, weight)]
 
 
+def tree_of(shards: int) -> list[Leaf]:
+    """The tree for a number of shards, which alone decides it.
+
+    From ``BASE_SHARDS`` on every tree is the one before it with one more shard, so
+    going from any such number to the next moves rows into the new shard only. A
+    smaller number has a balanced tree of its own.
+    """
+    tree = balanced_tree(min(shards, BASE_SHARDS))
+    while len(tree) < shards:
+        tree = grown(tree)
+    return tree
+
+
 def _draw(key: Column, name: str, weight: float) -> Column:
     bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(name)), 11)
     unit = (bits.cast("double") + F.lit(0.5)) * F.lit(2.0**-53)
@@ -141,7 +155,7 @@ def gapless_slots(
 
 def op7_query(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFrame:
     """Shard of every document by its id, its slot there, and the shard after growth."""
-    tree = balanced_tree(shards)
+    tree, larger = tree_of(shards), tree_of(shards + 1)
     text = F.col("text")
     placed = table(spark, sf_dir, "documents").select(
         F.col("doc_id"),
@@ -149,7 +163,7 @@ def op7_query(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFrame:
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         F.lit("key").alias("law"),
         shard_of(F.col("doc_id"), tree).alias("shard"),
-        shard_of(F.col("doc_id"), grown(tree)).alias("grown_shard"),
+        shard_of(F.col("doc_id"), larger).alias("grown_shard"),
     )
     # stores the narrow rows, so the texts are read once
     ranked = gapless_slots(placed, "shard", ["doc_id", "size", "text_crc32"])

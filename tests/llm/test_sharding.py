@@ -104,3 +104,12 @@ def test_equal_rows_are_numbered_in_many_pieces(spark, monkeypatch):
     assert nulls == list(range(nulls[0], nulls[0] + 2000))
     (stored,) = tables
     assert max(r["count"] for r in stored.groupBy("shard", "bucket", "doc_id", "salt").count().collect()) < 100
+
+
+def test_shard_count_decides_the_tree(spark, docs, tmp_path):
+    """With one more shard the query places every document where it said it would."""
+    docs([(k, f"t{k}") for k in range(400)]).write.parquet(str(tmp_path / "documents.parquet"))
+    for shards in (16, 17):
+        now = {r["doc_id"]: r["grown_shard"] for r in sharding.op7_query(spark, str(tmp_path), shards).collect()}
+        then = {r["doc_id"]: r["shard"] for r in sharding.op7_query(spark, str(tmp_path), shards + 1).collect()}
+        assert now == then
