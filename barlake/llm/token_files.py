@@ -114,9 +114,10 @@ def write_token_files(
     """Encode every document and write the file set to ``path``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = (
-        rows.withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
+        # equal rows, which may be many, are told apart by their row numbers
+        rows.withColumns({"tie": F.xxhash64("text"), "row": F.xxhash64(F.monotonically_increasing_id())})
+        .repartitionByRange("doc_id", "tie", "row")
+        .sortWithinPartitions("doc_id", "tie", "row")
         .select("doc_id", "text")
     )
     ordered.mapInArrow(_encode_blocks(vocabulary), BLOCK_SCHEMA).write.parquet(path)

@@ -4,8 +4,8 @@ The pre-tokenizer of a byte-level BPE never joins a lone space or a lone line
 break to what stands before it, so a text falls into chunks at those places whose
 ids do not depend on each other; punctuation that ends a chunk stands apart from
 the word as well. A worker keeps the ids of chunks it has seen (bounded) and asks
-the library for the others, many at a time; those that are a single word skip the
-pre-tokenizer. A text in which a space or line break touches more white space is
+the library for the others; those that are a single word go to the library's model,
+past the pre-tokenizer. A text in which a space or line break touches more white space is
 given to the library whole.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -35,6 +36,18 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in shown else next(hidden)) for b in range(256)]
 
 
+class _Chunks(dict):
+    """Ids of the chunks met so far; asks ``encode`` for one that is missing."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self._encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self._encode(chunk)
+        return ids
+
+
 class Encoder:
     """Ids by a vocabulary file; keeps those of up to ``cached_chunks`` chunks.
 
@@ -43,59 +56,32 @@ class Encoder:
 
     def __init__(self, vocabulary: str, cached_chunks: int = CACHED_CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
+        self._tokenize = self._tokenizer.model.tokenize
         letters = _byte_letters()
         self._letters = dict(enumerate(letters))
-        self._break = letters[ord("\n")]
-        (self._break_id,) = self._tokenizer.encode("\n", add_special_tokens=False).ids
-        # the same model on words that need no more splitting, one a line
-        self._words = Tokenizer(self._tokenizer.model)
-        self._words.pre_tokenizer = pre_tokenizers.Split(self._break, "isolated")
-        self._known: dict[str, bytes] = {}
+        self._space = letters[ord(" ")]
+        self._known = _Chunks(self._chunk)
         self._cached_chunks = cached_chunks
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
-
-    def _library_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, with or without a space before: one call for all."""
-        if not words:
-            return []
-        lines = "\n".join(words).encode().decode("latin-1").translate(self._letters)
-        (encoded,) = self._words.encode_batch_fast([lines], add_special_tokens=False)
-        ids = np.array(encoded.ids, dtype="<u4")
-        data = ids.tobytes()
-        ends = [*(np.flatnonzero(ids == self._break_id) * 4).tolist(), len(data)]
-        return [data[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Make the ids of all ``chunks`` known."""
-        known = self._known
-        if len(known) > self._cached_chunks:
-            for chunk in list(known)[self._cached_chunks // 5 :]:
-                del known[chunk]
-        new = {c for c in chunks if c not in known}
-        ended = {}  # chunks that end in marks, and the words before these
-        parts = set()
-        for chunk in new:
-            word = chunk.rstrip(_MARKS)
-            if len(word) < len(chunk) and word[-1:].isalnum():
-                ended[chunk] = word
-                parts.add(word)
-                parts.add(chunk[len(word) :])
-            else:
-                parts.add(chunk)
-        words, other = [], []
-        for part in parts:
-            if part not in known:
-                (words if part.lstrip(" ").isalpha() else other).append(part)
-        known.update(zip(words, self._library_words(words)))
-        known.update(zip(other, self._library(other)))
-        for chunk, word in ended.items():
-            known[chunk] = known[word] + known[chunk[len(word) :]]
+    def _library(self, text: str) -> bytes:
+        encoded = self._tokenizer.encode(text, add_special_tokens=False)
+        return array("I", encoded.ids).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        word = chunk.rstrip(_MARKS)
+        if len(word) < len(chunk) and word[-1:].isalnum():
+            return self._known[word] + self._known[chunk[len(word) :]]
+        if not chunk.lstrip(" ").isalpha():
+            return self._library(chunk)
+        # a word of letters, with or without a space before: one piece for the model
+        if chunk.isascii():
+            spelled = chunk.replace(" ", self._space)
+        else:
+            spelled = chunk.encode().decode("latin-1").translate(self._letters)
+        return array("I", [token.id for token in self._tokenize(spelled)]).tobytes()
 
     def ids(self, text: str | None) -> bytes:
         """Ids of the text and the end id, as little-endian unsigned 32-bit integers."""
@@ -104,14 +90,12 @@ class Encoder:
         spaced = text.replace("\n", " ")
         if "  " in spaced or not spaced.isprintable():  # white space besides lone ones
             if _TOUCHING.search(text):
-                return self._library([text])[0] + _END
-        chunks = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
+                return self._library(text) + _END
         known = self._known
-        try:
-            return b"".join(map(known.__getitem__, chunks)) + _END
-        except KeyError:
-            pass
-        self._learn(chunks)
+        if len(known) > self._cached_chunks:
+            for chunk in list(known)[self._cached_chunks // 5 :]:
+                del known[chunk]
+        chunks = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
         return b"".join(map(known.__getitem__, chunks)) + _END
 
 

@@ -116,3 +116,23 @@ def test_samples_are_bounded_and_repeatable(spark):
     again = [r["doc_id"] for r in sampled(df.repartition(7), 500, "doc_id").collect()]
     assert len(first) == 500 and first == again
     assert sampled(df.limit(3), 500, "doc_id").count() == 3 and sampled(df.limit(0), 5, "doc_id").count() == 0
+
+
+def test_equal_rows_are_split_over_shards(spark, docs, vocabulary, tmp_path):
+    """A third of the rows equal in id and text: no part file holds them all."""
+    rows = [(None, "same words")] * 600 + [(k, f"other {k}") for k in range(1200)]
+    path = str(tmp_path / "tokens")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # the table is small: keep its range partitions apart
+    try:
+        token_files.write_token_files(docs(rows).repartition(6), path, vocabulary)
+    finally:
+        spark.conf.set(merging, "true")
+    sizes = [
+        sum(d is None for d in r["ids"])
+        for r in token_files.read_token_blocks(spark, path).selectExpr("doc_ids AS ids").collect()
+    ]
+    assert sum(sizes) == 600 and max(sizes) < 600
+    got = token_files.token_documents(spark, path).orderBy("start").collect()
+    assert len(got) == 1800 and [r["start"] for r in got][:2] == [0, got[0]["n_tokens"]]
+    assert all(b["start"] == a["start"] + a["n_tokens"] for a, b in zip(got, got[1:]))
