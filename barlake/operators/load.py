@@ -1,8 +1,7 @@
 """Load into the price fact: enrich, skip stored keys, count.
 
-The reference reads stored keys into a Python set and loops over rows; here
-it is one left-anti join on (ticker, day), which Spark plans as a shuffle
-join (or a broadcast when AQE measures the stored side as small).
+Stored keys are bitmaps of days per ticker (``stored_days``): a few KB a ticker, so
+a load joins its rows with one bitmap each and tests a bit.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.timecols import date_id, day_start
+from barlake.operators.stored_days import day_bitmaps, merged_bitmaps, stored_keys, with_stored
 from barlake.schemas import FACT_STOCK_PRICES
 
 KEYS = ["ticker", "price_date"]
@@ -28,10 +28,13 @@ def last_stored_dates(facts: DataFrame, tickers: DataFrame | None = None) -> Dat
     )
 
 
-def existing_keys(facts: DataFrame, tickers: DataFrame) -> DataFrame:
-    """Stored (ticker, day) keys, restricted to the given tickers."""
-    keys = facts.select("ticker", day_start(F.col("price_date")).alias("price_date"))
-    return keys.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
+def existing_keys(facts: DataFrame, tickers: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """Stored (ticker, day) keys, restricted to the given tickers.
+
+    With ``days`` (the fact's bitmaps) the facts themselves are not read.
+    """
+    bitmaps = day_bitmaps(facts) if days is None else merged_bitmaps(days)
+    return stored_keys(bitmaps.join(tickers.select("ticker").distinct(), "ticker", "left_semi"))
 
 
 def daily_rows(batch: DataFrame) -> DataFrame:
@@ -75,25 +78,31 @@ def batch_first_day(enriched: DataFrame):
     return enriched.agg(F.min("price_date")).first()[0]
 
 
-def new_rows(enriched: DataFrame, stored: DataFrame, since=None) -> DataFrame:
-    """Rows whose (ticker, day) is not stored yet: one left-anti join on the key.
-
-    Both sides shuffle on (ticker, day), so a hot ticker spreads over its days.
-    """
-    return enriched.join(_stored_keys(stored, since), KEYS, "left_anti")
+def _stored_days(stored: DataFrame, since, days: DataFrame | None) -> DataFrame:
+    return day_bitmaps(_stored_keys(stored, since)) if days is None else merged_bitmaps(days)
 
 
-def load_counts(enriched: DataFrame, stored: DataFrame, since=None) -> DataFrame:
-    """One row: rows in the batch, inserted (new keys) and skipped (stored keys).
+def new_rows(
+    enriched: DataFrame, stored: DataFrame, since=None, days: DataFrame | None = None
+) -> DataFrame:
+    """Rows whose (ticker, day) is not stored yet.
 
-    Computed in one pass over a left join with a match flag.
+    Tested against bitmaps of the stored days: ``days`` (kept beside the fact), or
+    those of ``stored``, whose rows collapse to them before any shuffle.
     """
-    keys = _stored_keys(stored, since).distinct().withColumn("_stored", F.lit(True))
-    flagged = enriched.select(*KEYS).join(keys, KEYS, "left")
+    flagged = with_stored(enriched, _stored_days(stored, since, days), "_stored")
+    return flagged.where(~F.col("_stored")).drop("_stored")
+
+
+def load_counts(
+    enriched: DataFrame, stored: DataFrame, since=None, days: DataFrame | None = None
+) -> DataFrame:
+    """One row: rows in the batch, inserted (new keys) and skipped (stored keys)."""
+    flagged = with_stored(enriched.select(*KEYS), _stored_days(stored, since, days), "_stored")
     return flagged.agg(
         F.count("*").alias("rows_in_batch"),
-        F.count_if(F.col("_stored").isNull()).alias("rows_inserted"),
-        F.count_if(F.col("_stored").isNotNull()).alias("rows_skipped"),
+        F.count_if(~F.col("_stored")).alias("rows_inserted"),
+        F.count_if(F.col("_stored")).alias("rows_skipped"),
     )
 
 

@@ -35,7 +35,6 @@ from barlake.operators.extract import (
     window_bounds,
 )
 from barlake.operators.load import (
-    batch_first_day,
     enrich_facts,
     last_stored_dates,
     load_counts,
@@ -49,8 +48,10 @@ from barlake.schemas import LOOKBACK_DAYS, STATUS_FAILED, STATUS_SUCCESS
 from barlake.sources.bronze import write_bronze_safely
 from barlake.session import checkpoint_dir, join_path
 from barlake.sources.warehouse import (
+    DaysLog,
     QualityReport,
     Warehouse,
+    fact_days,
     replace_partitions_via,
     write_audit_row,
     write_quality_report,
@@ -164,16 +165,18 @@ def run_batch(
         batch_obs = Observation("batch")
         new_obs = Observation("inserted")
         observed = enriched.observe(batch_obs, F.count(F.lit(1)).alias("n"))
-        since = batch_first_day(enriched)  # day-truncated, like the stored keys
+        days = fact_days(wh)  # stored keys as bitmaps; the history is not read
         if cfg.on_conflict == "update":
-            c = load_counts(enriched, facts, since).first()
+            c = load_counts(enriched, facts, days=days).first()
             staging = join_path(checkpoint_dir(spark), f"merge-{batch_id}")
-            replace_partitions_via(wh, "fact_stock_prices", merge_rows(enriched, facts), staging)
+            with DaysLog(wh, batch_id, enriched):
+                replace_partitions_via(wh, "fact_stock_prices", merge_rows(enriched, facts), staging)
             counts["rows_inserted"], counts["rows_updated"] = c["rows_inserted"], c["rows_skipped"]
             counts["rows_skipped"] = 0
         else:
-            fresh = new_rows(observed, facts, since).observe(new_obs, F.count(F.lit(1)).alias("n"))
-            wh.append("fact_stock_prices", to_fact_schema(fresh))
+            fresh = new_rows(observed, facts, days=days).observe(new_obs, F.count(F.lit(1)).alias("n"))
+            with DaysLog(wh, batch_id, enriched):
+                wh.append("fact_stock_prices", to_fact_schema(fresh))
             in_batch = batch_obs.get["n"]
             counts["rows_inserted"] = new_obs.get["n"]
             counts["rows_skipped"] = in_batch - counts["rows_inserted"]

@@ -429,6 +429,8 @@ _STORED_SQL = O.clean_cte("stored_all") + f""",
 stored AS (SELECT * FROM stored_all
            WHERE price_date < TIMESTAMP '{STORED_CUTOFF}')"""
 _BATCH_SQL = O.clean_cte("batch", where=f"\"Date\" >= TIMESTAMP '{NEW_BATCH_FROM}'")
+# all rows of the feed, for the queries in which no row is old or new
+_ALL_SQL = O.clean_cte("prices")
 _COMPANY_SQL = f"""
 company AS (
   SELECT {O.FEED_TICKER} AS ticker,
@@ -485,12 +487,12 @@ def _existing_dim(spark, sf_dir):
     )
 
 
-def _batch_dim(spark, sf_dir):
+def _full_dim(spark, sf_dir):
     from barlake.operators.dims import empty_dim_company, upsert_dim_company
 
-    batch = _new_batch(spark, sf_dir)
+    prices = _clean(spark, sf_dir)
     return upsert_dim_company(
-        empty_dim_company(spark), batch.select("ticker"), src.company_source(spark, sf_dir), _run_ts()
+        empty_dim_company(spark), prices.select("ticker"), src.company_source(spark, sf_dir), _run_ts()
     )
 
 
@@ -514,19 +516,19 @@ def dim_date(spark, sf_dir):
 
 @register(
     "fact_enriched",
-    O.with_ctes(O.FEED, _BATCH_SQL)
+    O.with_ctes(O.FEED, _ALL_SQL)
     + f""", dim AS (SELECT ticker, row_number() OVER (ORDER BY ticker) AS company_id
-             FROM (SELECT DISTINCT ticker FROM batch WHERE ticker IS NOT NULL))
+             FROM (SELECT DISTINCT ticker FROM prices WHERE ticker IS NOT NULL))
 SELECT b.ticker, date_trunc('day', b.price_date) AS price_date, d.company_id,
        CAST(strftime(b.price_date, '%Y%m%d') AS INTEGER) AS date_id, '{BATCH_ID}' AS batch_id,
        b.close_price
-FROM batch b LEFT JOIN dim d ON b.ticker = d.ticker""",
+FROM prices b LEFT JOIN dim d ON b.ticker = d.ticker""",
 )
 def fact_enriched(spark, sf_dir):
-    """New batch with company_id (dimension lookup), date_id and batch_id."""
+    """All rows with company_id (dimension lookup), date_id and batch_id."""
     from barlake.operators.load import enrich_facts
 
-    out = enrich_facts(_new_batch(spark, sf_dir), _batch_dim(spark, sf_dir), BATCH_ID)
+    out = enrich_facts(_clean(spark, sf_dir), _full_dim(spark, sf_dir), BATCH_ID)
     return out.select("ticker", "price_date", "company_id", "date_id", "batch_id", "close_price")
 
 
@@ -583,8 +585,8 @@ requested AS (SELECT DISTINCT {O.FEED_TICKER} AS ticker FROM customer)"""
 
 @register(
     "last_stored_dates",
-    O.with_ctes(O.FEED, _STORED_SQL, _REQUESTED_SQL)
-    + """SELECT ticker, CAST(max(price_date) AS DATE) AS last_date FROM stored
+    O.with_ctes(O.FEED, _ALL_SQL, _REQUESTED_SQL)
+    + """SELECT ticker, CAST(max(price_date) AS DATE) AS last_date FROM prices
 WHERE ticker IN (SELECT ticker FROM requested) GROUP BY ticker""",
 )
 def last_stored_dates(spark, sf_dir):
@@ -593,7 +595,7 @@ def last_stored_dates(spark, sf_dir):
     from barlake.operators.load import last_stored_dates as last
 
     tickers = normalise_requests(src.requested_tickers(spark, sf_dir))
-    return last(_stored(spark, sf_dir), tickers)
+    return last(_clean(spark, sf_dir), tickers)
 
 
 @register(
@@ -611,15 +613,15 @@ def existing_keys(spark, sf_dir):
 
 @register(
     "company_info",
-    O.with_ctes(O.FEED, _BATCH_SQL, _COMPANY_SQL)
+    O.with_ctes(O.FEED, _ALL_SQL, _COMPANY_SQL)
     + """SELECT t.ticker, c.company_name, c.sector, c.industry
-FROM (SELECT DISTINCT ticker FROM batch WHERE ticker IS NOT NULL) t LEFT JOIN company c USING (ticker)""",
+FROM (SELECT DISTINCT ticker FROM prices WHERE ticker IS NOT NULL) t LEFT JOIN company c USING (ticker)""",
 )
 def company_info(spark, sf_dir):
-    """Name, sector and industry per batch ticker; nulls where the provider has none."""
+    """Name, sector and industry per ticker; nulls where the provider has none."""
     from barlake.operators.extract import company_info as info
 
-    return info(_new_batch(spark, sf_dir).select("ticker"), src.company_source(spark, sf_dir))
+    return info(_clean(spark, sf_dir).select("ticker"), src.company_source(spark, sf_dir))
 
 
 @register(
@@ -654,18 +656,18 @@ def dim_company_upsert(spark, sf_dir):
 
 @register(
     "migrate_backfill",
-    O.with_ctes(O.FEED, _STORED_SQL)
+    O.with_ctes(O.FEED, _ALL_SQL)
     + """, dim AS (SELECT ticker, row_number() OVER (ORDER BY ticker) AS company_id
-             FROM (SELECT DISTINCT ticker FROM stored))
+             FROM (SELECT DISTINCT ticker FROM prices))
 SELECT s.ticker, s.price_date, d.company_id,
        CAST(strftime(s.price_date, '%Y%m%d') AS INTEGER) AS date_id, CAST(NULL AS VARCHAR) AS batch_id
-FROM stored s LEFT JOIN dim d USING (ticker)""",
+FROM prices s LEFT JOIN dim d USING (ticker)""",
 )
 def migrate_backfill(spark, sf_dir):
     """Version-1 facts (no company_id, date_id, batch_id) after the migration backfill."""
     from barlake.plans.migrate import migrate_frames
 
-    v1 = _stored(spark, sf_dir).drop("daily_return")
+    v1 = _clean(spark, sf_dir).drop("daily_return")
     facts, _dim = migrate_frames(v1, None, _run_ts())
     return facts.select("ticker", "price_date", "company_id", "date_id", "batch_id")
 

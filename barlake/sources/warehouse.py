@@ -23,9 +23,10 @@ from dataclasses import asdict, dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import BinaryType, DateType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from barlake.schemas import PIPELINE_RUNS, QUALITY_RESULTS, REPORT_FILE, WAREHOUSE_TABLES
+from barlake.operators.stored_days import day_bitmaps
 from barlake.session import join_path
 
 QUALITY_TABLE = StructType(QUALITY_RESULTS.fields + [StructField("batch_id", StringType(), True)])
@@ -50,7 +51,20 @@ DATE_GAPS = StructType(
 FAILED_TICKERS = StructType(
     [StructField("batch_id", StringType(), True), StructField("ticker", StringType(), True)]
 )
+# bitmaps of the price fact's (ticker, day) keys by load: written before the fact, and
+# counted once the load has an "end" row (see ``fact_days``)
+STORED_DAYS = StructType(
+    [
+        StructField("load", StringType(), True),
+        StructField("batch_id", StringType(), True),
+        StructField("state", StringType(), True),
+        StructField("ticker", StringType(), True),
+        StructField("bucket", LongType(), True),
+        StructField("days", BinaryType(), True),
+    ]
+)
 EXTRA_TABLES = {
+    "stored_days": STORED_DAYS,
     "quality_results": QUALITY_TABLE,
     "bar_metrics": BAR_METRICS,
     "date_gaps": DATE_GAPS,
@@ -312,6 +326,50 @@ def audit_row(spark: SparkSession, audit: dict) -> DataFrame:
     return df.withColumn("run_id", F.abs(F.xxhash64("batch_id")))
 
 
+class DaysLog:
+    """Logs one load's keys: its bitmaps before the fact is written, "end" after it."""
+
+    def __init__(self, wh: Warehouse, batch_id: str, rows: DataFrame):
+        self.wh, self.batch_id, self.rows = wh, batch_id, rows
+        self.load = uuid.uuid4().hex
+
+    def __enter__(self):
+        bitmaps = day_bitmaps(self.rows).withColumns(
+            {"load": F.lit(self.load), "batch_id": F.lit(self.batch_id), "state": F.lit("days")}
+        )
+        self.wh.append("stored_days", bitmaps)
+        return self
+
+    def __exit__(self, kind, error, trace):
+        if kind is None:
+            self.mark(self.load, "end")
+
+    def mark(self, load: str, state: str) -> None:
+        row = [(load, self.batch_id, state)]
+        self.wh.append("stored_days", self.wh.spark.createDataFrame(row, "load string, batch_id string, state string"))
+
+
+def fact_days(wh: Warehouse) -> DataFrame:
+    """Bitmaps of all (ticker, day) keys of the price fact, without scanning the fact.
+
+    Only what the log lacks is made from the fact: all of it where there is no log yet
+    (a warehouse from before it), and the batches of loads that began and did not end.
+    """
+    log, facts = wh.read("stored_days"), wh.read("fact_stock_prices")
+    if log.isEmpty():
+        with DaysLog(wh, "initial", facts):
+            pass
+    else:
+        closed = log.where("state <> 'days'").select("load")
+        # loads that broke off since the last one that did not: mostly none
+        for load, batch_id in log.join(closed, "load", "left_anti").select("load", "batch_id").distinct().collect():
+            with DaysLog(wh, batch_id, facts.where(F.col("batch_id") == batch_id)) as made_good:
+                made_good.mark(load, "void")
+    log = wh.read("stored_days")
+    ended = log.where("state = 'end'").select("load").distinct()
+    return log.where("state = 'days'").join(ended, "load", "left_semi").select("ticker", "bucket", "days")
+
+
 def write_audit_row(wh: Warehouse, audit: dict) -> None:
     wh.append("pipeline_runs", audit_row(wh.spark, audit))
 
