@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.timecols import date_id
-from barlake.operators.windows import global_ordinal
+from barlake.operators.windows import bucketed_ordinal
 from barlake.schemas import DIM_COMPANY, DIM_DATE, DIM_DATE_END, DIM_DATE_START
 
 
@@ -99,14 +99,19 @@ def upsert_dim_company(
     return out.select(*[F.col(f.name).cast(f.dataType) for f in DIM_COMPANY.fields])
 
 
+def ticker_bucket() -> Column:
+    """Head of a ticker: rises with the ticker's order."""
+    return F.substring("ticker", 1, 2)
+
+
 def assign_surrogate_keys(new_rows: DataFrame, existing: DataFrame, key: str = "company_id") -> DataFrame:
     """Ids ``max(existing) + 1 + position`` for new rows in ticker order.
 
-    Positions come from a range-partitioned ordinal, so no single task numbers
-    all rows; the max id is a scalar subquery.
+    Positions are counted inside buckets of the tickers' first two letters, so no
+    single task numbers all rows; the max id is a scalar subquery.
     """
     base = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).scalar()
-    ranked = global_ordinal(new_rows.drop(key), ["ticker"], "_pos")
+    ranked = bucketed_ordinal(new_rows.drop(key), ["ticker"], ticker_bucket(), "_pos")
     return ranked.withColumn(key, base + F.col("_pos") + 1).drop("_pos")
 
 

@@ -50,26 +50,22 @@ def latest_close(fact: DataFrame) -> DataFrame:
     """Average close on the latest date: per ticker, plus one overall row
     (ticker = '(all)') for the latest date over all tickers.
 
-    One shuffle on ticker: the ticker's latest date is a window maximum (the
-    fact holds one row per ticker and day, so a ticker's window is bounded by
-    the calendar) and the grouping reuses that partitioning. The overall row
-    filters on the global latest date, a scalar subquery.
+    One scan: grouping sets give the means of each (ticker, day) and of each day over
+    all tickers, partial sums first; the latest day of each is a second hash aggregate
+    over those means, so no task holds a ticker's rows.
     """
-    f = fact.select("ticker", "price_date", "close_price")
-    per_ticker = (
-        f.withColumn("_last", F.max("price_date").over(Window.partitionBy("ticker")))
-        .where(F.col("price_date") == F.col("_last"))
-        .groupBy("ticker", "price_date")
-        .agg(exact_mean(F.col("close_price")).alias("latest_close"))
+    f = fact.select("ticker", "price_date", "close_price").where(F.col("price_date").isNotNull())
+    by_day = f.groupingSets([["ticker", "price_date"], ["price_date"]], "ticker", "price_date").agg(
+        F.grouping("ticker").alias("_all"), exact_mean(F.col("close_price")).alias("mean")
+    )
+    latest = by_day.groupBy("_all", "ticker").agg(
+        F.max("price_date").alias("price_date"), F.max_by("mean", "price_date").alias("latest_close")
     )
-    top = f.agg(F.max("price_date")).scalar()
-    overall = (
-        f.where(F.col("price_date") == top)
-        .groupBy("price_date")
-        .agg(exact_mean(F.col("close_price")).alias("latest_close"))
-        .select(F.lit(ALL_TICKERS).alias("ticker"), "price_date", "latest_close")
+    return latest.select(
+        F.when(F.col("_all") == 1, F.lit(ALL_TICKERS)).otherwise(F.col("ticker")).alias("ticker"),
+        "price_date",
+        "latest_close",
     )
-    return per_ticker.unionByName(overall)
 
 
 def return_30d(fact: DataFrame, days: int = RETURN_LOOKBACK_DAYS) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions.ticks import build_tick, tick_message
-from barlake.operators.windows import global_ordinal
+from barlake.operators.windows import bucketed_ordinal
 from barlake.schemas import REPLAY_SPEED
 
 
@@ -28,7 +28,8 @@ def replay_schedule(rows: DataFrame, t0: Column, replay_speed: float = REPLAY_SP
     if not replay_speed > 0:
         raise ValueError("the replay rate (ticks per second) must be above zero")
     micros = F.floor(F.col("ordinal") * F.lit(1e6) / F.lit(float(replay_speed)))
-    ordered = global_ordinal(rows, ["Date", "ticker"], "ordinal")
+    day = F.date_trunc("DAY", "Date")
+    ordered = bucketed_ordinal(rows, ["Date", "ticker"], day, "ordinal")
     return ordered.withColumn("event_time", F.timestamp_add("MICROSECOND", micros, t0))
 
 

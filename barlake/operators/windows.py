@@ -12,16 +12,19 @@ if one ticker holds a third of the data, that task holds a third of the data.
   buckets; rows within ``lookback`` of a bucket's end are also emitted into
   the next bucket as context ("halo") rows, in the same pass, so each bucket
   sees everything its frames need.
-* ``global_ordinal``: consecutive positions in a total order without a
-  single-partition window: range-partition, sort within partitions, then add
-  per-partition offsets (one row per partition, broadcast).
+* ``bucketed_ordinal``: consecutive positions in a total order by two-level prefix
+  sums: rows are numbered inside declared buckets (a day, the head of a name), and
+  the buckets' sizes, one small row each, are summed. Lazy: nothing runs when the
+  plan is built.
+* ``global_ordinal``: the same without declared buckets: range-partition, sort within
+  partitions, then add per-partition offsets (one row per partition, broadcast).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
@@ -104,6 +107,33 @@ def trailing_mean(
     return scored.where(~F.col("_ctx")).drop("_sec", "_bkt", "_ctx")
 
 
+def bucketed_ordinal(
+    df: DataFrame, order_cols: Sequence[str], bucket: Column, name: str = "ordinal"
+) -> DataFrame:
+    """Add ``name``: 0-based position of each row in the total order of ``order_cols``.
+
+    ``bucket`` never falls as rows rise in that order, and tells apart parts of a size
+    that a task can sort; ``order_cols`` identify rows uniquely. The input is read
+    twice, once for the buckets' sizes; both readers compute the same from the same
+    rows, so a lost executor changes no position.
+    """
+    marked = df.withColumn("_bucket", bucket)
+    sizes = marked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        F.col("_bucket").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+    )
+    inside = F.row_number().over(
+        Window.partitionBy("_bucket").orderBy(*[F.col(c).asc() for c in order_cols])
+    )
+    return (
+        marked.withColumn("_inside", inside)
+        .join(offsets, F.col("_bucket").eqNullSafe(F.col("_of")))
+        .withColumn(name, F.col("_off") + F.col("_inside") - 1)
+        .drop("_bucket", "_inside", "_of", "_off")
+    )
+
+
 def global_ordinal(
     df: DataFrame,
     order_cols: Sequence[str],

@@ -469,10 +469,11 @@ def _new_batch(spark, sf_dir):
 
 def _existing_dim(spark, sf_dir):
     """A dimension as an earlier run left it: stored tickers, some names missing."""
-    from barlake.operators.windows import global_ordinal
+    from barlake.operators.dims import ticker_bucket
+    from barlake.operators.windows import bucketed_ordinal
 
     t = _stored(spark, sf_dir).select("ticker").distinct()
-    ranked = global_ordinal(t, ["ticker"], "_pos")
+    ranked = bucketed_ordinal(t, ["ticker"], ticker_bucket(), "_pos")
     old = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
     return ranked.select(
         (F.col("_pos") + 1).alias("company_id"),

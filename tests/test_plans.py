@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_mod
+from barlake.plans import catalog
 
 from .conftest import SF_SMALL
 
@@ -11,7 +12,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cross_joins(spark, name):
     p = plan(entry_mod.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
@@ -58,3 +59,14 @@ def test_extract_bounds_reach_the_scan(spark):
     out = incremental_extract(src.price_feed(spark, SF_SMALL), windows, bounds=("1998-01-01", "1998-02-01"))
     p = plan(out)
     assert "GreaterThanOrEqual(o_orderdate" in p and "LessThan(o_orderdate" in p
+
+
+def test_latest_close_reads_the_feed_once(spark):
+    p = plan(entry_mod.queries()["latest_close"](spark, SF_SMALL))
+    assert p.count("FileScan parquet") == 2 and "Window" not in p
+
+
+def test_ordinals_need_no_checkpoint(spark):
+    for name in ("dim_company_upsert", "migrate_backfill", "fact_enriched", "replay_schedule", "price_trend", "star_slice"):
+        p = plan(entry_mod.queries()[name](spark, SF_SMALL))
+        assert "ExistingRDD" not in p and "Window" in p, name

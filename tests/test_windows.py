@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.operators.windows import global_ordinal, previous_in_key, trailing_mean
+from barlake.operators.windows import bucketed_ordinal, global_ordinal, previous_in_key, trailing_mean
 
 
 def test_previous_in_key_matches_pandas_shift(spark):
@@ -75,3 +75,14 @@ def test_previous_over_months_matches_pandas_and_spreads_a_hot_key(spark):
         assert got[row[:2]] == ((before[1], before[2]) if same else (None, None))
     plan = previous_in_key(df, ["k"], "t", ["v"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window") >= 2 and "_month" in plan
+
+
+def test_bucketed_ordinal_matches_the_sorted_order(spark):
+    rnd = random.Random(9)
+    rows = sorted({(rnd.choice("abcx") + str(rnd.randint(0, 500)),) for _ in range(400)})
+    rnd.shuffle(rows)
+    df = spark.createDataFrame([*rows, (None,)], "t string").repartition(5)
+    got = bucketed_ordinal(df, ["t"], F.substring("t", 1, 2), "o").orderBy("o").collect()
+    assert [r.o for r in got] == list(range(len(rows) + 1))
+    assert [r.t for r in got] == [None, *sorted(t for (t,) in rows)]
+    assert bucketed_ordinal(df.limit(0), ["t"], F.substring("t", 1, 2)).collect() == []
