@@ -131,7 +131,8 @@ class Lexicon:
 
 
 def _mentions(lower: str) -> tuple[list[str], list[bool]]:
-    """All words of a text, and which of them ``_quoted`` or a reporting word shows to be quoted.
+    """All words of a text, and which of them marks around them or a reporting word
+    before them show to be quoted.
 
     One pass over the marks: between two of them, all places are quoted or none is.
     """
@@ -174,16 +175,6 @@ def _mentions(lower: str) -> tuple[list[str], list[bool]]:
     return words, quoted
 
 
-def _quoted(text: str, start: int, end: int) -> bool:
-    """Whether the place lies in quotation marks of its line."""
-    low = text.rfind("\n", 0, start) + 1
-    high = text.find("\n", end)
-    before, after = text[low:start], text[end : len(text) if high < 0 else high]
-    if before.count('"') % 2 and '"' in after:
-        return True
-    return any(before.rfind(a) > before.rfind(b) and b in after for a, b in _QUOTES)
-
-
 @dataclass
 class Model:
     lexicon: Lexicon
@@ -205,7 +196,7 @@ class Model:
         count = Counter(kinds)
         if count[""] == len(words):
             return [0.0] * 6
-        quoted = self._quotations(lower, words, kinds)
+        quoted = Counter(kind for kind, mark in zip(kinds, _mentions(lower)[1]) if kind and mark)
         count.subtract(quoted)
         direct = count["exact"] + count["stem"] + count["fuzzy"]
         return [
@@ -217,18 +208,6 @@ class Model:
             math.log1p(100 * direct / (len(words) + 10)),
         ]
 
-    @staticmethod
-    def _quotations(lower: str, words: list[str], kinds: list[str]) -> Counter:
-        """Matches that their surroundings show to be quoted, by kind."""
-        found: Counter = Counter()
-        for k, place in enumerate(_WORD.finditer(lower)):
-            if kinds[k] and (
-                not _REPORTING.isdisjoint(words[max(0, k - CONTEXT_WORDS) : k])
-                or _quoted(lower, *place.span())
-            ):
-                found[kinds[k]] += 1
-        return found
-
     def score(self, features: list[float]) -> float:
         z = self.weights[-1] + sum(w * x for w, x in zip(self.weights, features))
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
