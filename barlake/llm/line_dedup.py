@@ -1,16 +1,21 @@
 """Line dedup by winnowing over line hashes, in DataFrame functions only.
 
 A document is a sequence of lines; lines without words carry no content of their
-own. For every line the window is the shortest run of lines from there that has
-at least ``min_words`` words. Each window selects the line with the smallest hash
-as its fingerprint, so two documents that share a run of ``min_words`` words in
-whole lines share a whole window and are guaranteed to select the same line in
-it. Fingerprints that occur at one position only are dropped; around the others
-the match is extended line by line to the whole window on either side, equal
-windows are traced to their first place (smallest doc_id, then line number), and
-overlapping later windows join to runs, which are deleted. The match is not extended
-past its last whole window: fewer than ``min_words`` words of a shared run that follow
-a window's last line stay.
+own. A line goes when it lies in a run of lines with at least ``min_words`` words
+that occurred at an earlier place (smaller doc_id, then line number): whole maximal
+runs are deleted, their last lines too.
+
+For every line the window is the shortest run of lines from there that has at least
+``min_words`` words, and, the other way, the shortest such run that ends there. Each
+window selects the line with the smallest hash as its fingerprint, so two documents
+that share a run share windows and are guaranteed to select the same lines in it.
+Fingerprints that occur at one position only are dropped; around the others the match
+is extended both ways: windows that begin at a line carry it to the left, windows that
+end at a line carry it to the right, each joined with its first place. A line of a
+shared run with fewer than ``min_words`` words after it in the run ends or lies in a
+window that the run's last line closes, so nothing of the run stays. Matched windows
+that overlap join to runs. Windows are held to be equal by 96 bits of hash over their
+lines' hashes.
 
 No pairs of documents are made: every later window meets its first place through
 one grouped minimum, so a passage in a third of all documents costs no more than
@@ -19,7 +24,7 @@ any other.
 Defined cases: a null text stays null, an empty text stays empty; a document all
 of whose lines lie in repeated windows becomes the empty text; a null doc_id comes before all
 others; rows that repeat both doc_id and text count as one document and get the
-same result; blank lines go with the run around them; an empty table gives an
+same result; a blank line goes when the lines with words before and after it go; an empty table gives an
 empty table; other columns stay, whatever their names. Lines are compared without
 the white space at their ends.
 """
@@ -54,46 +59,51 @@ def document_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def winnowed_windows(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Each line's window: its end, its content key and the fingerprint it selects."""
+    """Windows from each line on and up to each line: begin, end, content key, fingerprint."""
     by_pos = Window.partitionBy(*_DOC).orderBy("pos")
-    begun = lines.withColumn("begin", F.sum("words").over(by_pos) - F.col("words"))
-    window = (
-        Window.partitionBy(*_DOC).orderBy("begin").rangeBetween(0, min_words - 1)
-    )
-    content = F.collect_list(F.struct("h", "g")).over(window)
-    smallest = F.min(F.struct("h", "pos")).over(window)
-    return (
-        begun.select(
-            *_DOC,
-            "pos",
-            "begin",
-            content.alias("content"),
-            smallest.alias("smallest"),
-            F.max("pos").over(window).alias("end"),
-            F.max(F.col("begin") + F.col("words")).over(window).alias("reach"),
-        )
-        .where(F.col("reach") >= F.col("begin") + min_words)
-        .select(
-            *_DOC,
-            "pos",
-            "end",
-            F.xxhash64("content").alias("key_a"),
-            F.hash("content").alias("key_b"),
-            F.col("smallest.h").alias("print"),
-            F.col("smallest.pos").alias("print_pos"),
+    placed = lines.withColumn("finish", F.sum("words").over(by_pos)).withColumn(
+        "begin", F.col("finish") - F.col("words")
+    ).withColumn("next", F.coalesce(F.lead("pos").over(by_pos), F.col("pos") + 1))
+    onward = Window.partitionBy(*_DOC).orderBy("begin").rangeBetween(0, min_words - 1)
+    back = Window.partitionBy(*_DOC).orderBy("finish").rangeBetween(1 - min_words, 0)
+
+    def window(frame):
+        return F.struct(
+            F.min("pos").over(frame).alias("pos"),
+            F.max("pos").over(frame).alias("end"),
+            F.max("next").over(frame).alias("next"),
+            F.xxhash64(F.collect_list(F.struct("h", "g")).over(frame)).alias("key_a"),
+            F.hash(F.collect_list(F.struct("h", "g")).over(frame)).alias("key_b"),
+            F.min(F.struct("h", "pos")).over(frame).alias("smallest"),
         )
+
+    both = placed.select(
+        *_DOC,
+        "begin",
+        "finish",
+        F.max("finish").over(onward).alias("reach"),
+        F.min("begin").over(back).alias("origin"),
+        window(onward).alias("from_here"),
+        window(back).alias("to_here"),
+    )
+    # a window up to a line that is also the window from its first line is there already
+    windows = F.array(
+        F.when(F.col("reach") - F.col("begin") >= min_words, F.col("from_here")),
+        F.when(F.col("begin") - F.col("origin") >= min_words, F.col("to_here")),
+    )
+    return both.select(*_DOC, F.inline(F.array_compact(windows))).select(
+        *_DOC, "pos", "end", "next", "key_a", "key_b",
+        F.col("smallest.h").alias("print"), F.col("smallest.pos").alias("print_pos"),
     )
 
 
 def repeated_runs(windows: DataFrame) -> DataFrame:
     """Runs of lines whose windows occurred before, one row per document and run."""
     by_pos = Window.partitionBy(*_DOC).orderBy("pos")
-    # neighbouring windows mostly select the same line: count each selected place once
-    selected = windows.withColumn(
-        "new", (~F.lag("print_pos").over(by_pos).eqNullSafe(F.col("print_pos"))).cast("int")
-    )
+    place = F.xxhash64(*_DOC, "print_pos")
     shared = (
-        selected.groupBy("print").agg(F.sum("new").alias("places")).where("places > 1")
+        windows.groupBy("print").agg(F.min(place).alias("one"), F.max(place).alias("other"))
+        .where("one <> other")
         .select("print")
     )
     candidates = windows.join(shared, "print", "left_semi")
@@ -108,10 +118,11 @@ def repeated_runs(windows: DataFrame) -> DataFrame:
     later = candidates.join(
         first, (F.col("key_a") == F.col("first_a")) & (F.col("key_b") == F.col("first_b"))
     ).where(F.struct("_id", "_th", "pos") != F.col("first"))
-    reached = F.max("end").over(by_pos.rowsBetween(Window.unboundedPreceding, -1))
-    opened = F.coalesce((F.col("pos") > reached + 1).cast("int"), F.lit(1))
+    # the next line with words, so that runs join over blank lines
+    reached = F.max("next").over(by_pos.rowsBetween(Window.unboundedPreceding, -1))
+    opened = F.coalesce((F.col("pos") > reached).cast("int"), F.lit(1))
     return (
-        later.select(*_DOC, "pos", "end", opened.alias("opened"))
+        later.select(*_DOC, "pos", "end", "next", opened.alias("opened"))
         .withColumn("run", F.sum("opened").over(by_pos))
         .groupBy(*_DOC, "run")
         .agg(F.min("pos").alias("start"), F.max("end").alias("end"))
@@ -163,7 +174,8 @@ def op5_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Two windows are equal when their lines are; the first place is the smallest
-# (doc_id, line). Lines are counted from 0; regexp_split keeps blank lines.
+# (doc_id, line). A line of a repeated run of 50 words lies in the shortest run of 50
+# words from it on or up to the run's end. Lines are counted from 0; regexp_split keeps blank lines.
 OP5_SQL = r"""
 WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 raw AS (
@@ -187,13 +199,39 @@ windows AS (
   FROM begun
   WINDOW w AS (PARTITION BY doc_id ORDER BY start_word RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
 ),
-whole AS (SELECT * FROM windows WHERE reach >= start_word + 50),
+backward AS (
+  SELECT doc_id, start_word,
+         min(pos) OVER b AS pos, pos AS last_pos,
+         string_agg(line, chr(10)) OVER b AS content,
+         min(start_word) OVER b AS origin
+  FROM (SELECT *, start_word + words AS end_word FROM begun)
+  WINDOW b AS (PARTITION BY doc_id ORDER BY end_word RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+),
+whole AS (
+  SELECT doc_id, pos, last_pos, content FROM windows WHERE reach >= start_word + 50
+  UNION ALL
+  SELECT doc_id, pos, last_pos, content FROM backward WHERE start_word >= origin + 50
+),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) AS place FROM whole
 ),
-gone AS (
+covered AS (
   SELECT DISTINCT doc_id, unnest(generate_series(pos, last_pos)) AS pos FROM placed WHERE place > 1
 ),
+beside AS (
+  SELECT l.doc_id, l.pos, CASE WHEN l.words > 0 THEN c.pos IS NOT NULL END AS goes
+  FROM lines l LEFT JOIN covered c ON l.doc_id = c.doc_id AND l.pos = c.pos
+),
+gone AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos,
+           last_value(goes IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before,
+           first_value(goes IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos
+             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after
+    FROM beside)
+  WHERE before AND after
+),
 kept AS (
   SELECT r.doc_id, count(*) - count(g.pos) AS n_kept, count(g.pos) AS n_deleted,
          count(*) AS n_lines,
