@@ -15,22 +15,26 @@ from barlake.functions.timecols import iso_string_to_ntz, iso_text
 from barlake.schemas import REQUIRED_TICK_FIELDS, TICK, TICK_REASONS, VALID_SOURCES
 
 NOT_AN_OBJECT = "payload is not a JSON object"
+TYPED_FIELDS = tuple(n for n in REQUIRED_TICK_FIELDS if n != "producer_id")  # presence is enough there
 
-_INTEGRAL_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
-
-def _is_number(token_type: Column) -> Column:
-    """JSON number token: an integer, float or decimal variant type."""
-    return token_type.isin(*_INTEGRAL_TYPES, "FLOAT", "DOUBLE") | token_type.startswith("DECIMAL(")
+def _is_number(token_type: Column, value: Column) -> Column:
+    """JSON number token: what casts to double and is neither text nor a truth value."""
+    return value.isNotNull() & ~token_type.isin("STRING", "BOOLEAN")
 
 
 def _is_integer(token_type: Column) -> Column:
     """Integral JSON number token (a decimal with scale 0 counts)."""
-    return token_type.isin(*_INTEGRAL_TYPES) | (
+    return (token_type == "BIGINT") | (
         token_type.startswith("DECIMAL(") & token_type.endswith(",0)")
     )
 
 
+def _is_object(raw: Column, payload: Column) -> Column:
+    """A parsed JSON text is an object when it opens with a brace."""
+    return payload.isNotNull() & F.ltrim(raw, F.lit(" \t\r\n")).startswith("{")
+
+
 def build_tick(
     ticker: Column,
     price: Column,
@@ -60,12 +64,13 @@ def parse_tick(raw: Column) -> Column:
     return F.from_json(raw, TICK)
 
 
-def _token_type(payload: Column, field: str) -> Column:
-    return F.schema_of_variant(F.variant_get(payload, f"$.{field}", "variant"))
+def _field(payload: Column, field: str) -> Column:
+    return F.variant_get(payload, f"$.{field}", "variant")
 
 
 def _reason_from_parts(
     is_object: Column,
+    fields: dict[str, Column],
     types: dict[str, Column],
     ticker: Column,
     price: Column,
@@ -75,7 +80,7 @@ def _reason_from_parts(
 ) -> Column:
     """First failing rule, from already-extracted parts (cheap column logic)."""
     # concat_ws skips nulls: the absent names, in field order, without a lambda
-    absent = [types[name].isNull() for name in REQUIRED_TICK_FIELDS]
+    absent = [fields[name].isNull() for name in REQUIRED_TICK_FIELDS]
     missing_list = F.concat_ws(
         ", ", *[F.when(a, F.lit(name)) for a, name in zip(absent, REQUIRED_TICK_FIELDS)]
     )
@@ -86,7 +91,7 @@ def _reason_from_parts(
         F.when(~F.coalesce(is_object, F.lit(False)), F.lit(NOT_AN_OBJECT))
         .when(any_missing, F.concat(F.lit(TICK_REASONS["missing_prefix"]), missing_list))
         .when((types["ticker"] != "STRING") | (F.trim(ticker) == ""), F.lit(TICK_REASONS["ticker"]))
-        .when(~_is_number(types["price"]) | price.isNull(), F.lit(TICK_REASONS["price_type"]))
+        .when(~_is_number(types["price"], price), F.lit(TICK_REASONS["price_type"]))
         .when(price <= 0, F.lit(TICK_REASONS["price_sign"]))
         .when(~_is_integer(types["volume"]) | volume.isNull(), F.lit(TICK_REASONS["volume_type"]))
         .when(volume < 0, F.lit(TICK_REASONS["volume_sign"]))
@@ -103,15 +108,16 @@ def reject_reason(raw: Column) -> Column:
     ``with_tick_check``, which parses each message once.
     """
     payload = F.try_parse_json(raw)
-    types = {name: _token_type(payload, name) for name in REQUIRED_TICK_FIELDS}
+    fields = {name: _field(payload, name) for name in REQUIRED_TICK_FIELDS}
     return _reason_from_parts(
-        F.schema_of_variant(payload).startswith("OBJECT"),
-        types,
-        F.try_variant_get(payload, "$.ticker", "string"),
-        F.try_variant_get(payload, "$.price", "double"),
-        F.try_variant_get(payload, "$.volume", "bigint"),
-        iso_string_to_ntz(F.try_variant_get(payload, "$.event_time", "string")).isNotNull(),
-        F.try_variant_get(payload, "$.source", "string"),
+        _is_object(raw, payload),
+        fields,
+        {name: F.schema_of_variant(fields[name]) for name in TYPED_FIELDS},
+        F.try_variant_get(fields["ticker"], "$", "string"),
+        F.try_variant_get(fields["price"], "$", "double"),
+        F.try_variant_get(fields["volume"], "$", "bigint"),
+        iso_string_to_ntz(F.try_variant_get(fields["event_time"], "$", "string")).isNotNull(),
+        F.try_variant_get(fields["source"], "$", "string"),
     )
 
 
@@ -123,35 +129,32 @@ def is_valid(raw: Column) -> Column:
 def with_tick_check(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``reason`` plus typed fields ``t_ticker, t_price, t_volume, t_event_time``.
 
-    Staged projections: the JSON is parsed once into a VARIANT, field token
-    types and values are read from it, and the reason is plain column logic.
-    (A single expression would re-parse inside every conditional branch.)
+    Staged projections: the JSON is parsed once into a VARIANT, each field is taken
+    out of it once, token types and values are read from the fields, and the reason is
+    plain column logic. (A single expression would re-parse inside every conditional
+    branch.) The stage's generated code has to stay under the 8,000 bytes that the JVM
+    compiles (``tests/test_plans.py``): beyond them it is interpreted, at a third of the pace.
     """
     parsed = df.withColumn("_v", F.try_parse_json(F.col(raw)))
-    v = F.col("_v")
-    parts = parsed.select(
+    split = parsed.select(
+        *df.columns,
+        _is_object(F.col(raw), F.col("_v")).alias("_obj"),
+        *[_field(F.col("_v"), n).alias(f"_f_{n}") for n in REQUIRED_TICK_FIELDS],
+    )
+    parts = split.select(
         "*",
-        F.schema_of_variant(v).startswith("OBJECT").alias("_obj"),
-        # token types where a rule needs them; for producer_id presence is enough
-        *[
-            (
-                _token_type(v, n)
-                if n != "producer_id"
-                else F.when(F.variant_get(v, f"$.{n}", "variant").isNotNull(), F.lit("PRESENT"))
-            ).alias(f"_ty_{n}")
-            for n in REQUIRED_TICK_FIELDS
-        ],
-        F.try_variant_get(v, "$.ticker", "string").alias("t_ticker_raw"),
-        F.try_variant_get(v, "$.price", "double").alias("t_price"),
-        F.try_variant_get(v, "$.volume", "bigint").alias("t_volume"),
-        F.try_variant_get(v, "$.event_time", "string").alias("_time_text"),
-        F.try_variant_get(v, "$.source", "string").alias("_source"),
+        *[F.schema_of_variant(f"_f_{n}").alias(f"_ty_{n}") for n in TYPED_FIELDS],
+        F.try_variant_get("_f_ticker", "$", "string").alias("t_ticker_raw"),
+        F.try_variant_get("_f_price", "$", "double").alias("t_price"),
+        F.try_variant_get("_f_volume", "$", "bigint").alias("t_volume"),
+        F.try_variant_get("_f_event_time", "$", "string").alias("_time_text"),
+        F.try_variant_get("_f_source", "$", "string").alias("_source"),
     )
     timed = parts.withColumn("t_event_time", iso_string_to_ntz(F.col("_time_text")))
-    types = {n: F.col(f"_ty_{n}") for n in REQUIRED_TICK_FIELDS}
     reason = _reason_from_parts(
         F.col("_obj"),
-        types,
+        {n: F.col(f"_f_{n}") for n in REQUIRED_TICK_FIELDS},
+        {n: F.col(f"_ty_{n}") for n in TYPED_FIELDS},
         F.col("t_ticker_raw"),
         F.col("t_price"),
         F.col("t_volume"),

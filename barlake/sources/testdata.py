@@ -75,41 +75,26 @@ def tick_messages(spark: SparkSession, sf_dir: str, with_faults: bool = True) ->
     value: Column = F.to_json(good)
     if with_faults:
         kind = F.col("event_id") % FAULT_MODULUS
-        t = F.upper(F.trim(ticker))
-        when_ = iso_text(F.col("ts"))
 
-        def js(*fields: Column) -> Column:
-            return F.to_json(F.struct(*fields))
+        def message(price: Column, volume: Column) -> Column:
+            # to_json leaves null fields out: kinds 1 and 8 lack a field
+            return F.to_json(F.struct(
+                F.when(kind == 4, "   ").otherwise(F.upper(F.trim(ticker))).alias("ticker"),
+                price.alias("price"),
+                volume.alias("volume"),
+                F.when(kind == 2, "yesterday").otherwise(iso_text(F.col("ts"))).alias("event_time"),
+                F.when(kind == 3, "manual").when(kind != 1, "replay").alias("source"),
+                F.when(kind != 8, "events").alias("producer_id"),
+            ))
 
         value = (
-            F.when(kind == 0, js(t.alias("ticker"), (-price).alias("price"), volume.alias("volume"),
-                                 when_.alias("event_time"), F.lit("replay").alias("source"),
-                                 F.lit("events").alias("producer_id")))
-            .when(kind == 1, js(t.alias("ticker"), price.alias("price"), volume.alias("volume"),
-                                when_.alias("event_time"), F.lit("events").alias("producer_id")))
-            .when(kind == 2, js(t.alias("ticker"), price.alias("price"), volume.alias("volume"),
-                                F.lit("yesterday").alias("event_time"), F.lit("replay").alias("source"),
-                                F.lit("events").alias("producer_id")))
-            .when(kind == 3, js(t.alias("ticker"), price.alias("price"), volume.alias("volume"),
-                                when_.alias("event_time"), F.lit("manual").alias("source"),
-                                F.lit("events").alias("producer_id")))
-            .when(kind == 4, js(F.lit("   ").alias("ticker"), price.alias("price"), volume.alias("volume"),
-                                when_.alias("event_time"), F.lit("replay").alias("source"),
-                                F.lit("events").alias("producer_id")))
-            .when(kind == 5, js(t.alias("ticker"), F.lit("abc").alias("price"), volume.alias("volume"),
-                                when_.alias("event_time"), F.lit("replay").alias("source"),
-                                F.lit("events").alias("producer_id")))
-            .when(kind == 6, js(t.alias("ticker"), price.alias("price"), (-volume - 1).alias("volume"),
-                                when_.alias("event_time"), F.lit("replay").alias("source"),
-                                F.lit("events").alias("producer_id")))
+            F.when(kind == 5, message(F.lit("abc"), volume))
             .when(kind == 7, F.lit("not json"))
-            .when(kind == 8, js(t.alias("ticker"), price.alias("price"), volume.alias("volume"),
-                                when_.alias("event_time"), F.lit("replay").alias("source")))
-            .when(kind == 9, js(t.alias("ticker"), price.alias("price"),
-                                (volume.cast("double") + F.lit(0.5)).alias("volume"),
-                                when_.alias("event_time"), F.lit("replay").alias("source"),
-                                F.lit("events").alias("producer_id")))
-            .otherwise(value)
+            .when(kind == 9, message(price, volume.cast("double") + F.lit(0.5)))
+            .otherwise(message(
+                F.when(kind == 0, -price).otherwise(price),
+                F.when(kind == 6, -volume - 1).otherwise(volume),
+            ))
         )
     return ev.select("event_id", F.upper(F.trim(ticker)).alias("key"), value.alias("value"))
 

@@ -1,5 +1,7 @@
 """Plan shape: what the optimizer must keep doing at scale."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_mod
@@ -70,3 +72,13 @@ def test_ordinals_need_no_checkpoint(spark):
     for name in ("dim_company_upsert", "migrate_backfill", "fact_enriched", "replay_schedule", "price_trend", "star_slice"):
         p = plan(entry_mod.queries()[name](spark, SF_SMALL))
         assert "_pid" not in p and "_bucket" in p, name  # the checkpointed ordinal had _pid
+
+
+@pytest.mark.parametrize("name", ["dead_letters", "valid_ticks", "tick_reject_reasons"])
+def test_tick_check_stays_compiled(spark, name):
+    # the JVM interprets methods of more than 8,000 bytes
+    found = entry_mod.queries()[name](spark, SF_SMALL)
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    code = getattr(debug, "MODULE$").codegenString(found._jdf.queryExecution().executedPlan())
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
