@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType, IntegralType
 
 from barlake.functions.timecols import date_id, day_start
 from barlake.operators.stored_days import day_bitmaps, merged_bitmaps, stored_keys, with_stored
@@ -107,11 +108,19 @@ def load_counts(
 
 
 def to_fact_schema(rows: DataFrame) -> DataFrame:
-    """Project and cast to the stored fact schema (missing columns become null)."""
+    """Project and cast to the stored fact schema (missing columns become null).
+
+    A whole-number column takes whole numbers only: a volume of 12.5 is stored as null,
+    never as 12, and the check ``column_types`` reports the batch.
+    """
     cols = []
     for f in FACT_STOCK_PRICES.fields:
         c: Column = F.col(f.name) if f.name in rows.columns else F.lit(None)
-        cols.append(c.cast(f.dataType).alias(f.name))
+        stored = c.cast(f.dataType)
+        given = rows.schema[f.name].dataType if f.name in rows.columns else f.dataType
+        if isinstance(f.dataType, IntegralType) and isinstance(given, FractionalType):
+            stored = F.when(c == F.floor(c), c.try_cast(f.dataType))
+        cols.append(stored.alias(f.name))
     return rows.select(*cols)
 
 

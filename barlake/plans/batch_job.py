@@ -80,6 +80,7 @@ class BatchConfig:
 
 
 MAX_LISTED_FAILURES = 1_000
+MAX_LISTED_GAPS = 1_000  # in the report; the table date_gaps has all
 
 
 def seed_dim_date(wh: Warehouse) -> None:
@@ -140,6 +141,8 @@ def run_batch(
         results = quality_results(clean).withColumn("batch_id", F.lit(batch_id))
         rows = results.collect()  # nine rows
         summary = summarize(rows)
+        if not summary["checks"]["date_gaps"]["passed"]:
+            summary["checks"]["date_gaps"]["details"] = _first_gaps(clean)
         counts["rows_extracted"] = clean.count()
         if summary["critical"]:
             # report first, so a failed run still leaves one (the reference does not)
@@ -216,6 +219,12 @@ def run_batch(
             df.unpersist()
 
 
+def _first_gaps(clean: DataFrame) -> list[dict]:
+    """Gap rows for the report, by ticker and date."""
+    first = date_gaps(clean).orderBy("ticker", "gap_after").limit(MAX_LISTED_GAPS)
+    return [r.asDict() for r in first.withColumn("gap_after", F.col("gap_after").cast("string")).collect()]
+
+
 def _report(spark, cfg: BatchConfig, summary: dict, counts: dict, t0: float) -> str:
     outcome = {k: summary[k] for k in ("checks", "overall_passed") if k in summary}
     rows = {k: counts[k] for k in ("rows_extracted", "rows_inserted", "rows_skipped")}

@@ -38,6 +38,12 @@ def test_run_then_rerun(spark, tmp_path):
     assert set(report["checks"]) >= {"null_tickers", "date_gaps", "price_relationships"}
 
     wh = Warehouse(spark, str(tmp_path / "wh"))
+    # the report names the gaps that the table holds
+    stored_gaps = wh.read("date_gaps").where("batch_id = 'b1'").orderBy("ticker", "gap_after").limit(1000).collect()
+    assert len(stored_gaps) > 0 and report["checks"]["date_gaps"]["details"] == [
+        {"ticker": g.ticker, "gap_after": str(g.gap_after), "gap_calendar_days": g.gap_calendar_days}
+        for g in stored_gaps
+    ]
     facts = wh.read("fact_stock_prices")
     assert facts.count() == r1["rows_inserted"]
     assert facts.where(F.col("company_id").isNull()).count() == 0

@@ -43,6 +43,12 @@ def load_once(spark, wh, rows):
     return counts.rows_inserted, counts.rows_skipped
 
 
+def test_fractional_volume_is_not_cut(spark):
+    rows = spark.createDataFrame([("A", 12.5), ("B", 12.0), ("C", None), ("D", float("nan")), ("E", 1e30)], "ticker string, volume double")
+    stored = {r.ticker: r.volume for r in to_fact_schema(rows).collect()}
+    assert stored == {"A": None, "B": 12, "C": None, "D": None, "E": None}
+
+
 def test_no_stored_data_gives_empty_last_dates(spark):
     assert last_stored_dates(empty_facts(spark)).count() == 0
 
